@@ -250,7 +250,7 @@ TABLES: dict[str, str] = {
     "metered_sales": f"""
         SELECT loan AS loan_id, 'a_' || k AS account_id, 'p_' || c AS customer_id,
                'p_' || c AS customer_id_fenixdb,
-               {_int('1 + (k % 10) / 4')} AS sales_order_count, ts AS start_date_utc,
+               {_int('1 + ' + _div('(k % 10)', 4))} AS sales_order_count, ts AS start_date_utc,
                ts + INTERVAL '1' DAY AS date_fulfilled_utc, 'p_' || agent AS associator_id,
                CASE WHEN k % 23 = 0 THEN NULL WHEN k % 2 = 0 THEN 'AGENT ' || agent
                     ELSE 'Agent ' || agent END AS associator_name,
