@@ -77,7 +77,8 @@ def within(day: Column, window: Window) -> Column:
 
 def within_any(day: Column, windows: Iterable[Window]) -> Column:
     """True when ``day`` lies in one of the windows; plain ranges, so the scan can use them."""
-    return reduce(lambda a, b: a | b, [within(day, w) for w in windows], F.lit(False))
+    ranges = [within(day, window) for window in dict.fromkeys(windows)]
+    return reduce(lambda a, b: a | b, ranges) if ranges else F.lit(False)
 
 
 def period_of_day(day: Column, periods: Sequence[Period]) -> Column:

@@ -5,10 +5,10 @@ Rules are first match wins; a comparison with NULL does not match.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 from datetime import date
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from loanbook.functions.money import ratio, units
 
@@ -36,9 +36,9 @@ DISTRICT_COUNTRIES = ("Uganda", "Mozambique", "Côte d'Ivoire")
 SECOND_AREA_COUNTRIES = ("MZ", "CI")
 
 
-@dataclass(frozen=True)
+@dataclass
 class LoanTerms:
-    """The columns the schedule rules read. Money in cents."""
+    """The columns the schedule rules read, and those they derive first. Money in cents."""
 
     country: Column
     loan_type: Column
@@ -53,23 +53,41 @@ class LoanTerms:
     periods: Column
     loan_duration: Column
     down_payment_days: Column
-
-    @property
-    def elapsed(self) -> Column:
-        """Days from handover to the snapshot."""
-        return F.datediff(self.snapshot, F.to_date(self.handover))
-
-    @property
-    def day_of_month(self) -> Column:
-        return F.dayofmonth(self.snapshot)
+    # derived unless given
+    elapsed: Column | None = None
+    day_of_month: Column | None = None
+    duration: Column | None = None
+    intro: Column | None = None
+    contract_rate: Column | None = None
+    daily_rate: Column | None = None
+    repayment_rate: Column | None = None
+
+    def __post_init__(self) -> None:
+        derived = {
+            "elapsed": lambda: F.datediff(self.snapshot, F.to_date(self.handover)),
+            "day_of_month": lambda: F.dayofmonth(self.snapshot),
+            "duration": lambda: F.coalesce(self.loan_duration, self.periods * self.period_days),
+            "intro": lambda: intro_days(self),
+            "contract_rate": lambda: contract_rate(
+                self.item_daily_rate, self.initial_installment, self.period_days
+            ),
+            "daily_rate": lambda: daily_rate(self),
+            "repayment_rate": lambda: repayment_rate(self),
+        }
+        for name, rule in derived.items():
+            if getattr(self, name) is None:
+                setattr(self, name, rule())
 
     @property
     def is_paygo(self) -> Column:
         return self.loan_type == "paygo"
 
-    @property
-    def duration(self) -> Column:
-        return F.coalesce(self.loan_duration, self.periods * self.period_days)
+
+def with_terms(df: DataFrame, terms: LoanTerms) -> tuple[DataFrame, LoanTerms]:
+    """Hold every term as a column of its own, so the rules compute it once per row."""
+    names = [field.name for field in fields(LoanTerms)]
+    held = df.withColumns({f"term_{name}": getattr(terms, name) for name in names})
+    return held, LoanTerms(**{name: F.col(f"term_{name}") for name in names})
 
 
 def intro_days(terms: LoanTerms) -> Column:
@@ -92,9 +110,7 @@ def contract_rate(item_rate: Column, installment: Column, period_days: Column) -
 
 def daily_rate(terms: LoanTerms) -> Column:
     """rounded rate per day."""
-    return F.round(
-        contract_rate(terms.item_daily_rate, terms.initial_installment, terms.period_days)
-    )
+    return F.round(terms.contract_rate)
 
 
 def repayment_rate(terms: LoanTerms) -> Column:
@@ -124,9 +140,8 @@ def _by_months_on_book(terms: LoanTerms, months: Column, otherwise: Column) -> C
 
 def expected_all(terms: LoanTerms) -> Column:
     """amount expected on the snapshot day, whatever the repayment state."""
-    intro, rate = intro_days(terms), daily_rate(terms)
+    intro, rate = terms.intro, terms.daily_rate
     reach = terms.elapsed + intro
-    unrounded = contract_rate(terms.item_daily_rate, terms.initial_installment, terms.period_days)
     # Within the last month before the planned end the rate stays the same, so
     # that case needs no branch of its own.
     paygo = (
@@ -135,7 +150,7 @@ def expected_all(terms: LoanTerms) -> Column:
         .when(reach > terms.duration + terms.day_of_month, F.lit(0.0))
         .otherwise(rate)
     )
-    other = F.round(F.coalesce(unrounded, units(terms.initial_installment) / MONTH_DAYS))
+    other = F.round(F.coalesce(terms.contract_rate, units(terms.initial_installment) / MONTH_DAYS))
     return (
         F.when(terms.state == "rescheduled", F.lit(0.0))
         .when((terms.country != "KE") & (terms.state == "canceled"), F.lit(0.0))
@@ -147,7 +162,7 @@ def expected_all(terms: LoanTerms) -> Column:
 
 def expected_in_repayment(terms: LoanTerms) -> Column:
     """amount expected on the snapshot day from loans still in repayment."""
-    intro, rate = intro_days(terms), repayment_rate(terms)
+    intro, rate = terms.intro, terms.repayment_rate
     paygo = (
         F.when(terms.elapsed < intro, F.lit(0.0))
         .when(terms.elapsed - intro <= terms.day_of_month, (terms.elapsed - intro) * rate)
@@ -179,9 +194,9 @@ def rate_while_due(elapsed: Column, duration: Column, intro: Column, rate: Colum
     return F.when(elapsed <= duration + intro, rate).otherwise(F.lit(0.0))
 
 
-def expected_month_to_date(terms: LoanTerms, loan_rate: Column) -> Column:
-    """amount expected in the snapshot's month. ``loan_rate`` is in cents a day."""
-    rate, intro = units(loan_rate), terms.down_payment_days
+def expected_month_to_date(terms: LoanTerms, rate: Column) -> Column:
+    """amount expected in the snapshot's month. ``rate`` is the loan's, in units a day."""
+    intro = terms.down_payment_days
     elapsed, day, end = terms.elapsed, terms.day_of_month, terms.loan_duration
     paygo = (
         F.when(elapsed < intro, F.lit(0.0))
@@ -190,7 +205,7 @@ def expected_month_to_date(terms: LoanTerms, loan_rate: Column) -> Column:
         .when(elapsed + intro > end, (day - elapsed - end + intro) * rate)
         .otherwise(rate * day)
     )
-    other = contract_rate(loan_rate, terms.initial_installment, terms.period_days) * day
+    other = terms.contract_rate * day
     return (
         F.when(terms.state == "rescheduled", F.lit(0.0))
         .when(
@@ -203,9 +218,9 @@ def expected_month_to_date(terms: LoanTerms, loan_rate: Column) -> Column:
     )
 
 
-def expected_ongoing_month_to_date(terms: LoanTerms, loan_rate: Column) -> Column:
+def expected_ongoing_month_to_date(terms: LoanTerms, rate: Column) -> Column:
     """amount expected from ongoing loans. A paygo loan past its end gives NULL."""
-    rate, intro = units(loan_rate), terms.down_payment_days
+    intro = terms.down_payment_days
     paygo = (
         F.when(terms.elapsed < intro, F.lit(0.0))
         .when(terms.elapsed <= terms.loan_duration + intro, rate)

@@ -10,7 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from loanbook.operators.relational import first_row
+from loanbook.operators.relational import first_row, lookup
 
 Tables = Mapping[str, DataFrame]
 
@@ -101,16 +101,20 @@ def reassigned_agents(tables: Tables) -> DataFrame:
         "associator_id", F.col("first_sale").alias("first_by_id"), F.col("last_sale").alias("last_by_id")
     )
     customers = tables["customers"].select("customer_id", "adopted_by_contractor_id")
+    rows = customers.join(
+        moved,
+        (F.col("adopted_by_contractor_id") == F.col("oc_agent_id"))
+        & (F.col("customer_id") == F.col("oc_customer_id")),
+        "left",
+    )
+    rows = lookup(
+        rows, by_name, on=[(F.lower("oc_agent_name"), "sa_name")], spread_by=["customer_id"]
+    )
+    rows = lookup(
+        rows, by_id, on=[("adopted_by_contractor_id", "associator_id")], spread_by=["customer_id"]
+    )
     return (
-        customers.join(
-            moved,
-            (F.col("adopted_by_contractor_id") == F.col("oc_agent_id"))
-            & (F.col("customer_id") == F.col("oc_customer_id")),
-            "left",
-        )
-        .join(by_name, F.lower("oc_agent_name") == F.col("sa_name"), "left")
-        .join(by_id, F.col("adopted_by_contractor_id") == F.col("associator_id"), "left")
-        .groupBy(
+        rows.groupBy(
             F.col("oc_agent_name").alias("reassigned_agent_name"),
             F.col("adopted_by_contractor_id").alias("reassigned_agent_id"),
             "customer_id",

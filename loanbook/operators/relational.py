@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-LOOKUP_SALTS = 16
+# Copies of a dimension that is too large to broadcast; hot keys spread over as many tasks.
+LOOKUP_SALTS = 64
 
 
 def pick(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
     """The named columns, renamed to ``<prefix>_<column>`` so joins stay unambiguous."""
-    return df.select(*[F.col(c).alias(f"{prefix}_{c}") for c in columns])
+    return df.selectExpr(*[f"`{c}` AS `{prefix}_{c}`" for c in columns])
 
 
 def _nulls_largest(columns: Sequence[Column]) -> list[Column]:
@@ -24,7 +26,7 @@ def _nulls_largest(columns: Sequence[Column]) -> list[Column]:
 def _extreme(df: DataFrame, keys: Sequence[str], by: Sequence[Column], pick_row) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     order = F.struct(*_nulls_largest(by)).alias("order")
-    row = F.struct(*rest).alias("row")
+    row = F.expr(f"struct({', '.join(f'`{c}`' for c in rest)})").alias("row")
     best = df.groupBy(*keys).agg(pick_row(F.struct(order, row)).alias("best"))
     return best.select(*keys, "best.row.*")
 
@@ -44,6 +46,13 @@ def newest_row(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> Data
     return _extreme(df, keys, by, F.max)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate of ``df`` is within the session's broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def lookup(
     left: DataFrame,
     dimension: DataFrame,
@@ -51,24 +60,26 @@ def lookup(
     spread_by: Sequence[str],
     salts: int = LOOKUP_SALTS,
 ) -> DataFrame:
-    """Left join to a small dimension whose keys are few and may be very hot.
+    """Left join to a dimension whose keys are few or may be very hot.
 
-    Each dimension row is repeated once per salt and each left row picks its salt
-    from a hash of ``spread_by``, so one country or product is split over that
-    many tasks. Nothing is forced to broadcast: where the dimension's statistics
-    are under the session's threshold Spark broadcasts it, else it shuffles.
+    A dimension whose estimated size is within the broadcast limit is broadcast.
+    Beyond it each dimension row is repeated once per salt and each left row picks
+    its salt from a hash of ``spread_by``, so one country, product or agent is
+    split over that many tasks and both ways give the same rows.
     ``on`` pairs a left column or expression with a column of the dimension.
     """
-    salt = F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")
-    keyed = left.withColumn("_salt", salt)
+    pairs = [(F.col(m) if isinstance(m, str) else m, F.col(theirs)) for m, theirs in on]
+    condition = reduce(lambda a, b: a & b, [mine == theirs for mine, theirs in pairs])
+    if fits_broadcast(dimension):
+        return left.join(F.broadcast(dimension), condition, "left")
+    keyed = left.withColumn(
+        "_salt", F.expr(f"CAST(pmod(xxhash64({', '.join(spread_by)}), {salts}) AS INT)")
+    )
     repeated = dimension.withColumn(
-        "_dimension_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+        "_dimension_salt", F.expr(f"explode(sequence(0, {salts - 1}))")
     )
-    condition = F.col("_salt") == F.col("_dimension_salt")
-    for mine, theirs in on:
-        mine = F.col(mine) if isinstance(mine, str) else mine
-        condition = condition & (mine == F.col(theirs))
-    return keyed.join(repeated, condition, "left").drop("_salt", "_dimension_salt")
+    salted = condition & (F.col("_salt") == F.col("_dimension_salt"))
+    return keyed.join(repeated, salted, "left").drop("_salt", "_dimension_salt")
 
 
 def stack_by_position(frames: Sequence[DataFrame]) -> DataFrame:

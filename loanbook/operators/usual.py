@@ -24,10 +24,16 @@ def usual_amount(
     return first_row(counted, keys, [-F.col(frequency), F.col(amount_column)])
 
 
-def _with_zone(df: DataFrame, tables: Tables, country: str, spread_by: Sequence[str]) -> DataFrame:
-    zones = pick(tables["country_timezones"], "ct", "iso_2_abbreviation", "default_timezone")
+def _with_zone(df: DataFrame, tables: Tables, country: str) -> DataFrame:
+    """Add the country's time zone. Several zones of a country repeat the row."""
+    zones = pick(
+        tables["country_timezones"].where(F.col("iso_2_abbreviation") == country),
+        "ct",
+        "iso_2_abbreviation",
+        "default_timezone",
+    )
     return (
-        lookup(df, zones, on=[(country, "ct_iso_2_abbreviation")], spread_by=spread_by)
+        lookup(df, zones, on=[(F.lit(country), "ct_iso_2_abbreviation")], spread_by=["loan_id", "id"])
         .drop("ct_iso_2_abbreviation")
         .withColumnRenamed("ct_default_timezone", "zone")
     )
@@ -58,17 +64,17 @@ def metered_month_transactions(tables: Tables, country: str, since: date) -> Dat
         & (F.col("country") == country)
         & _reaching("added_at_utc", since)
     )
-    paid = _with_zone(paid, tables, "country", ["loan_id", "id"])
-    return _in_local_months(paid, "added_at_utc", since).select(
+    paid = paid.select(
         "loan_id",
         "id",
-        "month_end",
+        "added_at_utc",
         (F.col("portion_interest") + F.col("portion_principal")).alias("value"),
     )
+    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", since)
 
 
-def item_zones(tables: Tables, country: str) -> DataFrame:
-    """Loan account (``la_``), item (``oi_``) and time zone, for items of one country."""
+def account_items(tables: Tables, country: str) -> DataFrame:
+    """Loan accounts (``la_``) with the items (``oi_``) of their sales case, for one country."""
     accounts = pick(
         tables["loan_accounts"],
         "la",
@@ -82,61 +88,66 @@ def item_zones(tables: Tables, country: str) -> DataFrame:
         "installment_periods",
         "installment_period_days",
     )
-    items = tables["order_items"].where(F.col("country") == country).select(
-        F.col("sales_case_id").alias("oi_sales_case_id"),
-        F.col("loan_account_id").alias("oi_loan_account_id"),
-        F.col("country").alias("oi_country"),
-        F.col("product_name").alias("oi_product_name"),
-        F.col("down_payment_days").alias("oi_down_payment_days"),
+    items = pick(
+        tables["order_items"].where(F.col("country") == country),
+        "oi",
+        "sales_case_id",
+        "loan_account_id",
+        "product_name",
+        "down_payment_days",
     )
-    joined = accounts.join(items, F.col("la_sales_case_id") == F.col("oi_sales_case_id"))
-    return _with_zone(joined, tables, "oi_country", ["la_loan_account_id"]).where(
-        F.col("zone").isNotNull()
+    return accounts.join(items, F.col("la_sales_case_id") == F.col("oi_sales_case_id"))
+
+
+def own_items(tables: Tables, country: str) -> DataFrame:
+    """The items of a loan's case that are of that loan."""
+    return account_items(tables, country).where(
+        F.col("oi_loan_account_id") == F.col("la_loan_account_id")
     )
 
 
-def _zone_copies(zones: DataFrame) -> DataFrame:
-    """One row per loan and zone with the number of item rows behind it."""
-    return zones.groupBy(F.col("la_loan_account_id").alias("zone_loan_id"), "zone").agg(
+def item_copies(items: DataFrame) -> DataFrame:
+    """One row per loan with the number of item rows a join to them would give."""
+    return items.groupBy(F.col("la_loan_account_id").alias("item_loan_id")).agg(
         F.count("*").alias("copies")
     )
 
 
 def benchmark_month_transactions(
-    tables: Tables, zone_copies: DataFrame, since: date
+    tables: Tables, copies: DataFrame, country: str, since: date
 ) -> DataFrame:
     """Benchmark payments with their local month end, in cents."""
     paid = tables["benchmark_transactions"].where(
         F.col("transaction_type").isin(*BENCHMARK_PAYMENT_TYPES) & _reaching("added_at_utc", since)
     )
-    paid = paid.join(zone_copies, F.col("loan_id") == F.col("zone_loan_id"))
-    return _in_local_months(paid, "added_at_utc", since).select(
+    paid = paid.join(copies, F.col("loan_id") == F.col("item_loan_id")).select(
         "loan_id",
         "id",
-        "zone",
         "copies",
-        "month_end",
+        "added_at_utc",
         (F.col("portion_interest") + F.col("portion_principal")).alias("value"),
     )
+    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", since)
 
 
 def booking_month_transactions(
-    tables: Tables, zone_copies: DataFrame, since: date, naive_local: bool = False
+    tables: Tables, copies: DataFrame, country: str, since: date, naive_local: bool = False
 ) -> DataFrame:
     """Bookings of payments with their local month end, in cents."""
     paid = tables["payment_bookings"].where(
         F.col("transaction_type").isin(*BOOKING_PAYMENT_TYPES)
         & _reaching("transaction_at", since)
     )
-    paid = paid.join(zone_copies, F.col("loan_account_id") == F.col("zone_loan_id"))
-    return _in_local_months(paid, "transaction_at", since, naive_local).select(
+    paid = paid.join(copies, F.col("loan_account_id") == F.col("item_loan_id")).select(
         F.col("loan_account_id").alias("loan_id"),
         F.col("payment_booking_id").alias("id"),
-        "zone",
         "copies",
-        "month_end",
+        "transaction_at",
         F.col("amount").alias("value"),
     )
+    return _in_local_months(
+        _with_zone(paid, tables, country), "transaction_at", since, naive_local
+    )
 
 
 def _statistics(paid: DataFrame, total: Column, divisor: int) -> DataFrame:
@@ -177,60 +188,62 @@ def payment_statistics(
         F.count("id"),
         1,
     )
-    copies = _zone_copies(item_zones(tables, country))
+    copies = item_copies(account_items(tables, country))
     # The daily finance table joins twice, so its rows per loan count squared.
     per_loan = tables["benchmark_finance_daily"].groupBy(
         F.col("loan_id").alias("finance_loan_id")
     ).agg(F.count("*").alias("finance_rows"))
     squared = F.coalesce(F.col("finance_rows") * F.col("finance_rows"), F.lit(1))
     benchmark_copies = copies.join(
-        per_loan, F.col("zone_loan_id") == F.col("finance_loan_id"), "left"
-    ).select("zone_loan_id", "zone", (F.col("copies") * squared).alias("copies"))
+        per_loan, F.col("item_loan_id") == F.col("finance_loan_id"), "left"
+    ).select("item_loan_id", (F.col("copies") * squared).alias("copies"))
     benchmark = _statistics(
-        benchmark_month_transactions(tables, benchmark_copies, since), weighted_count, 100
+        benchmark_month_transactions(tables, benchmark_copies, country, since),
+        weighted_count,
+        100,
     )
     bookings = _statistics(
-        booking_month_transactions(tables, copies, since, naive_local),
+        booking_month_transactions(tables, copies, country, since, naive_local),
         F.countDistinct("id"),
         100,
     )
     return metered.unionByName(benchmark).unionByName(bookings).distinct()
 
 
-def metered_amount_counts(tables: Tables, country: str, since: date) -> DataFrame:
-    """Metered: times each rounded amount was paid, per loan and month."""
-    return (
-        metered_month_transactions(tables, country, since)
-        .groupBy(
-            "loan_id",
-            "month_end",
-            F.round(F.col("value").cast("double"), 0).alias("trans_amount"),
-        )
-        .agg(F.count("*").alias("times"))
+def _usual_of(paid: DataFrame, rounded: Column, times: Column) -> DataFrame:
+    """Per loan and month the amount paid most often, with its ``times``.
+
+    What the report joins later depends on the loan and the month, not on the
+    amount, so it multiplies every amount's count alike and cannot change which
+    one wins. Choosing here leaves one row per loan and month for those joins.
+    """
+    counted = paid.groupBy("loan_id", "month_end", rounded.alias("trans_amount")).agg(
+        times.alias("times")
     )
+    return usual_amount(counted, ["loan_id", "month_end"], "times", "trans_amount")
+
+
+def metered_usual_amounts(tables: Tables, country: str, since: date) -> DataFrame:
+    """Metered: every transaction counts."""
+    paid = metered_month_transactions(tables, country, since)
+    return _usual_of(paid, F.round(F.col("value").cast("double"), 0), F.count("*"))
 
 
 def _rounded_units() -> Column:
     return F.round(F.col("value").cast("double") / F.lit(100.0), 0)
 
 
-def benchmark_amount_counts(tables: Tables, country: str, since: date) -> DataFrame:
-    """Benchmark: different transactions per rounded amount, loan and month."""
-    copies = _zone_copies(item_zones(tables, country))
-    return (
-        benchmark_month_transactions(tables, copies, since)
-        .groupBy("loan_id", "month_end", _rounded_units().alias("trans_amount"))
-        .agg(F.countDistinct("id").alias("times"))
-    )
+def benchmark_usual_amounts(tables: Tables, country: str, since: date) -> DataFrame:
+    """Benchmark: every different transaction counts."""
+    copies = item_copies(account_items(tables, country))
+    paid = benchmark_month_transactions(tables, copies, country, since)
+    return _usual_of(paid, _rounded_units(), F.countDistinct("id"))
 
 
-def booking_amount_counts(
+def booking_usual_amounts(
     tables: Tables, country: str, since: date, naive_local: bool = False
 ) -> DataFrame:
-    """Bookings: times each rounded amount was paid, per loan, zone and month."""
-    copies = _zone_copies(item_zones(tables, country))
-    return (
-        booking_month_transactions(tables, copies, since, naive_local)
-        .groupBy("loan_id", "zone", "month_end", _rounded_units().alias("trans_amount"))
-        .agg(F.count("*").alias("times"))
-    )
+    """Bookings: every booking of a loan with an item of its own counts."""
+    copies = item_copies(own_items(tables, country))
+    paid = booking_month_transactions(tables, copies, country, since, naive_local)
+    return _usual_of(paid, _rounded_units(), F.count("*"))

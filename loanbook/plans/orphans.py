@@ -91,7 +91,9 @@ def metered_orphans(tables: Tables, as_of: date) -> DataFrame:
         "associator_name",
         "country_of_sale",
     ).withColumn("sd_agent", F.lower("sd_associator_name"))
-    sales = sales.join(_last_by_name(tables, "rs"), F.col("sd_agent") == F.col("rs_name"), "left")
+    sales = lookup(
+        sales, _last_by_name(tables, "rs"), on=[("sd_agent", "rs_name")], spread_by=["sd_loan_id"]
+    )
     sales = lookup(
         sales,
         _countries(tables),
@@ -179,18 +181,26 @@ def _customers_with_agent(tables: Tables) -> DataFrame:
         F.col("application_by_contractor_id").alias("cd_agent_id"),
         F.col("application_by_contractor_name").alias("cd_agent_name"),
     )
-    return customers.join(by_id, F.col("cd_agent_id") == F.col("rsd_id"), "left").drop("rsd_id")
+    return lookup(
+        customers, by_id, on=[("cd_agent_id", "rsd_id")], spread_by=["cd_customer_id"]
+    ).drop("rsd_id")
 
 
 def snapshot_orphans(tables: Tables, as_of: date) -> DataFrame:
     """Snapshot system; an account names its agent only in its last benchmark month."""
     items = _sold_items(tables).where(~F.col("ctx_iso_2_abbreviation").like("DE"))
-    items = items.withColumn("channel_agent", F.lower("crm_agent_name")).join(
-        _last_by_name(tables, "ch"), F.col("channel_agent") == F.col("ch_name"), "left"
+    items = lookup(
+        items.withColumn("channel_agent", F.lower("crm_agent_name")),
+        _last_by_name(tables, "ch"),
+        on=[("channel_agent", "ch_name")],
+        spread_by=["oi_sales_order_item_id"],
     )
     agents = _customers_with_agent(tables).withColumn("applied_agent", F.lower("cd_agent_name"))
-    agents = agents.join(
-        _last_by_name(tables, "ap"), F.col("applied_agent") == F.col("ap_name"), "left"
+    agents = lookup(
+        agents,
+        _last_by_name(tables, "ap"),
+        on=[("applied_agent", "ap_name")],
+        spread_by=["cd_customer_id"],
     )
     accounts = pick(
         tables["loan_accounts"],
@@ -258,7 +268,12 @@ def benchmark_orphans(tables: Tables, as_of: date) -> DataFrame:
         "agent",
         F.lower(F.coalesce("cd_agent_name", "crm_agent_name", "oi_sales_order_submitted_by_name")),
     )
-    items = items.join(_last_by_name(tables, "rs"), F.col("agent") == F.col("rs_name"), "left")
+    items = lookup(
+        items,
+        _last_by_name(tables, "rs"),
+        on=[("agent", "rs_name")],
+        spread_by=["oi_sales_order_item_id"],
+    )
 
     months = _recent(tables["benchmark_finance_monthly"], "report_date", as_of).where(
         F.col("loan_state") == "active"

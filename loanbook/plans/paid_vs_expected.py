@@ -26,12 +26,12 @@ from loanbook.functions.money import amount, units
 from loanbook.functions.rules import (
     LoanTerms,
     area_region,
-    daily_rate,
     expected_all,
     expected_by_contract,
     expected_in_repayment,
     rate_while_due,
     sale_region,
+    with_terms,
 )
 from loanbook.operators.payments import UGANDA, Country, daily_payments
 from loanbook.operators.places import hub_regions, with_area_manager, with_stock_point
@@ -263,6 +263,24 @@ def _items_with_hub_region(items: DataFrame, tables: Tables, applies: str, case_
     return plain.unionByName(located.withColumn(applies, F.lit(True)))
 
 
+def _snapshot_terms() -> LoanTerms:
+    return LoanTerms(
+        country=F.col("cd_country"),
+        loan_type=F.col("la_loan_type"),
+        state=F.col("d_state"),
+        snapshot=F.col("report_date"),
+        handover=F.col("la_handover_at_utc"),
+        months_on_book=F.col("d_months_on_book"),
+        terminated_at=F.col("d_terminated_at"),
+        item_daily_rate=F.col("oi_daily_rate"),
+        initial_installment=F.col("la_initial_installment"),
+        period_days=F.col("la_installment_period_days"),
+        periods=F.col("la_installment_periods"),
+        loan_duration=F.col("oi_loan_duration"),
+        down_payment_days=F.col("oi_down_payment_days"),
+    )
+
+
 def snapshot_arm(
     tables: Tables, periods: Sequence[Period], paid: DataFrame, country: Country = UGANDA
 ) -> DataFrame:
@@ -346,21 +364,7 @@ def snapshot_arm(
     )
     rows = _join_payments(rows, paid, None)
 
-    terms = LoanTerms(
-        country=F.col("cd_country"),
-        loan_type=F.col("la_loan_type"),
-        state=F.col("d_state"),
-        snapshot=F.col("report_date"),
-        handover=F.col("la_handover_at_utc"),
-        months_on_book=F.col("d_months_on_book"),
-        terminated_at=F.col("d_terminated_at"),
-        item_daily_rate=F.col("oi_daily_rate"),
-        initial_installment=F.col("la_initial_installment"),
-        period_days=F.col("la_installment_period_days"),
-        periods=F.col("la_installment_periods"),
-        loan_duration=F.col("oi_loan_duration"),
-        down_payment_days=F.col("oi_down_payment_days"),
-    )
+    rows, terms = with_terms(rows, _snapshot_terms())
     by_area = area_region(F.col("cd_country"), F.col("cd_area1"), F.col("cd_area2"))
     region = (
         F.when(F.col("period") != CURRENT_MONTH, by_area)
@@ -385,7 +389,7 @@ def snapshot_arm(
             F.col("report_date").alias("benchmark_date"),
             "loan_id",
             F.col("d_customer_id").alias("customer_id"),
-            daily_rate(terms).alias("daily_rate"),
+            terms.daily_rate.alias("daily_rate"),
             F.lower("d_state").alias("loan_state"),
             F.lower("d_state").alias("new_loan_state"),
             F.lit(True).alias("in_repayment"),

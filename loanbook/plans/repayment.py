@@ -1,7 +1,7 @@
 """Repayment behaviour: the usual payment of each loan and month, and its rhythm.
 
-Transactions are counted per loan, month and amount before they meet the
-dimensions, so those joins see one row per amount instead of one per payment.
+The usual amount of a loan and month is chosen before the dimensions are joined,
+so those joins see one row per loan and month instead of one per payment.
 """
 
 from __future__ import annotations
@@ -19,15 +19,15 @@ from loanbook.functions.rules import (
     light_days,
     product_segment,
     rhythm,
+    with_terms,
 )
-from loanbook.operators.relational import lookup, pick, stack_by_position
+from loanbook.operators.relational import first_row, lookup, pick, stack_by_position
 from loanbook.operators.usual import (
-    benchmark_amount_counts,
-    booking_amount_counts,
-    item_zones,
-    metered_amount_counts,
+    benchmark_usual_amounts,
+    booking_usual_amounts,
+    metered_usual_amounts,
+    own_items,
     payment_statistics,
-    usual_amount,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -187,14 +187,14 @@ def _reported(column: str) -> Column:
     return F.coalesce(f"lm_{column}", f"f_{column}").cast("double")
 
 
-def _usual(df: DataFrame, frequency: Column) -> DataFrame:
-    """Usual amount per loan and month from rows that carry ``times``."""
-    best = usual_amount(
-        df.groupBy(*DESCRIBING).agg(frequency.alias("frequency")),
-        ["loan_id", "month_end"],
-        "frequency",
-        "trans_amount",
-    )
+def _one_per_month(df: DataFrame, frequency: Column) -> DataFrame:
+    """One row per loan and month, from rows that carry ``times``.
+
+    Equal rows are counted together; of different ones (a dimension that lists a
+    loan twice) the more frequent stays, then the smaller.
+    """
+    grouped = df.groupBy(*DESCRIBING).agg(frequency.alias("frequency"))
+    best = first_row(grouped, ["loan_id", "month_end"], [-F.col("frequency")])
     loans = F.when(F.col("loan_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
     return best.withColumn("count_loans", loans).select(*DESCRIBING, "count_loans", "frequency")
 
@@ -206,7 +206,7 @@ def usual_metered(tables: Tables, country: str = ZAMBIA, since: date = SINCE) ->
     profiles = profiles.join(
         persons, F.col("f_customer_id_fenixdb") == F.col("ps_person_id"), "left"
     ).join(homes, F.col("f_customer_id_fenixdb") == F.col("pd_person_id"), "left")
-    rows = metered_amount_counts(tables, country, since).join(
+    rows = metered_usual_amounts(tables, country, since).join(
         profiles, F.col("loan_id") == F.col("f_loan_id"), "left"
     )
     rows = _with_month_report(rows, tables, "metered_finance_monthly", since)
@@ -238,12 +238,12 @@ def usual_metered(tables: Tables, country: str = ZAMBIA, since: date = SINCE) ->
         light_days(F.col("trans_amount"), rate).alias("lighting_days_paid_for"),
         "times",
     )
-    return _usual(rows, F.sum("times"))
+    return _one_per_month(rows, F.sum("times"))
 
 
 def usual_benchmark(tables: Tables, country: str = ZAMBIA, since: date = SINCE) -> DataFrame:
     profiles = _finance_profiles(tables, "benchmark_finance_daily")
-    rows = benchmark_amount_counts(tables, country, since).join(
+    rows = benchmark_usual_amounts(tables, country, since).join(
         profiles, F.col("loan_id") == F.col("f_loan_id"), "left"
     )
     rows = _with_month_report(rows, tables, "benchmark_finance_monthly", since)
@@ -274,16 +274,13 @@ def usual_benchmark(tables: Tables, country: str = ZAMBIA, since: date = SINCE)
         "times",
     )
     # Different transactions are counted, so a repeated profile does not add to them.
-    return _usual(rows, F.max("times"))
+    return _one_per_month(rows, F.max("times"))
 
 
 def booking_schedule(tables: Tables, country: str) -> DataFrame:
-    """Loan, its own items and their time zone, with the product's segment columns."""
-    own = item_zones(tables, country).where(
-        F.col("oi_loan_account_id") == F.col("la_loan_account_id")
-    )
+    """Loans with their own items and the product's segment columns."""
     return lookup(
-        own.withColumn("_product", F.trim("oi_product_name")),
+        own_items(tables, country).withColumn("_product", F.trim("oi_product_name")),
         _products(tables),
         on=[("_product", "pm_product_type")],
         spread_by=["la_loan_account_id"],
@@ -353,20 +350,18 @@ def usual_bookings(
 ) -> DataFrame:
     """Snapshot system. The two expected amounts stand in swapped places, as in the
     report this follows; ``fix_admin_order`` puts them under their own names."""
-    counts = booking_amount_counts(tables, country, since, admin_naive_local)
-    schedule = booking_schedule(tables, country).withColumnRenamed("zone", "item_zone")
-    rows = counts.join(
-        schedule,
-        (F.col("loan_id") == F.col("la_loan_account_id")) & (F.col("zone") == F.col("item_zone")),
+    rows = booking_usual_amounts(tables, country, since, admin_naive_local).join(
+        booking_schedule(tables, country), F.col("loan_id") == F.col("la_loan_account_id")
     )
     rows = join_snapshots(rows, tables, since).join(
         customer_profiles(tables), F.col("d_customer_id") == F.col("customer_id"), "left"
     )
-    terms = snapshot_terms()
-    expected = expected_month_to_date(terms, F.col("la_daily_rate"))
-    ongoing = expected_ongoing_month_to_date(terms, F.col("la_daily_rate"))
+    rows, terms = with_terms(rows, snapshot_terms())
+    rows = rows.withColumn("loan_rate", units(F.col("la_daily_rate")))
+    rate = F.col("loan_rate")
+    expected = expected_month_to_date(terms, rate)
+    ongoing = expected_ongoing_month_to_date(terms, rate)
     first, second = (ongoing, expected) if fix_admin_order else (expected, ongoing)
-    rate = units(F.col("la_daily_rate"))
     rows = rows.select(
         F.lit("arrears").alias("loan_type"),
         "loan_id",
@@ -396,7 +391,7 @@ def usual_bookings(
         light_days(F.col("trans_amount"), rate).alias("lighting_days_paid_for"),
         "times",
     )
-    return _usual(rows, F.sum("times"))
+    return _one_per_month(rows, F.sum("times"))
 
 
 def usual_payments(

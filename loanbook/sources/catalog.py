@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 # Declared columns per logical table, as DDL.
 SCHEMAS: dict[str, str] = {
@@ -266,15 +266,14 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     if missing:
         raise ValueError(f"table {name!r} lacks column(s): {', '.join(missing)}")
 
-    def column(field: T.StructField):
-        source = F.col(f"`{field.name}`")
+    def column(field: T.StructField) -> str:
         found = have[field.name]
         naive = isinstance(field.dataType, T.TimestampType) and isinstance(found, T.TimestampNTZType)
         if found == field.dataType or naive:
-            return source
-        return source.cast(field.dataType).alias(field.name)
+            return f"`{field.name}`"
+        return f"CAST(`{field.name}` AS {field.dataType.simpleString()}) AS `{field.name}`"
 
-    return df.select(*[column(field) for field in want])
+    return df.selectExpr(*[column(field) for field in want])
 
 
 def load_parquet(

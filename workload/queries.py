@@ -194,7 +194,8 @@ def snapshot_vs_previous_month(t) -> DataFrame:
         .join(items, F.col("loan_id") == F.col("oi_loan_account_id"), "left")
         .join(customers, F.col("d_customer_id") == F.col("cd_customer_id"), "left")
     )
-    terms, rate = snapshot_terms(), F.col("la_daily_rate")
+    rows, terms = rules.with_terms(rows, snapshot_terms())
+    rate = units(F.col("la_daily_rate"))
     return rows.select(
         "loan_id",
         "month_end",

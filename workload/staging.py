@@ -529,9 +529,12 @@ class StagedTables(dict):
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self._spark, self._dir = spark, sf_dir
+        self._given: dict[str, DataFrame] = {}
 
     def driver(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        if name not in self._given:
+            self._given[name] = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        return self._given[name]
 
     def __missing__(self, name: str) -> DataFrame:
         sql = TABLES[name]
