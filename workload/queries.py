@@ -235,7 +235,7 @@ def known_by_date_match(t) -> DataFrame:
 # --- reconciliation, joins, numbers ----------------------------------------
 
 
-def _listed(t) -> DataFrame:
+def listed_loans(t) -> DataFrame:
     """Loans whose benchmark history lacks the state 'active': the ids to look into."""
     return (
         t["benchmark_days"]
@@ -247,12 +247,12 @@ def _listed(t) -> DataFrame:
 
 
 def reconcile_at_month_end(t) -> DataFrame:
-    return benchmark_reconciliation(t, _listed(t))
+    return benchmark_reconciliation(t, listed_loans(t))
 
 
 def id_list_semi_join(t) -> DataFrame:
     return keep_listed(
-        t["loan_accounts"], "loan_account_id", _listed(t), "loan_account_id"
+        t["loan_accounts"], "loan_account_id", listed_loans(t), "loan_account_id"
     ).select("loan_account_id", "state", "source")
 
 
