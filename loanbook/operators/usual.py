@@ -24,17 +24,12 @@ def usual_amount(
     return first_row(counted, keys, [-F.col(frequency), F.col(amount_column)])
 
 
-def _with_zone(df: DataFrame, tables: Tables, country: str) -> DataFrame:
+def _with_zone(df: DataFrame, tables: Tables) -> DataFrame:
     """Add the country's time zone. Several zones of a country repeat the row."""
-    zones = pick(
-        tables["country_timezones"].where(F.col("iso_2_abbreviation") == country),
-        "ct",
-        "iso_2_abbreviation",
-        "default_timezone",
-    )
+    zones = pick(tables["country_timezones"], "ct", "iso_2_abbreviation", "default_timezone")
     return (
-        lookup(df, zones, on=[(F.lit(country), "ct_iso_2_abbreviation")], spread_by=["loan_id", "id"])
-        .drop("ct_iso_2_abbreviation")
+        lookup(df, zones, on=[("country", "ct_iso_2_abbreviation")], spread_by=["loan_id", "id"])
+        .drop("ct_iso_2_abbreviation", "country")
         .withColumnRenamed("ct_default_timezone", "zone")
     )
 
@@ -67,10 +62,11 @@ def metered_month_transactions(tables: Tables, country: str, since: date) -> Dat
     paid = paid.select(
         "loan_id",
         "id",
+        "country",
         "added_at_utc",
         (F.col("portion_interest") + F.col("portion_principal")).alias("value"),
     )
-    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", since)
+    return _in_local_months(_with_zone(paid, tables), "added_at_utc", since)
 
 
 def account_items(tables: Tables, country: str) -> DataFrame:
@@ -93,6 +89,7 @@ def account_items(tables: Tables, country: str) -> DataFrame:
         "oi",
         "sales_case_id",
         "loan_account_id",
+        "country",
         "product_name",
         "down_payment_days",
     )
@@ -108,13 +105,13 @@ def own_items(tables: Tables, country: str) -> DataFrame:
 
 def item_copies(items: DataFrame) -> DataFrame:
     """One row per loan with the number of item rows a join to them would give."""
-    return items.groupBy(F.col("la_loan_account_id").alias("item_loan_id")).agg(
-        F.count("*").alias("copies")
-    )
+    return items.groupBy(
+        F.col("la_loan_account_id").alias("item_loan_id"), F.col("oi_country").alias("country")
+    ).agg(F.count("*").alias("copies"))
 
 
 def benchmark_month_transactions(
-    tables: Tables, copies: DataFrame, country: str, since: date
+    tables: Tables, copies: DataFrame, since: date
 ) -> DataFrame:
     """Benchmark payments with their local month end, in cents."""
     paid = tables["benchmark_transactions"].where(
@@ -123,15 +120,16 @@ def benchmark_month_transactions(
     paid = paid.join(copies, F.col("loan_id") == F.col("item_loan_id")).select(
         "loan_id",
         "id",
+        "country",
         "copies",
         "added_at_utc",
         (F.col("portion_interest") + F.col("portion_principal")).alias("value"),
     )
-    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", since)
+    return _in_local_months(_with_zone(paid, tables), "added_at_utc", since)
 
 
 def booking_month_transactions(
-    tables: Tables, copies: DataFrame, country: str, since: date, naive_local: bool = False
+    tables: Tables, copies: DataFrame, since: date, naive_local: bool = False
 ) -> DataFrame:
     """Bookings of payments with their local month end, in cents."""
     paid = tables["payment_bookings"].where(
@@ -141,12 +139,13 @@ def booking_month_transactions(
     paid = paid.join(copies, F.col("loan_account_id") == F.col("item_loan_id")).select(
         F.col("loan_account_id").alias("loan_id"),
         F.col("payment_booking_id").alias("id"),
+        "country",
         "copies",
         "transaction_at",
         F.col("amount").alias("value"),
     )
     return _in_local_months(
-        _with_zone(paid, tables, country), "transaction_at", since, naive_local
+        _with_zone(paid, tables), "transaction_at", since, naive_local
     )
 
 
@@ -196,14 +195,14 @@ def payment_statistics(
     squared = F.coalesce(F.col("finance_rows") * F.col("finance_rows"), F.lit(1))
     benchmark_copies = copies.join(
         per_loan, F.col("item_loan_id") == F.col("finance_loan_id"), "left"
-    ).select("item_loan_id", (F.col("copies") * squared).alias("copies"))
+    ).select("item_loan_id", "country", (F.col("copies") * squared).alias("copies"))
     benchmark = _statistics(
-        benchmark_month_transactions(tables, benchmark_copies, country, since),
+        benchmark_month_transactions(tables, benchmark_copies, since),
         weighted_count,
         100,
     )
     bookings = _statistics(
-        booking_month_transactions(tables, copies, country, since, naive_local),
+        booking_month_transactions(tables, copies, since, naive_local),
         F.countDistinct("id"),
         100,
     )
@@ -236,7 +235,7 @@ def _rounded_units() -> Column:
 def benchmark_usual_amounts(tables: Tables, country: str, since: date) -> DataFrame:
     """Benchmark: every different transaction counts."""
     copies = item_copies(account_items(tables, country))
-    paid = benchmark_month_transactions(tables, copies, country, since)
+    paid = benchmark_month_transactions(tables, copies, since)
     return _usual_of(paid, _rounded_units(), F.countDistinct("id"))
 
 
@@ -245,5 +244,5 @@ def booking_usual_amounts(
 ) -> DataFrame:
     """Bookings: every booking of a loan with an item of its own counts."""
     copies = item_copies(own_items(tables, country))
-    paid = booking_month_transactions(tables, copies, country, since, naive_local)
+    paid = booking_month_transactions(tables, copies, since, naive_local)
     return _usual_of(paid, _rounded_units(), F.count("*"))
