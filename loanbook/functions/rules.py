@@ -10,6 +10,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanbook.functions.labels import ARREARS, PAYGO
 from loanbook.functions.money import ratio, units
 
 # Days of an average month, and the dates on which terms changed.
@@ -80,7 +81,7 @@ class LoanTerms:
 
     @property
     def is_paygo(self) -> Column:
-        return self.loan_type == "paygo"
+        return self.loan_type == PAYGO
 
 
 def with_terms(df: DataFrame, terms: LoanTerms) -> tuple[DataFrame, LoanTerms]:
@@ -93,7 +94,7 @@ def with_terms(df: DataFrame, terms: LoanTerms) -> tuple[DataFrame, LoanTerms]:
 def intro_days(terms: LoanTerms) -> Column:
     """days after handover in which nothing is expected yet."""
     kenya = terms.country == "KE"
-    not_paygo = terms.loan_type != "paygo"
+    not_paygo = terms.loan_type != PAYGO
     return (
         F.when(kenya & (not_paygo | (terms.snapshot < F.lit(KE_INTRO_CHANGE))), F.lit(MONTH_DAYS))
         .when(kenya & terms.is_paygo, F.lit(7.0))
@@ -122,7 +123,7 @@ def repayment_rate(terms: LoanTerms) -> Column:
         F.when(terms.is_paygo & in_uganda & early, installment / MONTH_DAYS)
         .when(terms.is_paygo & in_uganda, installment)
         .when(
-            (terms.loan_type == "arrears") & terms.country.isin("UG", "ZM"),
+            (terms.loan_type == ARREARS) & terms.country.isin("UG", "ZM"),
             units(terms.item_daily_rate),
         )
         .otherwise(installment / MONTH_DAYS)
@@ -209,7 +210,7 @@ def expected_month_to_date(terms: LoanTerms, rate: Column) -> Column:
     return (
         F.when(terms.state == "rescheduled", F.lit(0.0))
         .when(
-            (terms.country != "KE") & (terms.loan_type != "paygo") & (terms.state == "canceled"),
+            (terms.country != "KE") & (terms.loan_type != PAYGO) & (terms.state == "canceled"),
             F.lit(0.0),
         )
         .when(terms.state == "paid_off", F.lit(0.0))

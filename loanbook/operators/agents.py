@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanbook.functions.labels import CREDIT
 from loanbook.operators.relational import first_row, lookup
 
 Tables = Mapping[str, DataFrame]
@@ -41,7 +42,7 @@ def earliest_links(tables: Tables) -> DataFrame:
 def sales_span_by_name(tables: Tables) -> DataFrame:
     """First and last sale per agent name, over first sales of active loans and metered sales."""
     first_sales = tables["order_items"].where(
-        (F.col("account_type") == "CREDIT")
+        (F.col("account_type") == CREDIT)
         & (F.col("sale_type") == "FIRST SALE")
         & (F.col("sales_order_submitted_by_type") != "User")
     )
@@ -72,7 +73,7 @@ def sales_span_by_name(tables: Tables) -> DataFrame:
 def sales_span_by_id(tables: Tables) -> DataFrame:
     """First and last sale per agent id, over the master items of credit sales."""
     items = tables["order_items"].where(
-        (F.col("account_type") == "CREDIT") & (F.col("master_loan_item") == 1)
+        (F.col("account_type") == CREDIT) & (F.col("master_loan_item") == 1)
     )
     customers = tables["customers"].select(
         F.col("customer_id").alias("cd_customer_id"),

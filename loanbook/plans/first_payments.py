@@ -7,6 +7,13 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanbook.functions.labels import (
+    ACCOUNT_SOURCE,
+    CREDIT,
+    LOAN_CATEGORY,
+    PAYGO,
+    PROFILE_COMPANY,
+)
 from loanbook.functions.money import amount, units
 from loanbook.functions.rules import age_in_years, hub_location, overdue_days, plan_label
 from loanbook.operators.payer import payment_sources
@@ -187,7 +194,7 @@ def metered_profiles(tables: Tables) -> DataFrame:
         for c in PAYER
     ]
     return rows.select(
-        F.lit("paygo").alias("loan_type"),
+        F.lit(PAYGO).alias("loan_type"),
         F.col("ac_account_id").alias("account_id"),
         F.col("ac_customer_id").alias("customer_id"),
         F.col("ac_country").alias("country"),
@@ -240,7 +247,7 @@ def metered_profiles(tables: Tables) -> DataFrame:
         F.to_date("ln_payoff_date_utc").alias("payoff_date_utc"),
         F.lit(0).alias("coop_loan"),
         overdue_days(F.col("ln_prepaid_days_remaining")).alias("par_days"),
-        F.lit("Fenix").alias("company"),
+        F.lit(PROFILE_COMPANY["metered"]).alias("company"),
         F.col("ln_cancellation_reason").alias("cancellation_reason"),
         amount(F.col("ln_amount_remaining_interest_accrued_to_date")).alias(
             "amount_remaining_interest_accrued_to_date"
@@ -288,7 +295,7 @@ ACCOUNT_COLUMNS = [
 def best_loan_per_customer(tables: Tables) -> DataFrame:
     """One account per customer: the credit item with the highest down payment."""
     items = tables["order_items"].where(
-        (F.col("master_loan_item") == 1) & (F.col("account_type") == "CREDIT")
+        (F.col("master_loan_item") == 1) & (F.col("account_type") == CREDIT)
     ).select(F.col("loan_account_id").alias("item_loan_id"), F.col("down_payment"))
     accounts = tables["loan_accounts"].select(*ACCOUNT_COLUMNS)
     offered = accounts.join(items, F.col("loan_account_id") == F.col("item_loan_id"))
@@ -307,11 +314,11 @@ def _account_profiles(
     recent = accounts.where(F.to_date("handover_at_utc") >= F.lit(HANDOVER_SINCE))
     loans = pick(recent, "la", *ACCOUNT_COLUMNS)
     items = tables["order_items"].where(
-        (F.col("fenix_product_category") == "ReadyPay")
-        & (F.col("product_line_segment_name") == "ReadyPay")
+        (F.col("fenix_product_category") == LOAN_CATEGORY)
+        & (F.col("product_line_segment_name") == LOAN_CATEGORY)
         & (F.col("master_loan_item") == 1)
         & (F.col("sales_case_rank") == 1)
-        & (F.col("account_type") == "CREDIT")
+        & (F.col("account_type") == CREDIT)
     )
     if require_installment:
         items = items.where(
@@ -474,7 +481,7 @@ def _account_columns(
 
 def snapshot_profiles(tables: Tables, as_of: date) -> DataFrame:
     """Snapshot system: one loan per customer; Rwanda names its agents in a mapping."""
-    accounts = best_loan_per_customer(tables).where(F.col("source") == "admin")
+    accounts = best_loan_per_customer(tables).where(F.col("source") == ACCOUNT_SOURCE["snapshot"])
     rows = _account_profiles(
         tables, accounts, as_of, case_of_item=True, require_installment=True
     )
@@ -508,7 +515,7 @@ def snapshot_profiles(tables: Tables, as_of: date) -> DataFrame:
         ],
         parish=F.lit(None).cast("string"),
         par_days=F.col("la_par_days"),
-        company="Mobisol",
+        company=PROFILE_COMPANY["snapshot"],
         remaining=[remaining, remaining],
         totals=[F.lit(0.0), units(F.col("la_loan_amount") - F.col("oi_down_payment"))],
         expected_amount=units(F.col("la_amount_expected_minus_down_payment")),
@@ -518,7 +525,7 @@ def snapshot_profiles(tables: Tables, as_of: date) -> DataFrame:
 
 def benchmark_profiles(tables: Tables, as_of: date) -> DataFrame:
     """Benchmark system: every loan. The manager's name repeats the seller's."""
-    accounts = tables["loan_accounts"].where(F.col("source") == "alms").select(*ACCOUNT_COLUMNS)
+    accounts = tables["loan_accounts"].where(F.col("source") == ACCOUNT_SOURCE["benchmark"]).select(*ACCOUNT_COLUMNS)
     rows = _account_profiles(
         tables, accounts, as_of, case_of_item=False, require_installment=False
     )
@@ -542,7 +549,7 @@ def benchmark_profiles(tables: Tables, as_of: date) -> DataFrame:
         ],
         parish=F.col("cd_area4"),
         par_days=overdue_days(F.col("la_days_til_lockout")),
-        company="Alms",
+        company=PROFILE_COMPANY["benchmark"],
         remaining=[
             both("la_remaining_principal", "la_remaining_interest_accrued"),
             both("la_remaining_principal", "la_remaining_interest_total"),

@@ -11,6 +11,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from loanbook.functions.labels import CHANNEL_SOURCE, ORPHAN_SOURCE, PAYGO
 from loanbook.functions.rules import has_owner, months_on_book, orphan_status
 from loanbook.operators.agents import reassigned_since, sales_span_by_id, sales_span_by_name
 from loanbook.operators.relational import lookup, pick, stack_by_position
@@ -26,7 +27,6 @@ SNAPSHOT_STATES = (
 )
 NOT_SOLD_IN = ("Senegal", "Kenya")
 REPORT_DAYS = 365
-CHANNEL_SOURCE = "Solarhub"
 
 KEYS = [
     "report_date",
@@ -113,8 +113,8 @@ def metered_orphans(tables: Tables, as_of: date) -> DataFrame:
     return _count_by_month(
         rows.select(
             "report_date",
-            F.lit("fenixdb").alias("source"),
-            F.lit("paygo").alias("loan_type"),
+            F.lit(ORPHAN_SOURCE["metered"]).alias("source"),
+            F.lit(PAYGO).alias("loan_type"),
             F.lit("in_repayment").alias("loan_state"),
             F.col("ctx_iso_3_abbreviation").alias("country"),
             orphan_status(
@@ -232,7 +232,7 @@ def snapshot_orphans(tables: Tables, as_of: date) -> DataFrame:
     return _count_by_month(
         rows.select(
             F.col("snapshot_at").alias("report_date"),
-            F.lit("admin").alias("source"),
+            F.lit(ORPHAN_SOURCE["snapshot"]).alias("source"),
             F.col("la_loan_type").alias("loan_type"),
             F.col("state").alias("loan_state"),
             F.col("ctx_iso_3_abbreviation").alias("country"),
@@ -286,8 +286,8 @@ def benchmark_orphans(tables: Tables, as_of: date) -> DataFrame:
     return _count_by_month(
         rows.select(
             "report_date",
-            F.lit("alms").alias("source"),
-            F.lit("paygo").alias("loan_type"),
+            F.lit(ORPHAN_SOURCE["benchmark"]).alias("source"),
+            F.lit(PAYGO).alias("loan_type"),
             "loan_state",
             F.col("ctx_iso_3_abbreviation").alias("country"),
             orphan_status(

@@ -22,6 +22,7 @@ from loanbook.functions.dates import (
     within,
     within_any,
 )
+from loanbook.functions.labels import ACCOUNT_SOURCE, CREDIT, PAID_COMPANY
 from loanbook.functions.money import amount, units
 from loanbook.functions.rules import (
     LoanTerms,
@@ -204,7 +205,7 @@ def metered_arm(
             rate_while_due(F.col("d_days_elapsed"), length, intro, amount(F.col("d_daily_rate"))),
         )
         .groupBy(
-            F.lit("fenix").alias("company"),
+            F.lit(PAID_COMPANY["metered"]).alias("company"),
             "period",
             "report_date",
             F.col("report_date").alias("generated_date"),
@@ -313,7 +314,7 @@ def snapshot_arm(
     )
     items = pick(
         tables["order_items"].where(
-            (F.col("master_loan_item") == 1) & (F.col("account_type") == "CREDIT")
+            (F.col("master_loan_item") == 1) & (F.col("account_type") == CREDIT)
         ),
         "oi",
         "loan_account_id",
@@ -380,7 +381,7 @@ def snapshot_arm(
         rows.withColumn("expected_day", expected_all(terms))
         .withColumn("expected_day_in_repayment", expected_in_repayment(terms))
         .groupBy(
-            F.lit("paygee").alias("company"),
+            F.lit(PAID_COMPANY["snapshot"]).alias("company"),
             "period",
             "report_date",
             F.col("report_date").alias("generated_date"),
@@ -448,7 +449,7 @@ def benchmark_daily(tables: Tables, periods: Sequence[Period]) -> DataFrame:
         "manager_name",
     )
     accounts = pick(
-        tables["loan_accounts"].where(F.col("source") == "alms"),
+        tables["loan_accounts"].where(F.col("source") == ACCOUNT_SOURCE["benchmark"]),
         "la",
         "loan_account_id",
         "customer_id",
@@ -551,7 +552,7 @@ def benchmark_arm(
             rate_while_due(F.col("d_days_elapsed"), length, intro, F.col("d_rate")),
         )
         .groupBy(
-            F.lit("alms").alias("company"),
+            F.lit(PAID_COMPANY["benchmark"]).alias("company"),
             "period",
             "report_date",
             F.col("report_date").alias("generated_date"),

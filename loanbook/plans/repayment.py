@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanbook.functions.labels import ARREARS, PAYGO
 from loanbook.functions.money import units
 from loanbook.functions.rules import (
     LoanTerms,
@@ -212,7 +213,7 @@ def usual_metered(tables: Tables, country: str = ZAMBIA, since: date = SINCE) ->
     rows = _with_month_report(rows, tables, "metered_finance_monthly", since)
     rate = F.col("f_daily_rate").cast("double")
     rows = rows.select(
-        F.lit("paygo").alias("loan_type"),
+        F.lit(PAYGO).alias("loan_type"),
         "loan_id",
         F.coalesce(_text_or_null("lm_months_since_loan_start"), F.lit("")).alias(
             "months_since_loan_start"
@@ -249,7 +250,7 @@ def usual_benchmark(tables: Tables, country: str = ZAMBIA, since: date = SINCE)
     rows = _with_month_report(rows, tables, "benchmark_finance_monthly", since)
     rate = F.col("f_daily_rate").cast("double")
     rows = rows.select(
-        F.lit("paygo").alias("loan_type"),
+        F.lit(PAYGO).alias("loan_type"),
         "loan_id",
         _text_or_null("lm_months_since_loan_start").alias("months_since_loan_start"),
         "customer_id",
@@ -363,7 +364,7 @@ def usual_bookings(
     ongoing = expected_ongoing_month_to_date(terms, rate)
     first, second = (ongoing, expected) if fix_admin_order else (expected, ongoing)
     rows = rows.select(
-        F.lit("arrears").alias("loan_type"),
+        F.lit(ARREARS).alias("loan_type"),
         "loan_id",
         _text_or_null("m_months_on_book").alias("months_since_loan_start"),
         "customer_id",

@@ -86,7 +86,7 @@ BASE: dict[str, str] = {
     # a line's days: the ship date, the day after, and nine days after
     "line_days": """
         SELECT sys, loan, k, c, cc, CAST(d + v.n AS DATE) AS day, max(q) AS q, max(pk) AS pk
-        FROM lin CROSS JOIN (VALUES (0), (1), (9)) AS v(n)
+        FROM (SELECT *, EACH(0, 1, 9) AS n FROM lin) AS v
         GROUP BY sys, loan, k, c, cc, CAST(d + v.n AS DATE)""",
     # a line's payments: four in two weeks, two amounts
     "line_payments": f"""
@@ -96,7 +96,7 @@ BASE: dict[str, str] = {
                   + INTERVAL '90' MINUTE AS ts,
                {_money('200 + q * 10 + (CASE WHEN v.n = 2 OR v.n = 5 OR (v.n = 11 AND q < 20) '
                        'THEN 150 ELSE 0 END)')} AS amount
-        FROM lin CROSS JOIN (VALUES (0), (2), (5), (11)) AS v(n)""",
+        FROM (SELECT *, EACH(0, 2, 5, 11) AS n FROM lin) AS v""",
     # a line's month ends: of its month and of the month before
     "line_months": f"""
         SELECT sys, loan, k, c, cc, month_end, max(q) AS q, max(pk) AS pk FROM (
@@ -297,7 +297,7 @@ TABLES: dict[str, str] = {
                'p_' || (a + v.n) AS fenixdb_entry_id,
                TIMESTAMP '2020-01-01 00:00:00' + ((a * 7 + v.n * 5) % 11) * INTERVAL '1' DAY
                  AS inserted_at_utc
-        FROM agt CROSS JOIN (VALUES (0), (1), (3)) AS v(n)""",
+        FROM (SELECT *, EACH(0, 1, 3) AS n FROM agt) AS v""",
     "contractors": """
         SELECT 'ag_' || a AS contractor_id, name,
                CASE WHEN a % 6 = 0 THEN NULL ELSE 'S' || a END AS surname
@@ -395,7 +395,7 @@ TABLES: dict[str, str] = {
                CASE WHEN k % 10 = 3 THEN 'User' ELSE 'Contractor' END
                  AS sales_order_submitted_by_type,
                'Agent ' || agent AS sales_order_submitted_by_name
-        FROM ord CROSS JOIN (VALUES (0), (1)) AS v(n)
+        FROM (SELECT *, EACH(0, 1) AS n FROM ord) AS v
         WHERE sys <> 0 AND (v.n = 0 OR k % 4 = 0)""",
     "reassigned_customers": f"""
         SELECT 'c_' || c AS customer_id, 'ag_' || (agent + c % 5) AS to_contractor_id,
@@ -403,7 +403,7 @@ TABLES: dict[str, str] = {
                'agent' AS to_contractor_role_name,
                TIMESTAMP '2023-01-01 05:00:00' + ((c * 11 + v.n * 90) % 500) * INTERVAL '1' DAY
                  AS created_at_utc
-        FROM cus CROSS JOIN (VALUES (0), (1)) AS v(n) WHERE c % 6 = 0""",
+        FROM (SELECT *, EACH(0, 1) AS n FROM cus) AS v WHERE c % 6 = 0""",
     "reschedule_requests": """
         SELECT loan AS resultant_loan_account_id FROM ord WHERE sys = 1 AND k % 8 = 0""",
     "sales_cases": f"""
@@ -490,6 +490,11 @@ TABLES: dict[str, str] = {
 }
 
 
+def _repeating(sql: str, call: str) -> str:
+    """Replace EACH(a, b, ...), which repeats a row per value, by an engine's own call."""
+    return re.sub(r"EACH\(([^)]*)\)", lambda found: call.format(found.group(1)), sql)
+
+
 def _words(sql: str) -> set[str]:
     return set(re.findall(r"[A-Za-z_][A-Za-z_0-9]*", sql))
 
@@ -517,6 +522,7 @@ def _with_clause(names: list[str]) -> str:
 def check_sql(body: str) -> str:
     """``body`` (a SELECT, or WITH ... SELECT) over derived tables, for DuckDB."""
     ctes = _with_clause(_needed(body)).format(**{t: t for t in DRIVER_TABLES})
+    ctes = _repeating(ctes, "unnest([{}])")
     body = body.strip()
     if body[:5].upper() == "WITH ":
         return f"WITH {ctes},\n{body[5:]}"
@@ -540,6 +546,7 @@ class StagedTables(dict):
         sql = TABLES[name]
         bases = _needed(sql)
         text = f"WITH {_with_clause(bases)}\n{sql}" if bases else sql
+        text = _repeating(text, "explode(array({}))")
         inputs = {t: self.driver(t) for t in DRIVER_TABLES if "{" + t + "}" in text}
         self[name] = conform(self._spark.sql(text, **inputs), name)
         return self[name]
