@@ -59,6 +59,7 @@ def lookup(
     on: Sequence[tuple[str | Column, str]],
     spread_by: Sequence[str],
     salts: int = LOOKUP_SALTS,
+    always_salt: bool = False,
 ) -> DataFrame:
     """Left join to a dimension whose keys are few or may be very hot.
 
@@ -67,10 +68,11 @@ def lookup(
     its salt from a hash of ``spread_by``, so one country, product or agent is
     split over that many tasks and both ways give the same rows.
     ``on`` pairs a left column or expression with a column of the dimension.
+    ``always_salt`` keeps an equi join where the only pair has a constant.
     """
     pairs = [(F.col(m) if isinstance(m, str) else m, F.col(theirs)) for m, theirs in on]
     condition = reduce(lambda a, b: a & b, [mine == theirs for mine, theirs in pairs])
-    if fits_broadcast(dimension):
+    if not always_salt and fits_broadcast(dimension):
         return left.join(F.broadcast(dimension), condition, "left")
     keyed = left.withColumn(
         "_salt", F.expr(f"CAST(pmod(xxhash64({', '.join(spread_by)}), {salts}) AS INT)")

@@ -8,8 +8,9 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from loanbook.functions.dates import local_date
+from loanbook.functions.money import ratio
 from loanbook.operators.payments import BENCHMARK_PAYMENT_TYPES, BOOKING_PAYMENT_TYPES
-from loanbook.operators.relational import first_row, lookup, pick
+from loanbook.operators.relational import first_row, keep_listed, lookup, pick
 
 Tables = Mapping[str, DataFrame]
 
@@ -24,12 +25,23 @@ def usual_amount(
     return first_row(counted, keys, [-F.col(frequency), F.col(amount_column)])
 
 
-def _with_zone(df: DataFrame, tables: Tables) -> DataFrame:
+def _with_zone(df: DataFrame, tables: Tables, country: str) -> DataFrame:
     """Add the country's time zone. Several zones of a country repeat the row."""
-    zones = pick(tables["country_timezones"], "ct", "iso_2_abbreviation", "default_timezone")
+    zones = pick(
+        tables["country_timezones"].where(F.col("iso_2_abbreviation") == country),
+        "ct",
+        "iso_2_abbreviation",
+        "default_timezone",
+    )
     return (
-        lookup(df, zones, on=[("country", "ct_iso_2_abbreviation")], spread_by=["loan_id", "id"])
-        .drop("ct_iso_2_abbreviation", "country")
+        lookup(
+            df,
+            zones,
+            on=[(F.lit(country), "ct_iso_2_abbreviation")],
+            spread_by=["loan_id", "id"],
+            always_salt=True,
+        )
+        .drop("ct_iso_2_abbreviation")
         .withColumnRenamed("ct_default_timezone", "zone")
     )
 
@@ -62,11 +74,10 @@ def metered_month_transactions(tables: Tables, country: str, since: date) -> Dat
     paid = paid.select(
         "loan_id",
         "id",
-        "country",
         "added_at_utc",
         (F.col("portion_interest") + F.col("portion_principal")).alias("value"),
     )
-    return _in_local_months(_with_zone(paid, tables), "added_at_utc", since)
+    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", since)
 
 
 def account_items(tables: Tables, country: str) -> DataFrame:
@@ -89,7 +100,6 @@ def account_items(tables: Tables, country: str) -> DataFrame:
         "oi",
         "sales_case_id",
         "loan_account_id",
-        "country",
         "product_name",
         "down_payment_days",
     )
@@ -105,63 +115,57 @@ def own_items(tables: Tables, country: str) -> DataFrame:
 
 def item_copies(items: DataFrame) -> DataFrame:
     """One row per loan with the number of item rows a join to them would give."""
-    return items.groupBy(
-        F.col("la_loan_account_id").alias("item_loan_id"), F.col("oi_country").alias("country")
-    ).agg(F.count("*").alias("copies"))
+    return items.groupBy(F.col("la_loan_account_id").alias("item_loan_id")).agg(
+        F.count("*").alias("copies")
+    )
 
 
-def benchmark_month_transactions(
-    tables: Tables, copies: DataFrame, since: date
-) -> DataFrame:
-    """Benchmark payments with their local month end, in cents."""
+def _of_items(df: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows whose loan has an item. Applied after grouping, when a loan has few rows."""
+    return keep_listed(df, "loan_id", items, "la_loan_account_id")
+
+
+def benchmark_month_transactions(tables: Tables, country: str, since: date) -> DataFrame:
+    """Benchmark payments, in cents, with their month end in the country's time."""
     paid = tables["benchmark_transactions"].where(
         F.col("transaction_type").isin(*BENCHMARK_PAYMENT_TYPES) & _reaching("added_at_utc", since)
     )
-    paid = paid.join(copies, F.col("loan_id") == F.col("item_loan_id")).select(
+    paid = paid.select(
         "loan_id",
         "id",
-        "country",
-        "copies",
         "added_at_utc",
         (F.col("portion_interest") + F.col("portion_principal")).alias("value"),
     )
-    return _in_local_months(_with_zone(paid, tables), "added_at_utc", since)
+    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", since)
 
 
 def booking_month_transactions(
-    tables: Tables, copies: DataFrame, since: date, naive_local: bool = False
+    tables: Tables, country: str, since: date, naive_local: bool = False
 ) -> DataFrame:
-    """Bookings of payments with their local month end, in cents."""
+    """Bookings of payments, in cents, with their month end in the country's time."""
     paid = tables["payment_bookings"].where(
         F.col("transaction_type").isin(*BOOKING_PAYMENT_TYPES)
         & _reaching("transaction_at", since)
     )
-    paid = paid.join(copies, F.col("loan_account_id") == F.col("item_loan_id")).select(
+    paid = paid.select(
         F.col("loan_account_id").alias("loan_id"),
         F.col("payment_booking_id").alias("id"),
-        "country",
-        "copies",
         "transaction_at",
         F.col("amount").alias("value"),
     )
     return _in_local_months(
-        _with_zone(paid, tables), "transaction_at", since, naive_local
+        _with_zone(paid, tables, country), "transaction_at", since, naive_local
     )
 
 
 def _statistics(paid: DataFrame, total: Column, divisor: int) -> DataFrame:
-    """Largest, smallest and rounded mean value per loan and month.
-
-    A row that stands for several joined rows is weighted by ``copies`` instead
-    of being repeated.
-    """
-    counted = F.when(F.col("value").isNotNull(), F.col("copies"))
+    """Count, largest, smallest and rounded mean value per loan and month."""
     grouped = paid.groupBy("loan_id", "month_end").agg(
         total.alias("total_transactions"),
         F.max("value").alias("largest"),
         F.min("value").alias("smallest"),
-        F.sum(F.col("value") * F.col("copies")).alias("weighted"),
-        F.sum(counted).alias("weight"),
+        F.sum("value").alias("summed"),
+        F.count("value").alias("valued"),
     )
 
     def in_units(column: str) -> Column:
@@ -173,38 +177,42 @@ def _statistics(paid: DataFrame, total: Column, divisor: int) -> DataFrame:
         "total_transactions",
         in_units("largest").alias("max_payment"),
         in_units("smallest").alias("min_payment"),
-        F.round(in_units("weighted") / F.col("weight"), 0).alias("avg_payment"),
+        F.round(ratio(in_units("summed"), F.col("valued")), 0).alias("avg_payment"),
     )
 
 
 def payment_statistics(
     tables: Tables, country: str, since: date, naive_local: bool = False
 ) -> DataFrame:
-    """Count, largest, smallest and mean payment per loan and local month."""
-    weighted_count = F.sum(F.when(F.col("id").isNotNull(), F.col("copies")).otherwise(0))
+    """Count, largest, smallest and mean payment per loan and local month.
+
+    Payments are grouped first and meet the loan's items after. A benchmark
+    payment counts once per joined row: the count is multiplied by the number of
+    item rows and, as the daily finance table joins twice, by its rows squared.
+    """
     metered = _statistics(
-        metered_month_transactions(tables, country, since).withColumn("copies", F.lit(1)),
-        F.count("id"),
-        1,
+        metered_month_transactions(tables, country, since), F.count("id"), 1
     )
-    copies = item_copies(account_items(tables, country))
-    # The daily finance table joins twice, so its rows per loan count squared.
+    items = account_items(tables, country)
     per_loan = tables["benchmark_finance_daily"].groupBy(
         F.col("loan_id").alias("finance_loan_id")
     ).agg(F.count("*").alias("finance_rows"))
+    benchmark = (
+        _statistics(benchmark_month_transactions(tables, country, since), F.count("id"), 100)
+        .join(item_copies(items), F.col("loan_id") == F.col("item_loan_id"))
+        .join(per_loan, F.col("loan_id") == F.col("finance_loan_id"), "left")
+    )
     squared = F.coalesce(F.col("finance_rows") * F.col("finance_rows"), F.lit(1))
-    benchmark_copies = copies.join(
-        per_loan, F.col("item_loan_id") == F.col("finance_loan_id"), "left"
-    ).select("item_loan_id", "country", (F.col("copies") * squared).alias("copies"))
-    benchmark = _statistics(
-        benchmark_month_transactions(tables, benchmark_copies, since),
-        weighted_count,
-        100,
-    )
-    bookings = _statistics(
-        booking_month_transactions(tables, copies, since, naive_local),
-        F.countDistinct("id"),
-        100,
+    benchmark = benchmark.withColumn(
+        "total_transactions", F.col("total_transactions") * F.col("copies") * squared
+    ).select(*metered.columns)
+    bookings = _of_items(
+        _statistics(
+            booking_month_transactions(tables, country, since, naive_local),
+            F.countDistinct("id"),
+            100,
+        ),
+        items,
     )
     return metered.unionByName(benchmark).unionByName(bookings).distinct()
 
@@ -234,15 +242,15 @@ def _rounded_units() -> Column:
 
 def benchmark_usual_amounts(tables: Tables, country: str, since: date) -> DataFrame:
     """Benchmark: every different transaction counts."""
-    copies = item_copies(account_items(tables, country))
-    paid = benchmark_month_transactions(tables, copies, since)
-    return _usual_of(paid, _rounded_units(), F.countDistinct("id"))
+    paid = benchmark_month_transactions(tables, country, since)
+    usual = _usual_of(paid, _rounded_units(), F.countDistinct("id"))
+    return _of_items(usual, account_items(tables, country))
 
 
 def booking_usual_amounts(
     tables: Tables, country: str, since: date, naive_local: bool = False
 ) -> DataFrame:
     """Bookings: every booking of a loan with an item of its own counts."""
-    copies = item_copies(own_items(tables, country))
-    paid = booking_month_transactions(tables, copies, since, naive_local)
-    return _usual_of(paid, _rounded_units(), F.count("*"))
+    paid = booking_month_transactions(tables, country, since, naive_local)
+    usual = _usual_of(paid, _rounded_units(), F.count("*"))
+    return _of_items(usual, own_items(tables, country))

@@ -59,9 +59,12 @@ def _with_owner(df: DataFrame, tables: Tables, loan: str) -> DataFrame:
     return df.join(_owners(tables), F.col(loan) == F.col("fpa_loan_id"), "left").drop("fpa_loan_id")
 
 
-def _with_reassignment(df: DataFrame, tables: Tables, customer: str) -> DataFrame:
-    return df.join(
-        reassigned_since(tables), F.col(customer) == F.col("oc_customer_id"), "left"
+def _with_reassignment(
+    df: DataFrame, tables: Tables, customer: str, spread_by: list[str]
+) -> DataFrame:
+    """Add the day the customer was first reassigned, safe for a customer with many rows."""
+    return lookup(
+        df, reassigned_since(tables), on=[(customer, "oc_customer_id")], spread_by=spread_by
     ).drop("oc_customer_id")
 
 
@@ -109,7 +112,7 @@ def metered_orphans(tables: Tables, as_of: date) -> DataFrame:
         sales,
         (F.col("account_id") == F.col("sd_account_id")) & (F.col("loan_id") == F.col("sd_loan_id")),
     )
-    rows = _with_reassignment(rows, tables, "customer_id")
+    rows = _with_reassignment(rows, tables, "customer_id", ["loan_id", "report_date"])
     return _count_by_month(
         rows.select(
             "report_date",
@@ -168,7 +171,7 @@ def _sold_items(tables: Tables) -> DataFrame:
         spread_by=["oi_sales_order_item_id"],
     )
     items = _with_owner(items, tables, "oi_loan_account_id")
-    return _with_reassignment(items, tables, "oi_customer_id")
+    return _with_reassignment(items, tables, "oi_customer_id", ["oi_sales_order_item_id"])
 
 
 def _customers_with_agent(tables: Tables) -> DataFrame:
