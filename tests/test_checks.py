@@ -13,7 +13,10 @@ if not os.path.isdir(SF_DIR):
 
 import __spark_entry__ as entry  # noqa: E402
 
-QUERIES, CHECKS = entry.queries(), entry.oracle_sql()
+from workload.checks import check_queries  # noqa: E402
+from workload.queries import registered  # noqa: E402
+
+QUERIES, CHECKS = registered(), check_queries()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +26,8 @@ def con():
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(CHECKS) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
