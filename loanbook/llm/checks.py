@@ -59,9 +59,9 @@ BLOCKED = (
 
 OP10 = f"""
 WITH parts AS (
-  SELECT page_id, coalesce(url, '') AS url, position('://' IN coalesce(url, '')) AS at FROM pages
+  SELECT page_id, coalesce(url, '') AS url, position('://' IN coalesce(url, '')) AS mark FROM pages
 ), split AS (
-  SELECT *, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM parts
+  SELECT *, CASE WHEN mark > 0 THEN substr(url, mark + 3) ELSE '' END AS rest FROM parts
 ), told AS (
   SELECT page_id, url, translate(regexp_extract(rest, '(?s)^[^/?#]*'), {LOW}) AS host,
          regexp_extract(rest, '(?s)^[^/?#]*([^?#]*)', 1) AS path, translate(url, {LOW}) AS low
