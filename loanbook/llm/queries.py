@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanbook.llm.html_text import extract_text
+from loanbook.llm.mixing import mix_shares
+from loanbook.llm.packing import pack_documents
 from loanbook.llm.quality import line_quality
 from loanbook.llm.sharding import ring_shards
 from loanbook.llm.url_filter import Rule, url_verdicts
 
+#: The ranks hold the same vocabulary as the tokenizer file byte_bpe_50k.json.
+RANKS = "byte_bpe_50k.tiktoken"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -18,6 +25,22 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix by weight takes of every document."""
+    return mix_shares(_table(spark, sf_dir, "documents"))
+
+
+def op6_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    docs = _table(spark, sf_dir, "documents")
+    return pack_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on 24 shards whose row counts differ by one at most."""
     text = F.coalesce("text", F.lit("")).cast("binary")
@@ -67,5 +90,5 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op7_ring_shards, op8_line_quality, op10_url_verdicts)
+    q.__name__: q for q in (op3_page_text, op4_source_mix, op6_tier_packing, op7_ring_shards, op8_line_quality, op10_url_verdicts)
 }
