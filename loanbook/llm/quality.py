@@ -44,32 +44,32 @@ def _lines(text: Column) -> Column:
 def _repeated_words(df: DataFrame, width: int = 5) -> DataFrame:
     """``n_repeat_words``: words in windows of ``_w`` found twice or more, each word once.
 
-    Windows are told apart by 64-bit hashes within one document. Documents without a
-    repeated window, most of them, end at the comparison of two sizes.
+    A window's hash gives up the low bits that its place needs, so one sort of plain numbers
+    brings equal windows together with their places. Within a document of n words, windows
+    are told apart by 63 - log2(n) bits.
     """
     last = F.size("_w") - (width - 1)
     starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(
         F.array().cast("array<int>")
     )
-    df = df.withColumn("_h", F.transform(starts, lambda i: F.xxhash64(F.slice("_w", i, width))))
-    repeats = F.size(F.array_distinct("_h")) < F.size("_h")
-    sort = F.array_sort(F.transform("_h", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    df = df.withColumn("_s", F.when(repeats, sort))
-    twice = F.filter(
-        "_s",
-        lambda x, k: (x["h"] == F.get("_s", k - 1)["h"]) | (x["h"] == F.get("_s", k + 1)["h"]),
-    )
-    at = F.array_sort(F.transform(twice, lambda x: x["i"]))
-    zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
-    covered = F.aggregate(
-        at,
-        zero,
-        lambda s, i: F.struct(
-            (i + width).alias("end"), (s["n"] + i + width - F.greatest(s["end"], i)).alias("n")
+    df = df.withColumn("_b", F.length(F.bin(F.size("_w"))))
+    df = df.withColumn("_i", starts).withColumn(
+        "_s", F.expr(f"sort_array(transform(_i, i -> shiftleft(xxhash64(slice(_w, i, {width})), _b) | i))")
+    )
+    df = df.withColumn(
+        "_p",
+        F.expr(
+            "filter(_s, (x, k) -> shiftright(x, _b) = shiftright(get(_s, k - 1), _b)"
+            " OR shiftright(x, _b) = shiftright(get(_s, k + 1), _b))"
         ),
-        lambda s: s["n"],
     )
-    return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long"))).drop("_h", "_s")
+    covered = f"""
+        aggregate(sort_array(transform(_p, x -> x & (shiftleft(1L, _b) - 1))),
+                  named_struct('end', 0L, 'n', 0L),
+                  (s, i) -> named_struct('end', i + {width}, 'n', s.n + i + {width} - greatest(s.end, i)),
+                  s -> s.n)
+    """
+    return df.withColumn("n_repeat_words", F.expr(covered)).drop("_b", "_i", "_s", "_p")
 
 
 def _identified(docs: DataFrame, key: str, host: str, text: str) -> DataFrame:
@@ -190,23 +190,14 @@ def drop_rejected(
 
     Rows are matched on key, host and text, NULLs included.
     """
-    told = _identified(docs, key, host, text).withColumnRenamed("_text", "_x")
     # verdicts per key and text; equal rows have equal verdicts
+    content = F.xxhash64(F.col(f"`{text}`"), F.col(f"`{text}`").isNull())
+    mark = F.struct(F.col(f"`{key}`").alias("k"), content.alias("t"), F.col(f"`{host}`").alias("h"))
     verdicts = line_quality(
-        docs.select(
-            F.struct(F.col(f"`{key}`").alias("k"), F.xxhash64(F.col(f"`{text}`"), F.col(f"`{text}`").isNull()).alias("t"), F.col(f"`{host}`").alias("h")).alias("_id"),
-            F.col(f"`{host}`").alias("_h"),
-            F.col(f"`{text}`").alias("_x"),
-        ),
+        docs.select(mark.alias("_id"), F.col(f"`{host}`").alias("_h"), F.col(f"`{text}`").alias("_x")),
         limits,
         key="_id",
         host="_h",
         text="_x",
     ).where("kept").select("_id").distinct()
-    del told
-    mark = F.struct(
-        F.col(f"`{key}`").alias("k"),
-        F.xxhash64(F.col(f"`{text}`"), F.col(f"`{text}`").isNull()).alias("t"),
-        F.col(f"`{host}`").alias("h"),
-    )
     return docs.join(verdicts, mark.eqNullSafe(F.col("_id")), "left_semi")

@@ -13,6 +13,7 @@ from loanbook.llm.mixing import mix_shares
 from loanbook.llm.packing import pack_documents
 from loanbook.llm.quality import line_quality
 from loanbook.llm.sharding import ring_shards
+from loanbook.llm.toxicity import fit_toxicity, score_toxicity
 from loanbook.llm.url_filter import Rule, url_verdicts
 
 #: The ranks hold the same vocabulary as the tokenizer file byte_bpe_50k.json.
@@ -35,6 +36,23 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_shares(_table(spark, sf_dir, "documents"))
 
 
+def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from four of five folds."""
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    labels = _table(spark, sf_dir, "labels").where(fold != 0).select("doc_id", "toxic")
+    model = fit_toxicity(docs.where(fold != 0), labels)
+    scored = score_toxicity(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(fold == 0, F.lit(True)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "n_passages",
+        "worst",
+    )
+
+
 def op6_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
     docs = _table(spark, sf_dir, "documents")
@@ -90,5 +108,5 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op3_page_text, op4_source_mix, op6_tier_packing, op7_ring_shards, op8_line_quality, op10_url_verdicts)
+    q.__name__: q for q in (op3_page_text, op4_source_mix, op5_toxic_segments, op6_tier_packing, op7_ring_shards, op8_line_quality, op10_url_verdicts)
 }
