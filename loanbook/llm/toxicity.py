@@ -29,6 +29,7 @@ from loanbook.llm.common import words, written
 
 BUCKETS = 1 << 18
 NOTHING = -0.05
+MIN_ODDS = 1.5
 PREFIX = 4
 #: Marks that end words here.
 MARKS = "[.,;:!?\"()]+"
@@ -90,13 +91,15 @@ def _evidence(odds: np.ndarray, buckets: np.ndarray) -> tuple[int, float, list]:
     return len(score), max((s for _, _, s in found), default=0.0), found
 
 
-def _statistic(model_location: float, model_scale: float, n: int, found: list) -> float:
-    """Excess of the best segment over chance plus a quarter of the others' (in scales)."""
-    chance = model_location + math.log(max(n, 1))
-    over = sorted(((s - chance) / model_scale for _, _, s in found), reverse=True)
-    if not over:
-        return (0.0 - chance) / model_scale
-    return over[0] + 0.25 * sum(x for x in over[1:] if x > 0)
+def _statistic(location: float, scale: float, n: int, found: list) -> float:
+    """Excess of the best segment over chance plus a quarter of the others', in scales.
+
+    Its inverse hyperbolic sine is returned, so that a long passage counts for more than a
+    short one but does not outweigh all other texts when the curve is fitted.
+    """
+    chance = location + math.log(max(n, 1))
+    over = sorted(((s - chance) / scale for _, _, s in found), reverse=True) or [-chance / scale]
+    return math.asinh(over[0] + 0.25 * sum(x for x in over[1:] if x > 0))
 
 
 def fit_toxicity(
@@ -138,14 +141,15 @@ def fit_toxicity(
 def _log_odds(toxic, clean, n_toxic, n_clean, prior, min_z) -> np.ndarray:
     """Log-odds between the classes, each count shrunk to the bucket's share of all texts.
 
-    The prior has the weight of ``prior`` documents. Buckets below ``min_z`` get the log-odds
-    of nothing learnt, a little below 0 so that segments end.
+    The prior has the weight of ``prior`` documents. Buckets below ``min_z`` or ``MIN_ODDS``
+    get the log-odds of nothing learnt, a little below 0 so that segments end.
     """
     share = (toxic + clean + 0.5) / (n_toxic + n_clean + 1.0)
     a, b = toxic + prior * share, clean + prior * share
     odds = np.log(a / (n_toxic + prior)) - np.log(b / (n_clean + prior))
     z = odds / np.sqrt(1 / a + 1 / b)
-    return np.where(np.abs(z) >= min_z, odds, NOTHING).astype(np.float32)
+    told = (np.abs(z) >= min_z) & (np.abs(odds) >= MIN_ODDS)
+    return np.where(told, odds, NOTHING).astype(np.float32)
 
 
 def _calibrated(train: DataFrame, odds: np.ndarray) -> ToxicityModel:
@@ -157,10 +161,15 @@ def _calibrated(train: DataFrame, odds: np.ndarray) -> ToxicityModel:
             excess = [s - math.log(max(n, 1)) for n, s, _ in out]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(excess, pa.float64())], names=["_label", "x"])
 
-    clean = train.select("_label", "_all").mapInArrow(best, "_label int, x double").where("_label = 0")
-    mean, deviation = clean.agg(F.avg("x"), F.stddev_pop("x")).first()
-    scale = max((deviation or 0.0) * math.sqrt(6) / math.pi, 0.25)
-    location = (mean or 0.0) - 0.5772156649 * scale
+    # Quartiles of the clean texts: mislabelled ones among them then don't widen the law.
+    clean = (
+        train.where("_label = 0").select("_label", "_all").mapInArrow(best, "_label int, x double")
+        .groupBy(F.greatest(F.lit(-20.0), F.least(F.lit(200.0), F.round("x", 2))).alias("x")).count().toPandas()
+    ).sort_values("x")
+    below = clean["count"].cumsum().to_numpy() / clean["count"].sum()
+    low, middle, high = (clean["x"].to_numpy()[np.searchsorted(below, q)] for q in (0.25, 0.5, 0.75))
+    scale = max((high - low) / (math.log(math.log(4)) - math.log(math.log(4 / 3))), 0.25)
+    location = middle + scale * math.log(math.log(2))
 
     def statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,7 +178,7 @@ def _calibrated(train: DataFrame, odds: np.ndarray) -> ToxicityModel:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.float64())], names=["_label", "x"])
 
     # The curve needs counts by class over a fixed grid of the statistic only.
-    grid = F.greatest(F.lit(-50.0), F.least(F.lit(200.0), F.round("x", 1))).alias("x")
+    grid = F.round("x", 2).alias("x")
     cells = (
         train.select("_label", "_all").mapInArrow(statistics, "_label int, x double")
         .select("_label", grid).groupBy("x").agg(F.count(F.lit(1)).alias("n"), F.sum("_label").alias("toxic")).toPandas()
