@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loanbook.llm.html_text import extract_text
 from loanbook.llm.mixing import mix_shares
+from loanbook.llm.near_duplicates import near_duplicates
 from loanbook.llm.neighbours import nearest_neighbours
 from loanbook.llm.packing import pack_documents
 from loanbook.llm.quality import line_quality
@@ -27,6 +28,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets are 85 percent alike."""
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest of every hundredth vector."""
     return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
@@ -114,5 +120,5 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op2_nearest, op3_page_text, op4_source_mix, op5_toxic_segments, op6_tier_packing, op7_ring_shards, op8_line_quality, op10_url_verdicts)
+    q.__name__: q for q in (op1_near_duplicates, op2_nearest, op3_page_text, op4_source_mix, op5_toxic_segments, op6_tier_packing, op7_ring_shards, op8_line_quality, op10_url_verdicts)
 }
