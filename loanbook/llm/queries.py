@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanbook.llm.html_text import extract_text
+from loanbook.llm.language_model import fit_katz, score_texts
 from loanbook.llm.mixing import mix_shares
 from loanbook.llm.near_duplicates import near_duplicates
 from loanbook.llm.neighbours import nearest_neighbours
@@ -96,6 +97,22 @@ def op8_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality(_table(spark, sf_dir, "documents"))
 
 
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """log10 probabilities of all texts under a model of four of five folds."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = fit_katz(docs.where(fold != 1))
+    return score_texts(docs, model).select(
+        "doc_id",
+        F.coalesce(fold == 1, F.lit(True)).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 #: The fixed host rules, and the patterns that decide for addresses no host rule fits.
 URL_RULES = [
     Rule("com/", "allow", True),
@@ -120,5 +137,5 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op1_near_duplicates, op2_nearest, op3_page_text, op4_source_mix, op5_toxic_segments, op6_tier_packing, op7_ring_shards, op8_line_quality, op10_url_verdicts)
+    q.__name__: q for q in (op1_near_duplicates, op2_nearest, op3_page_text, op4_source_mix, op5_toxic_segments, op6_tier_packing, op7_ring_shards, op8_line_quality, op9_katz, op10_url_verdicts)
 }
