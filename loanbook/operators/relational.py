@@ -7,10 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Copies of a dimension that is too large to broadcast; hot keys spread over as many tasks.
-LOOKUP_SALTS = 64
-
-
 def pick(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
     """The named columns, renamed to ``<prefix>_<column>`` so joins stay unambiguous."""
     return df.selectExpr(*[f"`{c}` AS `{prefix}_{c}`" for c in columns])
@@ -36,7 +32,8 @@ def first_row(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> DataF
 
     An aggregate, not a ranking window: every task reduces its rows before the
     shuffle, so a key that holds a large part of the data (NULL among them) costs
-    one row per task and never has to be sorted in one place.
+    one row per task. A struct with strings makes each task sort its own rows by key;
+    pass only the columns that are needed.
     """
     return _extreme(df, keys, by, F.min)
 
@@ -46,34 +43,25 @@ def newest_row(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> Data
     return _extreme(df, keys, by, F.max)
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate of ``df`` is within the session's broadcast limit."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(size)) <= limit
-
-
 def lookup(
     left: DataFrame,
     dimension: DataFrame,
     on: Sequence[tuple[str | Column, str]],
-    spread_by: Sequence[str],
-    salts: int = LOOKUP_SALTS,
-    always_salt: bool = False,
+    spread_by: Sequence[str] = (),
+    salts: int = 0,
 ) -> DataFrame:
-    """Left join to a dimension whose keys are few or may be very hot.
-
-    A dimension whose estimated size is within the broadcast limit is broadcast.
-    Beyond it each dimension row is repeated once per salt and each left row picks
-    its salt from a hash of ``spread_by``, so one country, product or agent is
-    split over that many tasks and both ways give the same rows.
-    ``on`` pairs a left column or expression with a column of the dimension.
-    ``always_salt`` keeps an equi join where the only pair has a constant.
+    """Left join to a dimension. ``on`` pairs a left column or expression with one of its columns.
+
+    A plain join: adaptive execution broadcasts a dimension by its real size, and beyond
+    the limit it splits a hot key's left rows. Where a key is known to be so hot that its
+    rows should never meet in one shuffle partition, ``salts`` repeats the dimension that
+    often and deals the left rows by a hash of ``spread_by``; take the key's rows over those
+    that a task should have.
     """
     pairs = [(F.col(m) if isinstance(m, str) else m, F.col(theirs)) for m, theirs in on]
     condition = reduce(lambda a, b: a & b, [mine == theirs for mine, theirs in pairs])
-    if not always_salt and fits_broadcast(dimension):
-        return left.join(F.broadcast(dimension), condition, "left")
+    if not salts:
+        return left.join(dimension, condition, "left")
     keyed = left.withColumn(
         "_salt", F.expr(f"CAST(pmod(xxhash64({', '.join(spread_by)}), {salts}) AS INT)")
     )

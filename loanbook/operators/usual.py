@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from loanbook.functions.dates import local_date
 from loanbook.functions.money import ratio
 from loanbook.operators.payments import BENCHMARK_PAYMENT_TYPES, BOOKING_PAYMENT_TYPES
-from loanbook.operators.relational import first_row, keep_listed, lookup, pick
+from loanbook.operators.relational import first_row, keep_listed, pick
 
 Tables = Mapping[str, DataFrame]
 
@@ -26,45 +26,40 @@ def usual_amount(
 
 
 def _with_zone(df: DataFrame, tables: Tables, country: str) -> DataFrame:
-    """Add the country's time zone. Several zones of a country repeat the row."""
-    zones = pick(
-        tables["country_timezones"].where(F.col("iso_2_abbreviation") == country),
-        "ct",
-        "iso_2_abbreviation",
-        "default_timezone",
-    )
-    return (
-        lookup(
-            df,
-            zones,
-            on=[(F.lit(country), "ct_iso_2_abbreviation")],
-            spread_by=["loan_id", "id"],
-            always_salt=True,
-        )
-        .drop("ct_iso_2_abbreviation")
-        .withColumnRenamed("ct_default_timezone", "zone")
-    )
+    """Add the country's time zone. Several zones of a country repeat the row.
+
+    The zones are a scalar subquery of one array, so no row of ``df`` moves for them.
+    """
+    named = tables["country_timezones"].where(F.col("iso_2_abbreviation") == country)
+    zones = named.agg(F.collect_list(F.struct("default_timezone")).alias("zones")).scalar()
+    spread = df.withColumn("_zones", zones).withColumn("_zone", F.explode_outer("_zones"))
+    return spread.withColumn("zone", F.col("_zone.default_timezone")).drop("_zones", "_zone")
 
 
 def _in_local_months(
-    df: DataFrame, paid_at: str, since: date, naive_local: bool = False
+    df: DataFrame, paid_at: str, since: date | None, naive_local: bool = False
 ) -> DataFrame:
-    """Add ``month_end`` of the local date; keep local dates after ``since``."""
+    """Add ``month_end`` of the local date; keep local dates after ``since``, if given."""
     day = local_date(F.col(paid_at), F.col("zone"), naive_local)
-    return (
-        df.withColumn("local_day", day)
-        .where(F.col("local_day") > F.lit(since))
-        .withColumn("month_end", F.last_day("local_day"))
-        .drop("local_day")
-    )
+    df = df.withColumn("local_day", day)
+    if since is not None:
+        df = df.where(F.col("local_day") > F.lit(since))
+    return df.withColumn("month_end", F.last_day("local_day")).drop("local_day")
 
 
-def _reaching(paid_at: str, since: date) -> Column:
+def _reaching(paid_at: str, since: date | None) -> Column:
     """UTC bound a day wider than the local one, which the scan can use."""
+    if since is None:
+        return F.lit(True)
     return F.to_date(paid_at) >= F.lit(since - timedelta(days=1))
 
 
-def metered_month_transactions(tables: Tables, country: str, since: date) -> DataFrame:
+def whole_months_after(since: date) -> date:
+    """The bound that keeps every month of which some day is after ``since``, as a whole."""
+    return (since + timedelta(days=1)).replace(day=1) - timedelta(days=1)
+
+
+def metered_month_transactions(tables: Tables, country: str, since: date | None) -> DataFrame:
     """Metered payments of one country with their local month end."""
     paid = tables["metered_transactions"].where(
         F.col("transaction_type_id").isin(*METERED_PAYMENT_TYPE_IDS)
@@ -121,11 +116,11 @@ def item_copies(items: DataFrame) -> DataFrame:
 
 
 def _of_items(df: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows whose loan has an item. Applied after grouping, when a loan has few rows."""
+    """Rows whose loan has an item. Applied before grouping, which then sees one country."""
     return keep_listed(df, "loan_id", items, "la_loan_account_id")
 
 
-def benchmark_month_transactions(tables: Tables, country: str, since: date) -> DataFrame:
+def benchmark_month_transactions(tables: Tables, country: str, since: date | None) -> DataFrame:
     """Benchmark payments, in cents, with their month end in the country's time."""
     paid = tables["benchmark_transactions"].where(
         F.col("transaction_type").isin(*BENCHMARK_PAYMENT_TYPES) & _reaching("added_at_utc", since)
@@ -140,7 +135,7 @@ def benchmark_month_transactions(tables: Tables, country: str, since: date) -> D
 
 
 def booking_month_transactions(
-    tables: Tables, country: str, since: date, naive_local: bool = False
+    tables: Tables, country: str, since: date | None, naive_local: bool = False
 ) -> DataFrame:
     """Bookings of payments, in cents, with their month end in the country's time."""
     paid = tables["payment_bookings"].where(
@@ -182,11 +177,12 @@ def _statistics(paid: DataFrame, total: Column, divisor: int) -> DataFrame:
 
 
 def payment_statistics(
-    tables: Tables, country: str, since: date, naive_local: bool = False
+    tables: Tables, country: str, since: date | None = None, naive_local: bool = False
 ) -> DataFrame:
-    """Count, largest, smallest and mean payment per loan and local month.
+    """Count, largest, smallest and mean payment per loan and local month, over all months
+    or those after ``since``.
 
-    Payments are grouped first and meet the loan's items after. A benchmark
+    Payments are cut to the country's loans first and grouped after. A benchmark
     payment counts once per joined row: the count is multiplied by the number of
     item rows and, as the daily finance table joins twice, by its rows squared.
     """
@@ -198,7 +194,11 @@ def payment_statistics(
         F.col("loan_id").alias("finance_loan_id")
     ).agg(F.count("*").alias("finance_rows"))
     benchmark = (
-        _statistics(benchmark_month_transactions(tables, country, since), F.count("id"), 100)
+        _statistics(
+            _of_items(benchmark_month_transactions(tables, country, since), items),
+            F.count("id"),
+            100,
+        )
         .join(item_copies(items), F.col("loan_id") == F.col("item_loan_id"))
         .join(per_loan, F.col("loan_id") == F.col("finance_loan_id"), "left")
     )
@@ -206,13 +206,10 @@ def payment_statistics(
     benchmark = benchmark.withColumn(
         "total_transactions", F.col("total_transactions") * F.col("copies") * squared
     ).select(*metered.columns)
-    bookings = _of_items(
-        _statistics(
-            booking_month_transactions(tables, country, since, naive_local),
-            F.countDistinct("id"),
-            100,
-        ),
-        items,
+    bookings = _statistics(
+        _of_items(booking_month_transactions(tables, country, since, naive_local), items),
+        F.countDistinct("id"),
+        100,
     )
     return metered.unionByName(benchmark).unionByName(bookings).distinct()
 
@@ -230,7 +227,7 @@ def _usual_of(paid: DataFrame, rounded: Column, times: Column) -> DataFrame:
     return usual_amount(counted, ["loan_id", "month_end"], "times", "trans_amount")
 
 
-def metered_usual_amounts(tables: Tables, country: str, since: date) -> DataFrame:
+def metered_usual_amounts(tables: Tables, country: str, since: date | None) -> DataFrame:
     """Metered: every transaction counts."""
     paid = metered_month_transactions(tables, country, since)
     return _usual_of(paid, F.round(F.col("value").cast("double"), 0), F.count("*"))
@@ -240,17 +237,17 @@ def _rounded_units() -> Column:
     return F.round(F.col("value").cast("double") / F.lit(100.0), 0)
 
 
-def benchmark_usual_amounts(tables: Tables, country: str, since: date) -> DataFrame:
+def benchmark_usual_amounts(tables: Tables, country: str, since: date | None) -> DataFrame:
     """Benchmark: every different transaction counts."""
     paid = benchmark_month_transactions(tables, country, since)
-    usual = _usual_of(paid, _rounded_units(), F.countDistinct("id"))
-    return _of_items(usual, account_items(tables, country))
+    paid = _of_items(paid, account_items(tables, country))
+    return _usual_of(paid, _rounded_units(), F.countDistinct("id"))
 
 
 def booking_usual_amounts(
-    tables: Tables, country: str, since: date, naive_local: bool = False
+    tables: Tables, country: str, since: date | None, naive_local: bool = False
 ) -> DataFrame:
     """Bookings: every booking of a loan with an item of its own counts."""
     paid = booking_month_transactions(tables, country, since, naive_local)
-    usual = _usual_of(paid, _rounded_units(), F.count("*"))
-    return _of_items(usual, own_items(tables, country))
+    paid = _of_items(paid, own_items(tables, country))
+    return _usual_of(paid, _rounded_units(), F.count("*"))

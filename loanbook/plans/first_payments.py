@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanbook.functions.masking import masked
 from loanbook.functions.labels import (
     ACCOUNT_SOURCE,
     CREDIT,
@@ -560,16 +561,14 @@ def benchmark_profiles(tables: Tables, as_of: date) -> DataFrame:
     return rows.select(*columns).distinct()
 
 
-def first_payment_profile(tables: Tables, as_of: date, mask_pii: bool = False) -> DataFrame:
+def first_payment_profile(tables: Tables, as_of: date, mask_key: str | None = None) -> DataFrame:
     """Loan (and payer) in 74 columns, no row twice.
 
     Each system's rows carry its own company, so no row of one can equal a row of
-    another, and duplicates are removed per system. ``mask_pii`` replaces names
-    and phones by hashes.
+    another, and duplicates are removed per system. ``mask_key`` replaces names
+    and phones by hashes under that key.
     """
     rows = stack_by_position(
         [metered_profiles(tables), snapshot_profiles(tables, as_of), benchmark_profiles(tables, as_of)]
     )
-    if mask_pii:
-        rows = rows.withColumns({c: F.sha2(F.col(c), 256) for c in PERSONAL})
-    return rows
+    return masked(rows, PERSONAL, mask_key)

@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from loanbook.functions.masking import masked
 from loanbook.functions.labels import ARREARS, PAYGO
 from loanbook.functions.money import units
 from loanbook.functions.rules import (
@@ -29,6 +30,7 @@ from loanbook.operators.usual import (
     metered_usual_amounts,
     own_items,
     payment_statistics,
+    whole_months_after,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -278,6 +280,16 @@ def usual_benchmark(tables: Tables, country: str = ZAMBIA, since: date = SINCE)
     return _one_per_month(rows, F.max("times"))
 
 
+# Columns that tell who somebody is or where they live.
+PERSONAL = [
+    "customer_name",
+    "primary_phone_number",
+    "other_phone_numbers",
+    "direction",
+    "assigned_to_agent_name",
+]
+
+
 def booking_schedule(tables: Tables, country: str) -> DataFrame:
     """Loans with their own items and the product's segment columns."""
     return lookup(
@@ -305,7 +317,13 @@ def join_snapshots(df: DataFrame, tables: Tables, since: date) -> DataFrame:
         "customer_id",
         "snapshot_prev_month",
     )
+    # Only the days that some snapshot names: month ends, a few dozen dates, so the history
+    # in between is neither shuffled nor, where it is partitioned by date, read.
+    named = at_end.select(F.col("d_snapshot_prev_month").alias("named_day")).distinct()
     before = pick(tables["snapshot_days"], "m", *columns)
+    before = before.join(
+        F.broadcast(named), F.col("m_snapshot_at") == F.col("named_day"), "left_semi"
+    )
     return df.join(
         at_end,
         (F.col("loan_id") == F.col("d_loan_account_id"))
@@ -423,10 +441,16 @@ def repayment_behaviour(
     since: date = SINCE,
     fix_admin_order: bool = False,
     admin_naive_local: bool = False,
+    mask_key: str | None = None,
 ) -> DataFrame:
-    """Loan and month: usual amount, light days, rhythm, statistics, paid and expected."""
+    """Loan and month: usual amount, light days, rhythm, statistics, paid and expected.
+
+    ``mask_key`` replaces the customer's and the agent's names, phones and the way to the
+    house by hashes under that key.
+    """
     usual = usual_payments(tables, country, since, fix_admin_order, admin_naive_local)
-    statistics = payment_statistics(tables, country, since, admin_naive_local)
+    months = whole_months_after(since)
+    statistics = payment_statistics(tables, country, months, admin_naive_local)
     joined = usual.join(statistics, ["loan_id", "month_end"], "left")
     keys = [
         "loan_id",
@@ -455,9 +479,10 @@ def repayment_behaviour(
         "min_payment",
         "avg_payment",
     ]
-    return joined.groupBy(*keys).agg(
+    rows = joined.groupBy(*keys).agg(
         F.sum("count_loans").alias("nb_loans"),
         F.sum("paid_mtd").alias("paid_mtd"),
         F.sum("expected_ongoing_mtd").alias("expected_ongoing_mtd"),
         F.sum("expected_mtd").alias("expected_mtd"),
     )
+    return masked(rows, PERSONAL, mask_key)

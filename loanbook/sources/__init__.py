@@ -1,3 +1,3 @@
-from loanbook.sources.catalog import SCHEMAS, WAREHOUSE_NAMES, conform, load_parquet, load_warehouse
+from loanbook.sources.catalog import SCHEMAS, conform, load_parquet, load_warehouse
 
-__all__ = ["SCHEMAS", "WAREHOUSE_NAMES", "conform", "load_parquet", "load_warehouse"]
+__all__ = ["SCHEMAS", "conform", "load_parquet", "load_warehouse"]

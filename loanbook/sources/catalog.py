@@ -13,7 +13,7 @@ in a session whose time zone is UTC.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -205,69 +205,29 @@ SCHEMAS: dict[str, str] = {
     "hub_stock_point": "hub_id string, region string, subcounty string",
 }
 
-# Where each table lives in the warehouse the reports read.
-# The last two have no table there; they replace functions and must be supplied.
-WAREHOUSE_NAMES: dict[str, str] = {
-    "benchmark_days": "powerhub_reporting.eea_alms_loan_performance_benchmarks",
-    "benchmark_transactions": "powerhub_reporting.eea_alms_loan_transactions",
-    "benchmark_finance_daily": "sensitive.finance_global_finance_report_daily_alms",
-    "benchmark_finance_monthly": "sensitive.finance_global_finance_report_monthly_alms",
-    "benchmark_finance_calculations": "sensitive.finance_global_finance_calculations_monthly_alms",
-    "snapshot_days": "analysts_inputs.credit_loan_accounts_daily",
-    "snapshot_months": "analysts_inputs.credit_loan_accounts_monthly",
-    "payment_bookings": "powerhub_reporting.eea_payment_bookings",
-    "metered_accounts": "powerhub_reporting.reporting_account_current_details",
-    "metered_account_transactions": "powerhub_reporting.reporting_account_transactions",
-    "metered_cancellations": "powerhub_reporting.reporting_loan_cancellation_reason_history",
-    "metered_days": "powerhub_reporting.reporting_loan_daily_metrics",
-    "metered_finance_daily": "sensitive.finance_global_finance_report_daily",
-    "metered_finance_monthly": "sensitive.finance_global_finance_report_monthly",
-    "metered_loans": "powerhub_reporting.reporting_loan_current_details",
-    "metered_sales": "powerhub_reporting.reporting_sales_details",
-    "metered_transactions": "powerhub_reporting.reporting_loan_transactions",
-    "payments": "sensitive.finance_payments",
-    "person_demographics": "powerhub_reporting.reporting_person_demographics",
-    "persons": "sensitive.person_sensitive",
-    "contractor_links": "powerhub_reporting.eea_fenixdb_links",
-    "contractors": "powerhub_reporting.ops_contractors",
-    "customers": "powerhub_reporting.eea_customer_details",
-    "customer_contacts": "sensitive.customers_sensitive",
-    "loan_accounts": "powerhub_reporting.eea_loan_account_details",
-    "order_items": "powerhub_reporting.eea_sales_order_items",
-    "reassigned_customers": "powerhub_reporting.eea_orphaned_customers",
-    "reschedule_requests": "powerhub_reporting.eea_loan_reschedule_requests",
-    "sales_cases": "powerhub_reporting.eea_sales_cases",
-    "agent_managers": "analysts_inputs.credit_ph_agent_colors_historical",
-    "agent_mapping": "analysts_inputs.market_sources_rw_sales_agent_mapping",
-    "channel_mapping": "analysts_inputs.vw_global_sales_channel_region_mapping",
-    "countries": "powerhub_reporting.eea_countries",
-    "country_names": "powerhub_reporting.reporting_country",
-    "country_timezones": "powerhub_reporting.reporting_country_timezone",
-    "first_payments": "analysts_inputs.market_sources_customer_finance_missed_first_payment_mv",
-    "fx_rates": "analysts_inputs.market_sources_finance_a_and_r_fx_rates",
-    "location_areas": "powerhub_reporting.eea_location_areas",
-    "locations": "analysts_inputs.market_sources_ug_locations",
-    "portfolio_owners": "analysts_inputs.market_sources_ug_portfolio",
-    "product_mapping": "analysts_inputs.market_sources_strategic_marketing_s_and_m_product_mapping",
-    "area_manager": "area_manager",
-    "hub_stock_point": "hub_stock_point",
-}
+UTC_NAMES = ("UTC", "Etc/UTC", "GMT", "Z", "+00:00")
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Select the declared columns of table ``name``, cast to the declared types.
 
-    Booleans kept as text ('TRUE'/'FALSE') become booleans here. A naive
+    A zoned timestamp needs a session in UTC. Booleans kept as text ('TRUE'/'FALSE') become booleans here. A naive
     timestamp is kept as it is, so a filter on it still reaches the scan.
     """
     have = {field.name: field.dataType for field in df.schema.fields}
     want = T.StructType.fromDDL(SCHEMAS[name]).fields
+    zone = df.sparkSession.conf.get("spark.sql.session.timeZone")
     missing = [field.name for field in want if field.name not in have]
     if missing:
         raise ValueError(f"table {name!r} lacks column(s): {', '.join(missing)}")
 
     def column(field: T.StructField) -> str:
         found = have[field.name]
+        if isinstance(found, T.TimestampType) and zone not in UTC_NAMES:
+            raise ValueError(
+                f"{name}.{field.name} is a zoned timestamp and the session's time zone is {zone}; "
+                "days would move. Set spark.sql.session.timeZone to UTC."
+            )
         naive = isinstance(field.dataType, T.TimestampType) and isinstance(found, T.TimestampNTZType)
         if found == field.dataType or naive:
             return f"`{field.name}`"
@@ -287,13 +247,11 @@ def load_parquet(
 
 
 def load_warehouse(
-    spark: SparkSession,
-    names: Iterable[str] | None = None,
-    renamed: dict[str, str] | None = None,
+    spark: SparkSession, located: Mapping[str, str], names: Iterable[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Tables of the session catalog under their warehouse names.
-
-    ``renamed`` gives another table name for single logical tables.
-    """
-    located = {**WAREHOUSE_NAMES, **(renamed or {})}
-    return {name: conform(spark.table(located[name]), name) for name in (names or SCHEMAS)}
+    """Tables of the session catalog; ``located`` maps logical names to the caller's tables."""
+    wanted = list(names or SCHEMAS)
+    missing = [name for name in wanted if name not in located]
+    if missing:
+        raise ValueError(f"no table given for: {', '.join(missing)}")
+    return {name: conform(spark.table(located[name]), name) for name in wanted}

@@ -198,9 +198,16 @@ def test_profile_of_the_snapshot_system(book):
 
 
 def test_profile_can_mask_people(book):
-    rows = first_payment_profile(profile_book(book), AS_OF, mask_pii=True)
-    names = [r.customer_name for r in rows.where(F.col("customer_name").isNotNull()).collect()]
-    assert names and all(len(n) == 64 for n in names)
+    def names(key):
+        rows = first_payment_profile(profile_book(book), AS_OF, mask_key=key)
+        named = rows.where(F.col("customer_name").isNotNull())
+        return sorted(r.customer_name for r in named.collect())
+
+    one, other = names("one key"), names("another")
+    assert one and all(len(n) == 64 for n in one)
+    assert not set(one) & set(other)
+    with pytest.raises(ValueError, match="key"):
+        names("")
 
 
 @pytest.mark.parametrize("with_benchmarks", [False, True])

@@ -329,8 +329,12 @@ def registered() -> dict[str, Query]:
         "three_system_profile": lambda t: first_payment_profile(t, AS_OF),
         "right_join_null_rejecting": right_join_null_rejecting,
         "usual_payment_amount": usual_payments,
-        "payment_statistics": lambda t: payment_statistics(t, ZAMBIA, SINCE),
+        "payment_statistics": lambda t: payment_statistics(t, ZAMBIA),
         "repayment_behaviour": repayment_behaviour,
+        "repayment_behaviour_mid_month": lambda t: repayment_behaviour(
+            t, since=date(2024, 1, 15)
+        ),
+        "repayment_behaviour_ordered": lambda t: repayment_behaviour(t, fix_admin_order=True),
         "local_month_end": local_month_ends,
         "snapshot_vs_previous_month": snapshot_vs_previous_month,
         "product_segment": product_segments,
