@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,6 +39,23 @@ def doc_fold(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0).cast("long"))
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the tasks, unless their Python finds it already."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    found = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    context = spark.sparkContext
+    if root in map(os.path.abspath, found) or any(f.endswith("/loanbook.zip") for f in context.listFiles):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="package-"), "loanbook.zip")
+    with zipfile.ZipFile(target, "w") as packed:
+        for folder, _, names in os.walk(os.path.join(root, "loanbook")):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    packed.write(path, os.path.relpath(path, root))
+    context.addPyFile(target)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the shared checkpoint folder; it is set to a local one where unset."""
     context = spark.sparkContext

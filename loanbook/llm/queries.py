@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanbook.llm.common import ship_package
 from loanbook.llm.html_text import extract_text
 from loanbook.llm.language_model import fit_katz, score_texts
 from loanbook.llm.mixing import mix_shares
@@ -26,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -30,9 +30,11 @@ def _arcs(spark, shards: int, vnodes: int, cells: int) -> DataFrame:
 
     The first arc starts beyond the last point; its lo is negative by that much.
     """
+    # a shard's points don't depend on how many other shards there are
+    shard = F.pmod("id", _long(shards))
+    point = F.xxhash64(F.lit("point"), shard, F.floor(F.col("id") / shards))
     points = spark.range(shards * vnodes).select(
-        F.pmod("id", _long(shards)).alias("shard"),
-        F.pmod(F.xxhash64(F.lit("point"), "id"), _long(cells)).alias("hi"),
+        shard.alias("shard"), F.pmod(point, _long(cells)).alias("hi")
     )
     ring = Window.orderBy("hi", "shard")
     before = F.lag("hi").over(ring)

@@ -91,13 +91,18 @@ def _evidence(odds: np.ndarray, buckets: np.ndarray) -> tuple[int, float, list]:
     return len(score), max((s for _, _, s in found), default=0.0), found
 
 
+def _chance(location: float, n: int) -> float:
+    """What the best segment of a clean text of n words reaches; short ones have none."""
+    return max(0.0, location + math.log(max(n, 1)))
+
+
 def _statistic(location: float, scale: float, n: int, found: list) -> float:
     """Excess of the best segment over chance plus a quarter of the others', in scales.
 
     Its inverse hyperbolic sine is returned, so that a long passage counts for more than a
     short one but does not outweigh all other texts when the curve is fitted.
     """
-    chance = location + math.log(max(n, 1))
+    chance = _chance(location, n)
     over = sorted(((s - chance) / scale for _, _, s in found), reverse=True) or [-chance / scale]
     return math.asinh(over[0] + 0.25 * sum(x for x in over[1:] if x > 0))
 
@@ -217,7 +222,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, *, text: str = "text")
                 n, _, found = _evidence(m.odds, np.asarray(x.values))
                 t = _statistic(m.location, m.scale, n, found)
                 scores.append(1 / (1 + math.exp(-max(-500.0, min(500.0, m.intercept + m.slope * t)))))
-                chance = m.location + math.log(max(n, 1))
+                chance = _chance(m.location, n)
                 passages.append(sum(s > chance + m.scale for _, _, s in found))
                 top = max(found, key=lambda f: f[2]) if found else (None, None, 0.0)
                 first.append(top[0])
