@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanbook.llm.common import written
+from loanbook.llm.common import ship_package, written
 from loanbook.llm.mixing import mix_documents
 from loanbook.llm.near_duplicates import keep_one_of_each
 from loanbook.llm.packing import pack_documents
@@ -62,6 +62,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
