@@ -19,6 +19,7 @@ from loanbook.functions.dates import (
     month_ends_before,
     period_of_day,
     reporting_periods,
+    with_calendar,
     within,
     within_any,
 )
@@ -37,11 +38,12 @@ from loanbook.functions.rules import (
 from loanbook.operators.payments import UGANDA, Country, daily_payments
 from loanbook.operators.places import hub_regions, with_area_manager, with_stock_point
 from loanbook.operators.rates import with_month_end_rate
-from loanbook.operators.relational import pick
+from loanbook.operators.relational import newest_row, pick
 from loanbook.operators.snapshots import (
     actual_or_carried,
     carried_over_calendar,
     join_prior_month_end,
+    latest_per_period,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -87,7 +89,7 @@ def _lookbacks(periods: Sequence[Period]):
 
 
 def metered_daily(tables: Tables, periods: Sequence[Period]) -> DataFrame:
-    """Daily metrics with the sale (once its introduction is over) and last month's report."""
+    """Daily metrics with the sale, once its introduction is over."""
     sales = pick(
         tables["metered_sales"],
         "sd",
@@ -117,13 +119,19 @@ def metered_daily(tables: Tables, periods: Sequence[Period]) -> DataFrame:
         "in_repayment",
         "days_elapsed",
     )
-    sold = days.join(
+    return days.join(
         sales,
         (F.col("d_loan_id") == F.col("sd_loan_id"))
         & (F.col("d_account_id") == F.col("sd_account_id"))
         & (F.col("d_days_elapsed") > F.col("sd_introductory_period")),
         "left",
     )
+
+
+def _with_metered_report(
+    daily: DataFrame, tables: Tables, periods: Sequence[Period]
+) -> DataFrame:
+    """Add the loan's report (``l_``) of the month end before the day."""
     month_ends = month_ends_before(_lookbacks(periods))
     reports = pick(
         tables["metered_finance_monthly"].where(F.col("report_date").isin(*month_ends)),
@@ -134,7 +142,7 @@ def metered_daily(tables: Tables, periods: Sequence[Period]) -> DataFrame:
         "loan_state",
     )
     return join_prior_month_end(
-        sold, reports, ("d_loan_id", "l_loan_id"), "d_benchmark_date", "l_report_date"
+        daily, reports, ("d_loan_id", "l_loan_id"), "d_benchmark_date", "l_report_date"
     )
 
 
@@ -143,26 +151,28 @@ def metered_arm(
 ) -> DataFrame:
     """Metered system: actual day, else the newest day carried forward."""
     daily = metered_daily(tables, periods)
-    carried = carried_over_calendar(
-        daily.where(F.col("sd_country_of_sale") == country.name).select(
-            F.col("d_loan_id").alias("loan_id"),
-            "d_benchmark_date",
-            F.col("d_customer_id").alias("ll_customer_id"),
-            F.col("l_loan_state").alias("ll_report_state"),
-            F.col("d_daily_rate").alias("ll_daily_rate"),
-            F.coalesce("d_in_repayment", F.lit(False)).alias("ll_in_repayment"),
-            F.col("d_days_elapsed").alias("ll_days_elapsed"),
-            F.col("l_loan_contract_end_date").alias("ll_loan_contract_end_date"),
-            F.col("sd_product_type").alias("ll_product"),
-            F.col("sd_associator_manager_name").alias("ll_team_lead"),
-            F.col("sd_country_of_sale").alias("ll_country"),
-            F.col("sd_region").alias("ll_region"),
-        ),
+    # One row per loan and period first; what else the carried row needs is joined to that.
+    newest = latest_per_period(
+        daily.where(F.col("sd_country_of_sale") == country.name),
         periods,
         day="d_benchmark_date",
-        loan="loan_id",
-        report_day="report_date",
-    ).drop("d_benchmark_date")
+        loan="d_loan_id",
+    )
+    reported = _with_metered_report(newest, tables, periods).select(
+        "period",
+        F.col("d_loan_id").alias("loan_id"),
+        F.col("d_customer_id").alias("ll_customer_id"),
+        F.col("l_loan_state").alias("ll_report_state"),
+        F.col("d_daily_rate").alias("ll_daily_rate"),
+        F.coalesce("d_in_repayment", F.lit(False)).alias("ll_in_repayment"),
+        F.col("d_days_elapsed").alias("ll_days_elapsed"),
+        F.col("l_loan_contract_end_date").alias("ll_loan_contract_end_date"),
+        F.col("sd_product_type").alias("ll_product"),
+        F.col("sd_associator_manager_name").alias("ll_team_lead"),
+        F.col("sd_country_of_sale").alias("ll_country"),
+        F.col("sd_region").alias("ll_region"),
+    )
+    carried = newest_row(reported, ["period", "loan_id"], [F.col("ll_days_elapsed")])
 
     # The month to date shows today's state of the loan, the others the reported one.
     states = pick(tables["metered_loans"], "sh", "loan_id", "loan_state")
@@ -170,13 +180,15 @@ def metered_arm(
     carried = carried.join(
         states, (F.col("loan_id") == F.col("sh_loan_id")) & is_current, "left"
     ).drop("sh_loan_id")
+    carried = with_calendar(carried, periods, "report_date")
 
     reasons = tables["metered_cancellations"].select(
         F.col("loan_id").alias("crh_loan_id"),
         F.to_date("change_recorded_at_utc").alias("crh_day"),
         F.col("cancellation_reason").alias("crh_reason"),
     )
-    actual = daily.where(within_any(F.col("d_benchmark_date"), _days_of(periods))).join(
+    days = daily.where(within_any(F.col("d_benchmark_date"), _days_of(periods)))
+    actual = _with_metered_report(days, tables, periods).join(
         reasons.where(within_any(F.col("crh_day"), _days_of(periods))),
         (F.col("d_loan_id") == F.col("crh_loan_id"))
         & (F.col("d_benchmark_date") == F.col("crh_day")),

@@ -6,7 +6,6 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from loanbook.functions.dates import reporting_periods
-from loanbook.operators import relational
 from loanbook.operators.agents import (
     earliest_links,
     reassigned_agents,
@@ -17,7 +16,7 @@ from loanbook.operators.payer import payment_sources, senders
 from loanbook.operators.payments import daily_payments
 from loanbook.operators.relational import first_row, lookup, newest_row
 from loanbook.operators.snapshots import carried_over_calendar, latest_per_period
-from loanbook.operators.usual import payment_statistics
+from loanbook.operators.usual import payment_statistics, whole_months_after
 from loanbook.plans.first_payments import best_loan_per_customer
 from loanbook.plans.repayment import SINCE, usual_benchmark, usual_bookings, usual_metered
 
@@ -46,33 +45,24 @@ def test_first_row_reduces_before_the_shuffle(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
-def test_lookup_gives_the_same_rows_broadcast_and_salted(spark, monkeypatch):
+def test_lookup_gives_the_same_rows_plain_and_salted(spark):
     left = spark.range(3000).select(
         F.col("id"), F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("k")
     )
     small = spark.createDataFrame([("hot", 1), ("hot", 2), ("cold", 3)], "name string, v int")
 
-    def counted(fits):
-        monkeypatch.setattr(relational, "fits_broadcast", lambda df: fits)
-        found = lookup(left, small, on=[("k", "name")], spread_by=["id"])
-        assert ("BroadcastHashJoin" in found._jdf.queryExecution().toString()) == fits
+    def counted(salts):
+        found = lookup(left, small, on=[("k", "name")], spread_by=["id"], salts=salts)
         return sorted(map(tuple, found.groupBy("k", "v").count().collect()), key=str)
 
-    assert counted(True) == counted(False) == [
+    assert counted(0) == counted(16) == [
         ("hot", 1, 2000), ("hot", 2, 2000), (None, None, 1000)]
 
 
-def test_large_dimension_is_not_broadcast(spark):
-    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    small = spark.range(5)
-    assert relational.fits_broadcast(small)
-    # an estimate that is missing counts as too large
-    assert not relational.fits_broadcast(spark.createDataFrame([("x", 1)], "name string, v int"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
-    try:
-        assert not relational.fits_broadcast(small)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+def test_statistics_of_a_month_are_whole():
+    assert whole_months_after(date(2023, 12, 31)) == date(2023, 12, 31)
+    assert whole_months_after(date(2024, 1, 15)) == date(2023, 12, 31)
+    assert whole_months_after(date(2024, 1, 31)) == date(2024, 1, 31)
 
 
 def test_latest_row_serves_two_periods(book):

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loanbook.sources import conform
 
 AS_OF = date(2024, 3, 31)
-DRIVER_TABLES = ("orders", "lineitem", "customer", "supplier", "part", "nation", "events")
+DRIVER_TABLES = ("orders", "lineitem", "customer", "supplier", "part")
 SHIFT = 9496  # days of 26 years
 
 
