@@ -7,10 +7,11 @@ posterior probability that the similarity reaches the threshold (uniform prior)
 and the pair is dropped once it falls below the chosen miss probability. Survivors are
 verified on their whole shingle sets.
 
-A bucket never emits all of its pairs. Its members are first compared with one hub; those
-that are connected by then, through any bucket, need no more. Buckets that still hold
-several components get another hub, as long as many pairs between components are left, and
-the rest of those pairs is compared one by one. So every candidate pair is either verified,
+A bucket never emits all of its pairs. First its members are compared with one of them, the
+bucket's hub; hubs differ between bands, so a large group of copies is connected by many
+stars. Where a bucket still holds several components, the members outside its largest one
+are compared with all others of the bucket, signatures against signatures in blocks of
+bounded size, and only the survivors leave a block. So every candidate pair is verified,
 dropped by the posterior bound, or between members known to be connected.
 """
 
@@ -40,9 +41,8 @@ class NearPlan:
     batch: int = 20
     miss: float = 1e-6
     seed: int = 1
-    #: pairs left between components, per member of a bucket, at which the last round begins
-    pairs_per_member: int = 8
-    max_hubs: int = 8
+    #: members on either side of a block of comparisons
+    block: int = 1024
 
     @property
     def hashes(self) -> int:
@@ -131,28 +131,65 @@ def signed(docs: DataFrame, plan: NearPlan, *, key="doc_id", text="text") -> Dat
     return told.mapInArrow(run, "_key bigint, _class binary, n_shingles bigint, _sig binary, _bands array<bigint>")
 
 
-def _survives(plan: NearPlan):
-    bounds = plan.least_matches()
-    batch = plan.batch
+def _alive(left: np.ndarray, right: np.ndarray, plan: NearPlan) -> np.ndarray:
+    """Which pairs of signatures stay, compared batch by batch; dropped ones no further."""
+    alive = np.arange(len(left))
+    matches = np.zeros(len(left), np.int64)
+    for n, least in plan.least_matches():
+        part = slice(n - plan.batch, n)
+        matches[alive] += (left[alive, part] == right[alive, part]).sum(1)
+        alive = alive[matches[alive] >= least]
+    return alive
+
+
+def _signatures(packed: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), np.uint32).reshape(len(packed), -1)
 
+
+def _survives(plan: NearPlan):
     @F.pandas_udf("boolean")
     def survives(a: pd.Series, b: pd.Series) -> pd.Series:
-        if not len(a):
-            return pd.Series([], dtype=bool)
-        left = np.frombuffer(b"".join(a), np.uint32).reshape(len(a), -1)
-        right = np.frombuffer(b"".join(b), np.uint32).reshape(len(b), -1)
-        alive = np.arange(len(a))
-        matches = np.zeros(len(a), np.int64)
-        for n, least in bounds:  # pairs dropped are not compared further
-            matches[alive] += (left[alive, n - batch : n] == right[alive, n - batch : n]).sum(1)
-            alive = alive[matches[alive] >= least]
         out = np.zeros(len(a), bool)
-        out[alive] = True
+        if len(a):
+            out[_alive(_signatures(a), _signatures(b), plan)] = True
         return pd.Series(out)
 
     return survives
 
 
+def _between_parts(told: DataFrame, open_bands: DataFrame, plan: NearPlan) -> DataFrame:
+    """Surviving pairs (a, b) between the parts of open bands.
+
+    ``told`` has band, rep, label and signature; ``open_bands`` band, n and the largest label.
+    The smaller parts meet the whole band in blocks of ``plan.block`` by as many.
+    """
+    held = told.join(open_bands, "band").withColumn("blocks", F.ceil(F.col("n") / plan.block).cast("int"))
+    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    few = held.where(F.col("label") != F.col("largest")).select(
+        F.col("band").alias("_xb"), own.alias("_xi"), others.alias("_xj"),
+        F.col("rep").alias("_xr"), F.col("label").alias("_xl"), F.col("_sig").alias("_xs"),
+    )
+    everyone = held.select(
+        F.col("band").alias("_yb"), others.alias("_yi"), own.alias("_yj"),
+        F.col("rep").alias("_yr"), F.col("label").alias("_yl"), F.col("_sig").alias("_ys"),
+    )
+
+    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(x) and len(y):
+            right = _signatures(y["_ys"])
+            reps, labels = y["_yr"].to_numpy(), y["_yl"].to_numpy()
+            for rep, label, sig in zip(x["_xr"], x["_xl"], _signatures(x["_xs"])):
+                other = np.flatnonzero(labels != label)
+                kept = other[_alive(np.broadcast_to(sig, (len(other), len(sig))), right[other], plan)]
+                out += [(min(rep, r), max(rep, r)) for r in reps[kept].tolist()]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    sides = few.groupBy("_xb", "_xi", "_xj").cogroup(everyone.groupBy("_yb", "_yi", "_yj"))
+    return sides.applyInPandas(compare, "a bigint, b bigint")
+
+
 def _linked(percent: int):
     @F.pandas_udf("boolean")
     def linked(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -205,8 +242,9 @@ def near_duplicates(docs: DataFrame, plan: NearPlan = NearPlan(), *, key="doc_id
     sigs = classes.select("rep", "_sig")
 
     bands = classes.select("rep", F.explode("_bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("hub")).where("n > 1")
-    members = written(bands.join(shared.select("band"), "band"), "near-members")
+    hub = F.min_by("rep", F.xxhash64("rep", "band")).alias("hub")
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), hub).where("n > 1")
+    members = written(bands.join(shared, "band"), "near-members")
 
     # Whole sets of the texts that share a bucket, from one pass over the documents.
     sharing = members.select("rep").distinct()
@@ -226,49 +264,31 @@ def near_duplicates(docs: DataFrame, plan: NearPlan = NearPlan(), *, key="doc_id
 
     survives, linked = _survives(plan), _linked(plan.percent)
 
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        a = sigs.select(F.col("rep").alias("a"), F.col("_sig").alias("_sa"))
-        b = sigs.select(F.col("rep").alias("b"), F.col("_sig").alias("_sb"))
-        left = pairs.distinct().join(a, "a").join(b, "b").where(survives("_sa", "_sb")).select("a", "b")
-        left = written(left, f"{name}-survivors")
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs that hold on the whole sets."""
         a = sets.select(F.col("rep").alias("a"), F.col("_set").alias("_xa"))
         b = sets.select(F.col("rep").alias("b"), F.col("_set").alias("_xb"))
-        return written(left.join(a, "a").join(b, "b").where(linked("_xa", "_xb")).select("a", "b"), name)
+        return written(pairs.join(a, "a").join(b, "b").where(linked("_xa", "_xb")).select("a", "b"), name)
 
-    pair = [F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")]
-    links = verified(members.join(shared, "band").where("rep <> hub").select(*pair), "near-links")
+    first = members.where("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
+    a = sigs.select(F.col("rep").alias("a"), F.col("_sig").alias("_sa"))
+    b = sigs.select(F.col("rep").alias("b"), F.col("_sig").alias("_sb"))
+    stars = first.distinct().join(a, "a").join(b, "b").where(survives("_sa", "_sb")).select("a", "b")
+    links = confirmed(written(stars, "near-stars"), "near-links")
     labels = components(links)
-    for nth in range(1, plan.max_hubs + 1):
-        told = members.join(labels, members["rep"] == labels["node"], "left").select(
-            "band", "rep", F.coalesce("label", "rep").alias("label")
-        )
-        parts = told.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-        total = F.sum("n")
-        open_bands = parts.groupBy("band").agg(
-            ((total * total - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
-            total.alias("n"),
-            F.count(F.lit(1)).alias("parts"),
-        )
-        open_bands = written(open_bands.where("parts > 1"), "near-open")
-        left = open_bands.agg(F.sum("pairs").alias("pairs"), F.sum("n").alias("n")).first()
-        if not left["n"]:
-            break
-        unsettled = told.join(open_bands.select("band"), "band")
-        if left["pairs"] <= plan.pairs_per_member * left["n"] or nth == plan.max_hubs:
-            x = unsettled.select("band", F.col("rep").alias("a"), F.col("label").alias("la"))
-            y = unsettled.select("band", F.col("rep").alias("b"), F.col("label").alias("lb"))
-            pairs = x.join(y, "band").where("a < b AND la <> lb").select("a", "b")
-            nth = plan.max_hubs
-        else:
-            pick = F.min_by(F.struct("rep", "label"), F.xxhash64("rep", F.lit(nth)))
-            hubs = unsettled.groupBy("band").agg(pick.alias("h")).select("band", F.col("h.rep").alias("hub"), F.col("h.label").alias("lh"))
-            pairs = unsettled.join(hubs, "band").where("label <> lh").select(*pair)
-        more = verified(pairs, "near-more")
+
+    told = members.select("band", "rep").join(labels, F.col("rep") == F.col("node"), "left")
+    told = told.select("band", "rep", F.coalesce("label", "rep").alias("label"))
+    parts = told.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+    open_bands = parts.groupBy("band").agg(
+        F.sum("n").alias("n"), F.max(F.struct("n", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("parts")
+    )
+    open_bands = written(open_bands.where("parts > 1").drop("parts"), "near-open")
+    if not open_bands.isEmpty():
+        more = _between_parts(told.join(sigs, "rep"), open_bands, plan).distinct()
+        more = confirmed(written(more, "near-survivors"), "near-more")
         if not more.isEmpty():
-            links = links.unionByName(more)
-            labels = components(links)
-        if nth == plan.max_hubs:
-            break
+            labels = components(links.unionByName(more))
 
     of_class = classes.select("_class", "rep").join(labels, F.col("rep") == F.col("node"), "left")
     of_class = of_class.select("_class", F.coalesce("label", "rep").alias("component_id"))

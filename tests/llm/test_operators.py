@@ -99,12 +99,11 @@ def test_components_equal_brute_force(spark):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
-def test_hubs_and_last_round_give_the_same(spark):
+def test_small_blocks_give_the_same(spark):
     rows = varied(random.Random(6), 3, 20)
     docs = docs_of(spark, [(i, t, "s") for i, t in rows])
-    for plan in (NearPlan(pairs_per_member=0, max_hubs=3), NearPlan(max_hubs=1)):
-        found = near_duplicates(docs, plan).collect()
-        assert {r.doc_id: r.component_id for r in found} == brute_components(rows)
+    found = near_duplicates(docs, NearPlan(block=3)).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute_components(rows)
 
 
 def test_bounds_keep_pairs_at_the_threshold():
