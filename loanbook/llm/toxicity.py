@@ -112,17 +112,25 @@ def fit_toxicity(
 ) -> ToxicityModel:
     """Learn from the documents whose key has a label (0 or 1); NULL keys and labels teach nothing.
 
-    Without a document of each class the model knows nothing and scores all texts alike.
+    Equal texts of different keys teach once. Without a document of each class the model knows nothing and scores all texts alike.
     """
     told = docs.where(F.col(f"`{key}`").isNotNull()).select(
-        F.col(f"`{key}`").alias("_key"), token_buckets(F.col(f"`{text}`")).alias("_all")
+        F.col(f"`{key}`").alias("_key"),
+        F.xxhash64(F.col(f"`{text}`")).alias("_t"),
+        F.col(f"`{text}`").alias("_text"),
     )
     marks = labels.where(F.col(f"`{label}`").isin(0, 1)).select(
         F.col(f"`{key}`").alias("_k"), F.col(f"`{label}`").cast("int").alias("_label")
     ).distinct()
-    content = F.xxhash64("_all")
-    train = told.join(marks, F.col("_key") == F.col("_k")).select("_label", content.alias("_t"), "_all")
-    train = written(train.dropDuplicates(["_label", "_t"]), "toxicity-training")
+    # Of equal texts with one label the least key teaches; this moves keys and hashes only.
+    chosen = (
+        told.select("_key", "_t").join(marks, F.col("_key") == F.col("_k"))
+        .groupBy("_label", "_t").agg(F.min("_key").alias("_k")).withColumnRenamed("_t", "_h")
+    )
+    # The one time that texts move, as buckets. A merge join does so at every size.
+    met = (F.col("_key") == F.col("_k")) & (F.col("_t") == F.col("_h"))
+    train = told.select("_key", "_t", token_buckets(F.col("_text")).alias("_all"))
+    train = written(train.join(chosen.hint("merge"), met).select("_label", "_all"), "toxicity-training")
 
     sizes = dict.fromkeys((0, 1), 0)
     for row in train.groupBy("_label").count().collect():
