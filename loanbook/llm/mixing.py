@@ -34,6 +34,8 @@ class MixPlan:
     block: int = 64
     shards: int = 256
     run: int = 4096
+    #: slots that one task draws
+    task_slots: int = 500_000
     seed: int = 1
     #: sources up to here are broadcast, some 40 bytes each
     broadcast_sources: int = 100_000
@@ -117,7 +119,9 @@ def _slots(sources: DataFrame, plan: MixPlan) -> DataFrame:
     run = F.explode(F.sequence("first", F.col("first") + F.col("n") - 1, F.lit(plan.run)))
     runs = drawn.where("n > 0").withColumn("end", F.col("first") + F.col("n")).withColumn("from", run)
     each = F.explode(F.sequence("from", F.least(F.col("from") + plan.run, "end") - 1))
-    slots = runs.repartition("source", "shard", "from").withColumn("slot", each)
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    tasks = max(1, min(100_000, total // plan.task_slots))
+    slots = runs.repartition(tasks, "source", "shard", "from").withColumn("slot", each)
 
     @F.pandas_udf("bigint")
     def block_of(slot: pd.Series, blocks: pd.Series, key: pd.Series) -> pd.Series:
@@ -174,7 +178,8 @@ def _pieces(placed: DataFrame, uses: DataFrame, plan: MixPlan) -> DataFrame:
     cut = cut.withColumn("first", low - F.col("at")).withColumn("n", high - low)
     uses = uses.select(F.col("source").alias("_s"), F.col("block").alias("_b"), "uses")
     met = cut["source"].eqNullSafe(uses["_s"]) & (cut["block"] == uses["_b"])
-    return cut.join(uses, met, "left").drop("_s", "_b").na.fill(0, ["uses"])
+    # Spark takes the slots for a few rows, since they grow out of the table of sources
+    return cut.join(uses.hint("merge"), met, "left").drop("_s", "_b").na.fill(0, ["uses"])
 
 
 def mix_shares(docs: DataFrame, plan: MixPlan = MixPlan(), *, key="doc_id", source="source", text="text") -> DataFrame:
