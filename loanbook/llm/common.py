@@ -6,7 +6,6 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +33,6 @@ def one_row_each(df: DataFrame, copies: str) -> DataFrame:
     return df.select(*kept, times).select(*kept)
 
 
-def doc_fold(doc_id: Column, folds: int = 5) -> Column:
-    """crc32 of the id as text, modulo ``folds``; a row without an id is in fold 0."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0).cast("long"))
-
-
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the tasks, unless their Python finds it already."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -73,8 +67,3 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def columns_of(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Just the named columns, so that further ones can't clash with an operator's own."""
-    return df.select(*[F.col(f"`{name}`") for name in names])
