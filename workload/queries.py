@@ -36,7 +36,7 @@ from loanbook.operators.snapshots import (
 from loanbook.operators.usual import payment_statistics
 from loanbook.plans.first_payments import best_loan_per_customer
 from loanbook.plans.paid_vs_expected import benchmark_arm, metered_arm, snapshot_arm
-from loanbook.plans.repayment import SINCE, ZAMBIA, join_snapshots, snapshot_terms, usual_payments
+from loanbook.plans.repayment import ZAMBIA, join_snapshots, snapshot_terms, usual_payments
 from workload.staging import AS_OF, StagedTables
 
 PERIODS = reporting_periods(AS_OF)
