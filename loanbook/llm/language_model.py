@@ -99,9 +99,16 @@ def _pairs_of(numbers: np.ndarray) -> np.ndarray:
 def fit_katz(docs: DataFrame, *, text: str = "text", frequent: float = 1e-5) -> Katz:
     """Learn from all rows; NULL texts are empty and teach their end."""
     told = docs.select(token_hashes(F.col(f"`{text}`")).alias("_t"))
-    singles = written(
-        told.select(F.explode("_t").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("c")), "katz-words"
-    )
+
+    def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words of a batch of texts, equal ones together."""
+        for batch in batches:
+            found = np.concatenate([*(np.asarray(x.values) for x in batch.column(0)), np.zeros(0, np.int64)])
+            found, n = np.unique(found, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["word", "n"])
+
+    counted = told.mapInArrow(count_up, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("c"))
+    singles = written(counted, "katz-words")
     total = singles.agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
     tokens, types = total["tokens"] or 0, total["types"]
     single_cc = _counts_of_counts(singles)
@@ -151,72 +158,53 @@ def fit_katz(docs: DataFrame, *, text: str = "text", frequent: float = 1e-5) ->
     return model
 
 
+# Kinds of rows that a document gives: words and pairs to look up, then figures of its own.
+WORD, PAIR, TOKENS, KNOWN, HALF, SCORE, KEY = range(7)
+FIXED = 1e9  # own figures travel as whole numbers of this part
+
+
 def score_texts(docs: DataFrame, model: Katz, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key, ``n_tokens``, ``n_known``, ``base_score`` and ``score`` (log10).
+    """Per row: key (a whole number), ``n_tokens``, ``n_known``, ``base_score``, ``score`` (log10).
 
     ``base_score`` is that of single words with one half added to every count. NULL and
     empty texts are their end alone; repeated rows are scored as often; an empty table gives
     an empty result; other columns are left out.
     """
-    kind = dict(docs.select(F.col(f"`{key}`").alias("k")).dtypes)["k"]
     told = docs.select(
         F.xxhash64(F.col(f"`{key}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_d"),
-        F.col(f"`{key}`").alias("_k"),
+        F.col(f"`{key}`").cast("long").alias("_k"),
         token_hashes(F.col(f"`{text}`")).alias("_t"),
     )
     vocabulary, counts = model.vocabulary, np.concatenate(([0], model.counts))
     half, alone, weights = np.log10(counts + 0.5), model.log_single(counts), model.weights
 
-    def each(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        for x in batch.column(2):
-            tokens = np.asarray(x.values)
-            yield tokens, _numbers(vocabulary, tokens)
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for _, numbers in each(batch):
-                known = numbers[numbers > 0]
-                before = numbers[:-1]
-                score = alone[known].sum() + weights[before[before > 0]].sum() + weights[0]
-                rows.append((len(numbers), len(known), half[known].sum(), score))
-            columns = list(zip(*rows)) or [[]] * 4
-            arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=["_d", "_k", "tokens", "known", "half", "score"])
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(tokens[numbers == 0], return_counts=True) for tokens, numbers in each(batch)]
-            ids = np.repeat(np.asarray(batch.column(0)), [len(w) for w, _ in found])
-            yield _three(ids, found, "word")
-
-    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [np.unique(_pairs_of(numbers), return_counts=True) for _, numbers in each(batch)]
-            ids = np.repeat(np.asarray(batch.column(0)), [len(p) for p, _ in found])
-            yield _three(ids, found, "pair")
-
-    whole = told.mapInArrow(sums, f"_d bigint, _k {kind}, tokens bigint, known bigint, half double, score double")
+    def rows_of(d: int, k: int | None, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
+        numbers = _numbers(vocabulary, tokens)
+        known, before = numbers[numbers > 0], numbers[:-1]
+        rare, n_rare = np.unique(tokens[numbers == 0], return_counts=True)
+        pairs, n_pairs = np.unique(_pairs_of(numbers), return_counts=True)
+        score = alone[known].sum() + weights[before[before > 0]].sum() + weights[0]
+        own = [(TOKENS, len(tokens)), (KNOWN, len(known)), (HALF, round(half[known].sum() * FIXED)), (SCORE, round(score * FIXED))]
+        own += [] if k is None else [(KEY, k)]
+        kinds = np.repeat(np.array([WORD, PAIR, *(kind for kind, _ in own)], np.int8), [len(rare), len(pairs)] + [1] * len(own))
+        keys = np.concatenate([rare, pairs, np.full(len(own), d)])  # own rows meet nothing
+        return kinds, np.full(len(kinds), d), keys, np.concatenate([n_rare, n_pairs, [n for _, n in own]])
+
+    def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = (pa.int8(), pa.int64(), pa.int64(), pa.int64())
+        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
+            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            parts = [rows_of(d, k, np.asarray(x.values)) for d, k, x in zip(ids, keys, batch.column(2))]
+            arrays = [pa.array(np.concatenate(c), t) for c, t in zip(zip(*parts), types)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["kind", "_d", "key", "n"])
 
+    held, pair_discounts = model.history_counts(), model.pair_discounts
     single_parts = (model.single_discounts, model.tokens, model.unseen)
 
     @F.pandas_udf("double")
     def single(c: pd.Series) -> pd.Series:
         return pd.Series(_log_single(single_parts, c.to_numpy()))
 
-    words_met = told.mapInArrow(rare, "_d bigint, word bigint, n bigint").join(model.singles, "word", "left").na.fill(0, ["c"])
-    words_met = words_met.select(
-        "_d",
-        F.lit(None).cast(kind).alias("_k"),
-        F.lit(0).cast("long").alias("tokens"),
-        F.when(F.col("c") > 0, F.col("n")).otherwise(0).alias("known"),
-        (F.col("n") * F.log10(F.col("c") + 0.5)).alias("half"),
-        (F.col("n") * single("c")).alias("score"),
-        F.lit(0).alias("row"),
-    )
-
-    held, pair_discounts = model.history_counts(), model.pair_discounts
-
     @F.pandas_udf("double")
     def correction(pair: pd.Series, c: pd.Series) -> pd.Series:
         p = pair.to_numpy()
@@ -224,42 +212,48 @@ def score_texts(docs: DataFrame, model: Katz, *, key: str = "doc_id", text: str
         d = np.where(c <= COUNTED, pair_discounts[np.minimum(c, COUNTED)], 1.0)
         return pd.Series(np.log10(d * c / (held[history] + 1)) - weights[history] - alone[word])
 
-    corrections = model.pairs.select("pair", correction("pair", "c").alias("more"))
-    pairs_met = told.mapInArrow(paired, "_d bigint, pair bigint, n bigint").join(corrections, "pair")
-    pairs_met = pairs_met.select(
-        "_d",
-        F.lit(None).cast(kind).alias("_k"),
-        F.lit(0).cast("long").alias("tokens"),
-        F.lit(0).cast("long").alias("known"),
-        F.lit(0.0).alias("half"),
-        (F.col("n") * F.col("more")).alias("score"),
-        F.lit(0).alias("row"),
+    # Logarithms belong to the tables, once per entry.
+    of_words = model.singles.select(
+        F.lit(WORD).cast("tinyint").alias("kind"), F.col("word").alias("key"), F.log10(F.col("c") + 0.5).alias("half"), single("c").alias("log")
+    )
+    of_pairs = model.pairs.select(
+        F.lit(PAIR).cast("tinyint").alias("kind"), F.col("pair").alias("key"), F.lit(0.0).alias("half"), correction("pair", "c").alias("log")
+    )
+    rows = told.mapInArrow(told_apart, "kind tinyint, _d bigint, key bigint, n bigint")
+    met = rows.join(of_words.unionByName(of_pairs), ["kind", "key"], "left")
+    kind, n = F.col("kind"), F.col("n")
+    seen = F.col("log").isNotNull()
+    no_half, no_log = F.lit(float(np.log10(0.5))), F.lit(float(np.log10(max(model.unseen, 1e-300))))
+
+    def total(word: Column, pair: Column, own: int, part: float = 1.0) -> Column:
+        figure = F.when(kind == WORD, word).when(kind == PAIR, pair).when(kind == own, n / part)
+        return F.sum(F.coalesce(figure, F.lit(0.0)))
+
+    zero = F.lit(0.0)
+    out = met.groupBy("_d").agg(
+        F.max(F.when(kind == KEY, n)).alias(key),
+        F.sum(F.when(kind == TOKENS, 1).otherwise(0)).alias("rows"),
+        F.sum(F.when(kind == TOKENS, n).otherwise(0)).alias("tokens"),
+        F.sum(F.when((kind == KNOWN) | ((kind == WORD) & seen), n).otherwise(0)).alias("known"),
+        total(n * F.coalesce("half", no_half), zero, HALF, FIXED).alias("half"),
+        total(n * F.coalesce("log", no_log), n * F.col("log"), SCORE, FIXED).alias("score"),
     )
-    out = (
-        whole.withColumn("row", F.lit(1)).unionByName(words_met).unionByName(pairs_met)
-        .groupBy("_d")
-        .agg(F.max("_k").alias(key), *[F.sum(c).alias(c) for c in ("tokens", "known", "half", "score", "row")])
-    )
     base = float(np.log10(model.tokens + 0.5 * (model.types + 1)))
-    rows = F.col("row")
-    n = (F.col("tokens") / rows).cast("long")
-    told = out.select(
-        key,
-        n.alias("n_tokens"),
-        (F.col("known") / rows).cast("long").alias("n_known"),
-        (F.col("half") / rows - n * base).alias("base_score"),
-        (F.col("score") / rows).alias("score"),
-        rows.alias("_copies"),
+    copies = F.col("rows")
+    tokens = (F.col("tokens") / copies).cast("long")
+    return one_row_each(
+        out.select(
+            key,
+            tokens.alias("n_tokens"),
+            (F.col("known") / copies).cast("long").alias("n_known"),
+            (F.col("half") / copies - tokens * base).alias("base_score"),
+            (F.col("score") / copies).alias("score"),
+            copies.alias("_copies"),
+        ),
+        "_copies",
     )
-    return one_row_each(told, "_copies")
 
 
 def _log_single(parts: tuple, c: np.ndarray) -> np.ndarray:
     discounts, tokens, unseen = parts
     return Katz(None, None, tokens, 0, discounts, None, unseen).log_single(c)
-
-
-def _three(ids: np.ndarray, found: list, name: str) -> pa.RecordBatch:
-    keys = np.concatenate([*[k for k, _ in found], np.zeros(0, np.int64)])
-    n = np.concatenate([*[n for _, n in found], np.zeros(0, np.int64)])
-    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, keys, n)], names=["_d", name, "n"])
