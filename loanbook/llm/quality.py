@@ -2,10 +2,11 @@
 
 A line is normalised (A-Z lower-cased, digits to 0, white space to single spaces) and
 hashed. Per host the distinct documents with it are counted. Copies of one document would
-make each of its lines look like boilerplate, so documents count in families: those whose
-lowest line hash is the same. A line is over the limit if at least ``min_families``
-families of its host have it and they are at least half as many as its documents. Lines
-over the limit are removed, and a document that keeps too few of its words is rejected.
+make each of its lines look like boilerplate, so documents count in families: those with
+the same set of lines. Documents that differ in any line are told apart, whatever lines
+they share. A line is over the limit if at least ``min_families`` families of its host have
+it. Lines over the limit are removed, and a document that keeps too few of its words is
+rejected.
 """
 
 from __future__ import annotations
@@ -89,13 +90,13 @@ def frequent_lines(
     lines = _identified(docs, key, host, text).select(
         "_host", F.array_distinct(F.transform(_lines(F.col("_text")), line_hash)).alias("_lines")
     )
-    had = lines.select("_host", F.array_min("_lines").alias("_family"), F.explode("_lines").alias("_line"))
+    family = F.xxhash64(F.sort_array("_lines")).alias("_family")
+    had = lines.select("_host", family, F.explode("_lines").alias("_line"))
     by_family = had.groupBy("_host", "_line", "_family").agg(F.count(F.lit(1)).alias("n"))
     counted = by_family.groupBy("_host", "_line").agg(
         F.sum("n").alias("documents"), F.count(F.lit(1)).alias("families")
     )
-    over = (F.col("families") >= limits.min_families) & (2 * F.col("families") >= F.col("documents"))
-    return counted.where(over).select(
+    return counted.where(F.col("families") >= limits.min_families).select(
         F.col("_host").alias("host"), F.col("_line").alias("line"), "documents", "families"
     )
 

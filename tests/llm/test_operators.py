@@ -390,6 +390,24 @@ def test_boilerplate_goes_and_copies_stay(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in verdicts.items() if r.kept}
 
 
+def test_shared_lines_count_every_distinct_document(spark):
+    rng = random.Random(18)
+    shared = [f"shared line {x} of nine on every page" for x in "abcdefghi"]
+    own = lambda: prose(rng, 40)
+    rows = [(i, "\n".join([own(), *rng.sample(shared, 9)]), "nine") for i in range(40)]  # 1 own line, 9 shared ones
+    rows += [(100 + i, f"{shared[0]}\n{own()}", "copied") for i in range(12)]
+    rows += [(200 + i, rows[40][1], "copied") for i in range(60)]  # copies neither count nor hide the others
+    rows += [(300 + i, f"{shared[0]}\n{own()}", "few") for i in range(9)]
+    found = defaultdict(list)
+    for r in frequent_lines(docs_of(spark, rows)).collect():
+        found[r.host].append((r.documents, r.families))
+    assert found == {"nine": [(40, 40)] * 9, "copied": [(72, 12)]}
+    verdicts = {r.doc_id: r for r in line_quality(docs_of(spark, rows)).collect()}
+    assert all(verdicts[i].n_removed_words == 9 * 8 for i in range(40))
+    assert all(verdicts[i].n_removed_words == 8 and verdicts[i].kept for i in [*range(100, 112), *range(200, 260)])
+    assert all(verdicts[i].n_removed_words == 0 for i in range(300, 309))
+
+
 def brute_repeated(words):
     at = defaultdict(list)
     for i in range(len(words) - 4):
