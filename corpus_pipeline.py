@@ -13,13 +13,15 @@ from pyspark.sql import functions as F
 
 from loanbook.llm.common import ship_package, written
 from loanbook.llm.mixing import mix_documents
-from loanbook.llm.near_duplicates import keep_one_of_each
+from loanbook.llm.near_duplicates import NearPlan, keep_one_of_each
 from loanbook.llm.packing import pack_documents
 from loanbook.llm.quality import drop_rejected
 from loanbook.llm.toxicity import fit_toxicity, score_toxicity
 
 RANKS = "byte_bpe_50k.tiktoken"
 TOXIC = 0.5
+#: Five words and a similarity of 0.8; a pair at 0.8 shares no band with probability 3e-6.
+NEAR = NearPlan(percent=80, bands=32)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +37,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the least id."""
-    return keep_one_of_each(docs)
+    """One document of each group of near copies (0.8 or more alike), the one with the least id."""
+    return keep_one_of_each(docs, NEAR)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

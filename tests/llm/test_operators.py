@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from loanbook.llm.html_text import extract_text, main_text
 from loanbook.llm.language_model import fit_katz, score_texts
 from loanbook.llm.mixing import MixPlan, mix_documents, mix_shares, permutation, source_targets
@@ -113,6 +114,21 @@ def test_bounds_keep_pairs_at_the_threshold():
         assert lost < 20 * plan.miss and 0 < least < n
 
 
+def test_the_pipeline_drops_near_copies_from_a_similarity_of_80(spark):
+    def changed(i, at):
+        return " ".join(f"new{k}" if k in at else f"t{i}w{k}" for k in range(200))
+
+    rows = []
+    for i in range(20):
+        rows += [(10 * i, changed(i, ()), "a"), (10 * i + 1, changed(i, (40, 80, 120, 160)), "a")]  # 176 of 216 shingles
+        rows += [(10 * i + 2, changed(i, (20, 50, 80, 110, 140)), "a")]  # 171 of 221 with the first, less with the second
+    pair = [shingles(t) for _, t, _ in rows[:3]]
+    assert [len(pair[0] & x) / len(pair[0] | x) for x in pair[1:]] == [176 / 216, 171 / 221]
+    kept = corpus_pipeline.near_dedup(spark, docs_of(spark, rows), "")
+    assert sorted(r.doc_id for r in kept.collect()) == [j for i in range(20) for j in (10 * i, 10 * i + 2)]
+    assert 0.99999 < 1 - (1 - 0.8**corpus_pipeline.NEAR.rows) ** corpus_pipeline.NEAR.bands
+
+
 def test_near_duplicates_of_awkward_rows(awkward, nothing):
     found = near_duplicates(awkward).collect()
     assert len(found) == awkward.count()
