@@ -1,16 +1,17 @@
 """A Katz back-off model of words, learnt and applied as joins of count tables.
 
-Single words are counted over the whole corpus. Words with at least ``frequent`` of all
-tokens, at most ``1 / frequent`` in number, are the vocabulary of pairs: pairs of two of
-them are counted as well, all of them. Counts up to 5 are discounted by Good and Turing.
-What a history's pairs leave goes to single words by a weight that makes the history's
-probabilities sum to one; a rarer history has no pairs and leaves everything to single words.
-Their own discount is shared by words never seen, as many as were seen once.
-
-The score of a text is a sum over its tokens of the single word's probability and its
-history's weight, plus a correction for each pair in the table. Vocabulary words are known
-to every task; rarer words and pairs meet their counts in joins on the word or pair, and
-only sums per document are left to shuffle.
+Every word and every pair of neighbours is counted, keyed by their 64-bit hashes, in tables
+that grow with the corpus. Counts up to 5 are discounted by Good and Turing. What a
+history's pairs leave goes to single words by a weight that makes the history's
+probabilities sum to one; a history never seen leaves everything to single words. Their own
+discount is shared by words never seen, as many as were seen once.
+
+The score of a text is a sum over its tokens. Each pair of a text meets the table of pairs,
+which has the figures of its word as well; pairs that are not in it are looked up as a
+history's weight and a single word. Only sums per document are left to shuffle.
+
+``fit_katz(frequent=...)`` learns a smaller model (``Katz``) whose pairs are those of words
+with at least that share of all tokens: its vocabulary is known to every task.
 """
 
 from __future__ import annotations
@@ -30,9 +31,21 @@ SHIFT = 20  # bits of a word's number in a pair
 COUNTED = 5  # counts up to here are discounted
 
 
+@dataclass(frozen=True)
+class WholeKatz:
+    """A model of all pairs: tables, and figures of the whole."""
+
+    singles: DataFrame = field(repr=False)  # word, c, log (log10 probability)
+    pairs: DataFrame = field(repr=False)  # history, word, c, word_c, log
+    histories: DataFrame = field(repr=False)  # history, held (count), weight (log10)
+    tokens: int = 0
+    types: int = 0
+    unseen: float = 1.0  # probability of one word never seen
+
+
 @dataclass(frozen=True)
 class Katz:
-    """Tables and the parts of fixed size of a model."""
+    """Tables and the parts of fixed size of a model of frequent words' pairs."""
 
     singles: DataFrame = field(repr=False)  # word, c
     pairs: DataFrame = field(repr=False)  # pair, c
@@ -96,8 +109,85 @@ def _pairs_of(numbers: np.ndarray) -> np.ndarray:
     return (before[known] << SHIFT) | numbers[known]
 
 
-def fit_katz(docs: DataFrame, *, text: str = "text", frequent: float = 1e-5) -> Katz:
-    """Learn from all rows; NULL texts are empty and teach their end."""
+def _with_start(text: Column) -> Column:
+    """The start, then ``token_hashes``."""
+    return F.concat(F.array(F.xxhash64(F.lit("start of text"))), token_hashes(text))
+
+
+def _neighbours(texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (text, history, word) of a batch in order, and how often each stands there."""
+    values, sizes = np.asarray(texts.flatten()), np.diff(np.asarray(texts.offsets))
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    inside = of[1:] == of[:-1]
+    return _counted(of[1:][inside], values[:-1][inside], values[1:][inside])
+
+
+def _counted(*keys: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct rows of the arrays and their counts."""
+    order = np.lexsort(keys[::-1])
+    keys = tuple(k[order] for k in keys)
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    at = np.flatnonzero(new)
+    return *(k[at] for k in keys), np.diff(np.append(at, len(order)))
+
+
+def _discounted(c: Column, discounts: np.ndarray) -> Column:
+    """Counts after their discount, as doubles."""
+    ratios = F.array(*[F.lit(float(d)) for d in discounts[1:]], F.lit(1.0))
+    return F.element_at(ratios, F.least(c, F.lit(COUNTED + 1).cast("long")).cast("int")) * c
+
+
+def _fit_whole(docs: DataFrame, text: str) -> WholeKatz:
+    told = docs.select(_with_start(F.col(f"`{text}`")).alias("_t"))
+
+    def pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of a batch of texts, equal ones together."""
+        for batch in batches:
+            values, sizes = np.asarray(batch.column(0).flatten()), np.diff(np.asarray(batch.column(0).offsets))
+            inside = np.ones(max(0, len(values) - 1), bool)
+            inside[np.cumsum(sizes)[:-1] - 1] = False
+            found = _counted(values[:-1][inside], values[1:][inside])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["history", "word", "n"])
+
+    counted = told.mapInArrow(pair_up, "history bigint, word bigint, n bigint").groupBy("history", "word")
+    pairs = written(counted.agg(F.sum("n").alias("c")), "katz-pairs")
+    pair_discounts = _discounts(_counts_of_counts(pairs))
+
+    # every token is the second of one pair
+    singles = written(pairs.groupBy("word").agg(F.sum("c").alias("c")), "katz-words")
+    total = singles.agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
+    tokens, types = total["tokens"] or 0, total["types"]
+    single_cc = _counts_of_counts(singles)
+    discounts = _discounts(single_cc)
+    lost = sum((1 - discounts[c]) * c * single_cc.get(c, 0) for c in range(1, COUNTED + 1))
+    unseen = (lost + 1) / (tokens + 1) / max(1, single_cc.get(1, 0))
+    alone = _discounted(F.col("word_c"), discounts) / (tokens + 1)
+
+    named = singles.select("word", F.col("c").alias("word_c"))
+    entries = written(pairs.join(named, "word").select("history", "word", "c", "word_c"), "katz-entries")
+    # what the pairs of each history take, and what their words have as single words
+    held, free, other = F.col("held"), 1 - F.col("taken") / (F.col("held") + 1), 1 - F.col("alone")
+    histories = entries.groupBy("history").agg(
+        F.sum("c").alias("held"), F.sum(_discounted(F.col("c"), pair_discounts)).alias("taken"), F.sum(alone).alias("alone")
+    )
+    weight = F.log10(F.greatest(free, F.lit(1e-12)) / F.greatest(other, F.lit(1e-12)))
+    histories = written(histories.select("history", "held", weight.alias("weight")), "katz-histories")
+    log = F.log10(_discounted(F.col("c"), pair_discounts) / (held + 1))
+    table = entries.join(histories.select("history", "held"), "history").select("history", "word", "c", "word_c", log.alias("log"))
+    single = F.log10(_discounted(F.col("c"), discounts) / (tokens + 1))
+    return WholeKatz(singles.withColumn("log", single), table, histories, tokens, types, unseen)
+
+
+def fit_katz(docs: DataFrame, *, text: str = "text", frequent: float | None = None) -> WholeKatz | Katz:
+    """Learn from all rows; NULL texts are empty and teach their end.
+
+    All pairs are counted. With ``frequent``, those of words that are this share of all tokens.
+    """
+    return _fit_whole(docs, text) if frequent is None else _fit_frequent(docs, text, frequent)
+
+
+def _fit_frequent(docs: DataFrame, text: str, frequent: float) -> Katz:
     told = docs.select(token_hashes(F.col(f"`{text}`")).alias("_t"))
 
     def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,13 +253,85 @@ WORD, PAIR, TOKENS, KNOWN, HALF, SCORE, KEY = range(7)
 FIXED = 1e9  # own figures travel as whole numbers of this part
 
 
-def score_texts(docs: DataFrame, model: Katz, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def score_texts(docs: DataFrame, model: WholeKatz | Katz, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key (a whole number), ``n_tokens``, ``n_known``, ``base_score``, ``score`` (log10).
 
     ``base_score`` is that of single words with one half added to every count. NULL and
     empty texts are their end alone; repeated rows are scored as often; an empty table gives
     an empty result; other columns are left out.
     """
+    return (_score_whole if isinstance(model, WholeKatz) else _score_frequent)(docs, model, key, text)
+
+
+def _score_whole(docs: DataFrame, model: WholeKatz, key: str, text: str) -> DataFrame:
+    told = docs.select(
+        F.xxhash64(F.col(f"`{key}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_d"),
+        F.col(f"`{key}`").cast("long").alias("_k"),
+        _with_start(F.col(f"`{text}`")).alias("_t"),
+    )
+
+    def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs of each text, then a row of its own that has no word: its key and tokens."""
+        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
+            of, history, word, n = _neighbours(batch.column(2))
+            ids, sizes = np.asarray(batch.column(0)), np.diff(np.asarray(batch.column(2).offsets)) - 1
+            some = pa.nulls(len(ids), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([ids[of], ids]), pa.int64()),
+                    pa.concat_arrays([pa.nulls(len(of), pa.int64()), batch.column(1).cast(pa.int64())]),
+                    pa.array(np.concatenate([history, ids]), pa.int64()),
+                    pa.concat_arrays([pa.array(word, pa.int64()), some]),
+                    pa.array(np.concatenate([n, sizes]), pa.int32()),
+                ],
+                names=["_d", "_k", "history", "word", "n"],
+            )
+
+    rows = told.mapInArrow(told_apart, "_d bigint, _k bigint, history bigint, word bigint, n int")
+    of_pairs = model.pairs.select("history", "word", F.log10(F.col("word_c") + 0.5).alias("half"), "log")
+    met = rows.join(of_pairs, ["history", "word"], "left")
+    own, seen, n, zero = F.col("word").isNull(), F.col("log").isNotNull(), F.col("n"), F.lit(0.0)
+    missing = ~own & ~seen
+    # one row per text of all that met its pair, and the pairs that did not
+    sums = met.groupBy(
+        "_d", F.when(missing, F.col("history")).alias("history"), F.when(missing, F.col("word")).alias("word")
+    ).agg(
+        F.max("_k").alias("_k"),
+        F.sum(F.when(own, 1).otherwise(0)).alias("rows"),
+        F.sum(F.when(own, n).otherwise(0)).alias("tokens"),
+        F.sum(F.when(own, 0).otherwise(n)).alias("n"),
+        F.sum(F.coalesce(n * F.col("half"), zero)).alias("half"),
+        F.sum(F.coalesce(n * F.col("log"), zero)).alias("log"),
+    )
+    # a missing pair is a word and a history's weight; a text's own row meets nothing
+    looked = F.when(
+        F.col("word").isNotNull(),
+        F.array(F.struct(F.lit(WORD).alias("kind"), F.col("word").alias("key")), F.struct(F.lit(PAIR).alias("kind"), F.col("history").alias("key"))),
+    ).otherwise(F.array(F.struct(F.lit(TOKENS).alias("kind"), F.col("_d").alias("key"))))
+    sums = sums.select("_d", "_k", "rows", "tokens", "n", "half", "log", F.explode(looked).alias("x"))
+    sums = sums.select("*", F.col("x.kind").alias("kind"), F.col("x.key").alias("key")).drop("x")
+    table = model.singles.select(
+        F.lit(WORD).alias("kind"), F.col("word").alias("key"), F.log10(F.col("c") + 0.5).alias("_half"), F.col("log").alias("_log")
+    ).unionByName(
+        model.histories.select(F.lit(PAIR).alias("kind"), F.col("history").alias("key"), zero.alias("_half"), F.col("weight").alias("_log"))
+    )
+    met = sums.join(table, ["kind", "key"], "left")
+    kind, n, found = F.col("kind"), F.col("n"), F.col("_log").isNotNull()
+    no_half, no_log = F.lit(float(np.log10(0.5))), F.lit(float(np.log10(max(model.unseen, 1e-300))))
+    out = met.groupBy("_d").agg(
+        F.max("_k").alias(key),
+        F.sum("rows").alias("rows"),
+        F.sum("tokens").alias("tokens"),
+        F.sum(F.when((kind == TOKENS) | ((kind == WORD) & found), n).otherwise(0)).alias("known"),
+        F.sum(F.when(kind == TOKENS, F.col("half")).when(kind == WORD, n * F.coalesce("_half", no_half)).otherwise(zero)).alias("half"),
+        F.sum(
+            F.when(kind == TOKENS, F.col("log")).when(kind == WORD, n * F.coalesce("_log", no_log)).otherwise(n * F.coalesce("_log", zero))
+        ).alias("score"),
+    )
+    return _per_row(out, model, key)
+
+
+def _score_frequent(docs: DataFrame, model: Katz, key: str, text: str) -> DataFrame:
     told = docs.select(
         F.xxhash64(F.col(f"`{key}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_d"),
         F.col(f"`{key}`").cast("long").alias("_k"),
@@ -238,6 +400,11 @@ def score_texts(docs: DataFrame, model: Katz, *, key: str = "doc_id", text: str
         total(n * F.coalesce("half", no_half), zero, HALF, FIXED).alias("half"),
         total(n * F.coalesce("log", no_log), n * F.col("log"), SCORE, FIXED).alias("score"),
     )
+    return _per_row(out, model, key)
+
+
+def _per_row(out: DataFrame, model: WholeKatz | Katz, key: str) -> DataFrame:
+    """Sums over equal rows, as one row for each of them."""
     base = float(np.log10(model.tokens + 0.5 * (model.types + 1)))
     copies = F.col("rows")
     tokens = (F.col("tokens") / copies).cast("long")

@@ -517,6 +517,51 @@ def test_scores_equal_a_loop(spark, awkward, nothing):
 # --- addresses -------------------------------------------------------------
 
 
+def test_all_pairs_are_learnt_whatever_their_words_counts(spark, awkward):
+    rng = random.Random(21)
+    rare = [f"{prose(rng, 6, 40)} only{i} once{i} {prose(rng, 5, 40)}" for i in range(200)]  # words of a single text
+    learnt = awkward.unionByName(docs_of(spark, [(500 + i, t, "s") for i, t in enumerate(rare)]))
+    held_out = docs_of(spark, [(900, "never seen w1 w2 w3", "s"), (901, "w5 only7 once7 w5", "s"), (902, None, "s")])
+    asked = learnt.unionByName(held_out)
+    tokens = lambda t: WORD.findall("".join(c.lower() if c.isascii() else c for c in t or "")) + [None]
+    count, pair, held = Counter(), Counter(), Counter()
+    for r in learnt.collect():
+        t = ["<s>", *tokens(r.text)]
+        count.update(t[1:])
+        held.update(t[:-1])
+        pair.update(zip(t, t[1:]))
+    total, types = sum(count.values()), len(count)
+
+    def ratios(counts):
+        n = Counter(counts)
+        rest = 6 * n[6] / n[1] if n[1] else 1.0
+        out = {}
+        for c in range(1, 6):
+            d = ((c + 1) * n[c + 1] / (c * n[c]) - rest) / (1 - rest) if n[c] and n[c + 1] and rest < 1 else 0.0
+            out[c] = d if 0 < d < 1 else c / (c + 0.5)
+        return out
+
+    of_words, of_pairs = ratios(count.values()), ratios(pair.values())
+    unseen = (sum((1 - of_words.get(c, 1.0)) * c for c in count.values()) + 1) / (total + 1) / max(1, sum(c == 1 for c in count.values()))
+    one = lambda w: of_words.get(count[w], 1.0) * count[w] / (total + 1) if count[w] else unseen
+    given = lambda h, w: of_pairs.get(pair[h, w], 1.0) * pair[h, w] / (held[h] + 1)
+    after = defaultdict(list)
+    for h, w in pair:
+        after[h].append(w)
+    weight = {h: (1 - sum(given(h, w) for w in ws)) / (1 - sum(map(one, ws))) for h, ws in after.items()}
+    expected = Counter()
+    for r in asked.collect():
+        t = tokens(r.text)
+        base = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (types + 1))) for w in t)
+        p = [given(h, w) if (h, w) in pair else weight.get(h, 1.0) * one(w) for h, w in zip(["<s>", *t], t)]
+        expected[(r.doc_id, len(t), sum(count[w] > 0 for w in t), round(base, 3), round(sum(map(math.log10, p)), 3))] += 1
+    model = fit_katz(learnt)
+    assert (model.tokens, model.types) == (total, types)
+    assert model.pairs.count() == len(pair)
+    found = Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 3), round(r.score, 3)) for r in score_texts(asked, model).collect())
+    assert found == expected
+
+
 def test_url_verdicts(spark):
     rules = [Rule("com/", "allow", True), Rule("example.com/en/", "block", True), Rule("^ads^", "block"), Rule("bad*thing", "block"), Rule("^ok^", "allow")]
     rows = [
