@@ -27,10 +27,10 @@ WITH docs AS (
   FROM (SELECT rid, source, unnest(string_split(text, chr(10))) AS line FROM docs)
   WHERE regexp_matches(line, '{NOT_SPACE}')
 ), held AS (
-  SELECT rid, source, h, min(h) OVER (PARTITION BY rid) AS family FROM (SELECT DISTINCT rid, source, h FROM lines)
+  SELECT rid, source, h, list_sort(list(h) OVER (PARTITION BY rid))::VARCHAR AS family FROM (SELECT DISTINCT rid, source, h FROM lines)
 ), bad AS (
   SELECT source, h FROM held GROUP BY source, h
-  HAVING count(DISTINCT family) >= 10 AND 2 * count(DISTINCT family) >= count(*)
+  HAVING count(DISTINCT family) >= 10
 ), removed AS (
   SELECT rid, sum(n) AS n FROM lines JOIN bad ON lines.h = bad.h AND lines.source IS NOT DISTINCT FROM bad.source
   GROUP BY rid
