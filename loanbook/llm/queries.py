@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanbook.llm.common import ship_package
+from loanbook.llm.common import shared_folder, ship_package
 from loanbook.llm.html_text import extract_text
 from loanbook.llm.language_model import fit_katz, score_texts
 from loanbook.llm.mixing import mix_shares
@@ -17,6 +17,7 @@ from loanbook.llm.neighbours import nearest_neighbours
 from loanbook.llm.packing import pack_documents
 from loanbook.llm.quality import line_quality
 from loanbook.llm.sharding import ring_shards
+from loanbook.llm.token_files import token_digests, write_token_files
 from loanbook.llm.toxicity import fit_toxicity, score_toxicity
 from loanbook.llm.url_filter import Rule, url_verdicts
 
@@ -138,6 +139,27 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document's ids, from the ORC files they are written to."""
+    docs = _table(spark, sf_dir, "documents")
+    folder = shared_folder(spark, "token-files")
+    write_token_files(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_digests(spark, folder)
+
+
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op1_near_duplicates, op2_nearest, op3_page_text, op4_source_mix, op5_toxic_segments, op6_tier_packing, op7_ring_shards, op8_line_quality, op9_katz, op10_url_verdicts)
+    q.__name__: q
+    for q in (
+        op1_near_duplicates,
+        op2_nearest,
+        op3_page_text,
+        op4_source_mix,
+        op5_toxic_segments,
+        op6_tier_packing,
+        op7_ring_shards,
+        op8_line_quality,
+        op9_katz,
+        op10_url_verdicts,
+        op11_orc_tokens,
+    )
 }
