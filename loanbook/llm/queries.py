@@ -15,8 +15,10 @@ from loanbook.llm.mixing import mix_shares
 from loanbook.llm.near_duplicates import near_duplicates
 from loanbook.llm.neighbours import nearest_neighbours
 from loanbook.llm.packing import pack_documents
+from loanbook.llm.prefix_trie import prefix_trie
 from loanbook.llm.quality import line_quality
 from loanbook.llm.sharding import ring_shards
+from loanbook.llm.spelling import spelling_groups, word_counts
 from loanbook.llm.token_files import token_digests, write_token_files
 from loanbook.llm.toxicity import fit_toxicity, score_toxicity
 from loanbook.llm.url_filter import Rule, url_verdicts
@@ -147,6 +149,17 @@ def op11_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(spark, folder)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, rebuilt in families of five."""
+    turns = _table(spark, sf_dir, "conversations")
+    return prefix_trie(turns, 5, lambda conv: F.crc32(conv.cast("string").cast("binary")) % 9)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words and forms."""
+    return spelling_groups(word_counts(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -161,5 +174,7 @@ QUERIES: dict[str, Query] = {
         op9_katz,
         op10_url_verdicts,
         op11_orc_tokens,
+        op12_prefix_trie,
+        op13_spelling,
     )
 }
