@@ -176,7 +176,7 @@ def read_span(spark: SparkSession, folder: str, first: int, last: int) -> DataFr
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows in batches:
         ids = rows.column(rows.num_columns - 1)
-        flat = ids.values.to_numpy().astype("<u4").tobytes()
+        flat = memoryview(ids.values.to_numpy().astype("<u4", copy=False)).cast("B")
         cuts = (np.asarray(ids.offsets) * WIDTH).tolist()
         crc = [zlib.crc32(flat[a:b]) for a, b in zip(cuts, cuts[1:])]
         kept = rows.columns[:-1]

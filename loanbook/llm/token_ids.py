@@ -4,24 +4,43 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
 
 WIDTH = 4  # bytes of an id
-#: Words whose ids a worker remembers.
-REMEMBERED = 500_000
+LITTLE = array("I", [1]).tobytes() == (1).to_bytes(WIDTH, "little")
+SIGNS = frozenset(".,;:!?")
+#: Words whose ids a worker remembers: as many again stay until they are older than these.
+REMEMBERED = 600_000
 
 #: White space other than blanks and line ends.
 _RARE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if LITTLE else b"".join(i.to_bytes(WIDTH, "little") for i in ids)
+
+
+def _byte_letters() -> list[str]:
+    """The letter that a byte-level vocabulary writes for each byte: its own, or one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(other)) for b in range(256)]
+
+
+#: Letters below this code point are letters for Python and for the tokenizer alike.
+LATIN_END = "\u0250"
+_BYTES = _byte_letters()
+_BLANK = _BYTES[ord(" ")]
+_LATIN = {i: "".join(_BYTES[b] for b in chr(i).encode()) for i in range(ord(LATIN_END))}
+
+
 class TokenTable(dict):
     """Little-endian ids of a word with a blank before it, or of one that a line end begins.
 
     The tokenizer cuts a text before it merges, and a single blank or line end always begins
-    a cut of its own, so such words can be encoded one by one, with the same ids. Texts with
-    any other white space are encoded whole. Strings of added tokens become their ids, as the
-    file says.
+    a cut of its own, so such words can be encoded one by one, with the same ids. A sign at
+    the end of a word of letters is a cut of its own too, and so is a line end before it. Texts with any other white space
+    are encoded whole. Strings of added tokens become their ids, as the file says.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -29,15 +48,36 @@ class TokenTable(dict):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
+        self._merged = self._tokenizer.model.tokenize
+        self._older: dict[str, bytes] = {}
+        self._signs = {sign: self.whole(sign) for sign in ("\n", *SIGNS)}
 
     def whole(self, text: str) -> bytes:
-        encoded = self._tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        return np.asarray(encoded[0].ids, "<u4").tobytes()
+        return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self._older = dict(self)
             self.clear()
-        found = self[word] = self.whole(word if word[:1] == "\n" else " " + word)
+        if word in self._older:
+            found = self[word] = self._older[word]
+            return found
+        ends = word[0] == "\n" if word else False
+        letters = word[1:] if ends else word
+        sign = letters[-1:] if letters[-1:] in SIGNS else ""
+        if sign:
+            letters = letters[:-1]
+        if letters.isalpha() and (letters.isascii() or max(letters) < LATIN_END):
+            cut = letters if letters.isascii() else letters.translate(_LATIN)
+            if ends:
+                found = self._signs["\n"] + _packed([t.id for t in self._merged(cut)])
+            else:
+                found = _packed([t.id for t in self._merged(_BLANK + cut)])
+            if sign:
+                found += self._signs[sign]
+        else:
+            found = self.whole(word if ends else " " + word)
+        self[word] = found
         return found
 
     def of(self, text: str) -> bytes:
