@@ -1,28 +1,37 @@
-"""Usual payment and payment statistics per loan and month."""
+"""Usual payment and payment statistics per loan and month, from one pass over the payments.
+
+Payments are added up by loan, month and amount, and these by loan and month: once for the
+amount paid most often and once for the statistics. Both come out of the same row, so no
+payment table is read, shuffled or joined to its loans a second time.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanbook.functions.dates import local_date
 from loanbook.functions.money import ratio
 from loanbook.operators.payments import BENCHMARK_PAYMENT_TYPES, BOOKING_PAYMENT_TYPES
-from loanbook.operators.relational import first_row, keep_listed, pick
+from loanbook.operators.relational import pick
 
 Tables = Mapping[str, DataFrame]
 
 # Transaction type ids of the metered system that are payments.
 METERED_PAYMENT_TYPE_IDS = (2, 18, 20, 24, 61)
 
+METERED, BENCHMARK, SNAPSHOT = "metered", "benchmark", "snapshot"
 
-def usual_amount(
-    counted: DataFrame, keys: Sequence[str], frequency: str, amount_column: str
-) -> DataFrame:
-    """Most frequent amount per key, the smaller one on a tie."""
-    return first_row(counted, keys, [-F.col(frequency), F.col(amount_column)])
+
+@dataclass(frozen=True)
+class Span:
+    """Local days after ``after`` are read; those after ``usual_after`` make the usual amount."""
+
+    after: date | None = None
+    usual_after: date | None = None
 
 
 def _with_zone(df: DataFrame, tables: Tables, country: str) -> DataFrame:
@@ -36,22 +45,21 @@ def _with_zone(df: DataFrame, tables: Tables, country: str) -> DataFrame:
     return spread.withColumn("zone", F.col("_zone.default_timezone")).drop("_zones", "_zone")
 
 
-def _in_local_months(
-    df: DataFrame, paid_at: str, since: date | None, naive_local: bool = False
-) -> DataFrame:
-    """Add ``month_end`` of the local date; keep local dates after ``since``, if given."""
-    day = local_date(F.col(paid_at), F.col("zone"), naive_local)
-    df = df.withColumn("local_day", day)
-    if since is not None:
-        df = df.where(F.col("local_day") > F.lit(since))
-    return df.withColumn("month_end", F.last_day("local_day")).drop("local_day")
+def _in_local_months(df: DataFrame, paid_at: str, span: Span, naive_local: bool = False) -> DataFrame:
+    """Add ``month_end`` of the local date and whether the usual amount counts the row; keep
+    local dates of the span."""
+    df = df.withColumn("local_day", local_date(F.col(paid_at), F.col("zone"), naive_local))
+    if span.after is not None:
+        df = df.where(F.col("local_day") > F.lit(span.after))
+    counts = F.lit(True) if span.usual_after is None else F.col("local_day") > F.lit(span.usual_after)
+    return df.select("*", F.last_day("local_day").alias("month_end"), counts.alias("counts")).drop("local_day")
 
 
-def _reaching(paid_at: str, since: date | None) -> Column:
+def _reaching(paid_at: str, span: Span) -> Column:
     """UTC bound a day wider than the local one, which the scan can use."""
-    if since is None:
+    if span.after is None:
         return F.lit(True)
-    return F.to_date(paid_at) >= F.lit(since - timedelta(days=1))
+    return F.to_date(paid_at) >= F.lit(span.after - timedelta(days=1))
 
 
 def whole_months_after(since: date) -> date:
@@ -59,12 +67,12 @@ def whole_months_after(since: date) -> date:
     return (since + timedelta(days=1)).replace(day=1) - timedelta(days=1)
 
 
-def metered_month_transactions(tables: Tables, country: str, since: date | None) -> DataFrame:
+def metered_month_transactions(tables: Tables, country: str, span: Span) -> DataFrame:
     """Metered payments of one country with their local month end."""
     paid = tables["metered_transactions"].where(
         F.col("transaction_type_id").isin(*METERED_PAYMENT_TYPE_IDS)
         & (F.col("country") == country)
-        & _reaching("added_at_utc", since)
+        & _reaching("added_at_utc", span)
     )
     paid = paid.select(
         "loan_id",
@@ -72,7 +80,7 @@ def metered_month_transactions(tables: Tables, country: str, since: date | None)
         "added_at_utc",
         (F.col("portion_interest") + F.col("portion_principal")).alias("value"),
     )
-    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", since)
+    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", span)
 
 
 def account_items(tables: Tables, country: str) -> DataFrame:
@@ -108,22 +116,19 @@ def own_items(tables: Tables, country: str) -> DataFrame:
     )
 
 
-def item_copies(items: DataFrame) -> DataFrame:
-    """One row per loan with the number of item rows a join to them would give."""
+def items_per_loan(tables: Tables, country: str) -> DataFrame:
+    """One row per loan with items: how many a join to them gives, and whether one is its own."""
+    items = account_items(tables, country)
+    own = F.coalesce(F.col("oi_loan_account_id") == F.col("la_loan_account_id"), F.lit(False))
     return items.groupBy(F.col("la_loan_account_id").alias("item_loan_id")).agg(
-        F.count("*").alias("copies")
+        F.count("*").alias("copies"), F.max(own).alias("has_own")
     )
 
 
-def _of_items(df: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows whose loan has an item. Applied before grouping, which then sees one country."""
-    return keep_listed(df, "loan_id", items, "la_loan_account_id")
-
-
-def benchmark_month_transactions(tables: Tables, country: str, since: date | None) -> DataFrame:
+def benchmark_month_transactions(tables: Tables, country: str, span: Span) -> DataFrame:
     """Benchmark payments, in cents, with their month end in the country's time."""
     paid = tables["benchmark_transactions"].where(
-        F.col("transaction_type").isin(*BENCHMARK_PAYMENT_TYPES) & _reaching("added_at_utc", since)
+        F.col("transaction_type").isin(*BENCHMARK_PAYMENT_TYPES) & _reaching("added_at_utc", span)
     )
     paid = paid.select(
         "loan_id",
@@ -131,16 +136,16 @@ def benchmark_month_transactions(tables: Tables, country: str, since: date | Non
         "added_at_utc",
         (F.col("portion_interest") + F.col("portion_principal")).alias("value"),
     )
-    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", since)
+    return _in_local_months(_with_zone(paid, tables, country), "added_at_utc", span)
 
 
 def booking_month_transactions(
-    tables: Tables, country: str, since: date | None, naive_local: bool = False
+    tables: Tables, country: str, span: Span, naive_local: bool = False
 ) -> DataFrame:
     """Bookings of payments, in cents, with their month end in the country's time."""
     paid = tables["payment_bookings"].where(
         F.col("transaction_type").isin(*BOOKING_PAYMENT_TYPES)
-        & _reaching("transaction_at", since)
+        & _reaching("transaction_at", span)
     )
     paid = paid.select(
         F.col("loan_account_id").alias("loan_id"),
@@ -149,26 +154,75 @@ def booking_month_transactions(
         F.col("amount").alias("value"),
     )
     return _in_local_months(
-        _with_zone(paid, tables, country), "transaction_at", since, naive_local
+        _with_zone(paid, tables, country), "transaction_at", span, naive_local
     )
 
 
-def _statistics(paid: DataFrame, total: Column, divisor: int) -> DataFrame:
-    """Count, largest, smallest and rounded mean value per loan and month."""
-    grouped = paid.groupBy("loan_id", "month_end").agg(
-        total.alias("total_transactions"),
+# What is left of the payments of one amount, and how it adds up over the amounts of a month.
+_SPREAD = {"largest": F.max, "smallest": F.min, "summed": F.sum, "valued": F.sum}
+
+
+def _spread_of_values() -> list[Column]:
+    return [
         F.max("value").alias("largest"),
         F.min("value").alias("smallest"),
         F.sum("value").alias("summed"),
         F.count("value").alias("valued"),
+    ]
+
+
+def _amounts(paid: DataFrame, rounded: Column, times: Column, ids: Column, *more: Column) -> DataFrame:
+    """One row per loan, month and rounded amount: ``times`` for the usual amount and whether
+    any row counts for it, ``ids`` for the number of transactions, and the values' spread."""
+    return paid.groupBy("loan_id", "month_end", rounded.alias("trans_amount")).agg(
+        times.alias("times"), F.max("counts").alias("counts"), ids.alias("ids"), *_spread_of_values(), *more
+    )
+
+
+def _amounts_of_ids(paid: DataFrame, rounded: Column) -> DataFrame:
+    """As ``_amounts`` with every counted row for ``times`` and every different id for ``ids``.
+
+    Rows of one id come first, so an id that was booked with several amounts stands under
+    several; it counts under its smallest.
+    """
+    keys = ["loan_id", "month_end", "id"]
+    per_id = paid.groupBy(*keys, rounded.alias("trans_amount")).agg(
+        F.count_if("counts").alias("times"), F.max("counts").alias("counts"), *_spread_of_values()
+    )
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy("trans_amount")) == 1
+    told = per_id.withColumn("new", first & F.col("id").isNotNull())
+    return told.groupBy("loan_id", "month_end", "trans_amount").agg(
+        F.sum("times").alias("times"),
+        F.max("counts").alias("counts"),
+        F.count_if("new").alias("ids"),
+        *[add(name).alias(name) for name, add in _SPREAD.items()],
+    )
+
+
+def _by_month(amounts: DataFrame, system: str, divisor: int, copies: str | None = None) -> DataFrame:
+    """Amounts of a month in one row: the most frequent one (the smaller on a tie, NULL last)
+    with its ``times``, and count, largest, smallest and rounded mean of all payments.
+
+    What the report joins later depends on the loan and the month, not on the amount, so it
+    multiplies every amount's count alike and cannot change which one wins.
+    """
+    order = F.struct((-F.col("times")).alias("less"), F.col("trans_amount").isNull().alias("none"), "trans_amount")
+    grouped = amounts.groupBy("loan_id", "month_end").agg(
+        F.min(F.when(F.col("counts"), order)).alias("best"),
+        (F.sum("ids") * (F.max(copies) if copies else F.lit(1))).alias("total_transactions"),
+        *[add(name).alias(name) for name, add in _SPREAD.items()],
     )
 
     def in_units(column: str) -> Column:
         return F.col(column).cast("double") / F.lit(float(divisor))
 
     return grouped.select(
+        F.lit(system).alias("system"),
         "loan_id",
         "month_end",
+        F.col("best").isNotNull().alias("has_usual"),
+        F.col("best.trans_amount").alias("trans_amount"),
+        (-F.col("best.less")).alias("times"),
         "total_transactions",
         in_units("largest").alias("max_payment"),
         in_units("smallest").alias("min_payment"),
@@ -176,78 +230,102 @@ def _statistics(paid: DataFrame, total: Column, divisor: int) -> DataFrame:
     )
 
 
-def payment_statistics(
-    tables: Tables, country: str, since: date | None = None, naive_local: bool = False
-) -> DataFrame:
-    """Count, largest, smallest and mean payment per loan and local month, over all months
-    or those after ``since``.
+def _rounded_units() -> Column:
+    return F.round(F.col("value").cast("double") / F.lit(100.0), 0)
 
-    Payments are cut to the country's loans first and grouped after. A benchmark
-    payment counts once per joined row: the count is multiplied by the number of
-    item rows and, as the daily finance table joins twice, by its rows squared.
-    """
-    metered = _statistics(
-        metered_month_transactions(tables, country, since), F.count("id"), 1
-    )
-    items = account_items(tables, country)
-    per_loan = tables["benchmark_finance_daily"].groupBy(
-        F.col("loan_id").alias("finance_loan_id")
-    ).agg(F.count("*").alias("finance_rows"))
-    benchmark = (
-        _statistics(
-            _of_items(benchmark_month_transactions(tables, country, since), items),
-            F.count("id"),
-            100,
-        )
-        .join(item_copies(items), F.col("loan_id") == F.col("item_loan_id"))
-        .join(per_loan, F.col("loan_id") == F.col("finance_loan_id"), "left")
+
+def metered_months(tables: Tables, country: str, span: Span) -> DataFrame:
+    """Metered: every transaction counts for the usual amount."""
+    paid = metered_month_transactions(tables, country, span)
+    rounded = F.round(F.col("value").cast("double"), 0)
+    return _by_month(_amounts(paid, rounded, F.count_if("counts"), F.count("id")), METERED, 1)
+
+
+def benchmark_months(tables: Tables, country: str, span: Span) -> DataFrame:
+    """Benchmark: every different transaction counts for the usual amount. For the statistics a
+    payment counts once per joined row: times the item rows and, as the daily finance table
+    joins twice, times its rows squared."""
+    paid = benchmark_month_transactions(tables, country, span)
+    paid = paid.join(items_per_loan(tables, country), F.col("loan_id") == F.col("item_loan_id"))
+    times = F.count_distinct(F.when(F.col("counts"), F.col("id")))
+    amounts = _amounts(paid, _rounded_units(), times, F.count("id"), F.max("copies").alias("copies"))
+    months = _by_month(amounts, BENCHMARK, 100, "copies")
+    per_loan = tables["benchmark_finance_daily"].groupBy(F.col("loan_id").alias("finance_loan_id")).agg(
+        F.count("*").alias("finance_rows")
     )
     squared = F.coalesce(F.col("finance_rows") * F.col("finance_rows"), F.lit(1))
-    benchmark = benchmark.withColumn(
-        "total_transactions", F.col("total_transactions") * F.col("copies") * squared
-    ).select(*metered.columns)
-    bookings = _statistics(
-        _of_items(booking_month_transactions(tables, country, since, naive_local), items),
-        F.countDistinct("id"),
-        100,
-    )
-    return metered.unionByName(benchmark).unionByName(bookings).distinct()
-
-
-def _usual_of(paid: DataFrame, rounded: Column, times: Column) -> DataFrame:
-    """Per loan and month the amount paid most often, with its ``times``.
+    joined = months.join(per_loan, F.col("loan_id") == F.col("finance_loan_id"), "left")
+    counted = joined.withColumn("total_transactions", F.col("total_transactions") * squared)
+    return counted.select(*months.columns)
+
+
+def booking_months(tables: Tables, country: str, span: Span, naive_local: bool = False) -> DataFrame:
+    """Bookings: every booking of a loan with an item of its own counts for the usual amount,
+    every different booking of a loan with any item for the statistics."""
+    paid = booking_month_transactions(tables, country, span, naive_local)
+    paid = paid.join(items_per_loan(tables, country), F.col("loan_id") == F.col("item_loan_id"))
+    paid = paid.withColumn("counts", F.col("counts") & F.col("has_own"))
+    return _by_month(_amounts_of_ids(paid, _rounded_units()), SNAPSHOT, 100)
+
+
+def monthly_payments(
+    tables: Tables,
+    country: str,
+    after: date | None = None,
+    usual_after: date | None = None,
+    naive_local: bool = False,
+) -> DataFrame:
+    """System, loan and local month: usual amount with its ``times``, and payment statistics.
 
-    What the report joins later depends on the loan and the month, not on the
-    amount, so it multiplies every amount's count alike and cannot change which
-    one wins. Choosing here leaves one row per loan and month for those joins.
+    Each payment table is scanned once. Payments on local days after ``after`` (all, if not
+    given) make the statistics, those after ``usual_after`` the usual amount; ``has_usual``
+    tells the months that have any of these.
     """
-    counted = paid.groupBy("loan_id", "month_end", rounded.alias("trans_amount")).agg(
-        times.alias("times")
+    span = Span(after, usual_after)
+    return (
+        metered_months(tables, country, span)
+        .unionByName(benchmark_months(tables, country, span))
+        .unionByName(booking_months(tables, country, span, naive_local))
     )
-    return usual_amount(counted, ["loan_id", "month_end"], "times", "trans_amount")
 
 
-def metered_usual_amounts(tables: Tables, country: str, since: date | None) -> DataFrame:
-    """Metered: every transaction counts."""
-    paid = metered_month_transactions(tables, country, since)
-    return _usual_of(paid, F.round(F.col("value").cast("double"), 0), F.count("*"))
+STATISTICS = ("total_transactions", "max_payment", "min_payment", "avg_payment")
 
 
-def _rounded_units() -> Column:
-    return F.round(F.col("value").cast("double") / F.lit(100.0), 0)
+def payment_statistics(
+    tables: Tables, country: str, since: date | None = None, naive_local: bool = False
+) -> DataFrame:
+    """Count, largest, smallest and mean payment per loan and local month, over all months
+    or those after ``since``."""
+    months = monthly_payments(tables, country, since, naive_local=naive_local)
+    return months.select("loan_id", "month_end", *STATISTICS).distinct()
 
 
-def benchmark_usual_amounts(tables: Tables, country: str, since: date | None) -> DataFrame:
-    """Benchmark: every different transaction counts."""
-    paid = benchmark_month_transactions(tables, country, since)
-    paid = _of_items(paid, account_items(tables, country))
-    return _usual_of(paid, _rounded_units(), F.countDistinct("id"))
+def payments_of_month(
+    tables: Tables, country: str, since: date, naive_local: bool = False
+) -> DataFrame:
+    """Loan and month with what every system has for it, in one row.
 
+    ``chosen`` has the usual amounts of payments after ``since`` and ``statistics`` the
+    different statistics of the whole month; both have one entry per system at most. Statistics
+    are found by loan and month whatever their system, so a row without either has none.
+    """
+    months = monthly_payments(tables, country, whole_months_after(since), since, naive_local)
+    grouped = months.groupBy("loan_id", "month_end").agg(
+        F.collect_list(F.when(F.col("has_usual"), F.struct("system", "loan_id", "trans_amount", "times"))).alias("chosen"),
+        F.collect_set(F.struct(*STATISTICS)).alias("found"),
+    )
+    known = F.col("loan_id").isNotNull() & F.col("month_end").isNotNull()
+    return grouped.select(
+        "loan_id", "month_end", "chosen", F.when(known, F.array_sort("found")).alias("statistics")
+    )
 
-def booking_usual_amounts(
-    tables: Tables, country: str, since: date | None, naive_local: bool = False
-) -> DataFrame:
-    """Bookings: every booking of a loan with an item of its own counts."""
-    paid = booking_month_transactions(tables, country, since, naive_local)
-    paid = _of_items(paid, own_items(tables, country))
-    return _usual_of(paid, _rounded_units(), F.count("*"))
+
+def usual_amounts(months: DataFrame, system: str) -> DataFrame:
+    """One system's usual amount per loan and month, with its ``times`` and the ``statistics``.
+
+    The loan comes out of the array: a condition that one system's joins put on it then stays
+    above the rows that all systems share.
+    """
+    spread = months.select("month_end", "statistics", F.inline("chosen"))
+    return spread.where(F.col("system") == system).drop("system")

@@ -25,12 +25,13 @@ from loanbook.functions.rules import (
 )
 from loanbook.operators.relational import first_row, lookup, pick, stack_by_position
 from loanbook.operators.usual import (
-    benchmark_usual_amounts,
-    booking_usual_amounts,
-    metered_usual_amounts,
+    BENCHMARK,
+    METERED,
+    SNAPSHOT,
+    STATISTICS,
     own_items,
-    payment_statistics,
-    whole_months_after,
+    payments_of_month,
+    usual_amounts,
 )
 
 Tables = Mapping[str, DataFrame]
@@ -196,20 +197,24 @@ def _one_per_month(df: DataFrame, frequency: Column) -> DataFrame:
     Equal rows are counted together; of different ones (a dimension that lists a
     loan twice) the more frequent stays, then the smaller.
     """
-    grouped = df.groupBy(*DESCRIBING).agg(frequency.alias("frequency"))
+    grouped = df.groupBy(*DESCRIBING, "statistics").agg(frequency.alias("frequency"))
     best = first_row(grouped, ["loan_id", "month_end"], [-F.col("frequency")])
     loans = F.when(F.col("loan_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
-    return best.withColumn("count_loans", loans).select(*DESCRIBING, "count_loans", "frequency")
+    return best.withColumn("count_loans", loans).select(
+        *DESCRIBING, "count_loans", "frequency", "statistics"
+    )
 
 
-def usual_metered(tables: Tables, country: str = ZAMBIA, since: date = SINCE) -> DataFrame:
+def usual_metered(
+    tables: Tables, months: DataFrame, country: str = ZAMBIA, since: date = SINCE
+) -> DataFrame:
     profiles = _finance_profiles(tables, "metered_finance_daily", "customer_id_fenixdb")
     persons = pick(tables["persons"], "ps", "person_id", "landmark")
     homes = pick(tables["person_demographics"], "pd", "person_id", "region", "district", "parish")
     profiles = profiles.join(
         persons, F.col("f_customer_id_fenixdb") == F.col("ps_person_id"), "left"
     ).join(homes, F.col("f_customer_id_fenixdb") == F.col("pd_person_id"), "left")
-    rows = metered_usual_amounts(tables, country, since).join(
+    rows = usual_amounts(months, METERED).join(
         profiles, F.col("loan_id") == F.col("f_loan_id"), "left"
     )
     rows = _with_month_report(rows, tables, "metered_finance_monthly", since)
@@ -240,13 +245,16 @@ def usual_metered(tables: Tables, country: str = ZAMBIA, since: date = SINCE) ->
         rate.alias("daily_rate"),
         light_days(F.col("trans_amount"), rate).alias("lighting_days_paid_for"),
         "times",
+        "statistics",
     )
     return _one_per_month(rows, F.sum("times"))
 
 
-def usual_benchmark(tables: Tables, country: str = ZAMBIA, since: date = SINCE) -> DataFrame:
+def usual_benchmark(
+    tables: Tables, months: DataFrame, country: str = ZAMBIA, since: date = SINCE
+) -> DataFrame:
     profiles = _finance_profiles(tables, "benchmark_finance_daily")
-    rows = benchmark_usual_amounts(tables, country, since).join(
+    rows = usual_amounts(months, BENCHMARK).join(
         profiles, F.col("loan_id") == F.col("f_loan_id"), "left"
     )
     rows = _with_month_report(rows, tables, "benchmark_finance_monthly", since)
@@ -275,6 +283,7 @@ def usual_benchmark(tables: Tables, country: str = ZAMBIA, since: date = SINCE)
         rate.alias("daily_rate"),
         light_days(F.col("trans_amount"), rate).alias("lighting_days_paid_for"),
         "times",
+        "statistics",
     )
     # Different transactions are counted, so a repeated profile does not add to them.
     return _one_per_month(rows, F.max("times"))
@@ -362,14 +371,14 @@ def snapshot_terms() -> LoanTerms:
 
 def usual_bookings(
     tables: Tables,
+    months: DataFrame,
     country: str = ZAMBIA,
     since: date = SINCE,
     fix_admin_order: bool = False,
-    admin_naive_local: bool = False,
 ) -> DataFrame:
     """Snapshot system. The two expected amounts stand in swapped places, as in the
     report this follows; ``fix_admin_order`` puts them under their own names."""
-    rows = booking_usual_amounts(tables, country, since, admin_naive_local).join(
+    rows = usual_amounts(months, SNAPSHOT).join(
         booking_schedule(tables, country), F.col("loan_id") == F.col("la_loan_account_id")
     )
     rows = join_snapshots(rows, tables, since).join(
@@ -409,32 +418,43 @@ def usual_bookings(
         F.round(rate, 0).alias("daily_rate"),
         light_days(F.col("trans_amount"), rate).alias("lighting_days_paid_for"),
         "times",
+        "statistics",
     )
     return _one_per_month(rows, F.sum("times"))
 
 
-def usual_payments(
-    tables: Tables,
-    country: str = ZAMBIA,
-    since: date = SINCE,
-    fix_admin_order: bool = False,
-    admin_naive_local: bool = False,
+def _usual_with_statistics(
+    tables: Tables, country: str, since: date, fix_admin_order: bool, admin_naive_local: bool
 ) -> DataFrame:
-    """Usual amount per loan and month of the three systems, equal rows once.
+    """Usual amount per loan and month of the three systems, equal rows once, with ``statistics``.
 
-    Rows are laid out by loan and month first, so that removing duplicates, the
-    join to the statistics and the last grouping share one shuffle.
+    The three arms begin from the same rows, so the payments below them are read once. Rows are
+    laid out by loan and month in the end, so that removing duplicates and the last grouping
+    share one shuffle.
     """
+    months = payments_of_month(tables, country, since, admin_naive_local)
     stacked = stack_by_position(
         [
-            usual_metered(tables, country, since),
-            usual_benchmark(tables, country, since),
-            usual_bookings(tables, country, since, fix_admin_order, admin_naive_local),
+            usual_metered(tables, months, country, since),
+            usual_benchmark(tables, months, country, since),
+            usual_bookings(tables, months, country, since, fix_admin_order),
         ]
     )
     return stacked.repartition("loan_id", "month_end").distinct()
 
 
+def usual_payments(
+    tables: Tables,
+    country: str = ZAMBIA,
+    since: date = SINCE,
+    fix_admin_order: bool = False,
+    admin_naive_local: bool = False,
+) -> DataFrame:
+    """Usual amount per loan and month of the three systems, equal rows once."""
+    rows = _usual_with_statistics(tables, country, since, fix_admin_order, admin_naive_local)
+    return rows.drop("statistics")
+
+
 def repayment_behaviour(
     tables: Tables,
     country: str = ZAMBIA,
@@ -448,10 +468,10 @@ def repayment_behaviour(
     ``mask_key`` replaces the customer's and the agent's names, phones and the way to the
     house by hashes under that key.
     """
-    usual = usual_payments(tables, country, since, fix_admin_order, admin_naive_local)
-    months = whole_months_after(since)
-    statistics = payment_statistics(tables, country, months, admin_naive_local)
-    joined = usual.join(statistics, ["loan_id", "month_end"], "left")
+    usual = _usual_with_statistics(tables, country, since, fix_admin_order, admin_naive_local)
+    joined = usual.withColumn("found", F.explode_outer("statistics")).select(
+        "*", *[F.col(f"found.{name}").alias(name) for name in STATISTICS]
+    )
     keys = [
         "loan_id",
         "loan_type",

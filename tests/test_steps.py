@@ -16,7 +16,7 @@ from loanbook.operators.payer import payment_sources, senders
 from loanbook.operators.payments import daily_payments
 from loanbook.operators.relational import first_row, lookup, newest_row
 from loanbook.operators.snapshots import carried_over_calendar, latest_per_period
-from loanbook.operators.usual import payment_statistics, whole_months_after
+from loanbook.operators.usual import monthly_payments, payment_statistics, payments_of_month, whole_months_after
 from loanbook.plans.first_payments import best_loan_per_customer
 from loanbook.plans.repayment import SINCE, usual_benchmark, usual_bookings, usual_metered
 
@@ -181,8 +181,12 @@ def usual_book(book):
     )
 
 
+def with_months(t, naive_local=False):
+    return t, payments_of_month(t, "ZM", SINCE, naive_local)
+
+
 def test_usual_amount_takes_the_smaller_on_a_tie_and_the_local_month(book):
-    found = rows(usual_metered(usual_book(book)), "month_end", "trans_amount", "frequency",
+    found = rows(usual_metered(*with_months(usual_book(book))), "month_end", "trans_amount", "frequency",
                  "lighting_days_paid_for", "paid_mtd", "months_since_loan_start", "region")
     assert found == [(date(2024, 1, 31), 20.0, 2, 2.0, 7.0, "3", ""),
                      (date(2024, 2, 29), 50.0, 1, 5.0, 1.0, "", "")]
@@ -192,7 +196,7 @@ def test_repeated_dimension_rows_multiply_frequency_where_rows_are_counted(book)
     t = usual_book(book)
     doubled = t["metered_finance_daily"].union(t["metered_finance_daily"])
     t["metered_finance_daily"] = doubled
-    found = rows(usual_metered(t), "trans_amount", "frequency")
+    found = rows(usual_metered(*with_months(t)), "trans_amount", "frequency")
     assert found == [(20.0, 4), (50.0, 2)]
 
 
@@ -215,7 +219,7 @@ def test_benchmark_counts_different_transactions(book):
         benchmark_finance_daily=[dict(loan_id="b1", daily_rate=D(10))] * 2,
         **account_side(item_rows=3),
     )
-    assert rows(usual_benchmark(t), "trans_amount", "frequency") == [(20.0, 2)]
+    assert rows(usual_benchmark(*with_months(t)), "trans_amount", "frequency") == [(20.0, 2)]
     # the statistics count joined rows: 4 transactions, 3 items, 2 x 2 finance rows
     assert rows(payment_statistics(t, "ZM", SINCE), "total_transactions", "max_payment",
                 "min_payment", "avg_payment") == [(48, 30.0, 20.0, 25.0)]
@@ -235,10 +239,10 @@ def test_swapped_amounts_of_the_snapshot_system(book):
     )
     # at 2024-01-31: 61 days since handover, no duration known, so the month's 31 days at 10
     columns = ("month_end", "paid_mtd", "expected_ongoing_mtd", "expected_mtd")
-    assert rows(usual_bookings(t), *columns) == [(date(2024, 2, 29), 40.0, 310.0, None)]
-    assert rows(usual_bookings(t, fix_admin_order=True), *columns) == [
+    assert rows(usual_bookings(*with_months(t)), *columns) == [(date(2024, 2, 29), 40.0, 310.0, None)]
+    assert rows(usual_bookings(*with_months(t), fix_admin_order=True), *columns) == [
         (date(2024, 2, 29), 40.0, None, 310.0)]
-    naive = usual_bookings(t, admin_naive_local=True)
+    naive = usual_bookings(*with_months(t, True))
     assert rows(naive, "month_end") == [(date(2024, 1, 31),)]
 
 

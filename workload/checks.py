@@ -640,6 +640,56 @@ statistics AS (
   GROUP BY 1, 2
 )"""
 
+def _month_profile(after: str, usual_after: str) -> str:
+    """Usual amount and statistics of each system's loans and months, from joined rows."""
+    value = "t.portion_interest + t.portion_principal"
+    metered = """FROM metered_transactions AS t
+  WHERE t.transaction_type_id IN (2, 18, 20, 24, 61) AND t.country = 'ZM'"""
+    case = "EXISTS (SELECT 1 FROM loan_accounts AS a JOIN order_items AS i USING (sales_case_id) WHERE i.country = 'ZM'"
+    benchmark = """FROM benchmark_transactions AS t
+  WHERE t.transaction_type IN ('Loan Payment', 'Loan Transaction Reversal')"""
+    booked = """FROM payment_bookings AS t
+  WHERE t.transaction_type IN ('PaymentChargeTransaction', 'RescueChargeTransaction')"""
+    added, booked_on = _local("t.added_at_utc", "'ZM'"), _local("t.transaction_at", "'ZM'")
+    return f"""
+WITH paid AS (
+  SELECT 'metered' AS system, t.loan_id, {added} AS day, CAST(t.id AS VARCHAR) AS id, {value} AS value,
+         1.0 AS per, true AS own, 1 AS copies
+  {metered}
+  UNION ALL
+  SELECT 'benchmark', t.loan_id, {added}, CAST(t.id AS VARCHAR), {value}, 100.0, true,
+    (SELECT count(*) FROM loan_accounts AS a JOIN order_items AS i USING (sales_case_id)
+     WHERE i.country = 'ZM' AND a.loan_account_id = t.loan_id)
+    * greatest(1, (SELECT count(*) * count(*) FROM benchmark_finance_daily AS f WHERE f.loan_id = t.loan_id))
+  {benchmark} AND {case} AND a.loan_account_id = t.loan_id)
+  UNION ALL
+  SELECT 'snapshot', t.loan_account_id, {booked_on}, CAST(t.payment_booking_id AS VARCHAR), t.amount, 100.0,
+    {case} AND a.loan_account_id = t.loan_account_id AND i.loan_account_id = t.loan_account_id), 1
+  {booked} AND {case} AND a.loan_account_id = t.loan_account_id)
+), dated AS (
+  SELECT *, last_day(day) AS month_end, round(CAST(value AS DOUBLE) / per) AS trans_amount
+  FROM paid WHERE day > DATE '{after}'
+), totals AS (
+  SELECT system, loan_id, month_end,
+    CASE WHEN system = 'snapshot' THEN count(DISTINCT id) ELSE CAST(sum(CASE WHEN id IS NOT NULL THEN copies ELSE 0 END) AS BIGINT) END
+      AS total_transactions,
+    CAST(max(value) AS DOUBLE) / max(per) AS max_payment, CAST(min(value) AS DOUBLE) / max(per) AS min_payment,
+    round(CAST(sum(value) AS DOUBLE) / max(per) / count(value)) AS avg_payment
+  FROM dated GROUP BY system, loan_id, month_end
+), counted AS (
+  SELECT system, loan_id, month_end, trans_amount,
+    CASE WHEN system = 'benchmark' THEN count(DISTINCT id) ELSE count(*) END AS times
+  FROM dated WHERE own AND day > DATE '{usual_after}' GROUP BY system, loan_id, month_end, trans_amount
+), best AS (
+  SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY system, loan_id, month_end
+    ORDER BY times DESC, trans_amount NULLS LAST) = 1
+)
+SELECT t.system, t.loan_id, t.month_end, b.system IS NOT NULL AS has_usual, b.trans_amount, b.times,
+  t.total_transactions, t.max_payment, t.min_payment, t.avg_payment
+FROM totals AS t LEFT JOIN best AS b ON b.system = t.system AND b.month_end = t.month_end
+  AND b.loan_id IS NOT DISTINCT FROM t.loan_id"""
+
+
 SPANS = """
 span_by_name AS (
   SELECT sa_name, min(day) AS first_sale, max(day) AS last_sale FROM (
@@ -818,6 +868,7 @@ FROM loan_accounts AS a RIGHT JOIN first_payments AS q ON q.loan_id = a.loan_acc
   AND q.customer_id = a.customer_id WHERE a.source = 'admin'""",
         "usual_payment_amount": _join(USUAL) + "\nSELECT * FROM usual",
         "payment_statistics": _join(STATISTICS) + "\nSELECT * FROM statistics",
+        "monthly_payment_profile": _month_profile("2023-12-31", "2024-01-15"),
         "repayment_behaviour": _join(USUAL, STATISTICS) + """
 SELECT u.loan_id, u.loan_type, u.months_since_loan_start, u.customer_id, u.customer_name,
   u.primary_phone_number, u.other_phone_numbers, u.region, u.district, u.parish, u.direction,

@@ -33,7 +33,7 @@ from loanbook.operators.snapshots import (
     join_prior_month_end,
     latest_per_period,
 )
-from loanbook.operators.usual import payment_statistics
+from loanbook.operators.usual import monthly_payments, payment_statistics
 from loanbook.plans.first_payments import best_loan_per_customer
 from loanbook.plans.paid_vs_expected import benchmark_arm, metered_arm, snapshot_arm
 from loanbook.plans.repayment import ZAMBIA, join_snapshots, snapshot_terms, usual_payments
@@ -330,6 +330,9 @@ def registered() -> dict[str, Query]:
         "right_join_null_rejecting": right_join_null_rejecting,
         "usual_payment_amount": usual_payments,
         "payment_statistics": lambda t: payment_statistics(t, ZAMBIA),
+        "monthly_payment_profile": lambda t: monthly_payments(
+            t, ZAMBIA, date(2023, 12, 31), date(2024, 1, 15)
+        ),
         "repayment_behaviour": repayment_behaviour,
         "repayment_behaviour_mid_month": lambda t: repayment_behaviour(
             t, since=date(2024, 1, 15)
