@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from loanbook.functions.rules import international_phone
-from loanbook.operators.relational import first_row, pick
+from loanbook.operators.relational import first_row, lookup, pick
 
 Tables = Mapping[str, DataFrame]
 
@@ -65,10 +65,10 @@ def payment_sources(tables: Tables) -> DataFrame:
     first_sales = tables["metered_sales"].where(F.col("sales_order_count") == 1).groupBy(
         F.col("customer_id").alias("fs_person_id")
     ).agg(F.min(F.to_date("start_date_utc")).alias("first_sale_on"))
-    matched = (
-        senders(tables)
-        .join(people, F.col("sender_phone") == F.col("sp_primary_phone"), "left")
-        .join(first_sales, F.col("sp_person_id") == F.col("fs_person_id"), "left")
+    known = senders(tables).join(people, F.col("sender_phone") == F.col("sp_primary_phone"), "left")
+    # Senders that match no person have no id: many rows without a key.
+    matched = lookup(
+        known, first_sales, on=[("sp_person_id", "fs_person_id")], spread_by=["sender_phone"]
     )
     order = [F.col("first_sale_on"), F.col("account_id"), F.col("payment_id")]
     one = first_row(matched, ["sp_person_id"], order)

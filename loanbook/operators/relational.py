@@ -6,6 +6,8 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StringType
+
 
 def pick(df: DataFrame, prefix: str, *columns: str) -> DataFrame:
     """The named columns, renamed to ``<prefix>_<column>`` so joins stay unambiguous."""
@@ -48,28 +50,57 @@ def lookup(
     dimension: DataFrame,
     on: Sequence[tuple[str | Column, str]],
     spread_by: Sequence[str] = (),
-    salts: int = 0,
 ) -> DataFrame:
     """Left join to a dimension. ``on`` pairs a left column or expression with one of its columns.
 
-    A plain join: adaptive execution broadcasts a dimension by its real size, and beyond
-    the limit it splits a hot key's left rows. Where a key is known to be so hot that its
-    rows should never meet in one shuffle partition, ``salts`` repeats the dimension that
-    often and deals the left rows by a hash of ``spread_by``; take the key's rows over those
-    that a task should have.
+    A plain join: adaptive execution broadcasts a dimension by its real size, and beyond the
+    limit it splits a hot key's left rows. Rows without the key find nothing, yet a shuffle puts
+    all of them in one partition; with ``spread_by`` a text key that is NULL is replaced by a
+    hash of these columns, so such rows are dealt over all partitions whether or not splitting
+    is on. Give columns that tell the left rows apart.
     """
     pairs = [(F.col(m) if isinstance(m, str) else m, F.col(theirs)) for m, theirs in on]
     condition = reduce(lambda a, b: a & b, [mine == theirs for mine, theirs in pairs])
-    if not salts:
+    if not spread_by:
         return left.join(dimension, condition, "left")
-    keyed = left.withColumn(
-        "_salt", F.expr(f"CAST(pmod(xxhash64({', '.join(spread_by)}), {salts}) AS INT)")
+    texts = [_is_text(left, mine) for mine, _ in pairs]
+    dealt = F.concat(F.lit(_NO_KEY), F.xxhash64(*spread_by).cast("string"))
+    # The condition on the key itself stays, so a dealt row matches nothing, not even by chance.
+    condition = reduce(
+        lambda a, b: a & b,
+        [
+            (F.coalesce(mine, dealt) == theirs) & mine.isNotNull() if text else mine == theirs
+            for (mine, theirs), text in zip(pairs, texts)
+        ],
     )
-    repeated = dimension.withColumn(
-        "_dimension_salt", F.expr(f"explode(sequence(0, {salts - 1}))")
+    return left.join(dimension, condition, "left")
+
+
+#: What a replaced key begins with; no key of a table does.
+_NO_KEY = "\u0000"
+
+
+def _is_text(df: DataFrame, column: Column) -> bool:
+    return isinstance(df.select(column).schema[0].dataType, StringType)
+
+
+def nested(df: DataFrame, key: str, name: str) -> DataFrame:
+    """One row per key that is not NULL, with the other columns of its rows in an array.
+
+    For tables with a few rows per key, such as the items of a loan.
+    """
+    rest = [c for c in df.columns if c != key]
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.struct(*rest)).alias(name))
+
+
+def left_join_nested(df: DataFrame, name: str, columns: Sequence[str], matches) -> DataFrame:
+    """Spread an array of ``nested`` rows over those that ``matches(row)``, as a left join does:
+    a row without any stays, with NULLs."""
+    found = F.explode_outer(F.filter(F.col(name), matches))
+    spread = df.withColumn("_found", found)
+    return spread.select(
+        *[c for c in df.columns if c != name], *[F.col(f"_found.{c}").alias(c) for c in columns]
     )
-    salted = condition & (F.col("_salt") == F.col("_dimension_salt"))
-    return keyed.join(repeated, salted, "left").drop("_salt", "_dimension_salt")
 
 
 def stack_by_position(frames: Sequence[DataFrame]) -> DataFrame:

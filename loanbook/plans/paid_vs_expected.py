@@ -38,10 +38,16 @@ from loanbook.functions.rules import (
 from loanbook.operators.payments import UGANDA, Country, daily_payments
 from loanbook.operators.places import hub_regions, with_area_manager, with_stock_point
 from loanbook.operators.rates import with_month_end_rate
-from loanbook.operators.relational import newest_row, pick
+from loanbook.operators.relational import (
+    keep_listed,
+    left_join_nested,
+    lookup,
+    nested,
+    newest_row,
+    pick,
+)
 from loanbook.operators.snapshots import (
     actual_or_carried,
-    carried_over_calendar,
     join_prior_month_end,
     latest_per_period,
 )
@@ -356,21 +362,30 @@ def snapshot_arm(
         "terminated_at",
     ).withColumn("period", period_of_day(F.col("d_snapshot_at"), periods))
 
+    # What a loan has, its account and the array of its items, is met once on the loan.
+    item_columns = [c for c in items.columns if c != "oi_loan_account_id"]
+    loans = accounts.join(
+        nested(items, "oi_loan_account_id", "items"),
+        F.col("la_loan_account_id") == F.col("oi_loan_account_id"),
+        "left",
+    ).drop("oi_loan_account_id")
+    rows = lookup(
+        days.join(customers, F.col("d_customer_id") == F.col("cd_customer_id")),
+        managers,
+        on=[
+            ("cd_assigned_to_contractor_id", "ph_sales_agent_id"),
+            ("d_snapshot_at", "ph_benchmark_date"),
+        ],
+        spread_by=["d_loan_account_id", "d_snapshot_at"],
+    ).join(loans, F.col("d_loan_account_id") == F.col("la_loan_account_id"))
+    is_current = F.col("period") == CURRENT_MONTH
     rows = (
-        days.join(customers, F.col("d_customer_id") == F.col("cd_customer_id"))
-        .join(
-            managers,
-            (F.col("cd_assigned_to_contractor_id") == F.col("ph_sales_agent_id"))
-            & (F.col("d_snapshot_at") == F.col("ph_benchmark_date")),
-            "left",
-        )
-        .join(accounts, F.col("d_loan_account_id") == F.col("la_loan_account_id"))
-        .join(
-            items,
-            (F.col("d_loan_account_id") == F.col("oi_loan_account_id"))
-            & (F.col("d_customer_id") == F.col("oi_customer_id"))
-            & ((F.col("period") == CURRENT_MONTH) == F.col("oi_current")),
-            "left",
+        left_join_nested(
+            rows,
+            "items",
+            item_columns,
+            lambda item: (item["oi_customer_id"] == F.col("d_customer_id"))
+            & (item["oi_current"] == is_current),
         )
         .withColumnRenamed("d_loan_account_id", "loan_id")
         .withColumnRenamed("d_snapshot_at", "report_date")
@@ -423,20 +438,27 @@ def snapshot_arm(
     )
 
 
-def benchmark_daily(tables: Tables, periods: Sequence[Period]) -> DataFrame:
-    """Daily benchmarks with last month's report, customer, manager, account and item."""
-    windows = _lookbacks(periods)
-    last_month = next(p for p in periods if p.name == LAST_MONTH)
+def benchmark_days(tables: Tables, windows) -> DataFrame:
+    """Daily benchmarks (``d_``) of some days, with the rate in units."""
     days = pick(
         tables["benchmark_days"].where(within_any(F.col("benchmark_date"), windows)),
         "d",
-        "loan_id",
+        "benchmark_date",
         "customer_id",
         "loan_state",
-        "benchmark_date",
         "daily_rate",
         "days_elapsed",
+        "loan_id",
     )
+    return days.withColumn("d_daily_rate", units(F.col("d_daily_rate"))).withColumnRenamed(
+        "d_daily_rate", "d_rate"
+    )
+
+
+def with_benchmark_context(days: DataFrame, tables: Tables, periods: Sequence[Period]) -> DataFrame:
+    """Add last month's report, customer, manager, account and item to daily benchmarks."""
+    windows = _lookbacks(periods)
+    last_month = next(p for p in periods if p.name == LAST_MONTH)
     reports = pick(
         tables["benchmark_finance_monthly"].where(
             F.col("report_date").isin(*month_ends_before(windows))
@@ -488,22 +510,17 @@ def benchmark_daily(tables: Tables, periods: Sequence[Period]) -> DataFrame:
     rows = join_prior_month_end(
         days, reports, ("d_loan_id", "l_loan_id"), "d_benchmark_date", "l_report_date"
     )
-    return (
-        rows.join(customers, F.col("d_customer_id") == F.col("cd_customer_id"), "left")
-        .join(
-            managers,
-            (F.col("cd_agent_id") == F.col("ph_sales_agent_id"))
-            & (F.col("d_benchmark_date") == F.col("ph_benchmark_date")),
-            "left",
-        )
-        .join(
-            sold,
-            (F.col("d_loan_id") == F.col("la_loan_account_id"))
-            & (F.col("d_customer_id") == F.col("la_customer_id"))
-            & (within(F.col("d_benchmark_date"), last_month.days) == F.col("la_located")),
-            "left",
-        )
-        .withColumn("d_rate", units(F.col("d_daily_rate")))
+    return lookup(
+        rows.join(customers, F.col("d_customer_id") == F.col("cd_customer_id"), "left"),
+        managers,
+        on=[("cd_agent_id", "ph_sales_agent_id"), ("d_benchmark_date", "ph_benchmark_date")],
+        spread_by=["d_loan_id", "d_benchmark_date"],
+    ).join(
+        sold,
+        (F.col("d_loan_id") == F.col("la_loan_account_id"))
+        & (F.col("d_customer_id") == F.col("la_customer_id"))
+        & (within(F.col("d_benchmark_date"), last_month.days) == F.col("la_located")),
+        "left",
     )
 
 
@@ -511,10 +528,24 @@ def benchmark_arm(
     tables: Tables, periods: Sequence[Period], paid: DataFrame, country: Country = UGANDA
 ) -> DataFrame:
     """Benchmark system: actual day, else the newest day carried forward."""
-    daily = benchmark_daily(tables, periods)
     by_area = area_region(F.col("cd_country"), F.col("cd_area1"), F.col("cd_area2"))
-    carried = carried_over_calendar(
-        daily.where(F.col("cd_country") == country.code).select(
+    in_country = tables["customers"].where(F.col("country") == country.code)
+    # The newest row of the country's loans first: its customer is all it has met by then. What
+    # describes it is joined to that one row, and may repeat it, so it is reduced once more.
+    newest = latest_per_period(
+        keep_listed(
+            benchmark_days(tables, _lookbacks(periods)), "d_customer_id", in_country, "customer_id"
+        ),
+        periods,
+        day="d_benchmark_date",
+        loan="d_loan_id",
+    )
+    described = with_benchmark_context(newest, tables, periods).where(
+        F.col("cd_country") == country.code
+    )
+    carried = newest_row(
+        described.select(
+            "period",
             F.col("d_loan_id").alias("loan_id"),
             "d_benchmark_date",
             F.col("d_customer_id").alias("ll_customer_id"),
@@ -527,13 +558,12 @@ def benchmark_arm(
             F.col("cd_country").alias("ll_country"),
             by_area.alias("ll_region"),
         ),
-        periods,
-        day="d_benchmark_date",
-        loan="loan_id",
-        report_day="report_date",
-    ).drop("d_benchmark_date")
+        ["period", "loan_id"],
+        [F.col("d_benchmark_date")],
+    )
+    carried = with_calendar(carried.drop("d_benchmark_date"), periods, "report_date")
 
-    actual = daily.where(within_any(F.col("d_benchmark_date"), _days_of(periods)))
+    actual = with_benchmark_context(benchmark_days(tables, _days_of(periods)), tables, periods)
     rows = carried.join(
         actual,
         (F.col("loan_id") == F.col("d_loan_id"))

@@ -5,8 +5,11 @@ import re
 
 import pytest
 
+from loanbook.operators.payments import daily_payments
+from loanbook.plans.paid_vs_expected import benchmark_arm, snapshot_arm
 from loanbook.plans.repayment import repayment_behaviour
 from loanbook.sources import load_parquet
+from workload.queries import PERIODS
 from workload.staging import TABLES, StagedTables
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -25,12 +28,6 @@ def stored(spark, tmp_path_factory):
     return load_parquet(spark, str(folder))
 
 
-def final_plan(df) -> str:
-    """The plan as it ran, with what was reused named once."""
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def scans(plan: str, table: str) -> int:
     """Scans of a table; a reused exchange names none."""
     return len(re.findall(rf"FileScan parquet .*?/{table}\.parquet", plan))
@@ -38,22 +35,51 @@ def scans(plan: str, table: str) -> int:
 
 @pytest.fixture
 def as_at_scale(spark):
-    """No side is small enough for a broadcast that the plan doesn't ask for."""
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield spark
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    """Plans as they are made: no side is small enough for a broadcast that is not asked for."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def physical(df):
+    return df._jdf.queryExecution().executedPlan()
 
 
-def physical(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+def ways_to(node, table: str, above: tuple = ()) -> list[tuple]:
+    """For every scan of a table, the nodes above it, from the result down."""
+    name = node.nodeName()
+    if name.startswith("Scan parquet") and f"/{table}.parquet" in node.toString():
+        return [above]
+    children = node.children()
+    found = []
+    for i in range(children.size()):
+        found += ways_to(children.apply(i), table, (*above, name))
+    return found
 
 
 def test_repayment_reads_each_payment_table_once(as_at_scale, stored):
-    as_at_scale.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = physical(repayment_behaviour(stored))
-    finally:
-        as_at_scale.conf.set("spark.sql.adaptive.enabled", "true")
+    plan = physical(repayment_behaviour(stored)).toString()
     for table in ("metered_transactions", "benchmark_transactions", "payment_bookings"):
         assert scans(plan, table) == 1, table
+
+
+def test_snapshot_days_move_four_times(as_at_scale, stored):
+    plan = physical(snapshot_arm(stored, PERIODS, daily_payments(stored, PERIODS)))
+    (way,) = ways_to(plan, "snapshot_days")
+    assert way.count("Exchange") <= 4
+    # customer, manager, the loan with its items, payments
+    assert sum("Join" in name for name in way) == 4
+
+
+def test_newest_benchmark_row_is_chosen_before_it_is_described(as_at_scale, stored):
+    plan = physical(benchmark_arm(stored, PERIODS, daily_payments(stored, PERIODS)))
+    reduced = []
+    for way in ways_to(plan, "benchmark_days"):
+        below = [i for i, name in enumerate(way) if "Generate" in name]  # a day's periods
+        if below:
+            reduced.append(sum("Join" in name for name in way[below[-1] :]))
+    assert reduced == [1], "only the customer's country is met before"

@@ -14,7 +14,7 @@ from loanbook.operators.agents import (
 )
 from loanbook.operators.payer import payment_sources, senders
 from loanbook.operators.payments import daily_payments
-from loanbook.operators.relational import first_row, lookup, newest_row
+from loanbook.operators.relational import first_row, left_join_nested, lookup, nested, newest_row
 from loanbook.operators.snapshots import carried_over_calendar, latest_per_period
 from loanbook.operators.usual import monthly_payments, payment_statistics, payments_of_month, whole_months_after
 from loanbook.plans.first_payments import best_loan_per_customer
@@ -45,18 +45,63 @@ def test_first_row_reduces_before_the_shuffle(spark):
     assert "partial_min" in plan and "Window" not in plan
 
 
-def test_lookup_gives_the_same_rows_plain_and_salted(spark):
+def test_lookup_gives_the_same_rows_with_keys_dealt(spark):
     left = spark.range(3000).select(
-        F.col("id"), F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("k")
+        F.col("id"), F.when(F.col("id") % 3 > 0, F.lit("hot")).alias("k"), (F.col("id") % 2).alias("n")
+    )
+    small = spark.createDataFrame(
+        [("hot", 1, 0), ("hot", 2, 1), ("cold", 3, 0), (None, 4, 0)], "name string, v int, m int"
     )
-    small = spark.createDataFrame([("hot", 1), ("hot", 2), ("cold", 3)], "name string, v int")
 
-    def counted(salts):
-        found = lookup(left, small, on=[("k", "name")], spread_by=["id"], salts=salts)
+    def counted(on, spread_by):
+        found = lookup(left, small, on=on, spread_by=spread_by)
         return sorted(map(tuple, found.groupBy("k", "v").count().collect()), key=str)
 
-    assert counted(0) == counted(16) == [
+    assert counted([("k", "name")], ()) == counted([("k", "name")], ["id"]) == [
         ("hot", 1, 2000), ("hot", 2, 2000), (None, None, 1000)]
+    both = [("k", "name"), ("n", "m")]
+    assert counted(both, ()) == counted(both, ["id"]) == [
+        ("hot", 1, 1000), ("hot", 2, 1000), (None, None, 1000)]
+
+
+def test_rows_without_a_key_are_dealt_over_all_tasks(spark):
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    left = spark.range(9000).select(
+        "id", F.when(F.col("id") % 3 > 0, F.concat(F.lit("a"), F.col("id"))).alias("agent")
+    )
+    agents = spark.range(9000).select(F.concat(F.lit("a"), F.col("id")).alias("name"))
+
+    def largest(spread_by):
+        found = lookup(left, agents, on=[("agent", "name")], spread_by=spread_by)
+        counts = found.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(r["count"] for r in counts) == 9000
+        return max(r["count"] for r in counts)
+
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        assert largest(()) > 3000
+        assert largest(["id"]) < 1500
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_nested_rows_join_as_a_left_join(spark):
+    left = spark.createDataFrame([("x", 1), ("x", 2), ("y", 1), (None, 1)], "k string, n int")
+    right = spark.createDataFrame(
+        [("x", 1, "a"), ("x", 1, "b"), ("x", None, "c"), ("z", 1, "d"), (None, 1, "e")],
+        "rk string, rn int, v string",
+    )
+    wide = left.join(nested(right, "rk", "found"), F.col("k") == F.col("rk"), "left").drop("rk")
+    mine = left_join_nested(wide, "found", ["rn", "v"], lambda r: r["rn"] == F.col("n"))
+    plain = left.join(right, (F.col("k") == F.col("rk")) & (F.col("n") == F.col("rn")), "left").drop("rk")
+    assert sorted(map(tuple, mine.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
 
 
 def test_statistics_of_a_month_are_whole():
