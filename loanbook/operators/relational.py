@@ -84,13 +84,14 @@ def _is_text(df: DataFrame, column: Column) -> bool:
     return isinstance(df.select(column).schema[0].dataType, StringType)
 
 
-def nested(df: DataFrame, key: str, name: str) -> DataFrame:
-    """One row per key that is not NULL, with the other columns of its rows in an array.
+def nested(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """One row per key without NULLs, with the other columns of its rows in an array.
 
-    For tables with a few rows per key, such as the items of a loan.
+    For tables with a few rows per key, such as a loan's items or its days of one month.
     """
-    rest = [c for c in df.columns if c != key]
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(F.struct(*rest)).alias(name))
+    rest = [c for c in df.columns if c not in keys]
+    known = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+    return df.where(known).groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias(name))
 
 
 def left_join_nested(df: DataFrame, name: str, columns: Sequence[str], matches) -> DataFrame:

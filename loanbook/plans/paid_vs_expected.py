@@ -86,6 +86,44 @@ def _join_payments(df: DataFrame, paid: DataFrame, when) -> DataFrame:
     return df.join(payments, on if when is None else on & when, "left")
 
 
+def _beside(
+    df: DataFrame, other: DataFrame, loan: str, day: str, periods: Sequence[Period], name: str
+) -> DataFrame:
+    """Put a loan's rows of each period beside the loan's row of the period, as an array."""
+    keyed = other.select(
+        "*", F.col(loan).alias("_loan"), period_of_day(F.col(day), periods).alias("_period")
+    )
+    rows = nested(keyed, ["_loan", "_period"], name)
+    same = (F.col("loan_id") == F.col("_loan")) & (F.col("period") == F.col("_period"))
+    return df.join(rows, same, "left").drop("_loan", "_period")
+
+
+def _over_calendar(
+    carried: DataFrame, actual: DataFrame, paid: DataFrame, periods: Sequence[Period], when
+) -> DataFrame:
+    """A loan's row of a period on each of its days, with the actual row and payments of the day.
+
+    The loan's actual days and payments are met once per period; each day then looks its own
+    up, so no join sees the rows that the calendar makes. Payments count where ``when`` holds.
+    """
+    payments = pick(paid, "p", "loan_id", "payment_date", "amount_paid")
+    rows = _beside(carried, actual, "d_loan_id", "d_benchmark_date", periods, "actual")
+    rows = _beside(rows, payments, "p_loan_id", "p_payment_date", periods, "payments")
+    day = F.col("report_date")
+    rows = left_join_nested(
+        with_calendar(rows, periods, "report_date"),
+        "actual",
+        actual.columns,
+        lambda row: row["d_benchmark_date"] == day,
+    )
+    return left_join_nested(
+        rows,
+        "payments",
+        ["p_payment_date", "p_amount_paid"],
+        lambda row: (row["p_payment_date"] == day) & when,
+    )
+
+
 def _days_of(periods: Sequence[Period]):
     return [p.days for p in periods]
 
@@ -186,7 +224,6 @@ def metered_arm(
     carried = carried.join(
         states, (F.col("loan_id") == F.col("sh_loan_id")) & is_current, "left"
     ).drop("sh_loan_id")
-    carried = with_calendar(carried, periods, "report_date")
 
     reasons = tables["metered_cancellations"].select(
         F.col("loan_id").alias("crh_loan_id"),
@@ -200,14 +237,8 @@ def metered_arm(
         & (F.col("d_benchmark_date") == F.col("crh_day")),
         "left",
     )
-    rows = carried.join(
-        actual,
-        (F.col("loan_id") == F.col("d_loan_id"))
-        & (F.col("report_date") == F.col("d_benchmark_date")),
-        "left",
-    )
     # Outside the month to date a payment needs the loan's actual row of that day.
-    rows = _join_payments(rows, paid, is_current | F.col("d_loan_id").isNotNull())
+    rows = _over_calendar(carried, actual, paid, periods, is_current | F.col("d_loan_id").isNotNull())
 
     rate = amount(actual_or_carried("d_daily_rate", "ll_daily_rate"))
     length, intro = F.col("sd_loan_duration"), F.col("sd_introductory_period")
@@ -365,7 +396,7 @@ def snapshot_arm(
     # What a loan has, its account and the array of its items, is met once on the loan.
     item_columns = [c for c in items.columns if c != "oi_loan_account_id"]
     loans = accounts.join(
-        nested(items, "oi_loan_account_id", "items"),
+        nested(items, ["oi_loan_account_id"], "items"),
         F.col("la_loan_account_id") == F.col("oi_loan_account_id"),
         "left",
     ).drop("oi_loan_account_id")
@@ -561,16 +592,10 @@ def benchmark_arm(
         ["period", "loan_id"],
         [F.col("d_benchmark_date")],
     )
-    carried = with_calendar(carried.drop("d_benchmark_date"), periods, "report_date")
-
     actual = with_benchmark_context(benchmark_days(tables, _days_of(periods)), tables, periods)
-    rows = carried.join(
-        actual,
-        (F.col("loan_id") == F.col("d_loan_id"))
-        & (F.col("report_date") == F.col("d_benchmark_date")),
-        "left",
+    rows = _over_calendar(
+        carried.drop("d_benchmark_date"), actual, paid, periods, F.col("d_loan_id").isNotNull()
     )
-    rows = _join_payments(rows, paid, F.col("d_loan_id").isNotNull())
 
     # Last month alone shows a Ugandan loan under its hub's region.
     region = (

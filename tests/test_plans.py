@@ -6,7 +6,7 @@ import re
 import pytest
 
 from loanbook.operators.payments import daily_payments
-from loanbook.plans.paid_vs_expected import benchmark_arm, snapshot_arm
+from loanbook.plans.paid_vs_expected import benchmark_arm, metered_arm, snapshot_arm
 from loanbook.plans.repayment import repayment_behaviour
 from loanbook.sources import load_parquet
 from workload.queries import PERIODS
@@ -77,9 +77,21 @@ def test_snapshot_days_move_four_times(as_at_scale, stored):
 
 def test_newest_benchmark_row_is_chosen_before_it_is_described(as_at_scale, stored):
     plan = physical(benchmark_arm(stored, PERIODS, daily_payments(stored, PERIODS)))
-    reduced = []
+    below = []
     for way in ways_to(plan, "benchmark_days"):
-        below = [i for i, name in enumerate(way) if "Generate" in name]  # a day's periods
-        if below:
-            reduced.append(sum("Join" in name for name in way[below[-1] :]))
-    assert reduced == [1], "only the customer's country is met before"
+        deepest = max(i for i, name in enumerate(way) if "Generate" in name)
+        below.append(sum("Join" in name for name in way[deepest:]))
+    # One way ends in the explode of a day's periods, below which only the country is met.
+    assert min(below) == 1
+
+
+def test_no_join_sees_the_rows_of_the_calendar(as_at_scale, stored):
+    """The last explode of a carried row is above every join of its arm."""
+    paid = daily_payments(stored, PERIODS)
+    for arm, table in ((metered_arm, "metered_days"), (benchmark_arm, "benchmark_days")):
+        ways = ways_to(physical(arm(stored, PERIODS, paid)), table)
+        assert ways
+        for way in ways:
+            first = next(i for i, name in enumerate(way) if "Join" in name)
+            # calendar, actual days and payments are spread over the highest join
+            assert sum("Generate" in name for name in way[:first]) == 3, way

@@ -98,7 +98,7 @@ def test_nested_rows_join_as_a_left_join(spark):
         [("x", 1, "a"), ("x", 1, "b"), ("x", None, "c"), ("z", 1, "d"), (None, 1, "e")],
         "rk string, rn int, v string",
     )
-    wide = left.join(nested(right, "rk", "found"), F.col("k") == F.col("rk"), "left").drop("rk")
+    wide = left.join(nested(right, ["rk"], "found"), F.col("k") == F.col("rk"), "left").drop("rk")
     mine = left_join_nested(wide, "found", ["rn", "v"], lambda r: r["rn"] == F.col("n"))
     plain = left.join(right, (F.col("k") == F.col("rk")) & (F.col("n") == F.col("rn")), "left").drop("rk")
     assert sorted(map(tuple, mine.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)

@@ -6,6 +6,8 @@ period rule), not the way the Spark plans get there.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from workload.staging import check_sql
 
 PERIOD = """
@@ -981,8 +983,79 @@ FROM loan_accounts""",
     }
 
 
+def _replaced(text: str, *changes: tuple[str, str]) -> str:
+    for old, new in changes:
+        assert old in text, old
+        text = text.replace(old, new)
+    return text
+
+
+def _paid_vs_expected(as_of: date, code: str = "UG", name: str = "Uganda") -> str:
+    """Paid against expected of another day or country, with the rules that differ there."""
+    end = as_of - timedelta(days=1)
+    month = end.replace(day=1)
+    last_month_end = month - timedelta(days=1)
+    last_month = (last_month_end.replace(day=1), min(last_month_end, last_month_end.replace(day=min(end.day, last_month_end.day))))
+    last_year = (month.replace(year=month.year - 1), end.replace(year=end.year - 1))
+    back = (as_of.replace(day=1) - timedelta(days=1)).replace(day=1)
+    period = _replaced(
+        PERIOD,
+        ("DATE '2024-03-01', DATE '2024-03-30', DATE '2024-02-01'", f"DATE '{month}', DATE '{end}', DATE '{back}'"),
+        ("DATE '2024-02-01', DATE '2024-02-29', DATE '2024-02-01'",
+         f"DATE '{last_month[0]}', DATE '{last_month[1]}', DATE '{last_month[0]}'"),
+        ("DATE '2023-03-01', DATE '2023-03-30', DATE '2023-03-01'",
+         f"DATE '{last_year[0]}', DATE '{last_year[1]}', DATE '{last_year[0]}'"),
+    )
+    paid = _replaced(
+        PAID,
+        ("WHERE date_trunc('month', payment_date) = DATE '2024-03-01'",
+         f"WHERE date_trunc('month', payment_date) = DATE '{as_of.replace(day=1)}'"),
+        ("DATE '2024-02-01' AND payment_date < DATE '2024-03-01'", f"DATE '{last_month[0]}' AND payment_date < DATE '{month}'"),
+        ("DATE '2023-03-01' AND payment_date < DATE '2024-03-01'", f"DATE '{last_year[0]}' AND payment_date < DATE '{month}'"),
+        ("day(payment_date) <= 30", f"day(payment_date) <= {end.day}"),
+    )
+    metered, snapshot, benchmark = METERED_ARM, SNAPSHOT_ARM, BENCHMARK_ARM
+    if code != "UG":
+        paid = _replaced(paid, ("LIKE 'ug%'", f"LIKE '{code.lower()}%'"), ("country = 'UG'", f"country = '{code}'"))
+        metered = _replaced(metered, ("WHERE s.country_of_sale = 'Uganda'", f"WHERE s.country_of_sale = '{name}'"))
+        benchmark = _replaced(benchmark, ("WHERE c.country = 'UG'", f"WHERE c.country = '{code}'"))
+        snapshot = _replaced(
+            snapshot,
+            ("c.country = 'UG'", f"c.country = '{code}'"),
+            # rates of 30.5 days for every loan type
+            ("WHEN loan_type = 'paygo' AND handover <= DATE '2022-04-14' THEN inst / 30.5\n"
+             "               WHEN loan_type = 'paygo' THEN inst\n"
+             "               WHEN loan_type = 'arrears' THEN item_rate\n"
+             "               ELSE inst / 30.5 END", "WHEN TRUE THEN inst / 30.5 END"),
+        )
+    if code == "KE":
+        snapshot = _replaced(
+            snapshot,
+            ("THEN h.hub_region ELSE", "THEN k.subcounty ELSE"),
+            ("  LEFT JOIN hub AS h", "  LEFT JOIN hub_stock_point AS k ON k.hub_id = c.hub_id\n  LEFT JOIN hub AS h"),
+            ("dpd AS intro", "CASE WHEN loan_type <> 'paygo' OR day < DATE '2022-03-21' THEN 30.5 "
+                             "WHEN loan_type = 'paygo' THEN 7 ELSE dpd END AS intro"),
+            ("WHEN state IN ('rescheduled', 'canceled', 'paid_off') THEN 0", "WHEN state IN ('rescheduled', 'paid_off') THEN 0"),
+        )
+    if code == "TZ":
+        snapshot = _replaced(
+            snapshot,
+            ("THEN h.hub_region ELSE", "THEN g.region ELSE"),
+            ("m.manager_name,", "g.manager AS manager_name,"),
+            ("  LEFT JOIN hub AS h", "  LEFT JOIN area_manager AS g ON g.area2 = c.area2\n  LEFT JOIN hub AS h"),
+            ("dpd AS intro", "CASE WHEN loan_type <> 'paygo' THEN 30.5 ELSE dpd END AS intro"),
+        )
+    return _join(period, paid, metered, snapshot, benchmark) + f"""
+SELECT x.*, r.end_of_month_rate AS eom_rate_usd FROM (
+  SELECT * FROM metered_out UNION ALL SELECT * FROM snapshot_out
+  UNION ALL SELECT * FROM benchmark_out) AS x
+LEFT JOIN fx_rates AS r ON r.month = last_day(x.report_date)
+  AND r.country = {COUNTRY_OF_CODE.format(c='x.country')}"""
+
+
 def _variants(bodies: dict[str, str]) -> dict[str, str]:
-    """The behaviour report from the middle of a month, and with its amounts in order."""
+    """The behaviour report from the middle of a month, and with its amounts in order; paid
+    against expected on the 1st, and in countries with rules of their own."""
     report = bodies["repayment_behaviour"]
     swapped = f"{_EXPECTED} AS expected_first, {_ONGOING} AS expected_second"
     ordered = f"{_ONGOING} AS expected_first, {_EXPECTED} AS expected_second"
@@ -990,6 +1063,10 @@ def _variants(bodies: dict[str, str]) -> dict[str, str]:
     return {
         "repayment_behaviour_mid_month": report.replace("DATE '2023-12-31'", "DATE '2024-01-15'"),
         "repayment_behaviour_ordered": report.replace(swapped, ordered),
+        "repayment_behaviour_naive_local": _replaced(report, ("t.transaction_at + (", "t.transaction_at - (")),
+        "paid_vs_expected_first_of_month": _paid_vs_expected(date(2024, 4, 1)),
+        "paid_vs_expected_kenya": _paid_vs_expected(date(2022, 3, 28), "KE", "Kenya"),
+        "paid_vs_expected_tanzania": _paid_vs_expected(date(2024, 3, 31), "TZ", "Tanzania"),
     }
 
 

@@ -25,7 +25,7 @@ from loanbook.operators.agents import (
     sales_span_by_name,
 )
 from loanbook.operators.payer import associators, payment_sources, senders
-from loanbook.operators.payments import UGANDA, daily_payments
+from loanbook.operators.payments import UGANDA, Country, daily_payments
 from loanbook.operators.rates import with_month_end_rate
 from loanbook.operators.relational import keep_listed, lookup, pick
 from loanbook.operators.snapshots import (
@@ -317,6 +317,13 @@ def registered() -> dict[str, Query]:
         "paid_vs_expected_actual_or_latest": paid_vs_expected_actual_or_latest,
         "expected_schedule_admin": expected_schedule_admin,
         "paid_vs_expected_periods": lambda t: paid_vs_expected(t, AS_OF),
+        # The 1st takes the payments of a month without calendar days; Kenya's span reaches both
+        # sides of its rule change, and like Tanzania it has regions and first days of its own.
+        "paid_vs_expected_first_of_month": lambda t: paid_vs_expected(t, date(2024, 4, 1)),
+        "paid_vs_expected_kenya": lambda t: paid_vs_expected(
+            t, date(2022, 3, 28), Country("KE", "Kenya")
+        ),
+        "paid_vs_expected_tanzania": lambda t: paid_vs_expected(t, AS_OF, Country("TZ", "Tanzania")),
         "month_end_rate": month_end_rate,
         "prior_month_end_lookup": prior_month_end_lookup,
         "payer_first_sale": payment_sources,
@@ -338,6 +345,7 @@ def registered() -> dict[str, Query]:
             t, since=date(2024, 1, 15)
         ),
         "repayment_behaviour_ordered": lambda t: repayment_behaviour(t, fix_admin_order=True),
+        "repayment_behaviour_naive_local": lambda t: repayment_behaviour(t, admin_naive_local=True),
         "local_month_end": local_month_ends,
         "snapshot_vs_previous_month": snapshot_vs_previous_month,
         "product_segment": product_segments,
