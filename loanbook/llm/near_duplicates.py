@@ -11,20 +11,22 @@ A bucket never emits all of its pairs. First its members are compared with one o
 bucket's hub; hubs differ between bands, so a large group of copies is connected by many
 stars. Where a bucket still holds several components, the members outside its largest one
 are compared with all others of the bucket, signatures against signatures in blocks of
-bounded size, and only the survivors leave a block. So every candidate pair is verified,
-dropped by the posterior bound, or between members known to be connected.
+bounded size. In the first rounds each of these members passes on its few most similar
+partners of other components only; these are verified, and components grow together. In the
+last round every survivor leaves its block. So every candidate pair is verified, dropped by
+the posterior bound, or between members known to be connected.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import comb
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanbook.llm.common import lowered, words, written
@@ -43,6 +45,9 @@ class NearPlan:
     seed: int = 1
     #: members on either side of a block of comparisons
     block: int = 1024
+    #: rounds in which a member passes on its best partners, before the round of all survivors
+    rounds: int = 2
+    best: int = 4
 
     @property
     def hashes(self) -> int:
@@ -118,10 +123,11 @@ def signed(docs: DataFrame, plan: NearPlan, *, key="doc_id", text="text") -> Dat
                     bands.append(None)
                     continue
                 sig = signature(s, keys)
+                # 16 bits are kept of each value; equal ones by chance only add matches
+                signatures.append(sig.astype(np.uint16).tobytes())
                 band = np.arange(plan.bands, dtype=np.uint64) + np.uint64(plan.bands)
                 for column in sig.reshape(plan.bands, plan.rows).T:
                     band = _mixed(band * MIX + column)
-                signatures.append(sig.tobytes())
                 bands.append(band.view(np.int64))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(signatures, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
@@ -142,8 +148,8 @@ def _alive(left: np.ndarray, right: np.ndarray, plan: NearPlan) -> np.ndarray:
     return alive
 
 
-def _signatures(packed: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.uint32).reshape(len(packed), -1)
+def _signatures(packed: Sequence[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), np.uint16).reshape(len(packed), -1)
 
 
 def _survives(plan: NearPlan):
@@ -157,37 +163,91 @@ def _survives(plan: NearPlan):
     return survives
 
 
-def _between_parts(told: DataFrame, open_bands: DataFrame, plan: NearPlan) -> DataFrame:
-    """Surviving pairs (a, b) between the parts of open bands.
+def _partners(signatures: np.ndarray, plan: NearPlan):
+    """Rows of a block that a signature survives against, with the matches, among those allowed."""
+    steps = [
+        (np.ascontiguousarray(signatures[:, n - plan.batch : n]), slice(n - plan.batch, n), least)
+        for n, least in plan.least_matches()
+    ]
 
-    ``told`` has band, rep, label and signature; ``open_bands`` band, n and the largest label.
-    The smaller parts meet the whole band in blocks of ``plan.block`` by as many.
+    def of(sig: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        (values, part, least), *rest = steps
+        matches = np.count_nonzero(values == sig[part], axis=1)
+        rows = np.flatnonzero(allowed & (matches >= least))
+        matches = matches[rows]
+        for values, part, least in rest:
+            matches = matches + np.count_nonzero(values[rows] == sig[part], axis=1)
+            kept = matches >= least
+            rows, matches = rows[kept], matches[kept]
+        return rows, matches
+
+    return of
+
+
+def _between_parts(told: DataFrame, sigs: DataFrame, open_bands: DataFrame, plan: NearPlan, best: int | None) -> DataFrame:
+    """Surviving pairs between the parts of open bands: x, y and their ``matches``.
+
+    ``told`` has band, node and label; ``open_bands`` band, n and the largest label. The smaller
+    parts meet the whole band in blocks of ``plan.block`` by as many. With ``best``, a member
+    has so many partners from each block.
     """
-    held = told.join(open_bands, "band").withColumn("blocks", F.ceil(F.col("n") / plan.block).cast("int"))
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    held = told.join(open_bands, "band").join(sigs, "node")
+    held = held.withColumn("blocks", F.ceil(F.col("n") / plan.block).cast("int"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     few = held.where(F.col("label") != F.col("largest")).select(
-        F.col("band").alias("_xb"), own.alias("_xi"), others.alias("_xj"),
-        F.col("rep").alias("_xr"), F.col("label").alias("_xl"), F.col("_sig").alias("_xs"),
+        "band", own.alias("i"), others.alias("j"), F.lit(True).alias("few"), "node", "label", "_sig"
     )
-    everyone = held.select(
-        F.col("band").alias("_yb"), others.alias("_yi"), own.alias("_yj"),
-        F.col("rep").alias("_yr"), F.col("label").alias("_yl"), F.col("_sig").alias("_ys"),
-    )
+    everyone = held.select("band", others.alias("i"), own.alias("j"), F.lit(False).alias("few"), "node", "label", "_sig")
+    blocks = few.unionByName(everyone).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+
+    def compared(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
+        """All blocks of a table, one after the other."""
+        found: list[tuple] = []
+        sigs = _signatures(rows["_sig"].to_pylist())
+        nodes, few = rows["node"].to_pylist(), rows["few"].to_numpy()
+        labels = rows["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+        for start, end in zip([0, *ends[:-1]], ends):
+            x = start + np.flatnonzero(few[start:end])
+            y = start + np.flatnonzero(~few[start:end])
+            if not len(x) or not len(y):
+                continue
+            partners = _partners(sigs[y], plan)
+            for row in x:
+                at, matches = partners(sigs[row], labels[y] != labels[row])
+                if best is not None and len(at) > best:
+                    most = np.argsort(-matches, kind="stable")[:best]
+                    at, matches = at[most], matches[most]
+                found += [(nodes[row], nodes[r], m) for r, m in zip(y[at].tolist(), matches.tolist())]
+        columns = list(zip(*found)) or [[], [], []]
+        arrays = [pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.binary(), pa.int32()))]
+        return pa.RecordBatch.from_arrays(arrays, names=["x", "y", "matches"])
 
-    def compare(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(x) and len(y):
-            right = _signatures(y["_ys"])
-            reps, labels = y["_yr"].to_numpy(), y["_yl"].to_numpy()
-            for rep, label, sig in zip(x["_xr"], x["_xl"], _signatures(x["_xs"])):
-                other = np.flatnonzero(labels != label)
-                kept = other[_alive(np.broadcast_to(sig, (len(other), len(sig))), right[other], plan)]
-                out += [(min(rep, r), max(rep, r)) for r in reps[kept].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
-
-    sides = few.groupBy("_xb", "_xi", "_xj").cogroup(everyone.groupBy("_yb", "_yi", "_yj"))
-    return sides.applyInPandas(compare, "a bigint, b bigint")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the block that the last batch broke off
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            if not rows.num_rows:
+                continue
+            keys = np.stack([rows[c].to_numpy() for c in ("band", "i", "j")])
+            ends = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            if len(ends):
+                yield compared(rows.slice(0, ends[-1]), ends)
+                rows = rows.slice(ends[-1])
+            held = rows
+        if held is not None and held.num_rows:
+            yield compared(held, np.array([held.num_rows]))
+
+    return blocks.mapInArrow(run, "x binary, y binary, matches int")
+
+
+def _as_pairs(found: DataFrame, best: int | None) -> DataFrame:
+    """Different pairs (a, b); with ``best``, the so many most similar of each x."""
+    if best is not None:
+        rank = F.row_number().over(Window.partitionBy("x").orderBy(F.desc("matches"), "y"))
+        found = found.distinct().withColumn("rank", rank).where(F.col("rank") <= best)
+    return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def _linked(percent: int):
@@ -227,85 +287,109 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, plan: NearPlan = NearPlan(), *, key="doc_id", text="text") -> DataFrame:
-    """Per row: key, ``n_shingles``, ``component_id`` (least key reachable), ``kept``.
-
-    Two texts are linked if 100 * common >= percent * united shingles. Texts without words,
-    NULL ones too, are linked with nothing. Rows without a key take no part and are kept,
-    with a NULL component. Repeated rows are one text; both are kept if their key is the
-    component's. An empty table gives an empty result; other columns are left out.
-    """
+def _labelled(docs: DataFrame, plan: NearPlan, key: str, text: str) -> DataFrame:
+    """Per row: _key, _class (NULL without words or key), n_shingles, component_id, and the class
+    and key (``_first``) that stand for its component."""
     all_docs = written(signed(docs, plan, key=key, text=text), "near-signed")
     with_words = all_docs.where("n_shingles > 0 AND _key IS NOT NULL")
-    least = with_words.groupBy("_class").agg(F.min(F.struct("_key", "_sig", "_bands")).alias("r"))
-    classes = written(least.select("_class", "r.*"), "near-classes").withColumnRenamed("_key", "rep")
-    sigs = classes.select("rep", "_sig")
+    least = with_words.groupBy(F.col("_class").alias("node")).agg(
+        F.min("_key").alias("rep"), F.first("_sig").alias("_sig"), F.first("_bands").alias("_bands")
+    )
+    classes = written(least, "near-classes")
+    sigs = classes.select("node", "_sig")
 
-    bands = classes.select("rep", F.explode("_bands").alias("band"))
-    hub = F.min_by("rep", F.xxhash64("rep", "band")).alias("hub")
-    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), hub).where("n > 1")
+    bands = classes.select("node", F.explode("_bands").alias("band"))
+    hub = F.min_by("node", F.xxhash64("node", "band")).alias("hub")
+    shared = bands.groupBy("band").agg(F.count(F.lit(1)).alias("n"), hub).where("n > 1").drop("n")
     members = written(bands.join(shared, "band"), "near-members")
 
     # Whole sets of the texts that share a bucket, from one pass over the documents.
-    sharing = members.select("rep").distinct()
+    sharing = classes.join(members.select("node").distinct(), "node").select("node", "rep")
 
     @F.pandas_udf("binary")
     def whole_set(x: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(np.asarray(v, np.int64), plan.width).tobytes() for v in x], dtype=object)
 
-    texts = docs.select(F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text"))
-    texts = texts.join(sharing, F.col("_key") == F.col("rep"), "left_semi")
-    hashed = texts.withColumn("_w", F.transform(words(lowered(F.col("_text"))), lambda x: F.xxhash64(x)))
-    content = F.unhex(F.md5(F.concat_ws(" ", words(lowered(F.col("_text")))).cast("binary")))
-    sets = hashed.select(F.col("_key").alias("rep"), content.alias("_class"), whole_set("_w").alias("_set"))
-    # a key may come with several texts; a class is represented by its own
-    sets = sets.join(classes.select("rep", "_class"), ["rep", "_class"], "left_semi")
-    sets = written(sets.dropDuplicates(["rep"]).select("rep", "_set"), "near-sets")
+    texts = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").alias("_text"))
+    texts = texts.join(sharing.select("rep").distinct(), "rep", "left_semi")
+    hashed = texts.select(
+        "rep",
+        F.unhex(F.md5(F.concat_ws(" ", words(lowered(F.col("_text")))).cast("binary"))).alias("node"),
+        F.transform(words(lowered(F.col("_text"))), lambda x: F.xxhash64(x)).alias("_w"),
+    )
+    # a key may come with several texts, and a class with several keys: each class once
+    sets = hashed.join(sharing, ["rep", "node"], "left_semi").select("node", whole_set("_w").alias("_set"))
+    sets = written(sets.dropDuplicates(["node"]), "near-sets")
 
     survives, linked = _survives(plan), _linked(plan.percent)
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         """Pairs that hold on the whole sets."""
-        a = sets.select(F.col("rep").alias("a"), F.col("_set").alias("_xa"))
-        b = sets.select(F.col("rep").alias("b"), F.col("_set").alias("_xb"))
+        a = sets.select(F.col("node").alias("a"), F.col("_set").alias("_xa"))
+        b = sets.select(F.col("node").alias("b"), F.col("_set").alias("_xb"))
         return written(pairs.join(a, "a").join(b, "b").where(linked("_xa", "_xb")).select("a", "b"), name)
 
-    first = members.where("rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b"))
-    a = sigs.select(F.col("rep").alias("a"), F.col("_sig").alias("_sa"))
-    b = sigs.select(F.col("rep").alias("b"), F.col("_sig").alias("_sb"))
+    first = members.where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+    a = sigs.select(F.col("node").alias("a"), F.col("_sig").alias("_sa"))
+    b = sigs.select(F.col("node").alias("b"), F.col("_sig").alias("_sb"))
     stars = first.distinct().join(a, "a").join(b, "b").where(survives("_sa", "_sb")).select("a", "b")
-    links = confirmed(written(stars, "near-stars"), "near-links")
-    labels = components(links)
-
-    told = members.select("band", "rep").join(labels, F.col("rep") == F.col("node"), "left")
-    told = told.select("band", "rep", F.coalesce("label", "rep").alias("label"))
-    parts = told.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
-    open_bands = parts.groupBy("band").agg(
-        F.sum("n").alias("n"), F.max(F.struct("n", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("parts")
-    )
-    open_bands = written(open_bands.where("parts > 1").drop("parts"), "near-open")
-    if not open_bands.isEmpty():
-        more = _between_parts(told.join(sigs, "rep"), open_bands, plan).distinct()
-        more = confirmed(written(more, "near-survivors"), "near-more")
-        if not more.isEmpty():
-            labels = components(links.unionByName(more))
-
-    of_class = classes.select("_class", "rep").join(labels, F.col("rep") == F.col("node"), "left")
-    of_class = of_class.select("_class", F.coalesce("label", "rep").alias("component_id"))
-    known = F.col("n_shingles") > 0
-    out = all_docs.select("_key", "n_shingles", F.when(known & F.col("_key").isNotNull(), F.col("_class")).alias("_class"))
-    out = out.join(of_class, "_class", "left").withColumn("component_id", F.coalesce("component_id", "_key"))
-    return out.select(
-        F.col("_key").alias(key), "n_shingles", "component_id", F.coalesce(F.col("_key") == F.col("component_id"), F.lit(True)).alias("kept")
-    )
+    labels = components(confirmed(written(stars, "near-stars"), "near-links"))
+
+    stalled = False
+    for best in [plan.best] * plan.rounds + [None]:
+        if stalled and best is not None:
+            continue
+        told = members.select("band", "node").join(labels, "node", "left")
+        told = told.select("band", "node", F.coalesce("label", "node").alias("label"))
+        parts = told.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"))
+        open_bands = parts.groupBy("band").agg(
+            F.sum("n").alias("n"), F.max(F.struct("n", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("parts")
+        )
+        open_bands = written(open_bands.where("parts > 1").drop("parts"), "near-open")
+        if open_bands.isEmpty():
+            break
+        found = written(_between_parts(told, sigs, open_bands, plan, best), "near-survivors")
+        more = confirmed(_as_pairs(found, best), "near-more")
+        stalled = more.isEmpty()
+        if not stalled:
+            # what is known to be connected goes on as a star around its label
+            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more))
+
+    of_class = classes.select("node", "rep").join(labels, "node", "left")
+    of_class = of_class.select("node", "rep", F.coalesce("label", "node").alias("label"))
+    heads = of_class.groupBy("label").agg(F.min(F.struct("rep", "node")).alias("_first"))
+    of_class = of_class.join(heads, "label").select(F.col("node").alias("_class"), "_first")
+    told = F.when((F.col("n_shingles") > 0) & F.col("_key").isNotNull(), F.col("_class"))
+    out = all_docs.select("_key", "n_shingles", told.alias("_class")).join(of_class, "_class", "left")
+    return out.withColumn("component_id", F.coalesce("_first.rep", "_key"))
+
+
+def near_duplicates(docs: DataFrame, plan: NearPlan = NearPlan(), *, key="doc_id", text="text") -> DataFrame:
+    """Per row: key, ``n_shingles``, ``component_id`` (least key reachable), ``kept``.
+
+    Two texts are linked if 100 * common >= percent * united shingles. Texts without words,
+    NULL ones too, are linked with nothing. Rows without a key take no part and are kept,
+    with a NULL component. Rows of one key with different texts are linked each by its own
+    text. Repeated rows are one text; both are kept if their key is the component's. An empty
+    table gives an empty result; other columns are left out.
+    """
+    out = _labelled(docs, plan, key, text)
+    kept = F.coalesce(F.col("_key") == F.col("component_id"), F.lit(True))
+    return out.select(F.col("_key").alias(key), "n_shingles", "component_id", kept.alias("kept"))
 
 
 def keep_one_of_each(docs: DataFrame, plan: NearPlan = NearPlan(), *, key="doc_id", text="text") -> DataFrame:
     """The rows that stay, one of each group, all columns as they were.
 
-    Rows without a key stay; of rows of one key and one text one stays.
+    A group's row is that of its least key, and where this key has several texts in the group,
+    of one of them. Rows without a key stay; of rows of one key and the same words one stays.
     """
-    gone = near_duplicates(docs, plan, key=key, text=text).where("NOT kept").select(F.col(key).alias("_gone")).distinct()
-    stays = docs.join(gone, docs[key].cast("long") == gone["_gone"], "left_anti")
-    keyed = stays.where(F.col(f"`{key}`").isNotNull()).dropDuplicates([key, text])
-    return keyed.unionByName(stays.where(F.col(f"`{key}`").isNull()))
+    told = _labelled(docs, plan, key, text).where("_class IS NOT NULL")
+    mine = (F.col("_key") == F.col("_first.rep")) & (F.col("_class") == F.col("_first.node"))
+    gone = told.where(~mine).select(F.col("_key").alias("_gone"), F.col("_class").alias("_gone_class")).distinct()
+    own = F.unhex(F.md5(F.concat_ws(" ", words(lowered(F.col(f"`{text}`")))).cast("binary")))
+    named = docs.withColumn("_own_class", own)
+    same = (F.col(f"`{key}`").cast("long") == F.col("_gone")) & (F.col("_own_class") == F.col("_gone_class"))
+    stays = named.join(gone, same, "left_anti")
+    keyed = stays.where(F.col(f"`{key}`").isNotNull()).dropDuplicates([key, "_own_class"])
+    return keyed.unionByName(stays.where(F.col(f"`{key}`").isNull())).drop("_own_class")

@@ -107,6 +107,42 @@ def test_small_blocks_give_the_same(spark):
     assert {r.doc_id: r.component_id for r in found} == brute_components(rows)
 
 
+@pytest.mark.parametrize("plan", [NearPlan(rounds=0), NearPlan(rounds=3, best=1, block=4)])
+def test_rounds_of_best_partners_lose_no_link(spark, plan):
+    rows = varied(random.Random(8), 2, 40)
+    found = near_duplicates(docs_of(spark, [(i, t, "s") for i, t in rows]), plan).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute_components(rows)
+
+
+def test_texts_of_one_key_are_linked_each_by_its_own(spark):
+    rng = random.Random(12)
+
+    def near(text):
+        return text.rsplit(" ", 1)[0] + " changed"
+
+    rows, kept = [], Counter()
+    for i in range(0, 200, 10):
+        a, b, c = (prose(rng, 80, 10**6) for _ in range(3))
+        # two texts under one key, either with a near copy elsewhere; one text without any
+        rows += [(i + 5, a), (i + 5, b), (i + 5, c), (i + 6, near(a)), (i + 3, near(b)), (i + 7, near(b))]
+        kept.update({(i + 5, a): 1, (i + 5, c): 1, (i + 3, near(b)): 1})
+    docs = docs_of(spark, [(i, t, "s") for i, t in rows])
+    least = {}
+    for i, t in rows:
+        base = min((j for j, u in rows if t.split()[:79] == u.split()[:79]), default=i)
+        least[i, t] = base
+    found = Counter((r.doc_id, r.component_id) for r in near_duplicates(docs).collect())
+    assert found == Counter((i, least[i, t]) for i, t in rows)
+    stays = keep_one_of_each(docs).collect()
+    assert Counter((r.doc_id, r.text) for r in stays) == kept
+
+
+def test_two_near_texts_of_one_key_leave_one(spark):
+    text = prose(random.Random(3), 90, 10**6)
+    docs = docs_of(spark, [(5, text, "s"), (5, text.upper(), "s"), (5, text + " more", "s"), (8, text + " more yet", "s")])
+    assert [r.doc_id for r in keep_one_of_each(docs).collect()] == [5]
+
+
 def test_bounds_keep_pairs_at_the_threshold():
     plan = NearPlan()
     for n, least in plan.least_matches():
