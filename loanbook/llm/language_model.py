@@ -1,73 +1,82 @@
-"""A Katz back-off model of words, learnt and applied as joins of count tables.
-
-Every word and every pair of neighbours is counted, keyed by their 64-bit hashes, in tables
-that grow with the corpus. Counts up to 5 are discounted by Good and Turing. What a
-history's pairs leave goes to single words by a weight that makes the history's
-probabilities sum to one; a history never seen leaves everything to single words. Their own
-discount is shared by words never seen, as many as were seen once.
-
-The score of a text is a sum over its tokens. Each pair of a text meets the table of pairs,
-which has the figures of its word as well; pairs that are not in it are looked up as a
-history's weight and a single word. Only sums per document are left to shuffle.
-
-``fit_katz(frequent=...)`` learns a smaller model (``Katz``) whose pairs are those of words
-with at least that share of all tokens: its vocabulary is known to every task.
+"""A Katz back-off model of words, learnt and applied in blocks of texts and cells of pairs.
+
+Every word and every pair of neighbours is counted, in tables that grow with the corpus.
+Counts up to 5 are discounted by Good and Turing. What a history's pairs leave goes to
+single words by a weight that makes the history's probabilities sum to one; a history never
+seen leaves everything to single words. Their own discount is shared by words never seen, as
+many as were seen once.
+
+Texts are read once, into blocks. Words are counted over all blocks and numbered by falling
+count, so that a number tells its count by a table of the distinct counts (at most the root
+of twice the tokens). A block gets the numbers of its own words, scores them as single words
+and sends its pairs to cells, each with the documents that have it. A cell holds all pairs of
+its histories, or a share of a frequent history's, counts them and knows what each document's
+pairs are worth beyond single words; only sums per document leave it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from loanbook.llm.common import lowered, one_row_each, words, written
+from loanbook.llm.common import lowered, words, written
 
-SHIFT = 20  # bits of a word's number in a pair
 COUNTED = 5  # counts up to here are discounted
+BLOCK = 1 << 20  # tokens of a block; a longer text is a block of its own
+CELL = 1 << 20  # pairs of a cell, about
+START = 0  # the history of a first word
+UNKNOWN = 0  # a word never learnt
+OWN, PAIRS, FREQUENT = range(3)  # kinds of rows: texts' own figures, pairs, frequent histories
 
 
 @dataclass(frozen=True)
-class WholeKatz:
-    """A model of all pairs: tables, and figures of the whole."""
+class Katz:
+    """Figures of the whole, and the tables of words and of cells."""
 
-    singles: DataFrame = field(repr=False)  # word, c, log (log10 probability)
-    pairs: DataFrame = field(repr=False)  # history, word, c, word_c, log
-    histories: DataFrame = field(repr=False)  # history, held (count), weight (log10)
+    words: DataFrame = field(repr=False)  # word (hash), c, id
+    cells: DataFrame = field(repr=False)
+    key: str = "doc_id"
     tokens: int = 0
     types: int = 0
+    texts: int = 0  # learnt, the count of the start
+    last: np.ndarray = field(default=None, repr=False)  # last number of each distinct count,
+    counts: np.ndarray = field(default=None, repr=False)  # from the largest on
+    discounts: np.ndarray = field(default=None, repr=False)  # by count 0..COUNTED
+    pair_discounts: np.ndarray = field(default=None, repr=False)
     unseen: float = 1.0  # probability of one word never seen
+    cell: int = CELL
+    frequent: np.ndarray = field(default=None, repr=False)  # histories dealt to several cells,
+    weights: np.ndarray = field(default=None, repr=False)  # their weights
 
+    def count(self, ids: np.ndarray) -> np.ndarray:
+        """Counts of words by their numbers."""
+        if not len(self.counts):
+            return np.zeros(len(ids), np.int64)
+        return np.where(ids > 0, self.counts[np.minimum(np.searchsorted(self.last, ids), len(self.last) - 1)], 0)
 
-@dataclass(frozen=True)
-class Katz:
-    """Tables and the parts of fixed size of a model of frequent words' pairs."""
+    def held(self, histories: np.ndarray) -> np.ndarray:
+        return np.where(histories == START, self.texts, self.count(histories))
 
-    singles: DataFrame = field(repr=False)  # word, c
-    pairs: DataFrame = field(repr=False)  # pair, c
-    tokens: int = 0
-    types: int = 0
-    single_discounts: np.ndarray = field(default=None, repr=False)  # by count 0..COUNTED
-    pair_discounts: np.ndarray = field(default=None, repr=False)
-    unseen: float = 1.0  # probability of one word never seen
-    vocabulary: np.ndarray = field(default=None, repr=False)  # sorted word hashes
-    counts: np.ndarray = field(default=None, repr=False)  # their counts
-    starts: int = 0  # texts, the count of the history before a first word
-    weights: np.ndarray = field(default=None, repr=False)  # log10 by history, start first
+    def single(self, ids: np.ndarray) -> np.ndarray:
+        """Probabilities of single words."""
+        c = self.count(ids)
+        return np.where(c > 0, _discounted(c, self.discounts) / (self.tokens + 1), self.unseen)
 
-    def log_single(self, c: np.ndarray) -> np.ndarray:
-        """log10 probability of words by their counts."""
-        c = np.asarray(c, np.float64)
-        d = np.where(c <= COUNTED, self.single_discounts[np.minimum(c, COUNTED).astype(int)], 1.0)
-        p = np.where(c > 0, d * c / (self.tokens + 1), self.unseen)
-        return np.log10(np.maximum(p, 1e-300))
+    def shares(self, histories: np.ndarray) -> np.ndarray:
+        """Number of cells that a history's pairs are dealt to."""
+        return np.maximum(1, -(-4 * self.held(histories) // self.cell))
 
-    def history_counts(self) -> np.ndarray:
-        return np.concatenate(([self.starts], self.counts)).astype(np.float64)
+    def cell_of(self, histories: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        cells = max(1, -(-self.tokens // self.cell))
+        return (_mixed(histories) + _mixed(~ids) % self.shares(histories)) % cells
 
 
 def token_hashes(text: Column) -> Column:
@@ -76,6 +85,10 @@ def token_hashes(text: Column) -> Column:
     return F.concat(w, F.array(F.xxhash64(F.lit("end of text"))))
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    return ((x.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+
+
 def _discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
     """Katz's ratios for counts 0..5; where Good and Turing give none, c / (c + 1/2)."""
     n = [0.0] + [float(counts_of_counts.get(c, 0)) for c in range(1, COUNTED + 2)]
@@ -89,338 +102,348 @@ def _discounts(counts_of_counts: dict[int, int]) -> np.ndarray:
     return out
 
 
-def _counts_of_counts(table: DataFrame) -> dict[int, int]:
-    return {r["c"]: r["n"] for r in table.where(F.col("c") <= COUNTED + 1).groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-
+def _discounted(c: np.ndarray, discounts: np.ndarray) -> np.ndarray:
+    return np.where(c <= COUNTED, discounts[np.minimum(c, COUNTED)], 1.0) * c
 
-def _numbers(vocabulary: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """Numbers from 1 of vocabulary words, 0 of others."""
-    if not len(vocabulary):
-        return np.zeros(len(tokens), np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, tokens), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == tokens, at + 1, 0)
 
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit numbers as one string, compressed byte plane by byte plane."""
+    sizes = np.array([len(c) for c in columns], np.int64)
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
+    return bytes([len(columns)]) + sizes.tobytes() + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
-def _pairs_of(numbers: np.ndarray) -> np.ndarray:
-    """Pairs of vocabulary words; the history of the first token is 0, the start."""
-    before = np.concatenate(([0], numbers[:-1]))
-    known = numbers > 0
-    known[1:] &= before[1:] > 0
-    return (before[known] << SHIFT) | numbers[known]
-
-
-def _with_start(text: Column) -> Column:
-    """The start, then ``token_hashes``."""
-    return F.concat(F.array(F.xxhash64(F.lit("start of text"))), token_hashes(text))
 
+def _unpacked(data: bytes, floats: int = 0) -> list[np.ndarray]:
+    """The columns of ``_packed``; the last ``floats`` of them are doubles."""
+    sizes = np.frombuffer(data, np.int64, data[0], 1)
+    planes = pa.decompress(data[1 + 8 * len(sizes) :], int(8 * sizes.sum()), codec="zstd", asbytes=True) if sizes.any() else b""
+    out, at = [], 0
+    for i, n in enumerate(map(int, sizes)):
+        plane = np.frombuffer(planes, np.uint8, 8 * n, at).reshape(8, n)
+        kind = np.float64 if i >= len(sizes) - floats else np.int64
+        out.append(np.ascontiguousarray(plane.T).reshape(-1).view(kind))
+        at += 8 * n
+    return out
 
-def _neighbours(texts: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (text, history, word) of a batch in order, and how often each stands there."""
-    values, sizes = np.asarray(texts.flatten()), np.diff(np.asarray(texts.offsets))
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    inside = of[1:] == of[:-1]
-    return _counted(of[1:][inside], values[:-1][inside], values[1:][inside])
 
+def _steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=0)
 
-def _counted(*keys: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The distinct rows of the arrays and their counts."""
-    order = np.lexsort(keys[::-1])
-    keys = tuple(k[order] for k in keys)
-    new = np.ones(len(order), bool)
-    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
-    at = np.flatnonzero(new)
-    return *(k[at] for k in keys), np.diff(np.append(at, len(order)))
 
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before."""
+    new = np.ones(len(columns[0]), bool)
+    new[1:] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return new
 
-def _discounted(c: Column, discounts: np.ndarray) -> Column:
-    """Counts after their discount, as doubles."""
-    ratios = F.array(*[F.lit(float(d)) for d in discounts[1:]], F.lit(1.0))
-    return F.element_at(ratios, F.least(c, F.lit(COUNTED + 1).cast("long")).cast("int")) * c
 
+def _mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``run`` gets rows and returns rows, both as tuples; it is called with None at the end."""
+    fields = to_arrow_schema(T.StructType.fromDDL(schema))
+    names, types = fields.names, fields.types
 
-def _fit_whole(docs: DataFrame, text: str) -> WholeKatz:
-    told = docs.select(_with_start(F.col(f"`{text}`")).alias("_t"))
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(rows: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    def pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of a batch of texts, equal ones together."""
+        step = run()
         for batch in batches:
-            values, sizes = np.asarray(batch.column(0).flatten()), np.diff(np.asarray(batch.column(0).offsets))
-            inside = np.ones(max(0, len(values) - 1), bool)
-            inside[np.cumsum(sizes)[:-1] - 1] = False
-            found = _counted(values[:-1][inside], values[1:][inside])
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], names=["history", "word", "n"])
-
-    counted = told.mapInArrow(pair_up, "history bigint, word bigint, n bigint").groupBy("history", "word")
-    pairs = written(counted.agg(F.sum("n").alias("c")), "katz-pairs")
-    pair_discounts = _discounts(_counts_of_counts(pairs))
-
-    # every token is the second of one pair
-    singles = written(pairs.groupBy("word").agg(F.sum("c").alias("c")), "katz-words")
-    total = singles.agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
-    tokens, types = total["tokens"] or 0, total["types"]
-    single_cc = _counts_of_counts(singles)
-    discounts = _discounts(single_cc)
-    lost = sum((1 - discounts[c]) * c * single_cc.get(c, 0) for c in range(1, COUNTED + 1))
-    unseen = (lost + 1) / (tokens + 1) / max(1, single_cc.get(1, 0))
-    alone = _discounted(F.col("word_c"), discounts) / (tokens + 1)
-
-    named = singles.select("word", F.col("c").alias("word_c"))
-    entries = written(pairs.join(named, "word").select("history", "word", "c", "word_c"), "katz-entries")
-    # what the pairs of each history take, and what their words have as single words
-    held, free, other = F.col("held"), 1 - F.col("taken") / (F.col("held") + 1), 1 - F.col("alone")
-    histories = entries.groupBy("history").agg(
-        F.sum("c").alias("held"), F.sum(_discounted(F.col("c"), pair_discounts)).alias("taken"), F.sum(alone).alias("alone")
-    )
-    weight = F.log10(F.greatest(free, F.lit(1e-12)) / F.greatest(other, F.lit(1e-12)))
-    histories = written(histories.select("history", "held", weight.alias("weight")), "katz-histories")
-    log = F.log10(_discounted(F.col("c"), pair_discounts) / (held + 1))
-    table = entries.join(histories.select("history", "held"), "history").select("history", "word", "c", "word_c", log.alias("log"))
-    single = F.log10(_discounted(F.col("c"), discounts) / (tokens + 1))
-    return WholeKatz(singles.withColumn("log", single), table, histories, tokens, types, unseen)
-
-
-def fit_katz(docs: DataFrame, *, text: str = "text", frequent: float | None = None) -> WholeKatz | Katz:
-    """Learn from all rows; NULL texts are empty and teach their end.
+            for i in range(batch.num_rows):
+                if found := step([c[i] for c in batch.columns]):
+                    yield batch_of(found)
+        if found := step(None):
+            yield batch_of(found)
 
-    All pairs are counted. With ``frequent``, those of words that are this share of all tokens.
-    """
-    return _fit_whole(docs, text) if frequent is None else _fit_frequent(docs, text, frequent)
-
-
-def _fit_frequent(docs: DataFrame, text: str, frequent: float) -> Katz:
-    told = docs.select(token_hashes(F.col(f"`{text}`")).alias("_t"))
-
-    def count_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Words of a batch of texts, equal ones together."""
-        for batch in batches:
-            found = np.concatenate([*(np.asarray(x.values) for x in batch.column(0)), np.zeros(0, np.int64)])
-            found, n = np.unique(found, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(n, pa.int64())], names=["word", "n"])
-
-    counted = told.mapInArrow(count_up, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("c"))
-    singles = written(counted, "katz-words")
-    total = singles.agg(F.sum("c").alias("tokens"), F.count(F.lit(1)).alias("types")).first()
-    tokens, types = total["tokens"] or 0, total["types"]
-    single_cc = _counts_of_counts(singles)
-    single_discounts = _discounts(single_cc)
-    # at most 1 / frequent words
-    known = singles.where(F.col("c") >= max(2.0, frequent * tokens)).toPandas().sort_values("word")
-    vocabulary, counts = known["word"].to_numpy(np.int64), known["c"].to_numpy(np.int64)
-
-    def pair_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of a batch of texts, equal ones together."""
-        for batch in batches:
-            found = [_pairs_of(_numbers(vocabulary, np.asarray(x.values))) for x in batch.column(0)]
-            pairs, n = np.unique(np.concatenate([*found, np.zeros(0, np.int64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
+    return df.mapInArrow(stream, schema)
 
-    pairs = told.mapInArrow(pair_up, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("c"))
-    pairs = written(pairs, "katz-pairs")
-    pair_discounts = _discounts(_counts_of_counts(pairs))
-    starts = singles.where(F.col("word") == F.xxhash64(F.lit("end of text"))).agg(F.sum("c")).first()[0] or 0
 
-    small = singles.where(F.col("c") <= COUNTED).agg(
-        F.sum(F.element_at(F.array(*[F.lit(float(1 - d)) for d in single_discounts[1:]]), F.col("c").cast("int")) * F.col("c"))
+def _blocks(docs: DataFrame, learns: Column, key: str, text: str, block: int) -> DataFrame:
+    """Texts in blocks: their keys; who learns, sizes and tokens; distinct words with counts learnt."""
+    told = docs.select(
+        F.col(f"`{key}`").alias("_k"), F.coalesce(learns, F.lit(False)).alias("_l"), token_hashes(F.col(f"`{text}`")).alias("_t")
     )
-    left = ((small.first()[0] or 0.0) + 1) / (tokens + 1)
-    model = Katz(
-        singles, pairs, tokens, types, single_discounts, pair_discounts, left / max(1, single_cc.get(1, 0)), vocabulary, counts, starts
+    kind = dict(told.dtypes)["_k"]
+
+    def row(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        keys, learns, texts = (pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
+        learns = learns.to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = np.asarray(texts.value_lengths()).astype(np.int64)
+        found, at, n = np.unique(np.asarray(texts.flatten()), return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")  # frequent words get small numbers
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        at = place[at]
+        learnt = np.bincount(at, np.repeat(learns, sizes), len(found)).astype(np.int64)
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        arrays = [pa.array([number], pa.int64()), one(keys), pa.array([_packed(learns, sizes, at)], pa.binary())]
+        return pa.RecordBatch.from_arrays(
+            [*arrays, one(pa.array(found[order])), one(pa.array(learnt))], names=["block", "keys", "told", "words", "n"]
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            ends = np.cumsum(np.asarray(batch.column(2).value_lengths()))
+            start, before = 0, 0
+            while start < batch.num_rows:
+                end = max(start + 1, int(np.searchsorted(ends, before + block - size, side="right")))
+                held.append(batch.slice(start, end - start))
+                size += int(ends[end - 1]) - before
+                start, before = end, int(ends[end - 1])
+                if size >= block or start < batch.num_rows:
+                    yield row(number, held)
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield row(number, held)
+
+    schema = f"block bigint, keys array<{kind}>, told binary, words array<bigint>, n array<bigint>"
+    return written(told.mapInArrow(run, schema), "katz-blocks")
+
+
+def _numbered(asked: DataFrame) -> DataFrame:
+    """Words learnt, numbered from 1 by falling count: word, c, id."""
+    spark = asked.sparkSession
+    counted = asked.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
+    ranked = counted.orderBy(F.desc("c"), "word").select("word", "c", F.monotonically_increasing_id().alias("_at"))
+    ranked = written(ranked, "katz-words")  # from here on the places stand
+    part = F.shiftright("_at", 33)
+    sizes = sorted((r["p"], r["n"]) for r in ranked.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    firsts = np.cumsum([1, *(n for _, n in sizes)]).tolist()
+    # one row for each part of the sort
+    parts = spark.createDataFrame([(p, first) for (p, _), first in zip(sizes, firsts)], "_p bigint, _first bigint")
+    place = F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranked.join(F.broadcast(parts), part == F.col("_p")).select("word", "c", place.alias("id"))
+
+
+def fit_katz(
+    docs: DataFrame, learns: Column | None = None, *, key: str = "doc_id", text: str = "text", block: int = BLOCK, cell: int = CELL
+) -> Katz:
+    """Learn from the rows where ``learns`` holds (all, if None); all rows are read, for ``score_texts``.
+
+    NULL texts are empty and teach their end; a NULL condition does not hold. Repeated rows
+    teach as often; from an empty table nothing is learnt. ``block`` and ``cell`` bound
+    what a task holds and do not change results.
+    """
+    blocks = _blocks(docs, F.lit(True) if learns is None else learns, key, text, block)
+    keys = dict(blocks.dtypes)["keys"]
+    asked = blocks.select("block", F.posexplode(F.arrays_zip("words", "n")).alias("at", "x"))
+    asked = asked.select("block", "at", F.col("x.words").alias("word"), F.col("x.n").alias("n"))
+    named = _numbered(asked)
+
+    # distinct counts c make at least 1 + 2 + ... tokens: at most the root of twice the tokens
+    cc = {r["c"]: r["n"] for r in named.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = np.array(sorted(cc, reverse=True), np.int64)
+    tokens, types = sum(c * n for c, n in cc.items()), sum(cc.values())
+    discounts = _discounts(cc)
+    lost = sum((1 - discounts[c]) * c * cc.get(c, 0) for c in range(1, COUNTED + 1))
+    end = named.where(F.col("word") == F.xxhash64(F.lit("end of text"))).first()
+    figures = dict(
+        key=key,
+        tokens=tokens,
+        types=types,
+        texts=end["c"] if end else 0,
+        last=np.cumsum([cc[c] for c in counts.tolist()]).astype(np.int64),
+        counts=counts,
+        discounts=discounts,
+        unseen=(lost + 1) / (tokens + 1) / max(1, cc.get(1, 0)),
+        cell=cell,
     )
+    model = Katz(None, None, **figures)
+
+    told = asked.select("block", "at", "word").join(named.select("word", "id"), "word")
+    told = told.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("ids"))
+    met = blocks.select("block", "keys", "told").join(told, "block", "left")
+    sent = _mapped(met, lambda: lambda r: r and _sent(model, r), f"cell bigint, block bigint, kind int, keys {keys}, told binary")
+    sent = sent.repartition("cell").sortWithinPartitions("cell", "kind", "block")
+    cells = _mapped(sent, lambda: _Cell(model), f"block bigint, kind int, keys {keys}, told binary, n array<bigint>")
+    cells = written(cells, "katz-cells")
+
+    n = cells.where(F.col("kind") == PAIRS).select([F.sum(F.col("n")[i]).alias(f"n{i}") for i in range(COUNTED + 1)]).first()
+    pair_discounts = _discounts({i + 1: n[i] or 0 for i in range(COUNTED + 1)})
+    # a history's share of a cell is at least a quarter of it: a few rows for each cell
+    parts = [_unpacked(r["told"], floats=1) for r in cells.where(F.col("kind") == FREQUENT).select("told").collect()]
+    columns = [np.concatenate(c) for c in zip(*parts)] or [np.zeros(0, np.int64)] * (COUNTED + 3)
+    frequent, at = np.unique(columns[0], return_inverse=True)
+    few = sum(pair_discounts[c] * c * columns[c] for c in range(1, COUNTED + 1))
+    taken = np.bincount(at, few + columns[COUNTED + 1], len(frequent)) / (model.held(frequent) + 1)
+    weights = _weights(taken, np.bincount(at, columns[COUNTED + 2], len(frequent)))
+    return Katz(named, cells, **figures, pair_discounts=pair_discounts, frequent=frequent, weights=weights)
+
+
+def _weights(taken: np.ndarray, alone: np.ndarray) -> np.ndarray:
+    """log10 of what is left to single words over what they have; sums of a history's pairs."""
+    return np.log10(np.maximum(1 - taken, 1e-12) / np.maximum(1 - alone, 1e-12))
+
+
+def _sent(model: Katz, row: list) -> list[tuple]:
+    """A block's own figures, and its pairs by cell: history, word, count learnt, documents."""
+    block, keys, told, ids = row
+    block = block.as_py()
+    learns, sizes, at = _unpacked(told.as_py())
+    number = np.full(int(at.max()) + 1, UNKNOWN, np.int64)
+    if ids.is_valid:
+        number[np.asarray(ids.values.field("at"))] = np.asarray(ids.values.field("id"))
+    word = number[at]
+    of = np.repeat(np.arange(len(sizes)), sizes)
+    own = [np.bincount(of, x, len(sizes)) for x in (word > 0, np.log10(model.count(word) + 0.5), np.log10(model.single(word)))]
+    first = _changes(of)
+    history = np.where(first, START, np.concatenate(([0], word[:-1])))
+    known = first | (history > 0)
+    of, history, word = of[known], history[known], word[known]
+    cell = model.cell_of(history, word)
+    rows = [(int(block) % max(1, -(-model.tokens // model.cell)), block, OWN, keys.values.to_pylist(), _packed(sizes, *own))]
+    order = np.lexsort((word, history, cell))  # documents stay in order
+    of, history, word, cell = of[order], history[order], word[order], cell[order]
+    new = _changes(cell, history, word)
+    pair, place = np.flatnonzero(new), np.flatnonzero(new | _changes(of))
+    n = np.diff(np.append(place, len(of)))
+    many = np.diff(np.append(np.searchsorted(place, pair), len(place)))
+    learnt = np.add.reduceat(learns[of], pair) if len(pair) else pair
+    ends = np.append(np.flatnonzero(_changes(cell[pair])), len(pair)) if len(pair) else [0]
+    docs_before = np.concatenate(([0], np.cumsum(many)))
+    for a, b in zip(ends[:-1], ends[1:]):
+        p, d = slice(a, b), slice(docs_before[a], docs_before[b])
+        told = _packed(_steps(history[pair[p]]), word[pair[p]], learnt[p], many[p], of[place[d]], n[d])
+        rows.append((int(cell[pair[a]]), block, PAIRS, None, told))
+    return rows
+
+
+class _Cell:
+    """Joins the rows of one cell after another; texts' own figures go through."""
+
+    def __init__(self, model: Katz):
+        self.model, self.at, self.held = model, None, []
+
+    def __call__(self, row: list | None) -> list[tuple]:
+        out = []
+        cell, block, kind, keys, told = [None] * 5 if row is None else row[:1] + [x.as_py() for x in row[1:]]
+        cell = None if cell is None else cell.as_py()
+        if cell != self.at and self.held:
+            out = self._joined()
+            self.held = []
+        self.at = cell
+        if kind == OWN:
+            out.append((block, OWN, keys, told, None))
+        elif kind == PAIRS:
+            self.held.append((block, *_unpacked(told)))
+        return out
+
+    def _joined(self) -> list[tuple]:
+        blocks, steps, *columns = zip(*self.held)
+        word, learnt, many, doc, n = (np.concatenate(c) for c in columns)
+        history = np.concatenate([np.cumsum(s) for s in steps])
+        order = np.lexsort((word, history))
+        new = _changes(history[order], word[order])
+        number = np.empty_like(order)
+        number[order] = np.cumsum(new) - 1
+        c = np.add.reduceat(learnt[order], np.flatnonzero(new))
+        history, word = history[order][new], word[order][new]
+        places = np.array([len(d) for d in columns[3]], np.int64)
+        told = _packed(
+            _steps(history), word, c, np.array(blocks, np.int64), places, _steps(np.repeat(number, many)), doc, n
+        )
+        seen = np.bincount(np.minimum(c, COUNTED + 2), minlength=COUNTED + 3)[1 : COUNTED + 2].tolist()
+        out = [(None, PAIRS, None, told, seen)]
+        dealt = (self.model.shares(history) > 1) & (c > 0)
+        if dealt.any():
+            frequent, at = np.unique(history[dealt], return_inverse=True)
+            c, total = c[dealt], lambda x: np.bincount(at, x, len(frequent))
+            few = [total(c == i).astype(np.int64) for i in range(1, COUNTED + 1)]
+            many = total(np.where(c > COUNTED, c, 0)).astype(np.int64)
+            out.append((None, FREQUENT, None, _packed(frequent, *few, many, total(self.model.single(word[dealt]))), None))
+        return out
+
+
+def _pair_logs(model: Katz, history: np.ndarray, word: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probabilities of a cell's pairs, NaN where not seen, and of their histories' weights."""
+    held, single = model.held(history), model.single(word)
+    share = _discounted(c, model.pair_discounts) / (held + 1)
+    at = np.cumsum(_changes(history)) - 1
+    size = int(at[-1]) + 1 if len(at) else 0
+    weight = _weights(np.bincount(at, share, size), np.bincount(at, np.where(c > 0, single, 0.0), size))[at]
+    if len(model.frequent):
+        place = np.minimum(np.searchsorted(model.frequent, history), len(model.frequent) - 1)
+        weight = np.where(model.frequent[place] == history, model.weights[place], weight)
+    return np.log10(np.where(c > 0, share, np.nan)), weight
+
+
+def pair_table(model: Katz) -> DataFrame:
+    """Pairs learnt: history (0: the start) and word by number, ``c``, ``log`` of the pair and ``weight`` of its history, log10."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                steps, word, c, *_ = _unpacked(x.as_py())
+                history = np.cumsum(steps)
+                columns = [history, word, c, *_pair_logs(model_parts, history, word, c)]
+                yield pa.RecordBatch.from_arrays([pa.array(v[c > 0]) for v in columns], names=["history", "word", "c", "log", "weight"])
 
-    # What the pairs of each history take, and what their words have as single words.
-    held, alone = model.history_counts(), np.concatenate(([0.0], 10 ** model.log_single(counts)))
-
-    @F.pandas_udf("taken double, alone double")
-    def shares(pair: pd.Series, c: pd.Series) -> pd.DataFrame:
-        d = np.where(c <= COUNTED, pair_discounts[np.minimum(c, COUNTED)], 1.0)
-        p = pair.to_numpy()
-        return pd.DataFrame({"taken": d * c / (held[p >> SHIFT] + 1), "alone": alone[p & ((1 << SHIFT) - 1)]})
-
-    taken = (
-        pairs.select(F.shiftright("pair", SHIFT).alias("history"), shares("pair", "c").alias("s"))
-        .groupBy("history")
-        .agg(F.sum("s.taken").alias("taken"), F.sum("s.alone").alias("alone"))
-        .toPandas()
-    )
-    weights = np.zeros(len(held))
-    weights[taken["history"]] = np.log10(np.maximum(1 - taken["taken"], 1e-12) / np.maximum(1 - taken["alone"], 1e-12))
-    object.__setattr__(model, "weights", weights)
-    return model
+    model_parts = _without_tables(model)
+    told = model.cells.where(F.col("kind") == PAIRS).select("told")
+    return told.mapInArrow(run, "history bigint, word bigint, c bigint, log double, weight double")
 
 
-# Kinds of rows that a document gives: words and pairs to look up, then figures of its own.
-WORD, PAIR, TOKENS, KNOWN, HALF, SCORE, KEY = range(7)
-FIXED = 1e9  # own figures travel as whole numbers of this part
+def _without_tables(model: Katz) -> Katz:
+    return Katz(None, None, **{k: v for k, v in vars(model).items() if k not in ("words", "cells")})
 
 
-def score_texts(docs: DataFrame, model: WholeKatz | Katz, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: key (a whole number), ``n_tokens``, ``n_known``, ``base_score``, ``score`` (log10).
+def score_texts(model: Katz) -> DataFrame:
+    """Per row that ``fit_katz`` was given: key, ``n_tokens``, ``n_known``, ``base_score``, ``score`` (log10).
 
     ``base_score`` is that of single words with one half added to every count. NULL and
     empty texts are their end alone; repeated rows are scored as often; an empty table gives
     an empty result; other columns are left out.
     """
-    return (_score_whole if isinstance(model, WholeKatz) else _score_frequent)(docs, model, key, text)
-
-
-def _score_whole(docs: DataFrame, model: WholeKatz, key: str, text: str) -> DataFrame:
-    told = docs.select(
-        F.xxhash64(F.col(f"`{key}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_d"),
-        F.col(f"`{key}`").cast("long").alias("_k"),
-        _with_start(F.col(f"`{text}`")).alias("_t"),
-    )
-
-    def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of each text, then a row of its own that has no word: its key and tokens."""
-        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
-            of, history, word, n = _neighbours(batch.column(2))
-            ids, sizes = np.asarray(batch.column(0)), np.diff(np.asarray(batch.column(2).offsets)) - 1
-            some = pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([ids[of], ids]), pa.int64()),
-                    pa.concat_arrays([pa.nulls(len(of), pa.int64()), batch.column(1).cast(pa.int64())]),
-                    pa.array(np.concatenate([history, ids]), pa.int64()),
-                    pa.concat_arrays([pa.array(word, pa.int64()), some]),
-                    pa.array(np.concatenate([n, sizes]), pa.int32()),
-                ],
-                names=["_d", "_k", "history", "word", "n"],
-            )
-
-    rows = told.mapInArrow(told_apart, "_d bigint, _k bigint, history bigint, word bigint, n int")
-    of_pairs = model.pairs.select("history", "word", F.log10(F.col("word_c") + 0.5).alias("half"), "log")
-    met = rows.join(of_pairs, ["history", "word"], "left")
-    own, seen, n, zero = F.col("word").isNull(), F.col("log").isNotNull(), F.col("n"), F.lit(0.0)
-    missing = ~own & ~seen
-    # one row per text of all that met its pair, and the pairs that did not
-    sums = met.groupBy(
-        "_d", F.when(missing, F.col("history")).alias("history"), F.when(missing, F.col("word")).alias("word")
-    ).agg(
-        F.max("_k").alias("_k"),
-        F.sum(F.when(own, 1).otherwise(0)).alias("rows"),
-        F.sum(F.when(own, n).otherwise(0)).alias("tokens"),
-        F.sum(F.when(own, 0).otherwise(n)).alias("n"),
-        F.sum(F.coalesce(n * F.col("half"), zero)).alias("half"),
-        F.sum(F.coalesce(n * F.col("log"), zero)).alias("log"),
-    )
-    # a missing pair is a word and a history's weight; a text's own row meets nothing
-    looked = F.when(
-        F.col("word").isNotNull(),
-        F.array(F.struct(F.lit(WORD).alias("kind"), F.col("word").alias("key")), F.struct(F.lit(PAIR).alias("kind"), F.col("history").alias("key"))),
-    ).otherwise(F.array(F.struct(F.lit(TOKENS).alias("kind"), F.col("_d").alias("key"))))
-    sums = sums.select("_d", "_k", "rows", "tokens", "n", "half", "log", F.explode(looked).alias("x"))
-    sums = sums.select("*", F.col("x.kind").alias("kind"), F.col("x.key").alias("key")).drop("x")
-    table = model.singles.select(
-        F.lit(WORD).alias("kind"), F.col("word").alias("key"), F.log10(F.col("c") + 0.5).alias("_half"), F.col("log").alias("_log")
-    ).unionByName(
-        model.histories.select(F.lit(PAIR).alias("kind"), F.col("history").alias("key"), zero.alias("_half"), F.col("weight").alias("_log"))
-    )
-    met = sums.join(table, ["kind", "key"], "left")
-    kind, n, found = F.col("kind"), F.col("n"), F.col("_log").isNotNull()
-    no_half, no_log = F.lit(float(np.log10(0.5))), F.lit(float(np.log10(max(model.unseen, 1e-300))))
-    out = met.groupBy("_d").agg(
-        F.max("_k").alias(key),
-        F.sum("rows").alias("rows"),
-        F.sum("tokens").alias("tokens"),
-        F.sum(F.when((kind == TOKENS) | ((kind == WORD) & found), n).otherwise(0)).alias("known"),
-        F.sum(F.when(kind == TOKENS, F.col("half")).when(kind == WORD, n * F.coalesce("_half", no_half)).otherwise(zero)).alias("half"),
-        F.sum(
-            F.when(kind == TOKENS, F.col("log")).when(kind == WORD, n * F.coalesce("_log", no_log)).otherwise(n * F.coalesce("_log", zero))
-        ).alias("score"),
-    )
-    return _per_row(out, model, key)
-
-
-def _score_frequent(docs: DataFrame, model: Katz, key: str, text: str) -> DataFrame:
-    told = docs.select(
-        F.xxhash64(F.col(f"`{key}`"), F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("_d"),
-        F.col(f"`{key}`").cast("long").alias("_k"),
-        token_hashes(F.col(f"`{text}`")).alias("_t"),
-    )
-    vocabulary, counts = model.vocabulary, np.concatenate(([0], model.counts))
-    half, alone, weights = np.log10(counts + 0.5), model.log_single(counts), model.weights
-
-    def rows_of(d: int, k: int | None, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
-        numbers = _numbers(vocabulary, tokens)
-        known, before = numbers[numbers > 0], numbers[:-1]
-        rare, n_rare = np.unique(tokens[numbers == 0], return_counts=True)
-        pairs, n_pairs = np.unique(_pairs_of(numbers), return_counts=True)
-        score = alone[known].sum() + weights[before[before > 0]].sum() + weights[0]
-        own = [(TOKENS, len(tokens)), (KNOWN, len(known)), (HALF, round(half[known].sum() * FIXED)), (SCORE, round(score * FIXED))]
-        own += [] if k is None else [(KEY, k)]
-        kinds = np.repeat(np.array([WORD, PAIR, *(kind for kind, _ in own)], np.int8), [len(rare), len(pairs)] + [1] * len(own))
-        keys = np.concatenate([rare, pairs, np.full(len(own), d)])  # own rows meet nothing
-        return kinds, np.full(len(kinds), d), keys, np.concatenate([n_rare, n_pairs, [n for _, n in own]])
-
-    def told_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = (pa.int8(), pa.int64(), pa.int64(), pa.int64())
-        for batch in (b.slice(i, 500) for b in batches for i in range(0, b.num_rows, 500)):
-            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            parts = [rows_of(d, k, np.asarray(x.values)) for d, k, x in zip(ids, keys, batch.column(2))]
-            arrays = [pa.array(np.concatenate(c), t) for c, t in zip(zip(*parts), types)]
-            yield pa.RecordBatch.from_arrays(arrays, names=["kind", "_d", "key", "n"])
-
-    held, pair_discounts = model.history_counts(), model.pair_discounts
-    single_parts = (model.single_discounts, model.tokens, model.unseen)
-
-    @F.pandas_udf("double")
-    def single(c: pd.Series) -> pd.Series:
-        return pd.Series(_log_single(single_parts, c.to_numpy()))
-
-    @F.pandas_udf("double")
-    def correction(pair: pd.Series, c: pd.Series) -> pd.Series:
-        p = pair.to_numpy()
-        history, word = p >> SHIFT, p & ((1 << SHIFT) - 1)
-        d = np.where(c <= COUNTED, pair_discounts[np.minimum(c, COUNTED)], 1.0)
-        return pd.Series(np.log10(d * c / (held[history] + 1)) - weights[history] - alone[word])
-
-    # Logarithms belong to the tables, once per entry.
-    of_words = model.singles.select(
-        F.lit(WORD).cast("tinyint").alias("kind"), F.col("word").alias("key"), F.log10(F.col("c") + 0.5).alias("half"), single("c").alias("log")
-    )
-    of_pairs = model.pairs.select(
-        F.lit(PAIR).cast("tinyint").alias("kind"), F.col("pair").alias("key"), F.lit(0.0).alias("half"), correction("pair", "c").alias("log")
-    )
-    rows = told.mapInArrow(told_apart, "kind tinyint, _d bigint, key bigint, n bigint")
-    met = rows.join(of_words.unionByName(of_pairs), ["kind", "key"], "left")
-    kind, n = F.col("kind"), F.col("n")
-    seen = F.col("log").isNotNull()
-    no_half, no_log = F.lit(float(np.log10(0.5))), F.lit(float(np.log10(max(model.unseen, 1e-300))))
-
-    def total(word: Column, pair: Column, own: int, part: float = 1.0) -> Column:
-        figure = F.when(kind == WORD, word).when(kind == PAIR, pair).when(kind == own, n / part)
-        return F.sum(F.coalesce(figure, F.lit(0.0)))
-
-    zero = F.lit(0.0)
-    out = met.groupBy("_d").agg(
-        F.max(F.when(kind == KEY, n)).alias(key),
-        F.sum(F.when(kind == TOKENS, 1).otherwise(0)).alias("rows"),
-        F.sum(F.when(kind == TOKENS, n).otherwise(0)).alias("tokens"),
-        F.sum(F.when((kind == KNOWN) | ((kind == WORD) & seen), n).otherwise(0)).alias("known"),
-        total(n * F.coalesce("half", no_half), zero, HALF, FIXED).alias("half"),
-        total(n * F.coalesce("log", no_log), n * F.col("log"), SCORE, FIXED).alias("score"),
-    )
-    return _per_row(out, model, key)
-
-
-def _per_row(out: DataFrame, model: WholeKatz | Katz, key: str) -> DataFrame:
-    """Sums over equal rows, as one row for each of them."""
+    known = _without_tables(model)
+    keys = dict(model.cells.dtypes)["keys"]
     base = float(np.log10(model.tokens + 0.5 * (model.types + 1)))
-    copies = F.col("rows")
-    tokens = (F.col("tokens") / copies).cast("long")
-    return one_row_each(
-        out.select(
-            key,
-            tokens.alias("n_tokens"),
-            (F.col("known") / copies).cast("long").alias("n_known"),
-            (F.col("half") / copies - tokens * base).alias("base_score"),
-            (F.col("score") / copies).alias("score"),
-            copies.alias("_copies"),
-        ),
-        "_copies",
-    )
-
 
-def _log_single(parts: tuple, c: np.ndarray) -> np.ndarray:
-    discounts, tokens, unseen = parts
-    return Katz(None, None, tokens, 0, discounts, None, unseen).log_single(c)
+    def worth(row: list | None) -> list[tuple]:
+        """What each document's pairs of a cell are worth beyond single words."""
+        if row is None:
+            return []
+        block, kind, names, told = (x.as_py() for x in row)
+        if kind == OWN:
+            return [(block, OWN, names, told)]
+        steps, word, c, blocks, places, number, doc, n = _unpacked(told)
+        history = np.cumsum(steps)
+        log, weight = _pair_logs(known, history, word, c)
+        value = np.where(c > 0, log - np.log10(known.single(word)), weight)[np.cumsum(number)] * n
+        out, ends = [], np.concatenate(([0], np.cumsum(places)))
+        for b, i, j in zip(blocks.tolist(), ends[:-1], ends[1:]):
+            of, at = np.unique(doc[i:j], return_inverse=True)
+            out.append((b, PAIRS, None, _packed(of, np.bincount(at, value[i:j]))))
+        return out
+
+    def added() -> Callable:
+        held: list = []  # block, keys, figures, sums
+
+        def rows() -> list[tuple]:
+            if not held:
+                return []
+            _, names, (sizes, seen, half, alone), sums = held
+            half = half - sizes * base
+            columns = sizes.tolist(), seen.astype(np.int64).tolist(), half.tolist(), (alone + sums).tolist()
+            return list(zip(names, *columns))
+
+        def step(row: list | None) -> list[tuple]:
+            if row is None:
+                return rows()
+            block, kind, names, told = (x.as_py() for x in row)
+            if kind == OWN:
+                out = rows()
+                sizes, *figures = _unpacked(told, floats=3)
+                held[:] = [block, names, (sizes, *figures), np.zeros(len(sizes))]
+                return out
+            of, more = _unpacked(told, floats=1)
+            held[3][of] += more
+            return []
+
+        return step
+
+    met = model.cells.where(F.col("kind") != FREQUENT).select("block", "kind", "keys", "told")
+    sums = _mapped(met, lambda: worth, f"block bigint, kind int, keys {keys}, told binary")
+    sums = sums.repartition("block").sortWithinPartitions("block", "kind")
+    kind = keys.removeprefix("array<").removesuffix(">")
+    out = _mapped(sums, added, f"_k {kind}, n_tokens bigint, n_known bigint, base_score double, score double")
+    return out.select(F.col("_k").alias(model.key), "n_tokens", "n_known", "base_score", "score")

@@ -106,8 +106,8 @@ def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     """log10 probabilities of all texts under a model of four of five folds."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
-    model = fit_katz(docs.where(fold != 1))
-    return score_texts(docs, model).select(
+    model = fit_katz(docs, fold != 1)
+    return score_texts(model).select(
         "doc_id",
         F.coalesce(fold == 1, F.lit(True)).alias("held_out"),
         "n_tokens",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loanbook.llm.html_text import extract_text, main_text
-from loanbook.llm.language_model import fit_katz, score_texts
+from loanbook.llm.language_model import fit_katz, pair_table, score_texts
 from loanbook.llm.mixing import MixPlan, mix_documents, mix_shares, permutation, source_targets
 from loanbook.llm.near_duplicates import NearPlan, keep_one_of_each, near_duplicates
 from loanbook.llm.neighbours import SearchPlan, chi_square_quantile, nearest_neighbours
@@ -488,72 +488,37 @@ def test_word_figures_equal_brute_force(spark, awkward, nothing):
 # --- language model --------------------------------------------------------
 
 
-def test_history_probabilities_sum_to_one(spark):
+@pytest.mark.parametrize("cell", [1 << 20, 16])
+def test_history_probabilities_sum_to_one(spark, cell):
     rng = random.Random(1)
     texts = [" ".join(rng.choice("aaabbcdefg") for _ in range(rng.randrange(1, 12))) for _ in range(80)]
-    model = fit_katz(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)]), frequent=0.02)
-    singles = 10 ** model.log_single(model.singles.toPandas()["c"].to_numpy())
-    once = sum(c == 1 for c in model.singles.toPandas()["c"])
+    model = fit_katz(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)]), cell=cell)
+    assert len(model.frequent) > 0 if cell == 16 else len(model.frequent) == 0
+    words = model.words.toPandas()
+    assert sorted(words["id"]) == list(range(1, model.types + 1))
+    assert (model.count(words["id"].to_numpy()) == words["c"].to_numpy()).all()
+    singles = model.single(words["id"].to_numpy())
+    once = sum(words["c"] == 1)
     assert abs(singles.sum() + model.unseen * max(1, once) - 1) < 1e-9
-    alone = np.concatenate(([0.0], 10 ** model.log_single(model.counts)))
-    pairs = model.pairs.toPandas()
-    d = np.where(pairs["c"] <= 5, model.pair_discounts[np.minimum(pairs["c"], 5)], 1.0)
-    packed = pairs["pair"].to_numpy()
-    history, word = packed >> 20, packed & (2**20 - 1)
-    p = d * pairs["c"].to_numpy() / (model.history_counts()[history] + 1)
-    for h in set(history):
-        mine = history == h
-        total = p[mine].sum() + 10 ** model.weights[h] * (1 - alone[word[mine]].sum())
-        assert abs(total - 1) < 1e-6
-
-
-def test_scores_equal_a_loop(spark, awkward, nothing):
-    model = fit_katz(awkward, frequent=0.001)
-    found = Counter()
-    for r in score_texts(awkward, model).collect():
-        found[(r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 5), round(r.score, 5))] += 1
+    for _, mine in pair_table(model).toPandas().groupby("history"):
+        assert mine["weight"].nunique() == 1 and not mine["word"].duplicated().any()
+        left = 1 - model.single(mine["word"].to_numpy()).sum()
+        assert abs((10 ** mine["log"]).sum() + 10 ** mine["weight"].iloc[0] * left - 1) < 1e-6
 
-    tokens = lambda t: WORD.findall("".join(c.lower() if c.isascii() else c for c in t or "")) + [None]
-    rows = awkward.collect()
-    count, pair, starts = Counter(), Counter(), len(rows)
-    for r in rows:
-        count.update(tokens(r.text))
-    total, types = sum(count.values()), len(count)
-    known = {w for w, c in count.items() if c >= max(2, 0.001 * total)}
-    for r in rows:
-        t = ["<s>", *tokens(r.text)]
-        pair.update((a, b) for a, b in zip(t, t[1:]) if b in known and (a in known or a == "<s>"))
-    one = lambda w: float(model.log_single(np.array([count[w]]))[0])
-    discount = lambda c: model.pair_discounts[c] if c <= 5 else 1.0
-    weight = {}
-    for h in known | {"<s>"}:
-        held = starts if h == "<s>" else count[h]
-        own = [(w, c) for (a, w), c in pair.items() if a == h]
-        taken = sum(discount(c) * c / (held + 1) for _, c in own)
-        weight[h] = math.log10((1 - taken) / (1 - sum(10 ** one(w) for w, _ in own)))
-    expected = Counter()
-    for r in rows:
-        t = tokens(r.text)
-        base = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (types + 1))) for w in t)
-        score = 0.0
-        for h, w in zip(["<s>", *t], t):
-            if (h, w) in pair:
-                held = starts if h == "<s>" else count[h]
-                score += math.log10(discount(pair[h, w]) * pair[h, w] / (held + 1))
-            else:
-                score += weight.get(h, 0.0) + one(w)
-        expected[(r.doc_id, len(t), len(t), round(base, 5), round(score, 5))] += 1
-    near = lambda c: Counter((a, b, k, round(x, 2), round(y, 2)) for (a, b, k, x, y), n in c.items() for _ in range(n))
-    assert near(found) == near(expected)
-    assert score_texts(nothing, model).count() == 0
-    blank = fit_katz(nothing)
-    assert score_texts(awkward, blank).count() == awkward.count()
+
+def test_blank_models(spark, awkward, nothing):
+    assert score_texts(fit_katz(nothing)).count() == 0
+    found = score_texts(fit_katz(awkward, F.lit(None).cast("boolean")))
+    assert found.count() == awkward.count() and found.where("n_known > 0").count() == 0
+    named = awkward.select(F.concat(F.lit("k"), "doc_id").alias("doc_id"), "text")
+    assert Counter(r.doc_id for r in score_texts(fit_katz(named)).collect()) == Counter(r.doc_id for r in named.collect())
 
 
 # --- addresses -------------------------------------------------------------
 
 
-def test_all_pairs_are_learnt_whatever_their_words_counts(spark, awkward):
+@pytest.mark.parametrize("sizes", [{}, {"block": 100, "cell": 64}])
+def test_all_pairs_are_learnt_whatever_their_words_counts(spark, awkward, sizes):
     rng = random.Random(21)
     rare = [f"{prose(rng, 6, 40)} only{i} once{i} {prose(rng, 5, 40)}" for i in range(200)]  # words of a single text
     learnt = awkward.unionByName(docs_of(spark, [(500 + i, t, "s") for i, t in enumerate(rare)]))
@@ -591,10 +556,10 @@ def test_all_pairs_are_learnt_whatever_their_words_counts(spark, awkward):
         base = sum(math.log10((count[w] + 0.5) / (total + 0.5 * (types + 1))) for w in t)
         p = [given(h, w) if (h, w) in pair else weight.get(h, 1.0) * one(w) for h, w in zip(["<s>", *t], t)]
         expected[(r.doc_id, len(t), sum(count[w] > 0 for w in t), round(base, 3), round(sum(map(math.log10, p)), 3))] += 1
-    model = fit_katz(learnt)
+    model = fit_katz(asked, F.coalesce(F.col("doc_id"), F.lit(0)) < 900, **sizes)
     assert (model.tokens, model.types) == (total, types)
-    assert model.pairs.count() == len(pair)
-    found = Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 3), round(r.score, 3)) for r in score_texts(asked, model).collect())
+    assert pair_table(model).count() == len(pair)
+    found = Counter((r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 3), round(r.score, 3)) for r in score_texts(model).collect())
     assert found == expected
 
 
