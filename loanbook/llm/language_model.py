@@ -6,12 +6,11 @@ single words by a weight that makes the history's probabilities sum to one; a hi
 seen leaves everything to single words. Their own discount is shared by words never seen, as
 many as were seen once.
 
-Texts are read once, into blocks. Words are counted over all blocks and numbered by falling
-count, so that a number tells its count by a table of the distinct counts (at most the root
-of twice the tokens). A block gets the numbers of its own words, scores them as single words
-and sends its pairs to cells, each with the documents that have it. A cell holds all pairs of
-its histories, or a share of a frequent history's, counts them and knows what each document's
-pairs are worth beyond single words; only sums per document leave it.
+Texts are read once, into blocks. A block asks the parts of the word table for its own words
+and gets their numbers, small ones for frequent words, and counts. It scores them as single
+words and sends its pairs to cells, each with the documents that have it. A cell holds all
+pairs of its histories, or a share of a frequent history's, counts them and knows what each
+document's pairs are worth beyond single words; only sums per document leave it.
 """
 
 from __future__ import annotations
@@ -31,24 +30,24 @@ from loanbook.llm.common import lowered, words, written
 
 COUNTED = 5  # counts up to here are discounted
 BLOCK = 1 << 20  # tokens of a block; a longer text is a block of its own
-CELL = 1 << 20  # pairs of a cell, about
+CELL = 1 << 20  # pairs of a cell, or words asked of a part of the word table, about
+FIXED = 1e9  # sums travel as whole numbers of this part
 START = 0  # the history of a first word
 UNKNOWN = 0  # a word never learnt
-OWN, PAIRS, FREQUENT = range(3)  # kinds of rows: texts' own figures, pairs, frequent histories
+#: Kinds of rows: texts of a block, pairs, frequent histories; answers to a block, words.
+OWN, PAIRS, FREQUENT, ANSWER, WORDS = range(5)
 
 
 @dataclass(frozen=True)
 class Katz:
     """Figures of the whole, and the tables of words and of cells."""
 
-    words: DataFrame = field(repr=False)  # word (hash), c, id
+    words: DataFrame = field(repr=False)  # parts of the word table
     cells: DataFrame = field(repr=False)
     key: str = "doc_id"
     tokens: int = 0
     types: int = 0
     texts: int = 0  # learnt, the count of the start
-    last: np.ndarray = field(default=None, repr=False)  # last number of each distinct count,
-    counts: np.ndarray = field(default=None, repr=False)  # from the largest on
     discounts: np.ndarray = field(default=None, repr=False)  # by count 0..COUNTED
     pair_discounts: np.ndarray = field(default=None, repr=False)
     unseen: float = 1.0  # probability of one word never seen
@@ -56,27 +55,23 @@ class Katz:
     frequent: np.ndarray = field(default=None, repr=False)  # histories dealt to several cells,
     weights: np.ndarray = field(default=None, repr=False)  # their weights
 
-    def count(self, ids: np.ndarray) -> np.ndarray:
-        """Counts of words by their numbers."""
-        if not len(self.counts):
-            return np.zeros(len(ids), np.int64)
-        return np.where(ids > 0, self.counts[np.minimum(np.searchsorted(self.last, ids), len(self.last) - 1)], 0)
+    def single(self, c: np.ndarray) -> np.ndarray:
+        """Probabilities of single words by their counts."""
+        return np.where(c > 0, _discounted(c, self.discounts) / (self.tokens + 1), self.unseen)
 
-    def held(self, histories: np.ndarray) -> np.ndarray:
-        return np.where(histories == START, self.texts, self.count(histories))
+    def shares(self, held: np.ndarray) -> np.ndarray:
+        """Number of cells that the pairs of histories are dealt to, by the histories' counts."""
+        return np.maximum(1, -(-4 * held // self.cell))
 
-    def single(self, ids: np.ndarray) -> np.ndarray:
-        """Probabilities of single words."""
-        c = self.count(ids)
-        return np.where(c > 0, _discounted(c, self.discounts) / (self.tokens + 1), self.unseen)
+    def held(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Counts of histories: of words, and of the start."""
+        return np.where(ids == START, self.texts, counts)
 
-    def shares(self, histories: np.ndarray) -> np.ndarray:
-        """Number of cells that a history's pairs are dealt to."""
-        return np.maximum(1, -(-4 * self.held(histories) // self.cell))
+    def cells_needed(self) -> int:
+        return max(1, -(-self.tokens // self.cell))
 
-    def cell_of(self, histories: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        cells = max(1, -(-self.tokens // self.cell))
-        return (_mixed(histories) + _mixed(~ids) % self.shares(histories)) % cells
+    def cell_of(self, histories: np.ndarray, held: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return (_mixed(histories) + _mixed(~ids) % self.shares(held)) % self.cells_needed()
 
 
 def token_hashes(text: Column) -> Column:
@@ -158,7 +153,7 @@ def _mapped(df: DataFrame, run: Callable, schema: str) -> DataFrame:
 
 
 def _blocks(docs: DataFrame, learns: Column, key: str, text: str, block: int) -> DataFrame:
-    """Texts in blocks: their keys; who learns, sizes and tokens; distinct words with counts learnt."""
+    """Texts in blocks: keys; who learns, sizes and tokens; distinct words by hash, with counts learnt."""
     told = docs.select(
         F.col(f"`{key}`").alias("_k"), F.coalesce(learns, F.lit(False)).alias("_l"), token_hashes(F.col(f"`{text}`")).alias("_t")
     )
@@ -168,16 +163,13 @@ def _blocks(docs: DataFrame, learns: Column, key: str, text: str, block: int) ->
         keys, learns, texts = (pa.concat_arrays([b.column(i) for b in held]) for i in range(3))
         learns = learns.to_numpy(zero_copy_only=False).astype(np.int64)
         sizes = np.asarray(texts.value_lengths()).astype(np.int64)
-        found, at, n = np.unique(np.asarray(texts.flatten()), return_inverse=True, return_counts=True)
-        order = np.argsort(-n, kind="stable")  # frequent words get small numbers
-        place = np.empty_like(order)
-        place[order] = np.arange(len(order))
-        at = place[at]
+        found, at = np.unique(np.asarray(texts.flatten()), return_inverse=True)
         learnt = np.bincount(at, np.repeat(learns, sizes), len(found)).astype(np.int64)
-        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-        arrays = [pa.array([number], pa.int64()), one(keys), pa.array([_packed(learns, sizes, at)], pa.binary())]
+        one = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
+        told, asked = (pa.array([x], pa.binary()) for x in (_packed(learns, sizes, at), _packed(_steps(found), learnt)))
+        figures = [pa.array([x], pa.int64()) for x in (len(found), learnt.sum())]
         return pa.RecordBatch.from_arrays(
-            [*arrays, one(pa.array(found[order])), one(pa.array(learnt))], names=["block", "keys", "told", "words", "n"]
+            [pa.array([number], pa.int64()), one, told, asked, *figures], names=["block", "keys", "told", "asked", "words", "learnt"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,23 +188,76 @@ def _blocks(docs: DataFrame, learns: Column, key: str, text: str, block: int) ->
         if held:
             yield row(number, held)
 
-    schema = f"block bigint, keys array<{kind}>, told binary, words array<bigint>, n array<bigint>"
+    schema = f"block bigint, keys array<{kind}>, told binary, asked binary, words bigint, learnt bigint"
     return written(told.mapInArrow(run, schema), "katz-blocks")
 
 
-def _numbered(asked: DataFrame) -> DataFrame:
-    """Words learnt, numbered from 1 by falling count: word, c, id."""
-    spark = asked.sparkSession
-    counted = asked.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
-    ranked = counted.orderBy(F.desc("c"), "word").select("word", "c", F.monotonically_increasing_id().alias("_at"))
-    ranked = written(ranked, "katz-words")  # from here on the places stand
-    part = F.shiftright("_at", 33)
-    sizes = sorted((r["p"], r["n"]) for r in ranked.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
-    firsts = np.cumsum([1, *(n for _, n in sizes)]).tolist()
-    # one row for each part of the sort
-    parts = spark.createDataFrame([(p, first) for (p, _), first in zip(sizes, firsts)], "_p bigint, _first bigint")
-    place = F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return ranked.join(F.broadcast(parts), part == F.col("_p")).select("word", "c", place.alias("id"))
+def _asked(row: list | None, parts: int) -> list[tuple]:
+    """A block's words by the part of the word table that has them, a range of hashes."""
+    if row is None:
+        return []
+    block, asked = (x.as_py() for x in row)
+    steps, learnt = _unpacked(asked)
+    found = np.cumsum(steps)
+    part = ((found >> 32) + (1 << 31)) * parts >> 32
+    ends = np.append(np.flatnonzero(_changes(part)), len(part))
+    return [(int(part[a]), block, _packed(_steps(found[a:b]), learnt[a:b])) for a, b in zip(ends[:-1], ends[1:])]
+
+
+class _Words:
+    """Counts and numbers the words of one part after another, and answers the blocks.
+
+    Numbers begin at 1 and grow as counts fall; words never learnt have none.
+    """
+
+    def __init__(self, parts: int):
+        self.parts, self.at, self.held = parts, None, []
+
+    def __call__(self, row: list | None) -> list[tuple]:
+        part, block, told = [None] * 3 if row is None else [x.as_py() for x in row]
+        out = []
+        if part != self.at and self.held:
+            out, self.held = self._joined(), []
+        self.at = part
+        if told is not None:
+            self.held.append((block, *_unpacked(told)))
+        return out
+
+    def _joined(self) -> list[tuple]:
+        blocks, steps, learnt = zip(*self.held)
+        found, at = np.unique(np.concatenate([np.cumsum(x) for x in steps]), return_inverse=True)
+        c = np.bincount(at, np.concatenate(learnt), len(found)).astype(np.int64)
+        rank = np.empty_like(c)
+        rank[np.argsort(-c, kind="stable")] = np.arange(len(c))
+        number = np.where(c > 0, rank * self.parts + self.at + 1, UNKNOWN)
+        out, ends = [], np.cumsum([0, *map(len, steps)])
+        for block, a, b in zip(blocks, ends[:-1], ends[1:]):
+            out.append((block, self.at, ANSWER, _packed(number[at[a:b]], c[at[a:b]]), None))
+        known = c > 0
+        return [*out, (None, self.at, WORDS, _packed(found[known], number[known], c[known]), _few(c))]
+
+
+def _few(c: np.ndarray) -> list[int]:
+    """How many counts are 1, 2, ... up to one more than are discounted, and how many there are."""
+    return [*np.bincount(np.minimum(c, COUNTED + 2), minlength=COUNTED + 3)[1 : COUNTED + 2].tolist(), int((c > 0).sum())]
+
+
+def _few_of(rows: DataFrame, kind: int) -> tuple[dict[int, int], int]:
+    """Counts of counts of all rows, and the number of counts."""
+    n = rows.where(F.col("kind") == kind).select([F.sum(F.col("n")[i]) for i in range(COUNTED + 2)]).first()
+    return {i + 1: n[i] or 0 for i in range(COUNTED + 1)}, n[COUNTED + 1] or 0
+
+
+def word_table(model: Katz) -> DataFrame:
+    """Words learnt: ``word`` (hash), ``id``, ``c``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in _unpacked(x.as_py())], names=["word", "id", "c"])
+
+    told = model.words.where(F.col("kind") == WORDS).select("told")
+    return told.mapInArrow(run, "word bigint, id bigint, c bigint")
 
 
 def fit_katz(
@@ -226,48 +271,45 @@ def fit_katz(
     """
     blocks = _blocks(docs, F.lit(True) if learns is None else learns, key, text, block)
     keys = dict(blocks.dtypes)["keys"]
-    asked = blocks.select("block", F.posexplode(F.arrays_zip("words", "n")).alias("at", "x"))
-    asked = asked.select("block", "at", F.col("x.words").alias("word"), F.col("x.n").alias("n"))
-    named = _numbered(asked)
-
-    # distinct counts c make at least 1 + 2 + ... tokens: at most the root of twice the tokens
-    cc = {r["c"]: r["n"] for r in named.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}
-    counts = np.array(sorted(cc, reverse=True), np.int64)
-    tokens, types = sum(c * n for c, n in cc.items()), sum(cc.values())
+    total = blocks.agg(F.sum("words").alias("words"), F.sum("learnt").alias("learnt")).first()
+    tokens, parts = total["learnt"] or 0, max(1, -(-(total["words"] or 0) // cell))
+    asked = _mapped(blocks.select("block", "asked"), lambda: lambda r: _asked(r, parts), "part bigint, block bigint, told binary")
+    asked = asked.repartition("part").sortWithinPartitions("part", "block")
+    table = _mapped(asked, lambda: _Words(parts), "block bigint, part bigint, kind int, told binary, n array<bigint>")
+    table = written(table, "katz-words")
+
+    cc, types = _few_of(table, WORDS)
     discounts = _discounts(cc)
-    lost = sum((1 - discounts[c]) * c * cc.get(c, 0) for c in range(1, COUNTED + 1))
-    end = named.where(F.col("word") == F.xxhash64(F.lit("end of text"))).first()
+    lost = sum((1 - discounts[c]) * c * cc[c] for c in range(1, COUNTED + 1))
+    texts = docs.where(F.lit(True) if learns is None else learns).count()
     figures = dict(
         key=key,
         tokens=tokens,
         types=types,
-        texts=end["c"] if end else 0,
-        last=np.cumsum([cc[c] for c in counts.tolist()]).astype(np.int64),
-        counts=counts,
+        texts=texts,
         discounts=discounts,
-        unseen=(lost + 1) / (tokens + 1) / max(1, cc.get(1, 0)),
+        unseen=(lost + 1) / (tokens + 1) / max(1, cc[1]),
         cell=cell,
     )
     model = Katz(None, None, **figures)
 
-    told = asked.select("block", "at", "word").join(named.select("word", "id"), "word")
-    told = told.groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("ids"))
-    met = blocks.select("block", "keys", "told").join(told, "block", "left")
-    sent = _mapped(met, lambda: lambda r: r and _sent(model, r), f"cell bigint, block bigint, kind int, keys {keys}, told binary")
+    answers = table.where(F.col("kind") == ANSWER).select("block", "part", F.lit(None).cast(keys).alias("keys"), "told")
+    met = blocks.select("block", F.lit(-1).cast("bigint").alias("part"), "keys", "told").unionByName(answers)
+    met = met.repartition("block").sortWithinPartitions("block", "part")
+    sent = _mapped(met, lambda: _Block(model), f"cell bigint, block bigint, kind int, keys {keys}, told binary")
     sent = sent.repartition("cell").sortWithinPartitions("cell", "kind", "block")
     cells = _mapped(sent, lambda: _Cell(model), f"block bigint, kind int, keys {keys}, told binary, n array<bigint>")
     cells = written(cells, "katz-cells")
 
-    n = cells.where(F.col("kind") == PAIRS).select([F.sum(F.col("n")[i]).alias(f"n{i}") for i in range(COUNTED + 1)]).first()
-    pair_discounts = _discounts({i + 1: n[i] or 0 for i in range(COUNTED + 1)})
-    # a history's share of a cell is at least a quarter of it: a few rows for each cell
-    parts = [_unpacked(r["told"], floats=1) for r in cells.where(F.col("kind") == FREQUENT).select("told").collect()]
-    columns = [np.concatenate(c) for c in zip(*parts)] or [np.zeros(0, np.int64)] * (COUNTED + 3)
-    frequent, at = np.unique(columns[0], return_inverse=True)
-    few = sum(pair_discounts[c] * c * columns[c] for c in range(1, COUNTED + 1))
-    taken = np.bincount(at, few + columns[COUNTED + 1], len(frequent)) / (model.held(frequent) + 1)
-    weights = _weights(taken, np.bincount(at, columns[COUNTED + 2], len(frequent)))
-    return Katz(named, cells, **figures, pair_discounts=pair_discounts, frequent=frequent, weights=weights)
+    pair_discounts = _discounts(_few_of(cells, PAIRS)[0])
+    # a history's share of a cell is at least an eighth of it: a few numbers for each cell
+    found = [_unpacked(r["told"], floats=1) for r in cells.where(F.col("kind") == FREQUENT).select("told").collect()]
+    columns = [np.concatenate(c) for c in zip(*found)] or [np.zeros(0, np.int64)] * (COUNTED + 4)
+    frequent, first, at = np.unique(columns[0], return_index=True, return_inverse=True)
+    few = sum(pair_discounts[c] * c * columns[c + 1] for c in range(1, COUNTED + 1))
+    taken = np.bincount(at, few + columns[COUNTED + 2], len(frequent)) / (columns[1][first] + 1)
+    weights = _weights(taken, np.bincount(at, columns[COUNTED + 3], len(frequent)))
+    return Katz(table, cells, **figures, pair_discounts=pair_discounts, frequent=frequent, weights=weights)
 
 
 def _weights(taken: np.ndarray, alone: np.ndarray) -> np.ndarray:
@@ -275,37 +317,55 @@ def _weights(taken: np.ndarray, alone: np.ndarray) -> np.ndarray:
     return np.log10(np.maximum(1 - taken, 1e-12) / np.maximum(1 - alone, 1e-12))
 
 
-def _sent(model: Katz, row: list) -> list[tuple]:
-    """A block's own figures, and its pairs by cell: history, word, count learnt, documents."""
-    block, keys, told, ids = row
-    block = block.as_py()
-    learns, sizes, at = _unpacked(told.as_py())
-    number = np.full(int(at.max()) + 1, UNKNOWN, np.int64)
-    if ids.is_valid:
-        number[np.asarray(ids.values.field("at"))] = np.asarray(ids.values.field("id"))
-    word = number[at]
-    of = np.repeat(np.arange(len(sizes)), sizes)
-    own = [np.bincount(of, x, len(sizes)) for x in (word > 0, np.log10(model.count(word) + 0.5), np.log10(model.single(word)))]
-    first = _changes(of)
-    history = np.where(first, START, np.concatenate(([0], word[:-1])))
-    known = first | (history > 0)
-    of, history, word = of[known], history[known], word[known]
-    cell = model.cell_of(history, word)
-    rows = [(int(block) % max(1, -(-model.tokens // model.cell)), block, OWN, keys.values.to_pylist(), _packed(sizes, *own))]
-    order = np.lexsort((word, history, cell))  # documents stay in order
-    of, history, word, cell = of[order], history[order], word[order], cell[order]
-    new = _changes(cell, history, word)
-    pair, place = np.flatnonzero(new), np.flatnonzero(new | _changes(of))
-    n = np.diff(np.append(place, len(of)))
-    many = np.diff(np.append(np.searchsorted(place, pair), len(place)))
-    learnt = np.add.reduceat(learns[of], pair) if len(pair) else pair
-    ends = np.append(np.flatnonzero(_changes(cell[pair])), len(pair)) if len(pair) else [0]
-    docs_before = np.concatenate(([0], np.cumsum(many)))
-    for a, b in zip(ends[:-1], ends[1:]):
-        p, d = slice(a, b), slice(docs_before[a], docs_before[b])
-        told = _packed(_steps(history[pair[p]]), word[pair[p]], learnt[p], many[p], of[place[d]], n[d])
-        rows.append((int(cell[pair[a]]), block, PAIRS, None, told))
-    return rows
+class _Block:
+    """Takes a block and the answers to it, scores single words and sends pairs to their cells."""
+
+    def __init__(self, model: Katz):
+        self.model, self.at, self.keys, self.told, self.answers = model, None, None, None, []
+
+    def __call__(self, row: list | None) -> list[tuple]:
+        block, part, *_ = [None, None] if row is None else [x.as_py() for x in row[:2]]
+        out = []
+        if block != self.at and self.told is not None:
+            out = self._sent()
+            self.told, self.answers = None, []
+        self.at = block
+        if part == -1:
+            self.keys, self.told = row[2].values.to_pylist(), row[3].as_py()
+        elif part is not None:
+            self.answers.append(_unpacked(row[3].as_py()))
+        return out
+
+    def _sent(self) -> list[tuple]:
+        """The texts' own figures; by cell: words with counts, pairs, count learnt, documents."""
+        model, block = self.model, self.at
+        learns, sizes, at = _unpacked(self.told)
+        word, c = (np.concatenate(x)[at] for x in zip(*self.answers))
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        own = [np.bincount(of, x, len(sizes)) for x in (c > 0, np.log10(c + 0.5), np.log10(model.single(c)))]
+        rows = [(block % model.cells_needed(), block, OWN, self.keys, _packed(sizes, *own))]
+        first = _changes(of)
+        history, held = np.where(first, START, np.roll(word, 1)), np.where(first, model.texts, np.roll(c, 1))
+        known = first | (history > 0)
+        of, history, held, word, c = (x[known] for x in (of, history, held, word, c))
+        cell = model.cell_of(history, held, word)
+        order = np.lexsort((word, history, cell))  # documents stay in order
+        of, history, held, word, c, cell = (x[order] for x in (of, history, held, word, c, cell))
+        new = _changes(cell, history, word)
+        pair, place = np.flatnonzero(new), np.flatnonzero(new | _changes(of))
+        n = np.diff(np.append(place, len(of)))
+        ends = np.append(np.searchsorted(place, pair), len(place))  # of documents of a pair
+        learnt = np.add.reduceat(learns[of], pair)
+        cuts = np.append(np.flatnonzero(_changes(cell[pair])), len(pair))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            p, d = pair[a:b], slice(ends[a], ends[b])
+            found, here = np.unique(np.concatenate([history[p], word[p]]), return_inverse=True)
+            counts = np.zeros(len(found), np.int64)
+            counts[here] = np.concatenate([held[p], c[p]])
+            h, w = here[: b - a], here[b - a :]
+            told = _packed(_steps(found), _steps(counts), _steps(h), w, learnt[a:b], np.diff(ends[a : b + 1]), of[place[d]], n[d])
+            rows.append((int(cell[pair[a]]), block, PAIRS, None, told))
+        return rows
 
 
 class _Cell:
@@ -329,42 +389,52 @@ class _Cell:
         return out
 
     def _joined(self) -> list[tuple]:
-        blocks, steps, *columns = zip(*self.held)
-        word, learnt, many, doc, n = (np.concatenate(c) for c in columns)
-        history = np.concatenate([np.cumsum(s) for s in steps])
+        blocks, names, counts, steps, local, *columns = zip(*self.held)
+        learnt, many, doc, n = (np.concatenate(c) for c in columns)
+        found, first, at = np.unique(np.concatenate([np.cumsum(x) for x in names]), return_index=True, return_inverse=True)
+        counts = np.concatenate([np.cumsum(x) for x in counts])[first]
+        at = np.split(at, np.cumsum([len(x) for x in names])[:-1])
+        history = np.concatenate([a[np.cumsum(x)] for a, x in zip(at, steps)])
+        word = np.concatenate([a[x] for a, x in zip(at, local)])
         order = np.lexsort((word, history))
         new = _changes(history[order], word[order])
         number = np.empty_like(order)
         number[order] = np.cumsum(new) - 1
         c = np.add.reduceat(learnt[order], np.flatnonzero(new))
         history, word = history[order][new], word[order][new]
-        places = np.array([len(d) for d in columns[3]], np.int64)
+        places = np.array([len(d) for d in columns[2]], np.int64)
         told = _packed(
-            _steps(history), word, c, np.array(blocks, np.int64), places, _steps(np.repeat(number, many)), doc, n
-        )
-        seen = np.bincount(np.minimum(c, COUNTED + 2), minlength=COUNTED + 3)[1 : COUNTED + 2].tolist()
-        out = [(None, PAIRS, None, told, seen)]
-        dealt = (self.model.shares(history) > 1) & (c > 0)
+            _steps(found), _steps(counts), _steps(history), word, c,
+            np.array(blocks, np.int64), places, _steps(np.repeat(number, many)), doc, n,
+        )
+        out = [(None, PAIRS, None, told, _few(c))]
+        held = self.model.held(found, counts)
+        dealt = (self.model.shares(held)[history] > 1) & (c > 0)
         if dealt.any():
             frequent, at = np.unique(history[dealt], return_inverse=True)
-            c, total = c[dealt], lambda x: np.bincount(at, x, len(frequent))
+            alone, c = self.model.single(counts[word[dealt]]), c[dealt]
+            total = lambda x: np.bincount(at, x, len(frequent))
             few = [total(c == i).astype(np.int64) for i in range(1, COUNTED + 1)]
-            many = total(np.where(c > COUNTED, c, 0)).astype(np.int64)
-            out.append((None, FREQUENT, None, _packed(frequent, *few, many, total(self.model.single(word[dealt]))), None))
+            more = total(np.where(c > COUNTED, c, 0)).astype(np.int64)
+            out.append((None, FREQUENT, None, _packed(found[frequent], held[frequent], *few, more, total(alone)), None))
         return out
 
 
-def _pair_logs(model: Katz, history: np.ndarray, word: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _pairs_of(told: bytes) -> list[np.ndarray]:
+    """A cell's words by number, their counts, history and word of each pair as places there, the rest."""
+    found, counts, history, *rest = _unpacked(told)
+    return [np.cumsum(found), np.cumsum(counts), np.cumsum(history), *rest]
+
+
+def _pair_logs(model: Katz, found: np.ndarray, counts: np.ndarray, history: np.ndarray, word: np.ndarray, c: np.ndarray):
     """log10 probabilities of a cell's pairs, NaN where not seen, and of their histories' weights."""
-    held, single = model.held(history), model.single(word)
-    share = _discounted(c, model.pair_discounts) / (held + 1)
-    at = np.cumsum(_changes(history)) - 1
-    size = int(at[-1]) + 1 if len(at) else 0
-    weight = _weights(np.bincount(at, share, size), np.bincount(at, np.where(c > 0, single, 0.0), size))[at]
+    share = _discounted(c, model.pair_discounts) / (model.held(found, counts)[history] + 1)
+    alone = np.where(c > 0, model.single(counts)[word], 0.0)
+    weight = _weights(np.bincount(history, share, len(found)), np.bincount(history, alone, len(found)))
     if len(model.frequent):
-        place = np.minimum(np.searchsorted(model.frequent, history), len(model.frequent) - 1)
-        weight = np.where(model.frequent[place] == history, model.weights[place], weight)
-    return np.log10(np.where(c > 0, share, np.nan)), weight
+        place = np.minimum(np.searchsorted(model.frequent, found), len(model.frequent) - 1)
+        weight = np.where(model.frequent[place] == found, model.weights[place], weight)
+    return np.log10(np.where(c > 0, share, np.nan)), weight[history]
 
 
 def pair_table(model: Katz) -> DataFrame:
@@ -373,12 +443,11 @@ def pair_table(model: Katz) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for x in batch.column(0):
-                steps, word, c, *_ = _unpacked(x.as_py())
-                history = np.cumsum(steps)
-                columns = [history, word, c, *_pair_logs(model_parts, history, word, c)]
+                found, counts, history, word, c, *_ = _pairs_of(x.as_py())
+                columns = [found[history], found[word], c, *_pair_logs(known, found, counts, history, word, c)]
                 yield pa.RecordBatch.from_arrays([pa.array(v[c > 0]) for v in columns], names=["history", "word", "c", "log", "weight"])
 
-    model_parts = _without_tables(model)
+    known = _without_tables(model)
     told = model.cells.where(F.col("kind") == PAIRS).select("told")
     return told.mapInArrow(run, "history bigint, word bigint, c bigint, log double, weight double")
 
@@ -405,14 +474,13 @@ def score_texts(model: Katz) -> DataFrame:
         block, kind, names, told = (x.as_py() for x in row)
         if kind == OWN:
             return [(block, OWN, names, told)]
-        steps, word, c, blocks, places, number, doc, n = _unpacked(told)
-        history = np.cumsum(steps)
-        log, weight = _pair_logs(known, history, word, c)
-        value = np.where(c > 0, log - np.log10(known.single(word)), weight)[np.cumsum(number)] * n
+        found, counts, history, word, c, blocks, places, number, doc, n = _pairs_of(told)
+        log, weight = _pair_logs(known, found, counts, history, word, c)
+        value = np.where(c > 0, log - np.log10(known.single(counts))[word], weight)[np.cumsum(number)] * n
         out, ends = [], np.concatenate(([0], np.cumsum(places)))
         for b, i, j in zip(blocks.tolist(), ends[:-1], ends[1:]):
             of, at = np.unique(doc[i:j], return_inverse=True)
-            out.append((b, PAIRS, None, _packed(of, np.bincount(at, value[i:j]))))
+            out.append((b, PAIRS, None, _packed(_steps(of), np.rint(FIXED * np.bincount(at, value[i:j])).astype(np.int64))))
         return out
 
     def added() -> Callable:
@@ -423,7 +491,7 @@ def score_texts(model: Katz) -> DataFrame:
                 return []
             _, names, (sizes, seen, half, alone), sums = held
             half = half - sizes * base
-            columns = sizes.tolist(), seen.astype(np.int64).tolist(), half.tolist(), (alone + sums).tolist()
+            columns = sizes.tolist(), seen.astype(np.int64).tolist(), half.tolist(), (alone + sums / FIXED).tolist()
             return list(zip(names, *columns))
 
         def step(row: list | None) -> list[tuple]:
@@ -433,10 +501,10 @@ def score_texts(model: Katz) -> DataFrame:
             if kind == OWN:
                 out = rows()
                 sizes, *figures = _unpacked(told, floats=3)
-                held[:] = [block, names, (sizes, *figures), np.zeros(len(sizes))]
+                held[:] = [block, names, (sizes, *figures), np.zeros(len(sizes), np.int64)]
                 return out
-            of, more = _unpacked(told, floats=1)
-            held[3][of] += more
+            of, more = _unpacked(told)
+            held[3][np.cumsum(of)] += more
             return []
 
         return step

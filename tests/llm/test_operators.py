@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from loanbook.llm.html_text import extract_text, main_text
-from loanbook.llm.language_model import fit_katz, pair_table, score_texts
+from loanbook.llm.language_model import fit_katz, pair_table, score_texts, word_table
 from loanbook.llm.mixing import MixPlan, mix_documents, mix_shares, permutation, source_targets
 from loanbook.llm.near_duplicates import NearPlan, keep_one_of_each, near_duplicates
 from loanbook.llm.neighbours import SearchPlan, chi_square_quantile, nearest_neighbours
@@ -494,15 +494,15 @@ def test_history_probabilities_sum_to_one(spark, cell):
     texts = [" ".join(rng.choice("aaabbcdefg") for _ in range(rng.randrange(1, 12))) for _ in range(80)]
     model = fit_katz(docs_of(spark, [(i, t, "s") for i, t in enumerate(texts)]), cell=cell)
     assert len(model.frequent) > 0 if cell == 16 else len(model.frequent) == 0
-    words = model.words.toPandas()
-    assert sorted(words["id"]) == list(range(1, model.types + 1))
-    assert (model.count(words["id"].to_numpy()) == words["c"].to_numpy()).all()
-    singles = model.single(words["id"].to_numpy())
+    words = word_table(model).toPandas()
+    assert (words["id"].min(), words["id"].nunique(), words["c"].sum()) == (1, model.types, model.tokens)
+    singles = model.single(words["c"].to_numpy())
+    of = dict(zip(words["id"], singles))
     once = sum(words["c"] == 1)
     assert abs(singles.sum() + model.unseen * max(1, once) - 1) < 1e-9
     for _, mine in pair_table(model).toPandas().groupby("history"):
         assert mine["weight"].nunique() == 1 and not mine["word"].duplicated().any()
-        left = 1 - model.single(mine["word"].to_numpy()).sum()
+        left = 1 - sum(of[w] for w in mine["word"])
         assert abs((10 ** mine["log"]).sum() + 10 ** mine["weight"].iloc[0] * left - 1) < 1e-6
 
 
