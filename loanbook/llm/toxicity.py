@@ -63,24 +63,25 @@ def token_buckets(text: Column) -> Column:
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal segments (first, last, score) of positive score, in order.
 
-    Linear in the tokens: each candidate is pushed and merged at most once.
+    Linear in the tokens: a candidate knows the nearest one before it that begins at a lower
+    sum, so the search for it passes no candidate twice.
     """
-    found: list[list[float]] = []  # first, last, sum before, sum through
+    found: list[tuple] = []  # first, last, sum before, sum through, place of the one that begins lower
     at = np.flatnonzero(scores > 0)
     sums = np.concatenate(([0.0], np.cumsum(scores, dtype=np.float64)))
     for i in at:
         low, high = sums[i], sums[i + 1]
-        first = i
-        while found:
-            j = len(found) - 1
+        first, j = i, len(found) - 1
+        while True:
             while j >= 0 and found[j][2] >= low:
-                j -= 1
+                j = found[j][4]
             if j < 0 or found[j][3] >= high:
                 break
-            first, low = found[j][0], found[j][2]
+            first, low = found[j][:1] + found[j][2:3]
             del found[j:]
-        found.append([first, i, low, high])
-    return [(int(a), int(b), float(d - c)) for a, b, c, d in found]
+            j -= 1
+        found.append((first, i, low, high, j))
+    return [(int(a), int(b), float(d - c)) for a, b, c, d, _ in found]
 
 
 def _evidence(odds: np.ndarray, buckets: np.ndarray) -> tuple[int, float, list]:

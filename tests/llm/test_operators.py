@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -340,6 +341,17 @@ def test_segments_equal_the_definition():
         assert np.allclose([s for *_, s in found], [s for *_, s in expected])
 
 
+def test_segments_take_time_in_proportion():
+    took = []
+    for n in (20_000, 80_000):
+        for scores in (np.tile([1.0, -2.0], n // 2), np.tile([2.0, -1.0], n // 2)):
+            began = time.perf_counter()
+            found = segments(scores)
+            took.append(time.perf_counter() - began)
+            assert len(found) == (n // 2 if scores[0] == 1 else 1)
+    assert took[2] < 16 * max(took[0], 0.01) and took[3] < 16 * max(took[1], 0.01)  # 4 in proportion, 16 by the square
+
+
 def test_toxic_texts_are_found(spark, awkward, nothing):
     rng = random.Random(4)
     rows, labels = [], []
