@@ -42,10 +42,11 @@ class WordIds(dict):
 
     The vocabulary cuts texts before it merges, and a single blank or line end always begins
     a cut of its own, so words can be looked up one by one. Texts with more white space
-    between words are encoded whole.
+    between words are encoded whole. Strings of added tokens become their ids wherever they
+    stand, the longest first; what lies between them is encoded as texts of its own.
     """
 
-    def __init__(self, ranks_path: str, pattern: str):
+    def __init__(self, ranks_path: str, pattern: str, added: tuple[tuple[str, int], ...] = ()):
         import tiktoken
 
         with open(ranks_path, "rb") as lines:
@@ -53,6 +54,9 @@ class WordIds(dict):
         self._encode = tiktoken.Encoding(
             ranks_path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
+        self._added = {token: i.to_bytes(WIDTH, "little") for token, i in added}
+        longest = sorted(self._added, key=len, reverse=True)
+        self._cuts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if added else None
 
     def whole(self, text: str) -> bytes:
         ids = self._encode(text)
@@ -65,6 +69,12 @@ class WordIds(dict):
         return found
 
     def of(self, text: str) -> bytes:
+        if self._cuts is None or not self._cuts.search(text):
+            return self._between(text)
+        parts = self._cuts.split(text)
+        return b"".join(self._added[x] if i % 2 else self._between(x) for i, x in enumerate(parts) if x)
+
+    def _between(self, text: str) -> bytes:
         if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _RARE.search(text):
             return self.whole(text)
         first, *rest = text.replace("\n", " \n").split(" ")
@@ -73,14 +83,14 @@ class WordIds(dict):
         return self.whole(first) + b"".join(map(self.__getitem__, rest))
 
 
-_loaded: dict[tuple[str, str], WordIds] = {}
+_loaded: dict[tuple, WordIds] = {}
 
 
-def _word_ids(ranks_path: str, pattern: str) -> WordIds:
+def _word_ids(*vocabulary) -> WordIds:
     """One table per worker process."""
-    if (ranks_path, pattern) not in _loaded:
-        _loaded[ranks_path, pattern] = WordIds(ranks_path, pattern)
-    return _loaded[ranks_path, pattern]
+    if vocabulary not in _loaded:
+        _loaded[vocabulary] = WordIds(*vocabulary)
+    return _loaded[vocabulary]
 
 
 class Packer:
@@ -170,11 +180,19 @@ class Packer:
 
 
 def pack_documents(
-    docs: DataFrame, ranks_path: str, pattern: str, end_id: int = 0, *, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    end_id: int = 0,
+    *,
+    added: dict[str, int] | None = None,
+    key: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset,
     window (the sequence's length) and step (of its partition and window).
 
+    ``added``: strings that the vocabulary adds as tokens, with their ids.
     A NULL or empty text is the end id alone. Rows that repeat are documents of their own;
     an empty table gives an empty result; other columns are left out.
     """
@@ -187,7 +205,7 @@ def pack_documents(
     end = end_id.to_bytes(WIDTH, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _word_ids(ranks_path, pattern)
+        ids = _word_ids(ranks_path, pattern, tuple(sorted((added or {}).items())))
         first = TaskContext.get().partitionId() << 40
         columns: list[list] = [[] for _ in range(9)]
         key_type = None

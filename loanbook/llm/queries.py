@@ -25,6 +25,8 @@ from loanbook.llm.url_filter import Rule, url_verdicts
 
 #: The ranks hold the same vocabulary as the tokenizer file byte_bpe_50k.json.
 RANKS = "byte_bpe_50k.tiktoken"
+#: Fixed value: the token that the tokenizer file adds to the ranks.
+ADDED = {"<|endoftext|>": 50256}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,7 +76,7 @@ def op5_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_tier_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
     docs = _table(spark, sf_dir, "documents")
-    return pack_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return pack_documents(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, added=ADDED)
 
 
 def op7_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

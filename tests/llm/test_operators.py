@@ -381,9 +381,11 @@ def test_packing_is_an_exact_round_trip(awkward, nothing):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    pieces = pack_documents(awkward, ranks, public_tokenizers.PATTERN).collect()
+    end = "<|endoftext|>"
+    odd = [f"z {end} y", end, f"{end}{end}", f" {end}\n", f"a\n{end} \n b  {end}c", f"<|{end}|>", "<|endoftext |>", f"x{end[:-1]}"]
+    awkward = awkward.unionByName(docs_of(awkward.sparkSession, [(300 + i, t, "s") for i, t in enumerate(odd)]))
+    pieces = pack_documents(awkward, ranks, public_tokenizers.PATTERN, added={end: 50256}).collect()
     expected = Counter()
     for r in awkward.where("doc_id <> 4 AND doc_id <> 5").collect():
         ids = tokenizer.encode(r.text or "", add_special_tokens=False).ids + [0]
