@@ -5,7 +5,8 @@ both within links; their ratio, adjusted for links, is its density. The sum of a
 children's densities is largest for the element that holds the article's blocks. The lowest
 density on the way from that node up to its article (or the body) is the threshold: further
 subtrees at or above it belong to the text as well. Elements whose name, class or role says
-that they are menus, notices, forms and the like take no part.
+that they are menus, notices, forms and the like take no part; a part of a class name says
+so only of elements without most of the text.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,6 +40,9 @@ FURNITURE = frozenset(
     "paywall sidebar menu nav navbar navigation breadcrumb breadcrumbs footer masthead comment comments "
     "disqus respond replies share sharing social related recommended widget toolbar pagination pager skip".split()
 )
+#: Those that say so as a part of a longer name as well, however much text they hold.
+COMMENTS = frozenset("comment comments disqus respond replies".split())
+DOUBTED, CERTAIN = 1, 2
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 #: An element of the second set ends an open one of the first, up to the nearest of the third.
 IMPLIED = {
@@ -71,43 +76,67 @@ class Node:
         self.marked = False
 
 
-def _is_furniture(name: str, attributes: str, in_article: bool) -> bool:
+def _furniture(name: str, attributes: str, in_article: bool) -> int:
+    """CERTAIN for page furniture, DOUBTED where only a part of a class or id says so, or 0."""
     if name in DROPPED or name == "header" and not in_article:
-        return True
+        return CERTAIN
     if not attributes.strip():
-        return False
+        return 0
+    out = 0
     for kind, value in ATTRIBUTE.findall(attributes):
         kind, value = kind.lower(), value.strip("\"'").lower()
         if kind == "hidden" or kind == "aria-hidden" and value == "true":
-            return True
+            return CERTAIN
         if kind == "style" and HIDDEN.search(value):
-            return True
+            return CERTAIN
         if kind == "role" and value in ROLES:
-            return True
+            return CERTAIN
         if kind in ("class", "id") and name not in ("body", "html", "article", "main"):
-            if not FURNITURE.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-                return True
-    return False
+            for one in value.split():
+                told = FURNITURE.intersection(re.split(r"[^a-z0-9]+", one))
+                if one in FURNITURE or not told.isdisjoint(COMMENTS):
+                    return CERTAIN
+                out = DOUBTED if told else out
+    return out
 
 
 def parse(page: str) -> Node:
-    """The tree of block elements; inline elements add to their block's figures."""
+    """The tree of block elements; inline elements add to their block's figures.
+
+    An element that only a part of its class or id calls furniture ("has-sidebar") stays if
+    it holds more than half of the text that is not furniture for certain.
+    """
+    root, seen, doubted = _parsed(page, frozenset())
+    stays = frozenset(at for at, chars in doubted if 2 * chars > seen)
+    return _parsed(page, stays)[0] if stays else root
+
+
+def _parsed(page: str, stays: frozenset[int]) -> tuple[Node, int, list[tuple[int, int]]]:
+    """The tree, the characters of text, and where doubted elements begin with theirs."""
     root = node = Node("html", None, False)
-    stack: list[tuple[str, Node, bool]] = []  # open elements: name, the block around, dropped
-    dropped = 0  # open dropped elements
+    # open elements: name, the block around, how it is dropped, where it begins, text before
+    stack: list[tuple[str, Node, int, int, int]] = []
+    opened: Counter[str] = Counter()
+    doubted: list[tuple[int, int]] = []
+    dropped = certain = seen = 0  # open dropped elements, those for certain, characters of text
     links = articles = 0
     at, size, lower = 0, len(page), None
 
     def close(upto: int) -> None:
-        nonlocal node, dropped, links, articles
+        nonlocal node, dropped, certain, links, articles
         while len(stack) > upto:
-            name, around, gone = stack.pop()
-            node = around
-            dropped -= gone
+            name, node, gone, begin, before = stack.pop()
+            opened[name] -= 1
+            dropped -= gone > 0
+            certain -= gone == CERTAIN
+            if gone == DOUBTED and not certain:
+                doubted.append((begin, seen - before))
             links -= name == "a"
             articles -= name in ("article", "main")
 
     def text(part: str) -> None:
+        nonlocal seen
+        seen += 0 if certain else len(part.strip())
         if dropped or not part:
             return
         part = html.unescape(part) if "&" in part else part
@@ -119,13 +148,13 @@ def parse(page: str) -> Node:
             text(page[at:])
             break
         text(page[at : found.start()])
-        at = found.end()
+        begin, at = found.span()
         end, name, attributes = found.group(1, 2, 3) if found.group(2) else found.group(4, 5, 6)
         if not name:
             continue
         name = name.lower()
         if end:
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[k][0] == name:
                     close(k)
                     break
@@ -134,7 +163,7 @@ def parse(page: str) -> Node:
             continue
         if name in BLOCK:
             if name not in ("html", "body"):  # an open paragraph ends here
-                for k in range(len(stack) - 1, -1, -1):
+                for k in range(len(stack) - 1, -1, -1) if opened["p"] else ():
                     if stack[k][0] == "p":
                         close(k)
                         break
@@ -142,13 +171,15 @@ def parse(page: str) -> Node:
                         break
             if name in IMPLIED:
                 ended, fence = IMPLIED[name]
-                for k in range(len(stack) - 1, -1, -1):
+                for k in range(len(stack) - 1, -1, -1) if any(opened[x] for x in ended) else ():
                     if stack[k][0] in ended:
                         close(k)
                         break
                     if stack[k][0] in fence:
                         break
-        gone = _is_furniture(name, attributes, articles > 0)
+        gone = _furniture(name, attributes, articles > 0)
+        if gone == DOUBTED and begin in stays:
+            gone = 0
         if not dropped and not gone:
             node.tags += 1
             node.link_tags += name == "a"
@@ -156,8 +187,10 @@ def parse(page: str) -> Node:
                 node.items.append(" ")
         if name in VOID or attributes.endswith("/") and name not in BLOCK and name != "a":
             continue
-        stack.append((name, node, gone))
-        dropped += gone
+        stack.append((name, node, gone, begin, seen))
+        opened[name] += 1
+        dropped += gone > 0
+        certain += gone == CERTAIN
         links += name == "a"
         articles += name in ("article", "main")
         if name in BLOCK and name != "html" and not dropped:
@@ -169,7 +202,8 @@ def parse(page: str) -> Node:
             stop = lower.find("</" + name, at)
             text(page[at : stop if stop >= 0 else size])
             at = stop if stop >= 0 else size
-    return root
+    close(0)
+    return root, seen, doubted
 
 
 def _in_order(root: Node) -> list[Node]:

@@ -225,6 +225,32 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 <p>Last.</p></article></main><aside>Related things to read</aside><footer>&copy; all</footer></body></html>"""
 
 
+WRAPPERS = ["content has-sidebar", "no-sidebar", "social-share-enabled", "with-banner", "content-related entry"]
+
+
+@pytest.mark.parametrize("name", WRAPPERS)
+def test_part_of_a_class_name_does_not_drop_an_article(name):
+    lines = [f"Sentence number {i} of the article goes on for a good while, so that it is long." for i in range(9)]
+    article = "".join(f"<p>{x}</p>" for x in lines)
+    menu = '<div class="top-nav"><a href="/">Home</a> <a href="/b">News</a></div>'
+    comments = f'<div class="comment-list"><p>{"I do not agree at all. " * 60}</p></div>'
+    plain = f"<body>{menu}<div>{article}</div>{comments}</body>"
+    assert main_text(plain) == "\n".join(lines)
+    assert main_text(plain.replace("<div>", f'<div class="{name}">')) == "\n".join(lines)
+    nested = plain.replace("<div>", f'<div class="page-widget"><div class="{name}">').replace("</div><div class=\"comment", "</div></div><div class=\"comment")
+    assert main_text(nested) == "\n".join(lines)
+
+
+def test_end_tags_without_a_start_take_time_in_proportion():
+    took = []
+    for n in (2_000, 16_000):
+        for page in ("<b>" * n + "</i>" * n, "<b>" * n + "<hr>" * n):
+            began = time.perf_counter()
+            main_text(page)
+            took.append(time.perf_counter() - began)
+    assert took[2] < 32 * max(took[0], 0.02) and took[3] < 32 * max(took[1], 0.02)  # 8 in proportion, 64 by the square
+
+
 def test_main_text_of_a_page():
     assert main_text(PAGE).split("\n") == [
         "Head & line",
