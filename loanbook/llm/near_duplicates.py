@@ -11,7 +11,8 @@ A bucket never emits all of its pairs. First its members are compared with one o
 bucket's hub; hubs differ between bands, so a large group of copies is connected by many
 stars. Where a bucket still holds several components, the members outside its largest one
 are compared with all others of the bucket, signatures against signatures in blocks of
-bounded size. In the first rounds each of these members passes on its few most similar
+bounded size. These members' signatures are longer: the comparison goes on over ``further``
+values of 8 bits, so that few pairs below the threshold are left. In the first rounds each of these members passes on its few most similar
 partners of other components only; these are verified, and components grow together. In the
 last round every survivor leaves its block. So every candidate pair is verified, dropped by
 the posterior bound, or between members known to be connected.
@@ -21,7 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from math import comb
+from functools import lru_cache
+from math import exp, lgamma, log
 
 import numpy as np
 import pandas as pd
@@ -48,26 +50,36 @@ class NearPlan:
     #: rounds in which a member passes on its best partners, before the round of all survivors
     rounds: int = 2
     best: int = 4
+    #: values beyond the bands for members of buckets that the hubs leave in several parts
+    further: int = 900
+    further_batch: int = 100
 
     @property
     def hashes(self) -> int:
         return self.bands * self.rows
 
     def least_matches(self) -> list[tuple[int, int]]:
-        """After n hashes, the fewest matches that a pair may have and stay.
+        """After n hashes of the bands, the fewest matches that a pair may have and stay."""
+        return [(n, _least(n, self.percent, self.miss)) for n in range(self.batch, self.hashes + 1, self.batch)]
+
+    def least_further(self) -> list[tuple[int, int]]:
+        """The same after all of these and n further ones."""
+        steps = range(self.further_batch, self.further + 1, self.further_batch)
+        return [(n, _least(self.hashes + n, self.percent, self.miss)) for n in steps]
 
-        With m of n matches and a uniform prior the similarity is Beta(m+1, n-m+1), and it
-        is t or more with the probability that of n+1 trials at t at most m succeed.
-        """
-        t = self.percent / 100
-        out = []
-        for n in range(self.batch, self.hashes + 1, self.batch):
-            total, m = 0.0, -1
-            while total < self.miss:
-                m += 1
-                total += comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
-            out.append((n, m))
-        return out
+
+@lru_cache(maxsize=4096)
+def _least(n: int, percent: int, miss: float) -> int:
+    """With m of n matches and a uniform prior the similarity is Beta(m+1, n-m+1), and it is t
+    or more with the probability that of n+1 trials at t at most m succeed. The least m at
+    which that reaches ``miss``."""
+    t = percent / 100
+    total, m = 0.0, -1
+    while total < miss:
+        m += 1
+        ways = lgamma(n + 2) - lgamma(m + 1) - lgamma(n + 2 - m)
+        total += exp(ways + m * log(t) + (n + 1 - m) * log(1 - t)) if t < 1 else float(m > n)
+    return m
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -99,7 +111,8 @@ def signature(shingles: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def _keys(plan: NearPlan) -> np.ndarray:
-    return _mixed(np.arange(1, plan.hashes + 1, dtype=np.uint64) * MIX + np.uint64(plan.seed))
+    """Of the hash functions of the bands, then of the further ones."""
+    return _mixed(np.arange(1, plan.hashes + plan.further + 1, dtype=np.uint64) * MIX + np.uint64(plan.seed))
 
 
 def signed(docs: DataFrame, plan: NearPlan, *, key="doc_id", text="text") -> DataFrame:
@@ -110,7 +123,7 @@ def signed(docs: DataFrame, plan: NearPlan, *, key="doc_id", text="text") -> Dat
         F.unhex(F.md5(F.concat_ws(" ", w).cast("binary"))).alias("_class"),
         F.transform(w, lambda x: F.xxhash64(x)).alias("_w"),
     )
-    keys = _keys(plan)
+    keys = _keys(plan)[: plan.hashes]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,8 +161,8 @@ def _alive(left: np.ndarray, right: np.ndarray, plan: NearPlan) -> np.ndarray:
     return alive
 
 
-def _signatures(packed: Sequence[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(packed), np.uint16).reshape(len(packed), -1)
+def _signatures(packed: Sequence[bytes], kind: type = np.uint16) -> np.ndarray:
+    return np.frombuffer(b"".join(packed), kind).reshape(len(packed), -1)
 
 
 def _survives(plan: NearPlan):
@@ -163,22 +176,35 @@ def _survives(plan: NearPlan):
     return survives
 
 
-def _partners(signatures: np.ndarray, plan: NearPlan):
+def _further(sets: DataFrame, plan: NearPlan) -> DataFrame:
+    """``node``, ``_further``: 8 bits of each further value; equal ones by chance only add matches."""
+    keys = _keys(plan)[plan.hashes :]
+
+    @F.pandas_udf("binary")
+    def values(x: pd.Series) -> pd.Series:
+        return pd.Series([signature(np.frombuffer(v, np.uint64), keys).astype(np.uint8).tobytes() for v in x], dtype=object)
+
+    return sets.select("node", values("_set").alias("_further"))
+
+
+def _partners(signatures: np.ndarray, further: np.ndarray, plan: NearPlan):
     """Rows of a block that a signature survives against, with the matches, among those allowed."""
-    steps = [
-        (np.ascontiguousarray(signatures[:, n - plan.batch : n]), slice(n - plan.batch, n), least)
-        for n, least in plan.least_matches()
-    ]
-
-    def of(sig: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        (values, part, least), *rest = steps
-        matches = np.count_nonzero(values == sig[part], axis=1)
-        rows = np.flatnonzero(allowed & (matches >= least))
+    first = [(n - plan.batch, n, least) for n, least in plan.least_matches()]
+    then = [(n - plan.further_batch, n, least) for n, least in plan.least_further()]
+    start, end, fewest = first[0]
+    beginning = np.ascontiguousarray(signatures[:, start:end])
+
+    def of(sig: np.ndarray, more: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        matches = np.count_nonzero(beginning == sig[start:end], axis=1)
+        rows = np.flatnonzero(allowed & (matches >= fewest))
         matches = matches[rows]
-        for values, part, least in rest:
-            matches = matches + np.count_nonzero(values[rows] == sig[part], axis=1)
-            kept = matches >= least
-            rows, matches = rows[kept], matches[kept]
+        for values, mine, steps in ((signatures, sig, first[1:]), (further, more, then)):
+            for low, high, least in steps:
+                if not len(rows):
+                    return rows, matches
+                matches = matches + np.count_nonzero(values[rows, low:high] == mine[low:high], axis=1)
+                kept = matches >= least
+                rows, matches = rows[kept], matches[kept]
         return rows, matches
 
     return of
@@ -196,15 +222,15 @@ def _between_parts(told: DataFrame, sigs: DataFrame, open_bands: DataFrame, plan
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     few = held.where(F.col("label") != F.col("largest")).select(
-        "band", own.alias("i"), others.alias("j"), F.lit(True).alias("few"), "node", "label", "_sig"
+        "band", own.alias("i"), others.alias("j"), F.lit(True).alias("few"), "node", "label", "_sig", "_further"
     )
-    everyone = held.select("band", others.alias("i"), own.alias("j"), F.lit(False).alias("few"), "node", "label", "_sig")
+    everyone = held.select("band", others.alias("i"), own.alias("j"), F.lit(False).alias("few"), "node", "label", "_sig", "_further")
     blocks = few.unionByName(everyone).repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
 
     def compared(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
         """All blocks of a table, one after the other."""
         found: list[tuple] = []
-        sigs = _signatures(rows["_sig"].to_pylist())
+        sigs, further = _signatures(rows["_sig"].to_pylist()), _signatures(rows["_further"].to_pylist(), np.uint8)
         nodes, few = rows["node"].to_pylist(), rows["few"].to_numpy()
         labels = rows["label"].combine_chunks().dictionary_encode().indices.to_numpy()
         for start, end in zip([0, *ends[:-1]], ends):
@@ -212,9 +238,9 @@ def _between_parts(told: DataFrame, sigs: DataFrame, open_bands: DataFrame, plan
             y = start + np.flatnonzero(~few[start:end])
             if not len(x) or not len(y):
                 continue
-            partners = _partners(sigs[y], plan)
+            partners = _partners(sigs[y], further[y], plan)
             for row in x:
-                at, matches = partners(sigs[row], labels[y] != labels[row])
+                at, matches = partners(sigs[row], further[row], labels[y] != labels[row])
                 if best is not None and len(at) > best:
                     most = np.argsort(-matches, kind="stable")[:best]
                     at, matches = at[most], matches[most]
@@ -335,7 +361,7 @@ def _labelled(docs: DataFrame, plan: NearPlan, key: str, text: str) -> DataFrame
     stars = first.distinct().join(a, "a").join(b, "b").where(survives("_sa", "_sb")).select("a", "b")
     labels = components(confirmed(written(stars, "near-stars"), "near-links"))
 
-    stalled = False
+    stalled, longer = False, None
     for best in [plan.best] * plan.rounds + [None]:
         if stalled and best is not None:
             continue
@@ -348,7 +374,11 @@ def _labelled(docs: DataFrame, plan: NearPlan, key: str, text: str) -> DataFrame
         open_bands = written(open_bands.where("parts > 1").drop("parts"), "near-open")
         if open_bands.isEmpty():
             break
-        found = written(_between_parts(told, sigs, open_bands, plan, best), "near-survivors")
+        if longer is None:  # bands only close, so these are the members of later rounds too
+            still = members.join(open_bands, "band").select("node").distinct()
+            longer = _further(sets.join(still, "node", "left_semi"), plan).join(sigs, "node")
+            longer = written(longer, "near-longer")
+        found = written(_between_parts(told, longer, open_bands, plan, best), "near-survivors")
         more = confirmed(_as_pairs(found, best), "near-more")
         stalled = more.isEmpty()
         if not stalled:

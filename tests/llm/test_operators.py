@@ -149,6 +149,17 @@ def test_bounds_keep_pairs_at_the_threshold():
     for n, least in plan.least_matches():
         lost = sum(math.comb(n, m) * 0.85**m * 0.15 ** (n - m) for m in range(least))
         assert lost < 20 * plan.miss and 0 < least < n
+    for more, least in plan.least_further():
+        n = plan.hashes + more
+        lost = sum(math.exp(math.lgamma(n + 1) - math.lgamma(m + 1) - math.lgamma(n - m + 1)) * 0.85**m * 0.15 ** (n - m) for m in range(least))
+        assert lost < 20 * plan.miss and 0 < least < n
+
+
+def test_a_similarity_of_all_is_copies_of_shingle_sets(spark):
+    rows = varied(random.Random(9), 2, 20)
+    found = near_duplicates(docs_of(spark, [(i, t, "s") for i, t in rows]), NearPlan(percent=100)).collect()
+    sets = [(i, shingles(t)) for i, t in rows]
+    assert {r.doc_id: r.component_id for r in found} == {i: min([j for j, u in sets if u and u == x], default=i) for i, x in sets}
 
 
 def test_the_pipeline_drops_near_copies_from_a_similarity_of_80(spark):
