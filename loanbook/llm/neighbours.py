@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by stable projections, a kd-tree and a chi-square stop.
 
-Vectors are projected to a few dimensions by a Gaussian matrix: the squared projected
+Vectors are projected to fewer dimensions by a Gaussian matrix: the squared projected
 distance of two vectors, over their squared distance, follows a chi-square law. A kd-tree,
 its planes from a bounded sample, deals all projections into leaves. A query first searches
 its own leaf, which bounds the distance of its k-th neighbour. Leaves within that bound times
@@ -27,8 +27,8 @@ from loanbook.llm.common import written
 
 @dataclass(frozen=True)
 class SearchPlan:
-    dimensions: int = 8
-    confidence: float = 0.99
+    dimensions: int = 32
+    confidence: float = 0.95
     seed: int = 1
     #: rows that set the planes of the tree; all rows are indexed and searched
     sample: int = 16_384
