@@ -48,7 +48,7 @@ class NearPlan:
     #: members on either side of a block of comparisons
     block: int = 1024
     #: rounds in which a member passes on its best partners, before the round of all survivors
-    rounds: int = 2
+    rounds: int = 1
     best: int = 4
     #: values beyond the bands for members of buckets that the hubs leave in several parts
     further: int = 900
