@@ -1,15 +1,18 @@
-"""Column helpers shared by the operators: words, repeated rows, shared folders."""
+"""Column helpers shared by the operators: words, repeated rows, the package for the tasks."""
 
 from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanbook.session import shared_folder, written  # noqa: F401
+
 #: White space between words; a word is a longest run of anything else.
 SPACE = "[\\x20\\x09-\\x0D]"
 NOT_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -50,20 +53,14 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(target)
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path below the shared checkpoint folder; it is set to a local one where unset."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="checkpoint-"))
-    return os.path.join(context.getCheckpointDir(), f"{name}-{uuid.uuid4().hex}")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written once as Parquet in the shared folder and read from there.
-
-    Lost executors cost nothing that was written, and later steps start from the file.
-    """
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run within hand Python so many rows at a time: for rows of whole sets or blocks,
+    of which the usual 10,000 fill a worker's memory. Results do not depend on it."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -117,12 +117,16 @@ def own_items(tables: Tables, country: str) -> DataFrame:
 
 
 def items_per_loan(tables: Tables, country: str) -> DataFrame:
-    """One row per loan with items: how many a join to them gives, and whether one is its own."""
+    """One row per loan with items: how many a join to them gives, and whether one is its own.
+
+    These rows make the hash table of a join, so the payments beside them are not sorted for it.
+    """
     items = account_items(tables, country)
     own = F.coalesce(F.col("oi_loan_account_id") == F.col("la_loan_account_id"), F.lit(False))
-    return items.groupBy(F.col("la_loan_account_id").alias("item_loan_id")).agg(
+    per_loan = items.groupBy(F.col("la_loan_account_id").alias("item_loan_id")).agg(
         F.count("*").alias("copies"), F.max(own).alias("has_own")
     )
+    return per_loan.hint("shuffle_hash")
 
 
 def benchmark_month_transactions(tables: Tables, country: str, span: Span) -> DataFrame:

@@ -384,6 +384,8 @@ def usual_bookings(
     rows = join_snapshots(rows, tables, since).join(
         customer_profiles(tables), F.col("d_customer_id") == F.col("customer_id"), "left"
     )
+    # Both groupings of ``_one_per_month`` and the last one of all systems need no other layout.
+    rows = rows.repartition("loan_id", "month_end")
     rows, terms = with_terms(rows, snapshot_terms())
     rows = rows.withColumn("loan_rate", units(F.col("la_daily_rate")))
     rate = F.col("loan_rate")

@@ -6,10 +6,11 @@ import re
 import pytest
 
 from loanbook.operators.payments import daily_payments
+from loanbook.operators.usual import monthly_payments, payments_of_month
 from loanbook.plans.paid_vs_expected import benchmark_arm, metered_arm, snapshot_arm
-from loanbook.plans.repayment import repayment_behaviour
+from loanbook.plans.repayment import SINCE, ZAMBIA, repayment_behaviour, usual_bookings
 from loanbook.sources import load_parquet
-from workload.queries import PERIODS
+from workload.queries import KEPT, PERIODS, registered
 from workload.staging import TABLES, StagedTables
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
@@ -95,3 +96,29 @@ def test_no_join_sees_the_rows_of_the_calendar(as_at_scale, stored):
             first = next(i for i, name in enumerate(way) if "Join" in name)
             # calendar, actual days and payments are spread over the highest join
             assert sum("Generate" in name for name in way[:first]) == 3, way
+
+
+def test_payments_are_not_sorted_to_meet_the_loans_items(as_at_scale, stored):
+    plan = physical(monthly_payments(stored, ZAMBIA, SINCE))
+    for table in ("benchmark_transactions", "payment_bookings"):
+        (way,) = ways_to(plan, table)
+        first = max(i for i, name in enumerate(way) if "Join" in name)
+        assert way[first] == "ShuffledHashJoin", way
+        assert "Sort" not in way[first:], way
+
+
+def test_bookings_move_once_above_their_joins(as_at_scale, stored):
+    months = payments_of_month(stored, ZAMBIA, SINCE)
+    ways = ways_to(physical(usual_bookings(stored, months)), "snapshot_days")
+    assert ways
+    for way in ways:
+        first = next(i for i, name in enumerate(way) if "Join" in name)
+        assert way[:first].count("Exchange") == 1, way
+
+
+def test_snapshots_read_several_times_are_derived_once(as_at_scale, spark):
+    for name in ("snapshot_vs_previous_month", "usual_payment_amount"):
+        assert KEPT[name] == ("snapshot_days",)
+    plan = physical(registered()["snapshot_vs_previous_month"](spark, SF_DIR)).toString()
+    assert scans(plan, "lineitem") == 0
+    assert "staged-snapshot_days-" in plan

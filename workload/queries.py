@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -43,9 +43,26 @@ PERIODS = reporting_periods(AS_OF)
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _on_tables(step: Callable[[StagedTables], DataFrame]) -> Query:
+#: Tables that a query reads several times over, and that cost shuffles to derive.
+KEPT = {
+    name: ("snapshot_days",)
+    for name in (
+        "usual_payment_amount",
+        "repayment_behaviour",
+        "repayment_behaviour_mid_month",
+        "repayment_behaviour_ordered",
+        "repayment_behaviour_naive_local",
+        "snapshot_vs_previous_month",
+    )
+}
+
+
+def _on_tables(step: Callable[[StagedTables], DataFrame], kept: Sequence[str] = ()) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return step(StagedTables(spark, sf_dir))
+        tables = StagedTables(spark, sf_dir)
+        for name in kept:
+            tables.keep(name)
+        return step(tables)
 
     return run
 
@@ -363,4 +380,4 @@ def registered() -> dict[str, Query]:
         "left_join_left_side_predicate": left_join_left_side_predicate,
         "cents_and_rounding": cents_and_rounding,
     }
-    return {name: _on_tables(step) for name, step in steps.items()}
+    return {name: _on_tables(step, KEPT.get(name, ())) for name, step in steps.items()}

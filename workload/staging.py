@@ -15,6 +15,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanbook.session import written
 from loanbook.sources import conform
 
 AS_OF = date(2024, 3, 31)
@@ -550,3 +551,10 @@ class StagedTables(dict):
         inputs = {t: self.driver(t) for t in DRIVER_TABLES if "{" + t + "}" in text}
         self[name] = conform(self._spark.sql(text, **inputs), name)
         return self[name]
+
+    def keep(self, name: str) -> None:
+        """Derive a table once, for a query that reads it several times, and read it from Parquet.
+
+        The rows are all of the table's, in the shared checkpoint folder.
+        """
+        self[name] = written(self[name], f"staged-{name}")
