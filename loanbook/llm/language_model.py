@@ -102,22 +102,27 @@ def _discounted(c: np.ndarray, discounts: np.ndarray) -> np.ndarray:
 
 
 def _packed(*columns: np.ndarray) -> bytes:
-    """Columns of 64-bit numbers as one string, compressed byte plane by byte plane."""
-    sizes = np.array([len(c) for c in columns], np.int64)
-    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
-    return bytes([len(columns)]) + sizes.tobytes() + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+    """Columns of 64-bit numbers as one string, compressed byte plane by byte plane.
+
+    One column after the other, so that no more than one is held a second time.
+    """
+    told, sizes = [], []
+    for c in columns:
+        planes = np.ascontiguousarray(c).view(np.uint8).reshape(-1, 8).T.tobytes()
+        told.append(pa.compress(planes, codec="zstd", asbytes=True) if planes else b"")
+        sizes += [len(c), len(told[-1])]
+    return bytes([len(columns)]) + np.array(sizes, np.int64).tobytes() + b"".join(told)
 
 
 def _unpacked(data: bytes, floats: int = 0) -> list[np.ndarray]:
     """The columns of ``_packed``; the last ``floats`` of them are doubles."""
-    sizes = np.frombuffer(data, np.int64, data[0], 1)
-    planes = pa.decompress(data[1 + 8 * len(sizes) :], int(8 * sizes.sum()), codec="zstd", asbytes=True) if sizes.any() else b""
-    out, at = [], 0
-    for i, n in enumerate(map(int, sizes)):
-        plane = np.frombuffer(planes, np.uint8, 8 * n, at).reshape(8, n)
+    sizes = np.frombuffer(data, np.int64, 2 * data[0], 1).reshape(-1, 2).tolist()
+    told, out, at = memoryview(data), [], 1 + 16 * data[0]
+    for i, (n, length) in enumerate(sizes):
+        planes = pa.decompress(told[at : at + length], 8 * n, codec="zstd") if n else b""
         kind = np.float64 if i >= len(sizes) - floats else np.int64
-        out.append(np.ascontiguousarray(plane.T).reshape(-1).view(kind))
-        at += 8 * n
+        out.append(np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).reshape(-1).view(kind))
+        at += length
     return out
 
 
@@ -390,19 +395,23 @@ class _Cell:
 
     def _joined(self) -> list[tuple]:
         blocks, names, counts, steps, local, *columns = zip(*self.held)
+        self.held = []
+        places = np.array([len(d) for d in columns[2]], np.int64)
         learnt, many, doc, n = (np.concatenate(c) for c in columns)
+        del columns  # what is joined is not held twice
         found, first, at = np.unique(np.concatenate([np.cumsum(x) for x in names]), return_index=True, return_inverse=True)
         counts = np.concatenate([np.cumsum(x) for x in counts])[first]
         at = np.split(at, np.cumsum([len(x) for x in names])[:-1])
         history = np.concatenate([a[np.cumsum(x)] for a, x in zip(at, steps)])
         word = np.concatenate([a[x] for a, x in zip(at, local)])
+        del names, steps, local, at
         order = np.lexsort((word, history))
         new = _changes(history[order], word[order])
         number = np.empty_like(order)
         number[order] = np.cumsum(new) - 1
         c = np.add.reduceat(learnt[order], np.flatnonzero(new))
         history, word = history[order][new], word[order][new]
-        places = np.array([len(d) for d in columns[2]], np.int64)
+        del order, new, learnt
         told = _packed(
             _steps(found), _steps(counts), _steps(history), word, c,
             np.array(blocks, np.int64), places, _steps(np.repeat(number, many)), doc, n,
