@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanbook.llm.common import lowered, words, written
+from loanbook.llm.common import lowered, small_batches, words, written
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -53,6 +53,8 @@ class NearPlan:
     #: values beyond the bands for members of buckets that the hubs leave in several parts
     further: int = 900
     further_batch: int = 100
+    #: rows that Python gets at a time; a pair comes with both of its whole sets
+    handed: int = 250
 
     @property
     def hashes(self) -> int:
@@ -316,6 +318,12 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
 def _labelled(docs: DataFrame, plan: NearPlan, key: str, text: str) -> DataFrame:
     """Per row: _key, _class (NULL without words or key), n_shingles, component_id, and the class
     and key (``_first``) that stand for its component."""
+    with small_batches(docs.sparkSession, plan.handed):
+        return _labelled_in_batches(docs, plan, key, text)
+
+
+def _labelled_in_batches(docs: DataFrame, plan: NearPlan, key: str, text: str) -> DataFrame:
+    """As ``_labelled``. Every step in Python is written before this returns."""
     all_docs = written(signed(docs, plan, key=key, text=text), "near-signed")
     with_words = all_docs.where("n_shingles > 0 AND _key IS NOT NULL")
     least = with_words.groupBy(F.col("_class").alias("node")).agg(
