@@ -50,6 +50,7 @@ class TokenTable(dict):
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
         self._merged = self._tokenizer.model.tokenize
         self._older: dict[str, bytes] = {}
+        self._begins: dict[str, bytes] = {}
         self._signs = {sign: self.whole(sign) for sign in ("\n", *SIGNS)}
 
     def whole(self, text: str) -> bytes:
@@ -80,13 +81,22 @@ class TokenTable(dict):
         self[word] = found
         return found
 
+    def begin(self, word: str) -> bytes:
+        """Ids of a text's first word, which has no blank before it."""
+        found = self._begins.get(word)
+        if found is None:
+            if len(self._begins) >= REMEMBERED // 4:
+                self._begins.clear()
+            found = self._begins[word] = self.whole(word)
+        return found
+
     def of(self, text: str) -> bytes:
         if "  " in text or "\n\n" in text or " \n" in text or "\n " in text or _RARE.search(text):
             return self.whole(text)
         first, *rest = text.replace("\n", " \n").split(" ")
         if rest and not rest[-1]:
             return self.whole(text)
-        return self.whole(first) + b"".join(map(self.__getitem__, rest))
+        return self.begin(first) + b"".join(map(self.__getitem__, rest))
 
 
 _loaded: dict[str, TokenTable] = {}
