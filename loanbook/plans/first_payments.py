@@ -19,7 +19,13 @@ from loanbook.functions.money import amount, units
 from loanbook.functions.rules import age_in_years, hub_location, overdue_days, plan_label
 from loanbook.operators.payer import payment_sources
 from loanbook.operators.places import with_area_manager, with_stock_point, zone_by_country
-from loanbook.operators.relational import lookup, newest_row, pick, stack_by_position
+from loanbook.operators.relational import (
+    lookup,
+    newest_row,
+    pick,
+    stack_by_position,
+    without_copies,
+)
 
 Tables = Mapping[str, DataFrame]
 
@@ -194,7 +200,7 @@ def metered_profiles(tables: Tables) -> DataFrame:
         F.col("ps_alternate_contacts").alias(c) if c == "alternate_contacts" else F.col(c)
         for c in PAYER
     ]
-    return rows.select(
+    profiles = rows.select(
         F.lit(PAYGO).alias("loan_type"),
         F.col("ac_account_id").alias("account_id"),
         F.col("ac_customer_id").alias("customer_id"),
@@ -259,7 +265,8 @@ def metered_profiles(tables: Tables) -> DataFrame:
         amount(F.col("ln_paid_principal") + F.col("ln_paid_interest")).alias("amount_paid"),
         amount(F.col("ln_amount_expected")).alias("expected_amount"),
         *payer,
-    ).distinct()
+    )
+    return without_copies(profiles)
 
 
 ACCOUNT_COLUMNS = [
@@ -521,7 +528,7 @@ def snapshot_profiles(tables: Tables, as_of: date) -> DataFrame:
         totals=[F.lit(0.0), units(F.col("la_loan_amount") - F.col("oi_down_payment"))],
         expected_amount=units(F.col("la_amount_expected_minus_down_payment")),
     )
-    return rows.select(*columns).distinct()
+    return without_copies(rows.select(*columns))
 
 
 def benchmark_profiles(tables: Tables, as_of: date) -> DataFrame:
@@ -558,7 +565,7 @@ def benchmark_profiles(tables: Tables, as_of: date) -> DataFrame:
         totals=[units(F.col("oi_total_interest")), units(F.col("oi_principal_price"))],
         expected_amount=both("la_expected_interest", "la_expected_principal"),
     )
-    return rows.select(*columns).distinct()
+    return without_copies(rows.select(*columns))
 
 
 def first_payment_profile(tables: Tables, as_of: date, mask_key: str | None = None) -> DataFrame:

@@ -6,12 +6,14 @@ import re
 import pytest
 
 from loanbook.operators.payments import daily_payments
+from loanbook.operators.relational import without_copies
 from loanbook.operators.usual import monthly_payments, payments_of_month
+from loanbook.plans.first_payments import first_payment_profile
 from loanbook.plans.paid_vs_expected import benchmark_arm, metered_arm, snapshot_arm
 from loanbook.plans.repayment import SINCE, ZAMBIA, repayment_behaviour, usual_bookings
 from loanbook.sources import load_parquet
 from workload.queries import KEPT, PERIODS, registered
-from workload.staging import TABLES, StagedTables
+from workload.staging import AS_OF, TABLES, StagedTables
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -122,3 +124,25 @@ def test_snapshots_read_several_times_are_derived_once(as_at_scale, spark):
     plan = physical(registered()["snapshot_vs_previous_month"](spark, SF_DIR)).toString()
     assert scans(plan, "lineitem") == 0
     assert "staged-snapshot_days-" in plan
+
+
+def test_profiles_keep_no_hash_table_of_whole_rows(as_at_scale, stored):
+    """Copies go by a sort: no aggregate lies between a system's result and its last join."""
+    plan = physical(first_payment_profile(stored, AS_OF))
+    for table, times in (("metered_accounts", 2), ("loan_accounts", 2)):
+        ways = ways_to(plan, table)
+        assert len(ways) == times
+        for way in ways:
+            first = next(i for i, name in enumerate(way) if "Join" in name)
+            assert not any("Aggregate" in name for name in way[:first]), way
+            assert "Window" in way[:first], way
+
+
+def test_copies_go_as_with_distinct(spark):
+    rows = [(1, "a", 0.0), (1, "a", -0.0), (1, None, float("nan")), (1, None, float("nan")), (None, None, None)]
+    rows += [(None, None, None), (2, "a", 0.0), (1, "b", 0.0)]
+    df = spark.createDataFrame(rows, "k int, `t.x` string, d double").repartition(3)
+    found = without_copies(df)
+    assert found.columns == df.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, df.distinct().collect()))
+    assert found.count() == 5
