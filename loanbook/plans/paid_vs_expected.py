@@ -375,8 +375,10 @@ def snapshot_arm(
         "product_line_name",
     )
     items = _items_with_hub_region(items, tables, "oi_current", "oi_sales_case_id")
+    # The look-backs hold the calendars; with the days that the benchmark system asks for, the
+    # managers are read once for both.
     managers = pick(
-        tables["agent_managers"].where(within_any(F.col("benchmark_date"), _days_of(periods))),
+        tables["agent_managers"].where(within_any(F.col("benchmark_date"), _lookbacks(periods))),
         "ph",
         "sales_agent_id",
         "benchmark_date",

@@ -13,7 +13,7 @@ from loanbook.plans.paid_vs_expected import benchmark_arm, metered_arm, snapshot
 from loanbook.plans.repayment import SINCE, ZAMBIA, repayment_behaviour, usual_bookings
 from loanbook.sources import load_parquet
 from workload.queries import KEPT, PERIODS, registered
-from workload.staging import AS_OF, TABLES, StagedTables
+from workload.staging import AS_OF, BASE, ONE_PASS, TABLES, StagedTables, _repeating
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -146,3 +146,20 @@ def test_copies_go_as_with_distinct(spark):
     assert found.columns == df.columns
     assert sorted(map(str, found.collect())) == sorted(map(str, df.distinct().collect()))
     assert found.count() == 5
+
+
+def test_month_ends_read_each_line_once(as_at_scale, spark):
+    for name in ("benchmark_finance_monthly", "metered_finance_monthly", "snapshot_months"):
+        plan = physical(StagedTables(spark, SF_DIR)[name]).toString()
+        assert scans(plan, "lineitem") == 1, name
+
+
+def test_month_ends_are_those_of_three_passes(spark):
+    days = "(TIMESTAMP '2024-01-31'), (TIMESTAMP '2024-02-20'), (TIMESTAMP '2024-02-20'), (NULL)"
+    lines = f"SELECT 1 AS sys, 'l' AS loan, 1 AS k, 2 AS c, 'UG' AS cc, 3 AS q, 4 AS pk, CAST(t AS DATE) AS d FROM VALUES {days} AS v(t)"
+    both = [
+        spark.sql(f"WITH lin AS ({lines}) {_repeating(sql, 'explode(array({}))')}").collect()
+        for sql in (BASE["line_months"], ONE_PASS["line_months"])
+    ]
+    assert sorted(map(str, both[0])) == sorted(map(str, both[1]))
+    assert len(both[0]) == 5

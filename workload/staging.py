@@ -109,6 +109,16 @@ BASE: dict[str, str] = {
         ) AS x GROUP BY sys, loan, k, c, cc, month_end""",
 }
 
+# The same rows where Spark derives them: each line is read once, not once for each month end.
+ONE_PASS: dict[str, str] = {
+    "line_months": f"""
+        SELECT sys, loan, k, c, cc, month_end, max(q) AS q, max(pk) AS pk FROM (
+          SELECT sys, loan, k, c, cc, q, pk,
+                 EACH(last_day(d), {_month_start('d')} - 1, last_day(d + 11)) AS month_end
+          FROM lin
+        ) AS x GROUP BY sys, loan, k, c, cc, month_end""",
+}
+
 _RATE_CENTS = "CASE WHEN k % 13 = 0 THEN NULL ELSE 1000 + (k % 37) * 50 END"
 _PRODUCT = "(CASE WHEN pk % 5 = 0 THEN 'TV ' ELSE 'Lamp ' END) || (pk % 200)"
 
@@ -493,7 +503,8 @@ TABLES: dict[str, str] = {
 
 def _repeating(sql: str, call: str) -> str:
     """Replace EACH(a, b, ...), which repeats a row per value, by an engine's own call."""
-    return re.sub(r"EACH\(([^)]*)\)", lambda found: call.format(found.group(1)), sql)
+    inner = r"[^()]*(?:\([^()]*(?:\([^()]*\)[^()]*)*\)[^()]*)*"  # brackets of two levels
+    return re.sub(rf"EACH\(({inner})\)", lambda found: call.format(found.group(1)), sql)
 
 
 def _words(sql: str) -> set[str]:
@@ -515,8 +526,8 @@ def _needed(sql: str) -> list[str]:
     return found
 
 
-def _with_clause(names: list[str]) -> str:
-    known = {**BASE, **TABLES}
+def _with_clause(names: list[str], instead: dict[str, str] | None = None) -> str:
+    known = {**BASE, **TABLES, **(instead or {})}
     return ",\n".join(f"{name} AS ({known[name]})" for name in names)
 
 
@@ -546,7 +557,7 @@ class StagedTables(dict):
     def __missing__(self, name: str) -> DataFrame:
         sql = TABLES[name]
         bases = _needed(sql)
-        text = f"WITH {_with_clause(bases)}\n{sql}" if bases else sql
+        text = f"WITH {_with_clause(bases, ONE_PASS)}\n{sql}" if bases else sql
         text = _repeating(text, "explode(array({}))")
         inputs = {t: self.driver(t) for t in DRIVER_TABLES if "{" + t + "}" in text}
         self[name] = conform(self._spark.sql(text, **inputs), name)
