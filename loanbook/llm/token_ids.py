@@ -8,7 +8,8 @@ from array import array
 
 WIDTH = 4  # bytes of an id
 LITTLE = array("I", [1]).tobytes() == (1).to_bytes(WIDTH, "little")
-SIGNS = frozenset(".,;:!?")
+#: Signs that end a run of letters or digits; an apostrophe does not, as in "it's".
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Words whose ids a worker remembers: as many again stay until they are older than these.
 REMEMBERED = 600_000
 
@@ -38,8 +39,9 @@ class TokenTable(dict):
     """Little-endian ids of a word with a blank before it, or of one that a line end begins.
 
     The tokenizer cuts a text before it merges, and a single blank or line end always begins
-    a cut of its own, so such words can be encoded one by one, with the same ids. A sign at
-    the end of a word of letters is a cut of its own too, and so is a line end before it. Texts with any other white space
+    a cut of its own, so such words can be encoded one by one, with the same ids. The signs at
+    the end of a word that a letter or digit precedes are a cut of their own too, so the word
+    without them is looked up, and so is a line end before letters. Texts with any other white space
     are encoded whole. Strings of added tokens become their ids, as the file says.
     """
 
@@ -51,7 +53,8 @@ class TokenTable(dict):
         self._merged = self._tokenizer.model.tokenize
         self._older: dict[str, bytes] = {}
         self._begins: dict[str, bytes] = {}
-        self._signs = {sign: self.whole(sign) for sign in ("\n", *SIGNS)}
+        self._signs = {"\n": self.whole("\n")}
+        self._added = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
 
     def whole(self, text: str) -> bytes:
         return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
@@ -63,24 +66,34 @@ class TokenTable(dict):
         if word in self._older:
             found = self[word] = self._older[word]
             return found
+        bare = word.rstrip(SIGNS)
+        apart = bare != word and bare and bare[-1].isalnum() and bare[-1] < LATIN_END
+        if apart and not any(token in word for token in self._added):
+            found = self[bare] + self._ending(word[len(bare) :])
+            self[word] = found
+            return found
         ends = word[0] == "\n" if word else False
         letters = word[1:] if ends else word
-        sign = letters[-1:] if letters[-1:] in SIGNS else ""
-        if sign:
-            letters = letters[:-1]
         if letters.isalpha() and (letters.isascii() or max(letters) < LATIN_END):
             cut = letters if letters.isascii() else letters.translate(_LATIN)
             if ends:
                 found = self._signs["\n"] + _packed([t.id for t in self._merged(cut)])
             else:
                 found = _packed([t.id for t in self._merged(_BLANK + cut)])
-            if sign:
-                found += self._signs[sign]
         else:
             found = self.whole(word if ends else " " + word)
         self[word] = found
         return found
 
+    def _ending(self, signs: str) -> bytes:
+        """Ids of the signs that end a word."""
+        found = self._signs.get(signs)
+        if found is None:
+            found = self.whole(signs)
+            if len(self._signs) < REMEMBERED // 4:
+                self._signs[signs] = found
+        return found
+
     def begin(self, word: str) -> bytes:
         """Ids of a text's first word, which has no blank before it."""
         found = self._begins.get(word)

@@ -57,6 +57,23 @@ def test_forgotten_words_come_back_the_same(tokenizer, monkeypatch):
     assert len(table) <= 3
 
 
+def test_signs_after_a_word_leave_the_word_as_it_is_remembered(tokenizer):
+    table = TokenTable(PATH)
+    table.of("a word é 12")
+    encoded = []
+    whole = table.whole
+    table._merged = table.whole = lambda text: encoded.append(text) or whole(text)
+    text = "a word,*** word*** é$ 12)"
+    assert table.of(text) == np.array(ids_of(tokenizer, text), "<u4").tobytes()
+    assert encoded == [",***", "***", "$", ")"]
+
+
+def test_an_added_token_among_signs_is_one_id(tokenizer):
+    table = TokenTable(PATH)
+    for text in ("a <|endoftext|>", "a <|endoftext|>--", "a b<|endoftext|>.", "a endoftext|>", "a it's. 'S!"):
+        assert table.of(text) == np.array(ids_of(tokenizer, text), "<u4").tobytes(), text
+
+
 @pytest.fixture(scope="module")
 def rows():
     rng = random.Random(11)
