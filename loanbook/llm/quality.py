@@ -7,6 +7,9 @@ the same set of lines. Documents that differ in any line are told apart, whateve
 they share. A line is over the limit if at least ``min_families`` families of its host have
 it. Lines over the limit are removed, and a document that keeps too few of its words is
 rejected.
+
+Texts are read once: the figures and line hashes of every document are written to the
+shared folder, and lines are counted and looked up from there.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.llm.common import LOWER, NOT_SPACE, SPACE, UPPER, one_row_each, words
+from loanbook.llm.common import LOWER, NOT_SPACE, SPACE, UPPER, one_row_each, words, written
 
 #: A removed line's copies in the join; not more than the families it has at least.
 SALTS = 8
@@ -30,11 +33,31 @@ class LineLimits:
     min_percent: int = 30
 
 
+def _plain(line: Column) -> Column:
+    """The normalised line. ``lower`` is many times quicker than ``translate``, equal on ASCII only."""
+    low = F.when(F.length(line) == F.octet_length(line), F.lower(line)).otherwise(F.translate(line, UPPER, LOWER))
+    return F.trim(F.regexp_replace(F.regexp_replace(low, "[0-9]", "0"), f"{SPACE}+", " "))
+
+
+def _plain_hash(plain: Column) -> Column:
+    return F.conv(F.substring(F.md5(plain.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def line_hash(line: Column) -> Column:
     """60 bits of the normalised line's MD5."""
-    plain = F.regexp_replace(F.translate(line, UPPER, LOWER), "[0-9]", "0")
-    plain = F.trim(F.regexp_replace(plain, f"{SPACE}+", " "))
-    return F.conv(F.substring(F.md5(plain.cast("binary")), 1, 15), 16, 10).cast("long")
+    return _plain_hash(_plain(line))
+
+
+def _hashes(lines: Column) -> Column:
+    """For each line with a word its hash ``line`` and its number of words ``n``."""
+    return F.transform(
+        F.transform(lines, _plain),
+        lambda x: F.struct(
+            _plain_hash(x).alias("line"),
+            # single spaces stand between its words
+            (F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))) + 1).cast("long").alias("n"),
+        ),
+    )
 
 
 def _lines(text: Column) -> Column:
@@ -45,17 +68,19 @@ def _lines(text: Column) -> Column:
 def _repeated_words(df: DataFrame, width: int = 5) -> DataFrame:
     """``n_repeat_words``: words in windows of ``_w`` found twice or more, each word once.
 
-    A window's hash gives up the low bits that its place needs, so one sort of plain numbers
+    Words are hashed once and windows by the hashes of their words. Where some are equal, a
+    window's hash gives up the low bits that its place needs, so one sort of plain numbers
     brings equal windows together with their places. Within a document of n words, windows
     are told apart by 63 - log2(n) bits.
     """
-    last = F.size("_w") - (width - 1)
-    starts = F.when(last > 0, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(
-        F.array().cast("array<int>")
+    five = ", ".join(["x", *(f"get(_h, i + {k})" for k in range(1, width))])
+    df = df.withColumn("_b", F.length(F.bin(F.size("_w")))).withColumn("_h", F.transform("_w", lambda x: F.xxhash64(x)))
+    df = df.withColumn(
+        "_g", F.expr(f"transform(slice(_h, 1, greatest(size(_h) - {width - 1}, 0)), (x, i) -> xxhash64({five}))")
     )
-    df = df.withColumn("_b", F.length(F.bin(F.size("_w"))))
-    df = df.withColumn("_i", starts).withColumn(
-        "_s", F.expr(f"sort_array(transform(_i, i -> shiftleft(xxhash64(slice(_w, i, {width})), _b) | i))")
+    placed = F.expr("sort_array(transform(_g, (x, i) -> shiftleft(x, _b) | (i + 1)))")
+    df = df.withColumn(
+        "_s", F.when(F.size(F.array_distinct("_g")) < F.size("_g"), placed).otherwise(F.array().cast("array<bigint>"))
     )
     df = df.withColumn(
         "_p",
@@ -70,7 +95,7 @@ def _repeated_words(df: DataFrame, width: int = 5) -> DataFrame:
                   (s, i) -> named_struct('end', i + {width}, 'n', s.n + i + {width} - greatest(s.end, i)),
                   s -> s.n)
     """
-    return df.withColumn("n_repeat_words", F.expr(covered)).drop("_b", "_i", "_s", "_p")
+    return df.withColumn("n_repeat_words", F.expr(covered)).drop("_b", "_h", "_g", "_s", "_p")
 
 
 def _identified(docs: DataFrame, key: str, host: str, text: str) -> DataFrame:
@@ -83,15 +108,35 @@ def _identified(docs: DataFrame, key: str, host: str, text: str) -> DataFrame:
     )
 
 
-def frequent_lines(
-    docs: DataFrame, limits: LineLimits = LineLimits(), *, key="doc_id", host="source", text="text"
-) -> DataFrame:
-    """Lines over the limit: ``host``, ``line`` (hash), ``documents``, ``families``."""
-    lines = _identified(docs, key, host, text).select(
-        "_host", F.array_distinct(F.transform(_lines(F.col("_text")), line_hash)).alias("_lines")
+def _measured(docs: DataFrame, key: str, host: str, text: str) -> DataFrame:
+    """Per row of ``docs`` its word and line figures, and ``_each``: its lines' hashes and words."""
+    whole = F.coalesce("_text", F.lit(""))
+    base = _identified(docs, key, host, text).select(
+        "_key",
+        "_host",
+        "_t",
+        words(F.col("_text")).alias("_w"),
+        _lines(F.col("_text")).alias("_lines"),
+        F.regexp_count(whole, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+    )
+    return _repeated_words(base).select(
+        "_key",
+        "_host",
+        "_t",
+        F.size("_w").cast("long").alias("n_words"),
+        F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
+        "n_symbols",
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        "n_repeat_words",
+        _hashes(F.col("_lines")).alias("_each"),
     )
+
+
+def _frequent(lines: DataFrame, limits: LineLimits) -> DataFrame:
+    """``frequent_lines`` of rows with ``_host`` and ``_lines``, their distinct hashes."""
     family = F.xxhash64(F.sort_array("_lines")).alias("_family")
-    had = lines.select("_host", family, F.explode("_lines").alias("_line"))
+    # plain explode would work out the lines twice, the first time to drop rows without any
+    had = lines.select("_host", family, F.explode_outer("_lines").alias("_line")).where("_line IS NOT NULL")
     by_family = had.groupBy("_host", "_line", "_family").agg(F.count(F.lit(1)).alias("n"))
     counted = by_family.groupBy("_host", "_line").agg(
         F.sum("n").alias("documents"), F.count(F.lit(1)).alias("families")
@@ -101,6 +146,16 @@ def frequent_lines(
     )
 
 
+def frequent_lines(
+    docs: DataFrame, limits: LineLimits = LineLimits(), *, key="doc_id", host="source", text="text"
+) -> DataFrame:
+    """Lines over the limit: ``host``, ``line`` (hash), ``documents``, ``families``."""
+    lines = _identified(docs, key, host, text).select(
+        "_host", F.array_distinct(F.transform(_lines(F.col("_text")), line_hash)).alias("_lines")
+    )
+    return _frequent(lines, limits)
+
+
 def line_quality(
     docs: DataFrame, limits: LineLimits = LineLimits(), *, key="doc_id", host="source", text="text"
 ) -> DataFrame:
@@ -111,20 +166,17 @@ def line_quality(
     (same key, host and text) are documents of their own with equal figures. An empty table
     gives an empty result; other columns are left out.
     """
-    told = _identified(docs, key, host, text)
+    told = written(_measured(docs, key, host, text), "line-quality")
     same = ["_key", "_host", "_t"]
 
     # Words in removed lines. A line that a third of all rows have meets copies of its row.
-    salted = frequent_lines(docs, limits, key=key, host=host, text=text).select(
+    lines = told.select("_host", F.array_distinct("_each.line").alias("_lines"))
+    salted = _frequent(lines, limits).select(
         F.col("host").alias("_h"),
         F.col("line").alias("_line"),
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("_salt"),
     )
-    each = F.transform(
-        _lines(F.col("_text")),
-        lambda x: F.struct(line_hash(x).alias("line"), F.size(words(x)).cast("long").alias("n")),
-    )
-    held = told.select(*same, F.explode(each).alias("x")).select(
+    held = told.select(*same, F.explode("_each").alias("x")).select(
         *same,
         F.col("x.line").alias("_line"),
         F.col("x.n").alias("_n"),
@@ -137,24 +189,8 @@ def line_quality(
         & (held["_salt"] == salted["_salt"]),
     )
 
-    base = told.select(
-        *same,
-        words(F.col("_text")).alias("_w"),
-        _lines(F.col("_text")).alias("_lines"),
-        F.regexp_count(F.coalesce("_text", F.lit("")), F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        F.length(F.regexp_replace(F.coalesce("_text", F.lit("")), f"{SPACE}+", "")).cast("long").alias("word_chars"),
-    )
-    base = _repeated_words(base).select(
-        *same,
-        F.size("_w").cast("long").alias("n_words"),
-        "word_chars",
-        "n_symbols",
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        "n_repeat_words",
-        F.lit(1).alias("_row"),
-        F.lit(0).cast("long").alias("_removed"),
-    )
     figures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    base = told.select(*same, *figures, F.lit(1).alias("_row"), F.lit(0).cast("long").alias("_removed"))
     removed = met.select(
         *same,
         *[F.lit(0).cast("long").alias(c) for c in figures],

@@ -536,6 +536,26 @@ def test_word_figures_equal_brute_force(spark, awkward, nothing):
     assert line_quality(nothing).count() == 0
 
 
+def test_texts_are_read_and_lines_hashed_once(spark, tmp_path):
+    docs_of(spark, [(i, f"menu\n{chr(97 + i)} own words", "h") for i in range(20)]).write.parquet(f"{tmp_path}/docs.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/docs.parquet")
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(frequent_lines(docs)).count("md5(") == 1
+    found = line_quality(docs)
+    assert "md5(" not in plan(found) and not any(f.startswith(f"file://{tmp_path}/docs") for f in found.inputFiles())
+    assert {(r.n_words, r.n_removed_words) for r in found.collect()} == {(4, 1)}
+
+
+def test_lines_differ_in_letters_beyond_ascii(spark):
+    rng = random.Random(28)
+    heads = ["Menu \u00c9t\u00e9 12", "MENU\t\u00c9T\u00e9  34\r", "menu \u00e9t\u00e9 12", "menu \u212a", "menu k", "MENU K"]
+    rows = [(100 * k + i, f"{head}\n{prose(rng, 30)}", "h") for k, head in enumerate(heads) for i in range(6)]
+    docs = docs_of(spark, rows)
+    assert sorted((r.documents, r.families) for r in frequent_lines(docs).collect()) == [(12, 12), (12, 12)]
+    removed = {r.doc_id: r.n_removed_words for r in line_quality(docs).collect()}
+    assert [{removed[100 * k + i] for i in range(6)} for k in range(6)] == [{3}, {3}, {0}, {0}, {2}, {2}]
+
+
 # --- language model --------------------------------------------------------
 
 
