@@ -106,10 +106,12 @@ def nested(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.where(known).groupBy(*keys).agg(F.collect_list(F.struct(*rest)).alias(name))
 
 
-def left_join_nested(df: DataFrame, name: str, columns: Sequence[str], matches) -> DataFrame:
-    """Spread an array of ``nested`` rows over those that ``matches(row)``, as a left join does:
-    a row without any stays, with NULLs."""
-    found = F.explode_outer(F.filter(F.col(name), matches))
+def left_join_nested(
+    df: DataFrame, name: str, columns: Sequence[str], matches=None
+) -> DataFrame:
+    """Spread an array of ``nested`` rows over those that ``matches(row)`` (all, if not given), as
+    a left join does: a row without any stays, with NULLs."""
+    found = F.explode_outer(F.filter(F.col(name), matches) if matches else F.col(name))
     spread = df.withColumn("_found", found)
     return spread.select(
         *[c for c in df.columns if c != name], *[F.col(f"_found.{c}").alias(c) for c in columns]

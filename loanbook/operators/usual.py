@@ -315,7 +315,9 @@ def payments_of_month(
     are found by loan and month whatever their system, so a row without either has none.
     """
     months = monthly_payments(tables, country, whole_months_after(since), since, naive_local)
-    grouped = months.groupBy("loan_id", "month_end").agg(
+    # By loan, so that what the systems know of a loan meets it where it lies. A loan has one
+    # row per system and month here.
+    grouped = months.repartition("loan_id").groupBy("loan_id", "month_end").agg(
         F.collect_list(F.when(F.col("has_usual"), F.struct("system", "loan_id", "trans_amount", "times"))).alias("chosen"),
         F.collect_set(F.struct(*STATISTICS)).alias("found"),
     )
@@ -325,11 +327,19 @@ def payments_of_month(
     )
 
 
-def usual_amounts(months: DataFrame, system: str) -> DataFrame:
+def usual_amounts(months: DataFrame, system: str, inner: bool = False) -> DataFrame:
     """One system's usual amount per loan and month, with its ``times`` and the ``statistics``.
 
-    The loan comes out of the array: a condition that one system's joins put on it then stays
-    above the rows that all systems share.
+    For left joins the rows lie by ``loan_id`` already. For an ``inner`` join the loan comes out of
+    the array: the condition such a join puts on it then stays above the rows that all systems
+    share.
     """
-    spread = months.select("month_end", "statistics", F.inline("chosen"))
-    return spread.where(F.col("system") == system).drop("system")
+    entry = "_chosen.loan_id" if inner else "loan_id"
+    spread = months.withColumn("_chosen", F.explode("chosen"))
+    return spread.where(F.col("_chosen.system") == system).select(
+        "month_end",
+        "statistics",
+        F.col(entry).alias("loan_id"),
+        F.col("_chosen.trans_amount").alias("trans_amount"),
+        F.col("_chosen.times").alias("times"),
+    )

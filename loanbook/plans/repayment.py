@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from loanbook.functions.masking import masked
 from loanbook.functions.labels import ARREARS, PAYGO
@@ -23,7 +23,14 @@ from loanbook.functions.rules import (
     rhythm,
     with_terms,
 )
-from loanbook.operators.relational import first_row, lookup, pick, stack_by_position
+from loanbook.operators.relational import (
+    first_row,
+    left_join_nested,
+    lookup,
+    nested,
+    pick,
+    stack_by_position,
+)
 from loanbook.operators.usual import (
     BENCHMARK,
     METERED,
@@ -130,10 +137,15 @@ def customer_profiles(tables: Tables) -> DataFrame:
     )
 
 
+PRODUCT = ["pm_product_group_name", "pm_wattage"]
+
+
 def _products(tables: Tables) -> DataFrame:
-    return pick(
+    """One row per product type with its entries in an array, which travels in their place."""
+    products = pick(
         tables["product_mapping"], "pm", "product_type", "product_group_name", "wattage"
     )
+    return nested(products, ["pm_product_type"], "products")
 
 
 def _or_blank(*columns: str) -> Column:
@@ -145,7 +157,7 @@ def _text_or_null(column: str) -> Column:
 
 
 def _finance_profiles(tables: Tables, table: str, *extra: str) -> DataFrame:
-    """Per loan: daily finance figures, product, and the customer's profile."""
+    """Per loan: daily finance figures, its ``products``, and the customer's profile."""
     finance = pick(
         tables[table],
         "f",
@@ -169,21 +181,31 @@ def _finance_profiles(tables: Tables, table: str, *extra: str) -> DataFrame:
     )
 
 
+MONTHLY = [
+    "months_since_loan_start",
+    "paid_in_month",
+    "expected_in_month_ongoing",
+    "expected_in_month_total",
+]
+
+
 def _with_month_report(df: DataFrame, tables: Tables, table: str, since: date) -> DataFrame:
     reports = pick(
         tables[table].where(F.col("report_date") > F.lit(since)),
         "lm",
         "loan_id",
         "report_date",
-        "months_since_loan_start",
-        "paid_in_month",
-        "expected_in_month_ongoing",
-        "expected_in_month_total",
+        *MONTHLY,
     )
-    return df.join(
-        reports,
-        (F.col("loan_id") == F.col("lm_loan_id")) & (F.col("month_end") == F.col("lm_report_date")),
-        "left",
+    # A loan's reports lie beside it, so its rows are not moved again to meet them by month.
+    joined = df.join(
+        nested(reports, ["lm_loan_id"], "reports"), F.col("loan_id") == F.col("lm_loan_id"), "left"
+    )
+    return left_join_nested(
+        joined,
+        "reports",
+        [f"lm_{column}" for column in MONTHLY],
+        lambda report: report.lm_report_date == F.col("month_end"),
     )
 
 
@@ -195,10 +217,14 @@ def _one_per_month(df: DataFrame, frequency: Column) -> DataFrame:
     """One row per loan and month, from rows that carry ``times``.
 
     Equal rows are counted together; of different ones (a dimension that lists a
-    loan twice) the more frequent stays, then the smaller.
+    loan twice) the more frequent stays, then the smaller. One sort, which spills, brings equal
+    rows and those of a month together; a grouping would keep hash tables of whole rows.
     """
-    grouped = df.groupBy(*DESCRIBING, "statistics").agg(frequency.alias("frequency"))
-    best = first_row(grouped, ["loan_id", "month_end"], [-F.col("frequency")])
+    keys = ["loan_id", "month_end"]
+    rest = [c for c in [*DESCRIBING, "statistics"] if c not in keys]
+    alike = Window.partitionBy(*keys, F.xxhash64(*rest), *rest)
+    counted = df.withColumn("frequency", frequency.over(alike)).drop("times")
+    best = first_row(counted, keys, [-F.col("frequency")])
     loans = F.when(F.col("loan_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
     return best.withColumn("count_loans", loans).select(
         *DESCRIBING, "count_loans", "frequency", "statistics"
@@ -218,6 +244,7 @@ def usual_metered(
         profiles, F.col("loan_id") == F.col("f_loan_id"), "left"
     )
     rows = _with_month_report(rows, tables, "metered_finance_monthly", since)
+    rows = left_join_nested(rows, "products", PRODUCT)
     rate = F.col("f_daily_rate").cast("double")
     rows = rows.select(
         F.lit(PAYGO).alias("loan_type"),
@@ -258,6 +285,7 @@ def usual_benchmark(
         profiles, F.col("loan_id") == F.col("f_loan_id"), "left"
     )
     rows = _with_month_report(rows, tables, "benchmark_finance_monthly", since)
+    rows = left_join_nested(rows, "products", PRODUCT)
     rate = F.col("f_daily_rate").cast("double")
     rows = rows.select(
         F.lit(PAYGO).alias("loan_type"),
@@ -300,7 +328,7 @@ PERSONAL = [
 
 
 def booking_schedule(tables: Tables, country: str) -> DataFrame:
-    """Loans with their own items and the product's segment columns."""
+    """Loans with their own items and the ``products`` of their type."""
     return lookup(
         own_items(tables, country).withColumn("_product", F.trim("oi_product_name")),
         _products(tables),
@@ -312,37 +340,51 @@ def booking_schedule(tables: Tables, country: str) -> DataFrame:
 def join_snapshots(df: DataFrame, tables: Tables, since: date) -> DataFrame:
     """Snapshot of the month end (``d_``) and that of its previous month (``m_``).
 
-    A self join on the date the snapshot itself names, since a month may be missing.
+    The second is on the date the first itself names, since a month may be missing. A loan's
+    snapshots of these days, a few dozen at most, lie beside it in an array that both are found
+    in: they move once, and the loan's rows need no other layout for either.
     """
-    columns = ["loan_account_id", "snapshot_at", "state", "months_on_book", "terminated_at",
-               "outstanding_amount"]
-    at_end = pick(
-        tables["snapshot_days"].where(
-            (F.col("snapshot_at") > F.lit(since))
-            & (F.col("snapshot_at") == F.last_day("snapshot_at"))
-        ),
-        "d",
-        *columns,
-        "customer_id",
-        "snapshot_prev_month",
-    )
-    # Only the days that some snapshot names: month ends, a few dozen dates, so the history
+    columns = ["snapshot_at", "state", "months_on_book", "terminated_at", "outstanding_amount"]
+    ends = [*columns, "customer_id", "snapshot_prev_month"]
+
+    def at_end(day: Column) -> Column:
+        return (day > F.lit(since)) & (day == F.last_day(day))
+
+    days = tables["snapshot_days"]
+    # Only month ends and the days that some of these name: a few dozen dates, so the history
     # in between is neither shuffled nor, where it is partitioned by date, read.
-    named = at_end.select(F.col("d_snapshot_prev_month").alias("named_day")).distinct()
-    before = pick(tables["snapshot_days"], "m", *columns)
-    before = before.join(
-        F.broadcast(named), F.col("m_snapshot_at") == F.col("named_day"), "left_semi"
+    named = (
+        days.where(at_end(F.col("snapshot_at")))
+        .select(F.col("snapshot_prev_month").alias("named_day"))
+        .distinct()
+    )
+    wanted = days.join(
+        F.broadcast(named), F.col("snapshot_at") == F.col("named_day"), "left"
+    ).where(at_end(F.col("snapshot_at")) | F.col("named_day").isNotNull())
+    snapshots = nested(
+        wanted.select(F.col("loan_account_id").alias("sn_loan_account_id"), *ends),
+        ["sn_loan_account_id"],
+        "snapshots",
+    )
+    rows = df.join(snapshots, F.col("loan_id") == F.col("sn_loan_account_id"), "left")
+    rows = rows.withColumn(
+        "_end",
+        F.explode_outer(
+            F.filter(
+                "snapshots",
+                lambda s: (s.snapshot_at == F.col("month_end")) & at_end(s.snapshot_at),
+            )
+        ),
+    ).withColumn(
+        "_before",
+        F.explode_outer(
+            F.filter("snapshots", lambda s: s.snapshot_at == F.col("_end.snapshot_prev_month"))
+        ),
     )
-    return df.join(
-        at_end,
-        (F.col("loan_id") == F.col("d_loan_account_id"))
-        & (F.col("month_end") == F.col("d_snapshot_at")),
-        "left",
-    ).join(
-        before,
-        (F.col("loan_id") == F.col("m_loan_account_id"))
-        & (F.col("d_snapshot_prev_month") == F.col("m_snapshot_at")),
-        "left",
+    return rows.select(
+        *df.columns,
+        *[F.col(f"_end.{c}").alias(f"d_{c}") for c in ends],
+        *[F.col(f"_before.{c}").alias(f"m_{c}") for c in columns],
     )
 
 
@@ -378,20 +420,21 @@ def usual_bookings(
 ) -> DataFrame:
     """Snapshot system. The two expected amounts stand in swapped places, as in the
     report this follows; ``fix_admin_order`` puts them under their own names."""
-    rows = usual_amounts(months, SNAPSHOT).join(
+    rows = usual_amounts(months, SNAPSHOT, inner=True).join(
         booking_schedule(tables, country), F.col("loan_id") == F.col("la_loan_account_id")
     )
     rows = join_snapshots(rows, tables, since).join(
         customer_profiles(tables), F.col("d_customer_id") == F.col("customer_id"), "left"
     )
-    # Both groupings of ``_one_per_month`` and the last one of all systems need no other layout.
-    rows = rows.repartition("loan_id", "month_end")
+    # The sort of ``_one_per_month`` and the last grouping of all systems need no other layout.
+    rows = rows.repartition("loan_id")
     rows, terms = with_terms(rows, snapshot_terms())
     rows = rows.withColumn("loan_rate", units(F.col("la_daily_rate")))
     rate = F.col("loan_rate")
     expected = expected_month_to_date(terms, rate)
     ongoing = expected_ongoing_month_to_date(terms, rate)
     first, second = (ongoing, expected) if fix_admin_order else (expected, ongoing)
+    rows = left_join_nested(rows, "products", PRODUCT)
     rows = rows.select(
         F.lit(ARREARS).alias("loan_type"),
         "loan_id",
@@ -431,8 +474,8 @@ def _usual_with_statistics(
     """Usual amount per loan and month of the three systems, equal rows once, with ``statistics``.
 
     The three arms begin from the same rows, so the payments below them are read once. Rows are
-    laid out by loan and month in the end, so that removing duplicates and the last grouping
-    share one shuffle.
+    laid out by loan, as in each arm, so that removing duplicates and the last grouping share one
+    shuffle, in which a task's rows stay together.
     """
     months = payments_of_month(tables, country, since, admin_naive_local)
     stacked = stack_by_position(
@@ -442,7 +485,7 @@ def _usual_with_statistics(
             usual_bookings(tables, months, country, since, fix_admin_order),
         ]
     )
-    return stacked.repartition("loan_id", "month_end").distinct()
+    return stacked.repartition("loan_id").distinct()
 
 
 def usual_payments(

@@ -51,11 +51,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return os.path.join(context.getCheckpointDir(), f"{name}-{uuid.uuid4().hex}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows, written once as Parquet in the shared folder and read from there.
 
     Lost executors cost nothing that was written, and later steps start from the file.
+    ``options`` are those of the writer.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

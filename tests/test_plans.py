@@ -4,16 +4,26 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from loanbook.operators.payments import daily_payments
 from loanbook.operators.relational import without_copies
 from loanbook.operators.usual import monthly_payments, payments_of_month
 from loanbook.plans.first_payments import first_payment_profile
 from loanbook.plans.paid_vs_expected import benchmark_arm, metered_arm, snapshot_arm
-from loanbook.plans.repayment import SINCE, ZAMBIA, repayment_behaviour, usual_bookings
+from loanbook.plans.repayment import (
+    DESCRIBING,
+    SINCE,
+    ZAMBIA,
+    _one_per_month,
+    repayment_behaviour,
+    usual_benchmark,
+    usual_bookings,
+    usual_metered,
+)
 from loanbook.sources import load_parquet
 from workload.queries import KEPT, PERIODS, registered
-from workload.staging import AS_OF, BASE, ONE_PASS, TABLES, StagedTables, _repeating
+from workload.staging import AS_OF, BASE, ONE_PASS, TABLES, StagedTables, _needed, _repeating, _with_clause
 
 SF_DIR = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 
@@ -163,3 +173,91 @@ def test_month_ends_are_those_of_three_passes(spark):
     ]
     assert sorted(map(str, both[0])) == sorted(map(str, both[1]))
     assert len(both[0]) == 5
+
+
+def test_a_loans_lines_move_once_to_become_its_snapshots(as_at_scale, spark):
+    plan = physical(StagedTables(spark, SF_DIR)["snapshot_days"])
+    (way,) = ways_to(plan, "lineitem")
+    assert way.count("Exchange") == 1, way
+
+
+def test_month_ends_lie_by_loan(as_at_scale, spark):
+    """No second exchange where they are grouped by loan, and lines move before they are repeated."""
+    months = StagedTables(spark, SF_DIR)["metered_finance_monthly"]
+    (way,) = ways_to(physical(months.groupBy("loan_id").count()), "lineitem")
+    assert way.count("Exchange") == 1, way
+    assert way.index("Generate") < way.index("Exchange"), way
+
+
+def test_snapshots_are_those_of_two_tables_united(spark):
+    """Equal rows once, the largest part per day and per month end, and no end of February 2024."""
+    lines = [
+        (1, 10, "1998-01-05"),
+        (1, 12, "1998-01-05"),
+        (1, 11, "1998-01-06"),
+        (1, None, "1998-01-30"),
+        (1, 9, "1998-01-31"),
+        (1, 9, "1998-02-28"),
+        (4, 7, None),
+        (4, 7, "1998-02-19"),
+        (2, 7, "1998-02-19"),
+        (None, 7, "1998-02-19"),
+        (7, None, "1998-03-22"),
+        (7, None, "1998-03-22"),
+    ]
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string, l_shipdate string"
+    df = spark.createDataFrame([(k, pk, 1, 1, 5.0, 1.0, "A", "F", d) for k, pk, d in lines], columns)
+    df = df.withColumn("l_shipdate", F.to_timestamp("l_shipdate")).repartition(3)
+    staged = StagedTables(spark, "")
+    staged._given["lineitem"] = df
+    sql = TABLES["snapshot_days"]
+    united = _repeating(f"WITH {_with_clause(_needed(sql))} {sql}", "explode(array({}))")
+    before = spark.sql(united, lineitem=df)
+    assert before.count() > 20
+    found = staged["snapshot_days"].select(before.columns)
+    assert sorted(map(str, found.collect())) == sorted(map(str, before.collect()))
+
+
+@pytest.mark.parametrize(
+    "arm, table",
+    [(usual_metered, "metered_finance_daily"), (usual_benchmark, "benchmark_finance_daily")],
+)
+def test_rows_are_multiplied_by_products_after_they_moved(as_at_scale, stored, arm, table):
+    ways = ways_to(physical(arm(stored, payments_of_month(stored, ZAMBIA, SINCE))), table)
+    # the highest join is by loan; above it reports and products are spread, and nothing moves
+    way = max(ways, key=lambda w: sum("Join" in name for name in w))
+    first = next(i for i, name in enumerate(way) if "Join" in name)
+    assert sum("Generate" in name for name in way[:first]) == 2, way
+    assert not any("Exchange" in name or "HashAggregate" in name for name in way[:first]), way
+
+
+def test_months_lie_by_loan_for_left_joins(as_at_scale, stored):
+    """The payments meet a loan's profile and reports where they lie."""
+    plan = physical(usual_metered(stored, payments_of_month(stored, ZAMBIA, SINCE)))
+    (way,) = ways_to(plan, "metered_transactions")
+    highest = max(i for i, name in enumerate(way) if "Join" in name)
+    lowest = next(i for i, name in enumerate(way) if "Exchange" in name)
+    assert highest < lowest, way
+
+
+def test_snapshots_of_both_months_move_once(as_at_scale, stored):
+    ways = ways_to(physical(usual_bookings(stored, payments_of_month(stored, ZAMBIA, SINCE))), "snapshot_days")
+    assert sum("BroadcastExchange" not in way for way in ways) == 1
+
+
+def test_one_row_per_month_of_equal_and_different_ones(spark):
+    others = [c for c in DESCRIBING if c not in ("loan_id", "month_end", "product")]
+    rows = [("a", 1, "x", 2), ("a", 1, "x", 2), ("a", 1, "w", 3), ("a", 2, "w", 1), ("a", 2, "v", 1)]
+    rows += [(None, 1, "x", 5), (None, 1, None, 5), ("b", None, None, 1)]
+    df = spark.createDataFrame(rows, "loan_id string, month_end int, product string, times long")
+    df = df.select("*", *[F.lit(None).cast("string").alias(c) for c in others], F.lit(None).cast("string").alias("statistics"))
+    df = df.repartition(3)
+
+    def found(frequency):
+        kept = _one_per_month(df, frequency)
+        assert kept.columns == [*DESCRIBING, "count_loans", "frequency", "statistics"]
+        return {tuple(r) for r in kept.select("loan_id", "month_end", "product", "frequency", "count_loans").collect()}
+
+    same = {("a", 2, "v", 1, 1), (None, 1, None, 5, 0), ("b", None, None, 1, 1)}
+    assert found(F.sum("times")) == same | {("a", 1, "x", 4, 1)}
+    assert found(F.max("times")) == same | {("a", 1, "w", 3, 1)}

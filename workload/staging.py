@@ -109,13 +109,14 @@ BASE: dict[str, str] = {
         ) AS x GROUP BY sys, loan, k, c, cc, month_end""",
 }
 
-# The same rows where Spark derives them: each line is read once, not once for each month end.
+# The same rows where Spark derives them: each line is read once, not once for each month end,
+# and a loan's lines move together, before they are repeated.
 ONE_PASS: dict[str, str] = {
     "line_months": f"""
         SELECT sys, loan, k, c, cc, month_end, max(q) AS q, max(pk) AS pk FROM (
           SELECT sys, loan, k, c, cc, q, pk,
                  EACH(last_day(d), {_month_start('d')} - 1, last_day(d + 11)) AS month_end
-          FROM lin
+          FROM (SELECT sys, loan, k, c, cc, q, pk, d FROM lin DISTRIBUTE BY loan) AS y
         ) AS x GROUP BY sys, loan, k, c, cc, month_end""",
 }
 
@@ -501,6 +502,32 @@ TABLES: dict[str, str] = {
 }
 
 
+# Tables that Spark derives in another way than DuckDB, with the same rows. A loan's lines move once
+# and become its days in place: each day with the largest part of the lines' days, each month end
+# with that of the lines' months, equal ones once.
+DERIVED_ONCE: dict[str, str] = {
+    "snapshot_days": TABLES["snapshot_days"][: TABLES["snapshot_days"].index("FROM (")]
+    + f"""FROM (
+          SELECT lower({_country(_div('k', 10))}) || 'l_' || k AS loan, {_div('k', 10)} AS c,
+                 inline(array_distinct(transform(
+                   filter(ordered, (u, i) -> (NOT u.month OR u.day NOT IN (DATE '2024-02-29'))
+                     AND (i + 1 = size(ordered) OR get(ordered, i + 1).month <> u.month
+                          OR NOT get(ordered, i + 1).day <=> u.day)),
+                   u -> named_struct('day', u.day, 'pk', u.pk))))
+          FROM (
+            SELECT k, array_sort(flatten(transform(collect_list(named_struct('d', d, 'pk', pk)),
+                     x -> array(
+                       named_struct('month', FALSE, 'day', x.d, 'pk', x.pk),
+                       named_struct('month', FALSE, 'day', CAST(x.d + 1 AS DATE), 'pk', x.pk),
+                       named_struct('month', FALSE, 'day', CAST(x.d + 9 AS DATE), 'pk', x.pk),
+                       named_struct('month', TRUE, 'day', last_day(x.d), 'pk', x.pk),
+                       named_struct('month', TRUE, 'day', {_month_start('x.d')} - 1, 'pk', x.pk),
+                       named_struct('month', TRUE, 'day', last_day(x.d + 11), 'pk', x.pk)
+                     )))) AS ordered
+            FROM lin WHERE sys = 1 GROUP BY k) AS y) AS x""",
+}
+
+
 def _repeating(sql: str, call: str) -> str:
     """Replace EACH(a, b, ...), which repeats a row per value, by an engine's own call."""
     inner = r"[^()]*(?:\([^()]*(?:\([^()]*\)[^()]*)*\)[^()]*)*"  # brackets of two levels
@@ -555,7 +582,7 @@ class StagedTables(dict):
         return self._given[name]
 
     def __missing__(self, name: str) -> DataFrame:
-        sql = TABLES[name]
+        sql = DERIVED_ONCE.get(name, TABLES[name])
         bases = _needed(sql)
         text = f"WITH {_with_clause(bases, ONE_PASS)}\n{sql}" if bases else sql
         text = _repeating(text, "explode(array({}))")
@@ -568,4 +595,4 @@ class StagedTables(dict):
 
         The rows are all of the table's, in the shared checkpoint folder.
         """
-        self[name] = written(self[name], f"staged-{name}")
+        self[name] = written(self[name], f"staged-{name}", compression="zstd")
