@@ -45,14 +45,16 @@ def newest_row(df: DataFrame, keys: Sequence[str], by: Sequence[Column]) -> Data
     return _extreme(df, keys, by, F.max)
 
 
-def without_copies(df: DataFrame) -> DataFrame:
+def without_copies(df: DataFrame, implied: Sequence[str] = ()) -> DataFrame:
     """The rows of ``distinct()``, for wide rows of which few repeat.
 
+    ``implied`` names columns that are equal where all others are, so they need no comparison.
+
     Equal rows meet by one sort, which begins with a hash of the row and spills where memory
     is short. ``distinct`` keeps two hash tables of whole rows, one before and one after the
     shuffle, and both in one task where the rows lie by key already.
     """
-    every = [F.col(f"`{c}`") for c in df.columns]
+    every = [F.col(f"`{c}`") for c in df.columns if c not in implied]
     alike = Window.partitionBy(F.xxhash64(*every), *every).orderBy(F.lit(0))
     return df.withColumn("_copy", F.row_number().over(alike)).where(F.col("_copy") == 1).drop("_copy")
 

@@ -21,6 +21,7 @@ from loanbook.operators.payer import payment_sources
 from loanbook.operators.places import with_area_manager, with_stock_point, zone_by_country
 from loanbook.operators.relational import (
     lookup,
+    nested,
     newest_row,
     pick,
     stack_by_position,
@@ -95,15 +96,43 @@ def _first_payments(tables: Tables) -> DataFrame:
 
 
 def _with_product(df: DataFrame, tables: Tables, product: Column, key: str) -> DataFrame:
-    products = pick(
+    """Add ``products``, the entries of the product's type in an array, in whose place it travels."""
+    entries = pick(
         tables["product_mapping"], "pm", "product_type", "product_group_name", "wattage"
     )
     return lookup(
         df.withColumn("_product", product),
-        products,
+        nested(entries, ["pm_product_type"], "products"),
         on=[("_product", "pm_product_type")],
         spread_by=[key],
-    ).drop("_product")
+    ).drop("_product", "pm_product_type")
+
+
+def _product_columns() -> Column:
+    """Group and system size of each entry of ``products``, to be spread by ``_finished``."""
+    described = F.transform(
+        "products",
+        lambda p: F.struct(
+            p.pm_product_group_name.alias("product_group_name"),
+            F.concat(p.pm_wattage.cast("string"), F.lit("W")).alias("system_size"),
+        ),
+    )
+    return F.array_distinct(described).alias("_products")
+
+
+def _finished(profiles: DataFrame) -> DataFrame:
+    """Equal rows once, and then one for each different entry of their product's type.
+
+    The entries follow from the product, which every profile shows: rows that are equal but for
+    them have the same, so they are compared once and not once for each entry.
+    """
+    once = without_copies(profiles, implied=["_products"])
+    spread = once.withColumn("_product", F.explode_outer("_products"))
+    entry = [F.col(f"_product.{c}").alias(c) for c in ("product_group_name", "system_size")]
+    columns: list[Column] = []
+    for c in profiles.columns:
+        columns += entry if c == "_products" else [F.col(c)]
+    return spread.select(*columns)
 
 
 def _with_location(df: DataFrame, tables: Tables, location: Column, key: str) -> DataFrame:
@@ -116,10 +145,6 @@ def _with_location(df: DataFrame, tables: Tables, location: Column, key: str) ->
     ).drop("_location")
 
 
-def _system_size() -> Column:
-    return F.concat(F.col("pm_wattage").cast("string"), F.lit("W"))
-
-
 def metered_profiles(tables: Tables) -> DataFrame:
     """Metered accounts with their first sale, person and payer."""
     accounts = pick(
@@ -219,8 +244,7 @@ def metered_profiles(tables: Tables) -> DataFrame:
         F.col("sd_product_category").alias("product_category"),
         F.col("sd_product_type").alias("product_type"),
         F.col("sd_payment_plan").alias("payment_plan"),
-        F.col("pm_product_group_name").alias("product_group_name"),
-        _system_size().alias("system_size"),
+        _product_columns(),
         amount(F.col("sd_deposit_amount")).alias("deposit_amount"),
         F.col("sd_loan_duration").alias("loan_duration"),
         amount(F.col("sd_daily_rate")).alias("daily_rate"),
@@ -266,7 +290,7 @@ def metered_profiles(tables: Tables) -> DataFrame:
         amount(F.col("ln_amount_expected")).alias("expected_amount"),
         *payer,
     )
-    return without_copies(profiles)
+    return _finished(profiles)
 
 
 ACCOUNT_COLUMNS = [
@@ -316,9 +340,18 @@ def best_loan_per_customer(tables: Tables) -> DataFrame:
 
 
 def _account_profiles(
-    tables: Tables, accounts: DataFrame, as_of: date, case_of_item: bool, require_installment: bool
+    tables: Tables,
+    accounts: DataFrame,
+    as_of: date,
+    case_of_item: bool,
+    require_installment: bool,
+    customer_id: str,
 ) -> DataFrame:
-    """Joins shared by the snapshot and benchmark systems."""
+    """Joins shared by the snapshot and benchmark systems.
+
+    ``customer_id`` is the one of two equal columns that the profile shows: the last join lays
+    rows out by it, and there copies are looked for.
+    """
     recent = accounts.where(F.to_date("handover_at_utc") >= F.lit(HANDOVER_SINCE))
     loans = pick(recent, "la", *ACCOUNT_COLUMNS)
     items = tables["order_items"].where(
@@ -399,7 +432,7 @@ def _account_profiles(
             (F.col("la_loan_account_id") == F.col("mf_loan_id"))
             & (F.col("la_customer_id") == F.col("mf_customer_id")),
         )
-        .join(customers, F.col("la_customer_id") == F.col("cd_customer_id"))
+        .join(customers, F.col(customer_id) == F.col("cd_customer_id"))
     )
 
 
@@ -446,8 +479,7 @@ def _account_columns(
         plan_label(
             F.col("oi_product_name"), F.col("oi_down_payment"), F.col("oi_payment_plan")
         ).alias("payment_plan"),
-        F.col("pm_product_group_name").alias("product_group_name"),
-        _system_size().alias("system_size"),
+        _product_columns(),
         units(F.col("oi_down_payment")).alias("deposit_amount"),
         F.col("oi_loan_duration").alias("loan_duration"),
         units(F.col("oi_daily_rate")).alias("daily_rate"),
@@ -491,7 +523,12 @@ def snapshot_profiles(tables: Tables, as_of: date) -> DataFrame:
     """Snapshot system: one loan per customer; Rwanda names its agents in a mapping."""
     accounts = best_loan_per_customer(tables).where(F.col("source") == ACCOUNT_SOURCE["snapshot"])
     rows = _account_profiles(
-        tables, accounts, as_of, case_of_item=True, require_installment=True
+        tables,
+        accounts,
+        as_of,
+        case_of_item=True,
+        require_installment=True,
+        customer_id="la_customer_id",
     )
     rwanda, tanzania = F.col("cd_country") == "RW", F.col("cd_country") == "TZ"
 
@@ -528,14 +565,19 @@ def snapshot_profiles(tables: Tables, as_of: date) -> DataFrame:
         totals=[F.lit(0.0), units(F.col("la_loan_amount") - F.col("oi_down_payment"))],
         expected_amount=units(F.col("la_amount_expected_minus_down_payment")),
     )
-    return without_copies(rows.select(*columns))
+    return _finished(rows.select(*columns))
 
 
 def benchmark_profiles(tables: Tables, as_of: date) -> DataFrame:
     """Benchmark system: every loan. The manager's name repeats the seller's."""
     accounts = tables["loan_accounts"].where(F.col("source") == ACCOUNT_SOURCE["benchmark"]).select(*ACCOUNT_COLUMNS)
     rows = _account_profiles(
-        tables, accounts, as_of, case_of_item=False, require_installment=False
+        tables,
+        accounts,
+        as_of,
+        case_of_item=False,
+        require_installment=False,
+        customer_id="mf_customer_id",
     )
 
     def both(first: str, second: str) -> Column:
@@ -565,7 +607,7 @@ def benchmark_profiles(tables: Tables, as_of: date) -> DataFrame:
         totals=[units(F.col("oi_total_interest")), units(F.col("oi_principal_price"))],
         expected_amount=both("la_expected_interest", "la_expected_principal"),
     )
-    return without_copies(rows.select(*columns))
+    return _finished(rows.select(*columns))
 
 
 def first_payment_profile(tables: Tables, as_of: date, mask_key: str | None = None) -> DataFrame:

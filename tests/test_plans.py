@@ -261,3 +261,45 @@ def test_one_row_per_month_of_equal_and_different_ones(spark):
     same = {("a", 2, "v", 1, 1), (None, 1, None, 5, 0), ("b", None, None, 1, 1)}
     assert found(F.sum("times")) == same | {("a", 1, "x", 4, 1)}
     assert found(F.max("times")) == same | {("a", 1, "w", 3, 1)}
+
+
+def test_profiles_do_not_move_for_their_copies(as_at_scale, stored):
+    """Copies are looked for where the last join leaves the rows, before the products are spread."""
+    plan = physical(first_payment_profile(stored, AS_OF))
+    for table in ("metered_accounts", "loan_accounts"):
+        for way in ways_to(plan, table):
+            first = next(i for i, name in enumerate(way) if "Join" in name)
+            assert "Exchange" not in way[:first], way
+            assert way.index("Generate") < way.index("Window"), way
+
+
+def test_implied_columns_are_not_compared(spark):
+    rows = [(1, "a", 5), (1, "a", 5), (1, None, 6), (1, None, 6), (None, None, 7)]
+    df = spark.createDataFrame(rows, "k int, x string, follows int").repartition(3)
+    found = without_copies(df, implied=["follows"])
+    assert found.columns == df.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, df.distinct().collect()))
+
+
+def test_profiles_of_a_product_with_several_entries(book):
+    """One row for each different entry, with its group and size beside each other; without an
+    entry one row with neither."""
+    def sale(account, product):
+        return dict(account_id=account, loan_id=account, sales_order_count=1, product_type=product,
+                    country_of_sale="Uganda")
+
+    t = book(
+        metered_accounts=[dict(account_id=a) for a in ("a", "a", "b", "c", "d")],
+        metered_sales=[sale("a", "Lamp"), sale("b", "TV"), sale("c", None), sale("d", "Lamp")],
+        product_mapping=[
+            dict(product_type="Lamp", product_group_name="L1", wattage=5),
+            dict(product_type="Lamp", product_group_name="L1", wattage=5),
+            dict(product_type="Lamp", product_group_name="L2", wattage=None),
+            dict(product_type=None, product_group_name="none", wattage=1),
+        ],
+    )
+    found = first_payment_profile(t, AS_OF)
+    rows = [tuple(r) for r in found.select("account_id", "product_group_name", "system_size").collect()]
+    lamp = [("L1", "5W"), ("L2", None)]
+    expected = [(a, *e) for a in ("a", "d") for e in lamp] + [("b", None, None), ("c", None, None)]
+    assert sorted(rows, key=str) == sorted(expected, key=str)
